@@ -6,8 +6,10 @@ without a time. No shuffle, no Python.
 
 Entry rules (bound in tests):
 
-* an entry is parsed on its own (``ARRAY<STRING>``), so one malformed entry
-  (``null``, a number, an object) is skipped and counted, the others stay;
+* a document is parsed once with its trace typed as arrays; only when an
+  entry is malformed (``null``, a number, an object) its document's entries
+  are parsed one by one, so the bad entry is skipped and counted and the
+  others stay;
 * short entries are padded with null, extra elements are ignored (``get``);
 * ``[]`` is a valid entry: offset 0, every trace column null;
 * index 3 is ``int | "ground" | null``: kept verbatim as text, plus
@@ -45,22 +47,39 @@ def parse_docs(docs: DataFrame) -> DataFrame:
     )
 
 
-def _entry_offset(e: Column) -> Column:
-    """Offset of one entry (text): element 0, or 0 for an empty entry."""
-    arr = F.from_json(e, ENTRY_TYPE)
+def _with_doc(docs: DataFrame) -> DataFrame:
+    """Add the parsed document (fast schema) next to its text."""
+    return docs.select("path", "source_date", "content",
+                       F.from_json("content", S.DOC_SCHEMA_NESTED).alias("doc"))
+
+
+def _trace() -> Column:
+    """Trace as ARRAY<ARRAY<STRING>> (null element = malformed entry).
+
+    Fast path: the document was parsed once with the trace typed as arrays of
+    strings. A single malformed entry makes that trace null; only for those
+    documents the trace is read as raw entry texts and each entry parsed on
+    its own, so the bad entry becomes a null element and the others stay.
+    """
+    slow = F.from_json(F.col("content"), S.DOC_SCHEMA)["trace"]
+    return F.coalesce(F.col("doc")["trace"], F.transform(slow, lambda e: F.from_json(e, ENTRY_TYPE)))
+
+
+def _entry_offset_arr(arr: Column) -> Column:
+    """Offset of one parsed entry: element 0, or 0 for an empty entry."""
     return F.when(F.size(arr) == 0, F.lit(0.0)).otherwise(_to_double(F.get(arr, 0)))
 
 
 def explode_entries(docs: DataFrame) -> DataFrame:
-    """One row per trace entry: doc keys, ``seq`` position, parsed ``arr``."""
-    d = parse_docs(docs)
+    """One row per trace entry: doc keys, ``seq`` position, parsed ``arr``
+    (null for a malformed entry)."""
     top = [F.col("doc")[k].alias(k) for k in S.TOP_LEVEL_KEYS]
-    return d.select(
+    return _with_doc(docs).select(
         "path",
         "source_date",
         *top,
-        F.posexplode(F.col("doc")["trace"]).alias("seq", "entry"),
-    ).withColumn("arr", F.from_json("entry", ENTRY_TYPE))
+        F.posexplode(_trace()).alias("seq", "arr"),
+    )
 
 
 def flatten_docs(docs: DataFrame) -> DataFrame:
@@ -72,7 +91,7 @@ def flatten_docs(docs: DataFrame) -> DataFrame:
     e = explode_entries(docs).where(F.col("arr").isNotNull())
     arr = F.col("arr")
     g = lambda i: F.get(arr, i)  # noqa: E731 - null when the entry is short
-    offset = F.when(F.size(arr) == 0, F.lit(0.0)).otherwise(_to_double(g(0)))
+    offset = _entry_offset_arr(arr)
     cols = {
         "seconds_after_timestamp": _to_double(g(0)),
         "latitude": _to_double(g(1)),
@@ -125,23 +144,19 @@ def doc_status(docs: DataFrame) -> DataFrame:
     else ``failed`` (bad JSON, empty trace, or no entry with a time). Bad
     entries are counted, and do not fail the document.
     """
-    d = parse_docs(docs)
-    trace = F.col("doc")["trace"]
+    d = _with_doc(docs).select("path", "source_date", "doc", _trace().alias("trace"))
+    tr = F.col("trace")
     ts = F.col("doc")["timestamp"]
-    bad = F.size(F.filter(trace, lambda e: F.from_json(e, ENTRY_TYPE).isNull()))
+    bad = F.size(F.filter(tr, lambda a: a.isNull()))
     good_time = F.size(
-        F.filter(
-            trace,
-            lambda e: F.from_json(e, ENTRY_TYPE).isNotNull()
-            & epoch_us(ts, _entry_offset(e)).isNotNull(),
-        )
+        F.filter(tr, lambda a: a.isNotNull() & epoch_us(ts, _entry_offset_arr(a)).isNotNull())
     )
     n_rows = F.coalesce(good_time, F.lit(0))
     return d.select(
         "path",
         "source_date",
         F.col("doc").isNotNull().alias("parsed"),
-        F.coalesce(F.size(trace), F.lit(0)).cast("int").alias("n_entries"),
+        F.coalesce(F.size(tr), F.lit(0)).cast("int").alias("n_entries"),
         F.coalesce(bad, F.lit(0)).cast("int").alias("n_bad_entries"),
         n_rows.cast("int").alias("n_rows"),
         F.when(n_rows > 0, F.lit("processed")).otherwise(F.lit("failed")).alias("status"),

@@ -105,6 +105,13 @@ DOC_SCHEMA = T.StructType(
     ]
 )
 
+# Same document with the trace typed as arrays of element texts (fast path;
+# null as a whole when any entry is not an array).
+DOC_SCHEMA_NESTED = T.StructType(
+    [f for f in DOC_SCHEMA.fields if f.name != "trace"]
+    + [T.StructField("trace", T.ArrayType(T.ArrayType(T.StringType())))]
+)
+
 # Raw document rows: where a document came from and its text.
 DOCS_SCHEMA = T.StructType(
     [

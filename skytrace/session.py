@@ -25,6 +25,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, tz: str |
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Small local inputs: keep at least ~one partition per core after a
+        # shuffle (JSON parsing is CPU-bound per byte).
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize",
+                os.environ.get("SKYTRACE_MIN_PARTITION", "64k"))
         .config("spark.driver.memory", os.environ.get("SKYTRACE_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )

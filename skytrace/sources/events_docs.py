@@ -40,92 +40,112 @@ def _str(c: Column) -> Column:
     return F.coalesce(F.concat(F.lit('"'), c, F.lit('"')), F.lit("null"))
 
 
-def event_points(events: DataFrame) -> DataFrame:
-    """Per event: every trace field of the fixture as a typed column."""
-    eid = F.col("event_id")
-    us = us_from_ntz(F.col("ts"))
+def _fields(get) -> dict[str, Column]:
+    """Every trace field of the fixture from raw event fields (``get(name)``:
+    ``event_id``, ``user_id``, ``us``, ``event_type``, ``value``)."""
+    eid = get("event_id")
+    us = get("us")
     day_s = F.floor(us / F.lit(US_PER_DAY)).cast("bigint") * F.lit(86400)
-    offset = (
-        F.floor((us - day_s * F.lit(1_000_000)) / F.lit(1e3)).cast("double") / F.lit(1e3)
-    )
-    value_alt = F.floor(F.col("value") * F.lit(100)).cast("bigint")
+    offset = F.floor((us - day_s * F.lit(1_000_000)) / F.lit(1e3)).cast("double") / F.lit(1e3)
+    value_alt = F.floor(get("value") * F.lit(100)).cast("bigint")
     heading = (eid * 53 % 3600) / F.lit(1e1)
     meta = F.when(
         eid % 3 == 0,
         F.concat(
             F.lit('{"flight":"FL'),
-            F.col("user_id").cast("string"),
+            get("user_id").cast("string"),
             F.lit(' ","true_heading":'),
             heading.cast("string"),
             F.lit("}"),
         ),
     )
+    return {
+        "timestamp": day_s.cast("double"),
+        "seconds_after_timestamp": offset,
+        "latitude": F.when(eid % 97 != 0, F.lit(1e0) + (eid * 7919 % 20000) / F.lit(1e4)),
+        "longitude": F.lit(104e0) + (eid * 104729 % 25000) / F.lit(1e4),
+        "altitude_ft": F.when(get("event_type") == "error", F.lit("ground")).otherwise(value_alt.cast("string")),
+        "ground_speed_kts": (eid * 13 % 6000) / F.lit(1e1),
+        "track_deg": F.when(eid % 5 != 0, (eid * 37 % 3600) / F.lit(1e1)),
+        "flags_bitfield": (eid % 16).cast("int"),
+        "vertical_rate_fpm": ((eid % 4001) - 2000).cast("int"),
+        "aircraft_metadata": meta,
+        "source_type": F.element_at(F.array(*[F.lit(x) for x in SOURCE_TYPES]), (eid % 4 + 1).cast("int")),
+        "geometric_altitude_ft": F.when(eid % 7 != 0, value_alt + eid % 50).cast("int"),
+        "geometric_vertical_rate_fpm": ((eid % 3001) - 1500).cast("int"),
+        "indicated_airspeed_kts": (eid * 17 % 4000) / F.lit(1e1),
+        "roll_angle_deg": (((eid * 3 % 600) - 300) / F.lit(1e1)),
+    }
+
+
+def _raw(events: DataFrame) -> DataFrame:
     return events.select(
-        eid.alias("event_id"),
+        "event_id", "user_id", us_from_ntz(F.col("ts")).alias("us"), "event_type", "value",
         F.lower(F.lpad(F.hex(F.col("user_id")), 6, "0")).alias("icao"),
-        F.col("user_id"),
         source_date_of_ntz(F.col("ts")).alias("source_date"),
-        day_s.cast("double").alias("timestamp"),
-        offset.alias("seconds_after_timestamp"),
-        F.when(eid % 97 != 0, F.lit(1e0) + (eid * 7919 % 20000) / F.lit(1e4)).alias("latitude"),
-        (F.lit(104e0) + (eid * 104729 % 25000) / F.lit(1e4)).alias("longitude"),
-        F.when(F.col("event_type") == "error", F.lit("ground"))
-        .otherwise(value_alt.cast("string"))
-        .alias("altitude_ft"),
-        ((eid * 13 % 6000) / F.lit(1e1)).alias("ground_speed_kts"),
-        F.when(eid % 5 != 0, (eid * 37 % 3600) / F.lit(1e1)).alias("track_deg"),
-        (eid % 16).cast("int").alias("flags_bitfield"),
-        ((eid % 4001) - 2000).cast("int").alias("vertical_rate_fpm"),
-        meta.alias("aircraft_metadata"),
-        F.element_at(F.array(*[F.lit(s) for s in SOURCE_TYPES]), (eid % 4 + 1).cast("int")).alias(
-            "source_type"
-        ),
-        F.when(eid % 7 != 0, value_alt + eid % 50).cast("int").alias("geometric_altitude_ft"),
-        ((eid % 3001) - 1500).cast("int").alias("geometric_vertical_rate_fpm"),
-        ((eid * 17 % 4000) / F.lit(1e1)).alias("indicated_airspeed_kts"),
-        (((eid * 3 % 600) - 300) / F.lit(1e1)).alias("roll_angle_deg"),
     )
 
 
-def _entry_json() -> Column:
-    ground = F.col("altitude_ft") == "ground"
-    alt = F.when(ground, F.lit('"ground"')).otherwise(F.col("altitude_ft"))
-    return F.concat_ws(
-        ",",
-        _num(F.col("seconds_after_timestamp")),
-        _num(F.col("latitude")),
-        _num(F.col("longitude")),
-        alt,
-        _num(F.col("ground_speed_kts")),
-        _num(F.col("track_deg")),
-        _num(F.col("flags_bitfield")),
-        _num(F.col("vertical_rate_fpm")),
-        F.coalesce(F.col("aircraft_metadata"), F.lit("null")),
-        _str(F.col("source_type")),
-        _num(F.col("geometric_altitude_ft")),
-        _num(F.col("geometric_vertical_rate_fpm")),
-        _num(F.col("indicated_airspeed_kts")),
-        _num(F.col("roll_angle_deg")),
+def event_points(events: DataFrame) -> DataFrame:
+    """Per event: every trace field of the fixture as a typed column."""
+    raw = _raw(events)
+    f = _fields(F.col)
+    return raw.select("event_id", "icao", "user_id", "source_date", *[c.alias(n) for n, c in f.items()])
+
+
+def _entry_json(f: dict[str, Column]) -> Column:
+    alt = F.when(f["altitude_ft"] == "ground", F.lit('"ground"')).otherwise(f["altitude_ft"])
+    return F.concat(
+        F.lit("["),
+        F.concat_ws(
+            ",",
+            _num(f["seconds_after_timestamp"]),
+            _num(f["latitude"]),
+            _num(f["longitude"]),
+            alt,
+            _num(f["ground_speed_kts"]),
+            _num(f["track_deg"]),
+            _num(f["flags_bitfield"]),
+            _num(f["vertical_rate_fpm"]),
+            F.coalesce(f["aircraft_metadata"], F.lit("null")),
+            _str(f["source_type"]),
+            _num(f["geometric_altitude_ft"]),
+            _num(f["geometric_vertical_rate_fpm"]),
+            _num(f["indicated_airspeed_kts"]),
+            _num(f["roll_angle_deg"]),
+        ),
+        F.lit("]"),
     )
 
 
 def trace_docs_from_events(events: DataFrame, block_events: int = DEFAULT_BLOCK_EVENTS) -> DataFrame:
     """``events`` → ``(path, source_date, content)``: one JSON trace document per
-    (icao, source_date, event-id block), entries ordered by ``event_id``."""
-    pts = event_points(events).withColumn(
-        "entry", F.concat(F.lit("["), _entry_json(), F.lit("]"))
-    ).withColumn("block", F.floor(F.col("event_id") / F.lit(block_events)).cast("bigint"))
-    docs = pts.groupBy("icao", "source_date", "block").agg(
+    (icao, source_date, event-id block), entries ordered by ``event_id``.
+
+    Raw events are hash-partitioned on the document key first; the entry text
+    is then built per row (whole-stage codegen, in parallel reduce tasks) and
+    the grouping reuses that partitioning, so there is a single shuffle.
+    """
+    keys = ["icao", "source_date", "block"]
+    raw = _raw(events).withColumn(
+        "block", F.floor(F.col("event_id") / F.lit(block_events)).cast("bigint")
+    ).repartition(*keys)
+    f = _fields(F.col)
+    rows = raw.select(*keys, "event_id", "user_id", f["timestamp"].alias("timestamp"),
+                      _entry_json(f).alias("entry"))
+    docs = rows.groupBy(*keys).agg(
         F.first("user_id").alias("user_id"),
         F.first("timestamp").alias("timestamp"),
-        F.array_sort(F.collect_list(F.struct("event_id", "entry"))).alias("entries"),
+        F.array_sort(F.collect_list(F.struct("event_id", "entry"))).alias("ev"),
     )
+    entries = F.transform("ev", lambda e: e["entry"])
+    base_ts = F.col("timestamp")
     uid = F.col("user_id")
     header = F.concat(
         F.lit('{"icao":"'),
         F.col("icao"),
         F.lit('","timestamp":'),
-        F.col("timestamp").cast("string"),
+        base_ts.cast("string"),
         F.lit(',"r":"9V-'),
         F.upper(F.col("icao")),
         F.lit('","t":"'),
@@ -139,9 +159,7 @@ def trace_docs_from_events(events: DataFrame, block_events: int = DEFAULT_BLOCK_
         .otherwise(F.lit("")),
         F.lit(',"trace":['),
     )
-    content = F.concat(
-        header, F.array_join(F.transform("entries", lambda e: e["entry"]), ","), F.lit("]}")
-    )
+    content = F.concat(header, F.array_join(entries, ","), F.lit("]}"))
     path = F.concat(
         F.lit("traces/"),
         F.col("source_date"),
