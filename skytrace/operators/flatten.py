@@ -144,7 +144,11 @@ def doc_status(docs: DataFrame) -> DataFrame:
     else ``failed`` (bad JSON, empty trace, or no entry with a time). Bad
     entries are counted, and do not fail the document.
     """
-    d = _with_doc(docs).select("path", "source_date", "doc", _trace().alias("trace"))
+    status = F.from_json(F.col("content"), S.DOC_SCHEMA_STATUS, {"columnNameOfCorruptRecord": "_corrupt_record"})
+    d = _with_doc(docs).select(
+        "path", "source_date", "doc", _trace().alias("trace"),
+        (status.isNotNull() & status["_corrupt_record"].isNull()).alias("parsed"),
+    )
     tr = F.col("trace")
     ts = F.col("doc")["timestamp"]
     bad = F.size(F.filter(tr, lambda a: a.isNull()))
@@ -155,7 +159,7 @@ def doc_status(docs: DataFrame) -> DataFrame:
     return d.select(
         "path",
         "source_date",
-        F.col("doc").isNotNull().alias("parsed"),
+        "parsed",
         F.coalesce(F.size(tr), F.lit(0)).cast("int").alias("n_entries"),
         F.coalesce(bad, F.lit(0)).cast("int").alias("n_bad_entries"),
         n_rows.cast("int").alias("n_rows"),

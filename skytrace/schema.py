@@ -112,6 +112,9 @@ DOC_SCHEMA_NESTED = T.StructType(
     + [T.StructField("trace", T.ArrayType(T.ArrayType(T.StringType())))]
 )
 
+# Raw-entry schema plus the corrupt-record column (document status only).
+DOC_SCHEMA_STATUS = T.StructType(DOC_SCHEMA.fields + [T.StructField("_corrupt_record", T.StringType())])
+
 # Raw document rows: where a document came from and its text.
 DOCS_SCHEMA = T.StructType(
     [
