@@ -495,4 +495,11 @@ SELECT source_date, source_type, count(*) AS n_points, count(DISTINCT icao) AS n
        count(*) FILTER (WHERE starts_with(icao, '~')) AS n_non_icao_points
 FROM points GROUP BY source_date, source_type"""
 
+    q["hourly_partitions"] = _with(pts) + """
+SELECT source_date, hour, count(*) AS n_rows FROM points GROUP BY source_date, hour"""
+
+    q["stream_hourly_counts"] = _with(pts) + """
+SELECT make_timestamp((event_us // 3600000000) * 3600000000) AS hour_start, count(*) AS n_rows
+FROM points GROUP BY 1"""
+
     return q

@@ -263,6 +263,43 @@ def q_source_mix(spark, sf_dir):
     return mv.source_mix(points(spark, sf_dir))
 
 
+def q_hourly_partitions(spark, sf_dir):
+    """Points written to the hour-partitioned table (in the session's shared
+    checkpoint folder) and read back: rows and files per partition."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    from ..sinks.files import hourly_file_stats, write_hourly
+
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/hourly-{uuid.uuid4().hex}"
+    write_hourly(points(spark, sf_dir), base)
+    return hourly_file_stats(spark, base).select("source_date", "hour", "n_rows")
+
+
+def q_stream_hourly_counts(spark, sf_dir):
+    """Hourly counts as a Structured Streaming query: the events table as a
+    file stream, fixture point fields, UTC hour windows with a watermark,
+    run to completion (``availableNow``) into a memory table."""
+    import uuid
+
+    from ..functions.timefn import epoch_us
+    from ..sources.events_docs import _fields, _raw
+    from ..streaming.ingest import hourly_counts_stream
+
+    path = f"{sf_dir}/events.parquet"
+    schema = spark.read.parquet(path).schema
+    ev = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    f = _fields(F.col)
+    pts = _raw(ev).select(epoch_us(f["timestamp"], f["seconds_after_timestamp"]).alias("event_us"))
+    name = f"hourly_stream_{uuid.uuid4().hex[:12]}"
+    q = (
+        hourly_counts_stream(pts).writeStream.format("memory").queryName(name)
+        .outputMode("complete").trigger(availableNow=True).start()
+    )
+    q.awaitTermination()
+    return spark.table(name).select(ntz_from_us("window_start_us").alias("hour_start"), "n_rows")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trace_flatten": q_trace_flatten,
     "trace_docs_scan": q_trace_docs_scan,
@@ -300,4 +337,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "zone_trajectories": q_zone_trajectories,
     "metadata_fields": q_metadata_fields,
     "source_mix": q_source_mix,
+    "hourly_partitions": q_hourly_partitions,
+    "stream_hourly_counts": q_stream_hourly_counts,
 }
