@@ -11,9 +11,10 @@ that bottleneck:
    into ``_split`` buckets of the leading order column, the bucket width
    chosen so a bucket holds about ``rows_per_split`` rows. The split is a
    pure function of the row and the key's statistics, so every consumer of
-   the plan computes the same value (no partition ids). The hot-key table
-   has at most ``total_rows / rows_per_split`` rows; it is broadcast after a
-   size check, else joined by a shuffle on the keys.
+   the plan computes the same value (partition ids would differ between two
+   evaluations of a range shuffle). The hot-key table has at most
+   ``total_rows / rows_per_split`` rows by construction, the bound that
+   makes broadcasting it safe.
 3. A window over ``(keys, _split)`` computes local row numbers, running sums
    and lags; each window group is one bucket.
 4. A summary per ``(keys, _split)`` (count, sum, last row) and a window over
@@ -21,6 +22,9 @@ that bottleneck:
    buckets, and the previous bucket's last row. They are joined back on
    ``(keys, _split)``, the partitioning the window already has.
 
+When no key exceeds ``rows_per_split`` (checked by one aggregation job), the
+plain window is used: it is then bounded per task, and one shuffle cheaper.
+
 Key columns must be non-null (rows with a null key are dropped here); the
 order columns must give a total order within a key, and the first of them
 must be numeric.
@@ -34,17 +38,23 @@ from pyspark.sql import functions as F
 DEFAULT_ROWS_PER_SPLIT = 1_000_000
 
 
-def _split_column(df: DataFrame, keys: list[str], lead: str, rows_per_split: int) -> DataFrame:
+def _hot_keys(df: DataFrame, keys: list[str], lead: str, rows_per_split: int) -> DataFrame:
     stats = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_kn"), F.min(lead).alias("_kmin"), F.max(lead).alias("_kmax")
     )
-    hot = stats.where(F.col("_kn") > rows_per_split).select(
+    return stats.where(F.col("_kn") > rows_per_split).select(
         *keys,
         "_kmin",
         # Bucket width so a bucket holds about rows_per_split rows.
         ((F.col("_kmax").cast("double") - F.col("_kmin").cast("double") + F.lit(1.0))
          * F.lit(float(rows_per_split)) / F.col("_kn").cast("double")).alias("_kw"),
     )
+
+
+def _split_column(df: DataFrame, keys: list[str], lead: str, rows_per_split: int,
+                  hot: DataFrame | None = None) -> DataFrame:
+    if hot is None:
+        hot = _hot_keys(df, keys, lead, rows_per_split)
     # Size bound: at most total_rows / rows_per_split hot keys.
     joined = df.join(F.broadcast(hot), keys, "left")
     split = F.coalesce(
@@ -54,6 +64,19 @@ def _split_column(df: DataFrame, keys: list[str], lead: str, rows_per_split: int
     return joined.withColumn("_split", split).drop("_kmin", "_kw")
 
 
+def _plain_scan(base: DataFrame, keys, order, row_number, running_sums, lags) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(*order)
+    out = base
+    if row_number:
+        out = out.withColumn(row_number, F.row_number().over(w).cast("bigint"))
+    for name, expr in running_sums.items():
+        out = out.withColumn(name, F.sum(expr.cast("bigint")).over(
+            w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    for name, col in lags.items():
+        out = out.withColumn(name, F.lag(col).over(w))
+    return out
+
+
 def sequence_scan(
     df: DataFrame,
     keys: list[str],
@@ -63,9 +86,15 @@ def sequence_scan(
     running_sums: dict[str, Column] | None = None,
     lags: dict[str, str] | None = None,
     rows_per_split: int = DEFAULT_ROWS_PER_SPLIT,
+    check_hot: bool = True,
 ) -> DataFrame:
     """Add ordered-scan columns to ``df``.
 
+    With ``check_hot`` one small job first looks for keys above
+    ``rows_per_split``; when there are none, every window group is bounded
+    and a plain window is used. ``check_hot=False`` always takes the split
+    path (no extra job).
+
     * ``row_number``: 1-based position within the key group (None: skip);
     * ``running_sums``: ``{out: int_expr}``, inclusive running sum of ``int_expr``;
     * ``lags``: ``{out: column}``, value of ``column`` on the previous row.
@@ -74,9 +103,14 @@ def sequence_scan(
     lags = lags or {}
 
     base = df.where(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)))
+    hot = _hot_keys(base, keys, order[0], rows_per_split)
+    if check_hot and hot.limit(1).count() == 0:
+        # Checked: no key group exceeds rows_per_split rows, so a plain
+        # window (one shuffle on the keys) is bounded per task.
+        return _plain_scan(base, keys, order, row_number, running_sums, lags)
     for name, expr in running_sums.items():
         base = base.withColumn(f"_rs_{name}", expr.cast("bigint"))
-    base = _split_column(base, keys, order[0], rows_per_split)
+    base = _split_column(base, keys, order[0], rows_per_split, hot)
 
     gkeys = [*keys, "_split"]
     w = Window.partitionBy(*gkeys).orderBy(*order)
@@ -93,7 +127,9 @@ def sequence_scan(
     if lags:
         last = F.struct(*[F.col(c).alias(name) for name, c in lags.items()])
         aggs.append(F.max_by(last, F.struct(*order)).alias("_last"))
-    summary = local.groupBy(*gkeys).agg(*aggs)
+    # From the input, not the window output: the window's exchange then has
+    # one consumer, and this partial aggregation shrinks each bucket to a row.
+    summary = base.groupBy(*gkeys).agg(*aggs)
 
     w2 = Window.partitionBy(*keys).orderBy("_split")
     before = w2.rowsBetween(Window.unboundedPreceding, -1)

@@ -17,11 +17,12 @@ def skewed(spark):
     )
 
 
-@pytest.mark.parametrize("rows_per_split", [1_000_000, 100, 7])
-def test_scan_matches_window(skewed, rows_per_split):
+@pytest.mark.parametrize("rows_per_split,check_hot", [(1_000_000, True), (1_000_000, False), (100, True), (7, False)])
+def test_scan_matches_window(skewed, rows_per_split, check_hot):
     s = sequence_scan(
         skewed, ["key"], ["t", "id"], row_number="pos",
         running_sums={"cum": F.col("flag")}, lags={"prev_id": "id"}, rows_per_split=rows_per_split,
+        check_hot=check_hot,
     )
     w = Window.partitionBy("key").orderBy("t", "id")
     ref = skewed.select(
