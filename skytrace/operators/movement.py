@@ -49,15 +49,18 @@ def fresh_positions(points: DataFrame) -> DataFrame:
 
 
 def dbflags_decode(points: DataFrame) -> DataFrame:
-    """Per date: distinct aircraft in total and per database flag."""
-    p = points.select("source_date", "icao", *db_flag_columns())
-
-    def n(flag: str) -> Column:
-        return F.countDistinct(F.when(F.col(flag), F.col("icao"))).alias("n_" + flag[3:])
-
-    return p.groupBy("source_date").agg(
-        F.countDistinct("icao").alias("n_aircraft"),
-        n("is_military"), n("is_interesting"), n("is_pia"), n("is_ladd"),
+    """Per date: distinct aircraft in total and per database flag.
+
+    First one row per aircraft-day (flag set on any of its points, a partial
+    aggregation), then counts per date: no per-row expansion as several
+    ``countDistinct`` columns would need.
+    """
+    flags = ["is_military", "is_interesting", "is_pia", "is_ladd"]
+    p = points.where(F.col("icao").isNotNull()).select("source_date", "icao", *db_flag_columns())
+    per = p.groupBy("source_date", "icao").agg(*[F.bool_or(f).alias(f) for f in flags])
+    return per.groupBy("source_date").agg(
+        F.count(F.lit(1)).alias("n_aircraft"),
+        *[F.count_if(f).alias("n_" + f[3:]) for f in flags],
     )
 
 
