@@ -57,19 +57,21 @@ def ingest_stats(points: DataFrame, status: DataFrame) -> DataFrame:
     )
 
 
-def window_stats(points: DataFrame, windows) -> DataFrame:
+def window_stats(points: DataFrame, windows, approx: bool = False) -> DataFrame:
     """Per (source_date, window): rows before/after the filter, distinct
     aircraft, first/last time as ``YYYY-MM-DD HH:MM:SS UTC``.
 
     One pass: every point is tagged with its windows (or none), one
     aggregation gives per-window figures and, through ``first_tag``, the
-    date totals.
+    date totals. ``approx`` counts aircraft with a HyperLogLog sketch
+    (``approx_count_distinct``), fixed memory per group.
     """
     tagged = tag_windows(points, windows, keep_outside=True)
+    distinct = F.approx_count_distinct("icao") if approx else F.countDistinct("icao")
     g = tagged.groupBy("source_date", "window").agg(
         F.count(F.lit(1)).alias("rows_after"),
         F.count_if("first_tag").alias("_firsts"),
-        F.countDistinct("icao").alias("unique_aircraft"),
+        distinct.alias("unique_aircraft"),
         F.min("event_us").alias("_min_us"),
         F.max("event_us").alias("_max_us"),
     )

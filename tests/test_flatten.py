@@ -69,3 +69,35 @@ def test_midnight_spill_stays_in_source_date(spark):
     assert [r.source_date for r in rows] == ["2025.02.08", "2025.02.08"]
     assert [r.hour for r in rows] == [0, 1]
     assert rows[0].datetime_utc.date() == dt.date(2025, 2, 9)
+
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+_elem = st.one_of(st.none(), st.integers(-5, 5), st.floats(0, 1000, allow_nan=False), st.just('"ground"'))
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.lists(_elem, min_size=0, max_size=16), min_size=0, max_size=12))
+def test_flatten_keeps_every_entry_with_a_time(spark, entries):
+    def txt(v):
+        return "null" if v is None else (v if isinstance(v, str) else repr(v))
+
+    trace = ["[" + ",".join(txt(v) for v in e) + "]" for e in entries]
+    d = docs_df(spark, [("p", "2025.02.08", _doc(trace))])
+    n_time = sum(1 for e in entries if not e or (e[0] is not None and not isinstance(e[0], str)))
+    assert flatten_docs(d).count() == n_time
+    st_row = doc_status(d).first()
+    assert st_row.n_entries == len(entries) and st_row.n_rows == n_time and st_row.n_bad_entries == 0
+
+
+def test_empty_input_flows_through(spark):
+    from skytrace.operators import stats, tracks
+    from skytrace.plans.params import WINDOWS
+
+    d = docs_df(spark, [])
+    p = flatten_docs(d)
+    assert p.count() == 0
+    assert stats.hourly_counts(p).count() == 0
+    assert stats.window_stats(p, WINDOWS).count() == 0
+    assert tracks.track_summary(p).count() == 0
