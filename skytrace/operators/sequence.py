@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_ROWS_PER_SPLIT = 1_000_000
+MAX_BROADCAST_HOT_KEYS = 2_000_000
 
 
 def _hot_keys(df: DataFrame, keys: list[str], lead: str, rows_per_split: int) -> DataFrame:
@@ -52,11 +53,14 @@ def _hot_keys(df: DataFrame, keys: list[str], lead: str, rows_per_split: int) ->
 
 
 def _split_column(df: DataFrame, keys: list[str], lead: str, rows_per_split: int,
-                  hot: DataFrame | None = None) -> DataFrame:
+                  hot: DataFrame | None = None, n_hot: int | None = None) -> DataFrame:
     if hot is None:
         hot = _hot_keys(df, keys, lead, rows_per_split)
-    # Size bound: at most total_rows / rows_per_split hot keys.
-    joined = df.join(F.broadcast(hot), keys, "left")
+    # At most total_rows / rows_per_split hot keys; broadcast when the
+    # counted size is within bounds, else a shuffle join (AQE splits the
+    # hot keys' partitions of the left side).
+    small = n_hot is None or n_hot <= MAX_BROADCAST_HOT_KEYS
+    joined = df.join(F.broadcast(hot) if small else hot, keys, "left")
     split = F.coalesce(
         F.floor((F.col(lead).cast("double") - F.col("_kmin").cast("double")) / F.col("_kw")).cast("bigint"),
         F.lit(0).cast("bigint"),
@@ -104,13 +108,14 @@ def sequence_scan(
 
     base = df.where(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)))
     hot = _hot_keys(base, keys, order[0], rows_per_split)
-    if check_hot and hot.limit(1).count() == 0:
+    n_hot = hot.count() if check_hot else None
+    if n_hot == 0:
         # Checked: no key group exceeds rows_per_split rows, so a plain
         # window (one shuffle on the keys) is bounded per task.
         return _plain_scan(base, keys, order, row_number, running_sums, lags)
     for name, expr in running_sums.items():
         base = base.withColumn(f"_rs_{name}", expr.cast("bigint"))
-    base = _split_column(base, keys, order[0], rows_per_split, hot)
+    base = _split_column(base, keys, order[0], rows_per_split, hot, n_hot)
 
     gkeys = [*keys, "_split"]
     w = Window.partitionBy(*gkeys).orderBy(*order)

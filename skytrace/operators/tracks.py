@@ -9,7 +9,7 @@ skew-safe ``sequence_scan``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
@@ -24,21 +24,61 @@ def _order_struct() -> Column:
     return F.struct(*[F.col(c) for c in TIME_ORDER])
 
 
-def map_center(points: DataFrame, group: list[str] | None = None) -> DataFrame:
-    """Exact (interpolated) median latitude and longitude per group.
+def exact_median(df: DataFrame, group: list[str], value: str, bin_width: float = 0.01) -> DataFrame:
+    """Exact interpolated median of ``value`` per group, fully distributed.
+
+    1. Count rows per (group, bin) with ``bin = floor(value / bin_width)`` —
+       a partial aggregation; the result has at most (range / bin_width) rows
+       per group.
+    2. Running counts over the bins (a window over that small table) locate
+       the bin(s) holding the two middle ranks ``(n-1) div 2 + 1`` and
+       ``n div 2 + 1``.
+    3. Only rows of those bins (at most two per group, broadcast: bounded by
+       the number of groups) are counted per distinct value, and the value
+       at each middle rank is picked the same way.
 
-    Values are first counted per distinct value (a skew-safe aggregation), and
-    the weighted ``percentile`` then holds one entry per distinct value, not
-    one per row.
+    The median is ``0.5 * lo + 0.5 * hi`` (equal to ``lo`` for odd ``n``),
+    the same interpolation as Spark's ``percentile(…, 0.5)``. No task ever
+    holds more than one bin's distinct values.
     """
-    group = group or ["source_date"]
+    v = F.col(value)
+    base = df.where(v.isNotNull()).select(*group, v.alias("_v"), F.floor(v / F.lit(bin_width)).alias("_b"))
+    bins = base.groupBy(*group, "_b").agg(F.count(F.lit(1)).alias("_c"))
+    wg = Window.partitionBy(*group)
+    wb = wg.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    bins = bins.withColumn("_through", F.sum("_c").over(wb)).withColumn("_n", F.sum("_c").over(wg))
+    bins = bins.withColumn("_before", F.col("_through") - F.col("_c"))
+    ranks = F.array(
+        F.struct(F.lit(0).alias("which"), (F.floor((F.col("_n") - 1) / 2) + 1).cast("bigint").alias("k")),
+        F.struct(F.lit(1).alias("which"), (F.floor(F.col("_n") / 2) + 1).cast("bigint").alias("k")),
+    )
+    targets = (
+        bins.select(*group, "_b", "_before", "_through", "_n", F.inline(ranks))
+        .where((F.col("k") > F.col("_before")) & (F.col("k") <= F.col("_through")))
+        .select(*group, "_b", "_n", "which", (F.col("k") - F.col("_before")).alias("_kin"))
+    )
+    in_bins = base.join(F.broadcast(targets.select(*group, "_b").distinct()), [*group, "_b"])
+    vals = in_bins.groupBy(*group, "_b", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    wv = Window.partitionBy(*group, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    vals = vals.withColumn("_through", F.sum("_c").over(wv)).withColumn("_before", F.col("_through") - F.col("_c"))
+    picked = vals.join(targets, [*group, "_b"]).where(
+        (F.col("_kin") > F.col("_before")) & (F.col("_kin") <= F.col("_through"))
+    )
+    return picked.groupBy(*group).agg(
+        F.max("_n").alias("n"),
+        (F.lit(0.5) * F.max(F.when(F.col("which") == 0, F.col("_v")))
+         + F.lit(0.5) * F.max(F.when(F.col("which") == 1, F.col("_v")))).alias("median"),
+    )
 
-    def med(c: str) -> DataFrame:
-        freq = points.groupBy(*group, c).agg(F.count(F.lit(1)).alias("_f"))
-        return freq.groupBy(*group).agg(F.percentile(c, F.lit(0.5), F.col("_f")).alias(f"center_{c[:3]}"))
 
-    n = points.groupBy(*group).agg(F.count(F.lit(1)).alias("n_points"))
-    return n.join(med("latitude"), group).join(med("longitude"), group)
+def map_center(points: DataFrame, group: list[str] | None = None) -> DataFrame:
+    """Exact (interpolated) median latitude and longitude per group
+    (``exact_median``: no task holds a whole group)."""
+    group = group or ["source_date"]
+    lat = exact_median(points, group, "latitude").select(
+        *group, F.col("n").alias("n_points"), F.col("median").alias("center_lat"))
+    lon = exact_median(points, group, "longitude").select(*group, F.col("median").alias("center_lon"))
+    return lat.join(lon, group)
 
 
 def track_endpoints(points: DataFrame) -> DataFrame:
