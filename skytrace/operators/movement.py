@@ -151,7 +151,7 @@ def zone_membership(points: DataFrame, zones: DataFrame) -> DataFrame:
         F.first("icao").alias("icao"),
         F.first("event_us").alias("event_us"),
         F.count(F.lit(1)).alias("n_zones"),
-        F.array_join(F.array_sort(F.collect_list("zone")), ",").alias("zones"),
+        F.array_join(F.sort_array(F.collect_list("zone")), ",").alias("zones"),
     )
     return g.select("source_date", "icao", ntz_from_us("event_us").alias("time"), "n_zones", "zones")
 

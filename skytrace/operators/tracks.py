@@ -140,7 +140,7 @@ def tracks(points: DataFrame, segment_points: int = 1000) -> DataFrame:
         F.min("pos").alias("first_pos"),
         F.min("event_us").alias("_t0"),
         F.max("event_us").alias("_t1"),
-        F.array_sort(
+        F.sort_array(
             F.collect_list(F.struct("pos", F.concat_ws(" ", _fmt("latitude"), _fmt("longitude")).alias("p")))
         ).alias("_pts"),
     )
@@ -166,7 +166,7 @@ def track_features(points: DataFrame, zones: DataFrame | None = None, segment_po
     )
     coord = F.concat(F.lit("["), _fmt("longitude"), F.lit(","), _fmt("latitude"), F.lit("]"))
     seg = tp.groupBy(*TRACK_KEYS, "segment").agg(
-        F.array_sort(F.collect_list(F.struct("pos", coord.alias("c")))).alias("_pts")
+        F.sort_array(F.collect_list(F.struct("pos", coord.alias("c")))).alias("_pts")
     ).join(summ, TRACK_KEYS)
 
     def props(kind: Column) -> Column:

@@ -136,7 +136,7 @@ def trace_docs_from_events(events: DataFrame, block_events: int = DEFAULT_BLOCK_
     docs = rows.groupBy(*keys).agg(
         F.first("user_id").alias("user_id"),
         F.first("timestamp").alias("timestamp"),
-        F.array_sort(F.collect_list(F.struct("event_id", "entry"))).alias("ev"),
+        F.sort_array(F.collect_list(F.struct("event_id", "entry"))).alias("ev"),
     )
     entries = F.transform("ev", lambda e: e["entry"])
     base_ts = F.col("timestamp")

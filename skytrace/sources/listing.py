@@ -39,7 +39,7 @@ def archive_groups(files: DataFrame) -> DataFrame:
     f = files.where(F.col("name").rlike(r"\.tar") & accepted_asset("name"))
     g = f.groupBy(archive_base("name").alias("archive")).agg(
         F.count(F.lit(1)).alias("n_parts"),
-        F.array_join(F.array_sort(F.collect_list("path")), ",").alias("parts"),
+        F.array_join(F.sort_array(F.collect_list("path")), ",").alias("parts"),
         F.max("name").alias("_one"),
     )
     mode = F.when((F.col("n_parts") == 1) & F.col("_one").endswith(".tar"), F.lit("standalone")).otherwise(

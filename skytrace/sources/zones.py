@@ -35,7 +35,7 @@ def zones_from_text(df: DataFrame) -> DataFrame:
     )
     ok = F.col("two") & F.col("lat").isNotNull() & F.col("lon").isNotNull()
     grouped = verts.groupBy("zone").agg(
-        F.array_sort(F.collect_list(F.struct("vid", "lon", "lat"))).alias("v"),
+        F.sort_array(F.collect_list(F.struct("vid", "lon", "lat"))).alias("v"),
         F.count_if(~ok).alias("n_bad"),
         F.min(F.when(~ok, F.col("field"))).alias("bad_field"),
     )
