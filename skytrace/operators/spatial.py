@@ -4,13 +4,16 @@
 the zone. Zones are a small user-supplied table; its size is checked before
 it is broadcast:
 
-* up to ``max_broadcast_zones`` zones and no grid: broadcast nested-loop
-  join, cheap bounding-box conjunct first, polygon test second — the point
-  side is never shuffled;
-* with ``cell_deg`` (many zones): each zone is expanded to the grid cells its
-  box covers and joined on ``(cell_x, cell_y)``: a broadcast hash join with
-  the polygon test as residual condition, or, when the cell table is too
-  large to broadcast, a shuffle join on the cell key (AQE splits hot cells).
+* up to ``NESTED_LOOP_MAX_ZONES`` zones (counted) and no grid: broadcast
+  nested-loop join, cheap bounding-box conjunct first, polygon test second;
+  each point is checked against that handful of boxes and is never
+  shuffled;
+* more zones (or an explicit ``cell_deg``): each zone is expanded to the
+  grid cells its box covers and joined on ``(cell_x, cell_y)``, so a point
+  meets only the zones of its own cell: a broadcast hash join with the
+  polygon test as residual condition when the cell table is within
+  ``MAX_BROADCAST_CELLS`` (counted), else a shuffle join on the cell key
+  (AQE splits hot cells).
 """
 
 from __future__ import annotations
@@ -20,7 +23,8 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import in_box, point_in_polygon
 
-MAX_BROADCAST_ZONES = 10_000
+NESTED_LOOP_MAX_ZONES = 64
+DEFAULT_CELL_DEG = 0.5
 MAX_BROADCAST_CELLS = 2_000_000
 GEOMETRY = ["edges", "lon_min", "lon_max", "lat_min", "lat_max"]
 
@@ -46,16 +50,16 @@ def checked_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
 
 
 def zone_join(points: DataFrame, zones: DataFrame, cell_deg: float | None = None,
-              max_broadcast_zones: int = MAX_BROADCAST_ZONES, keep_geometry: bool = False) -> DataFrame:
+              max_nested_loop_zones: int = NESTED_LOOP_MAX_ZONES, keep_geometry: bool = False) -> DataFrame:
     """Points strictly inside each valid zone → points columns + ``zone``
     (+ the zone's ``edges`` and box when ``keep_geometry``)."""
     z = zones.where("valid").select("zone", *GEOMETRY)
     if cell_deg is None:
-        zb, ok = checked_broadcast(z, max_broadcast_zones)
+        zb, ok = checked_broadcast(z, max_nested_loop_zones)
         if ok:
             out = points.join(zb, _inside(), "inner")
             return out if keep_geometry else out.drop(*GEOMETRY)
-        cell_deg = 1.0
+        cell_deg = DEFAULT_CELL_DEG
     out = _grid_join(points, z, cell_deg)
     return out if keep_geometry else out.drop(*GEOMETRY)
 

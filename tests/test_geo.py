@@ -84,4 +84,5 @@ def test_grid_join_equals_broadcast_join(spark):
     p = _pts(spark, pts)
     a = sorted((r.id, r.zone) for r in zone_join(p, z).collect())
     b = sorted((r.id, r.zone) for r in zone_join(p, z, cell_deg=0.25).collect())
-    assert a == b and len(a) > 100
+    c = sorted((r.id, r.zone) for r in zone_join(p, z, max_nested_loop_zones=1).collect())
+    assert a == b == c and len(a) > 100

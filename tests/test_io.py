@@ -52,6 +52,10 @@ def test_gzip_buckets(spark, tmp_dir):
     open(os.path.join(bad, "trace_full_broken.json"), "wb").write(b"not gzip")
     os.makedirs(os.path.join(tmp_dir, d0, "extracted", "traces", "abc"))
     open(os.path.join(tmp_dir, d0, "extracted", "traces", "abc", "trace_full_x.json"), "wb").write(gzip.compress(b"{}"))
+    from skytrace.sources.listing import list_trace_buckets
+
+    listed = list_trace_buckets(spark, os.path.join(tmp_dir, d0, "extracted", "traces"))
+    assert {r.bucket for r in listed.collect()} >= {"zz"} and listed.where("bucket = 'abc'").count() == 0
     g = archives.read_gzip_traces(spark, os.path.join(tmp_dir, d0, "extracted", "traces"))
     st = {r.path.rsplit("/", 1)[1]: r.status for r in g.collect()}
     assert st["trace_full_broken.json"].startswith("error")
