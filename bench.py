@@ -38,10 +38,11 @@ def main() -> None:
         names = list(QUERIES)
 
     spark = local_session(cpus, shuffle_partitions=int(cpus) * 2, app="skytrace-bench")
-    # Warm-up (JIT, class loading) on the smallest scale; not timed.
-    small = re.sub(r"sf[0-9.]+$", "sf0.001", sf_dir.rstrip("/"))
-    if os.path.isdir(small):
-        QUERIES["zone_unique_aircraft"](spark, small).write.format("noop").mode("overwrite").save()
+    # JVM warm-up (class loading, JIT) on a smaller scale; not timed.
+    for warm in ("sf0.001", "sf0.01"):
+        small = re.sub(r"sf[0-9.]+$", warm, sf_dir.rstrip("/"))
+        if os.path.isdir(small) and small != sf_dir.rstrip("/"):
+            QUERIES["zone_unique_aircraft"](spark, small).write.format("noop").mode("overwrite").save()
 
     from skytrace.plans.queries import points
 

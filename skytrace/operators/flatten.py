@@ -138,7 +138,8 @@ def flatten_docs(docs: DataFrame) -> DataFrame:
 
 
 def doc_status(docs: DataFrame) -> DataFrame:
-    """Per document: parsed?, entries, bad entries, routable rows, status.
+    """Per document: parsed?, entries, bad entries, routable rows, status,
+    and the distinct UTC hours its routable rows fall in.
 
     A document is ``processed`` when it yields at least one routable row,
     else ``failed`` (bad JSON, empty trace, or no entry with a time). Bad
@@ -152,10 +153,11 @@ def doc_status(docs: DataFrame) -> DataFrame:
     tr = F.col("trace")
     ts = F.col("doc")["timestamp"]
     bad = F.size(F.filter(tr, lambda a: a.isNull()))
-    good_time = F.size(
-        F.filter(tr, lambda a: a.isNotNull() & epoch_us(ts, _entry_offset_arr(a)).isNotNull())
+    instants = F.filter(
+        F.transform(tr, lambda a: F.when(a.isNotNull(), epoch_us(ts, _entry_offset_arr(a)))),
+        lambda u: u.isNotNull(),
     )
-    n_rows = F.coalesce(good_time, F.lit(0))
+    n_rows = F.coalesce(F.size(instants), F.lit(0))
     return d.select(
         "path",
         "source_date",
@@ -164,4 +166,5 @@ def doc_status(docs: DataFrame) -> DataFrame:
         F.coalesce(bad, F.lit(0)).cast("int").alias("n_bad_entries"),
         n_rows.cast("int").alias("n_rows"),
         F.when(n_rows > 0, F.lit("processed")).otherwise(F.lit("failed")).alias("status"),
+        F.coalesce(F.array_distinct(F.transform(instants, hour_of_day)), F.array()).alias("hours"),
     )

@@ -30,22 +30,27 @@ def hourly_counts(points: DataFrame) -> DataFrame:
     )
 
 
-def ingest_stats(points: DataFrame, status: DataFrame) -> DataFrame:
-    """Per date: documents processed/failed, rows written, active hours, files.
+def ingest_stats(status: DataFrame) -> DataFrame:
+    """Per date: documents processed/failed, bad entries, rows written,
+    active hours and files created (one per active hour), from the document
+    status alone — one pass over the documents, no point rows.
 
-    ``total_rows`` is the true count (every row reaches a partition).
+    ``total_rows`` is the true count (every routable row reaches a partition).
     """
-    rows = points.groupBy("source_date").agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        F.countDistinct("hour").alias("active_hours"),
-    )
     docs = status.groupBy("source_date").agg(
         F.count(F.lit(1)).alias("n_docs"),
         F.count_if(F.col("status") == "processed").alias("processed_docs"),
         F.count_if(F.col("status") == "failed").alias("failed_docs"),
         F.sum("n_bad_entries").cast("bigint").alias("bad_entries"),
+        F.sum("n_rows").cast("bigint").alias("total_rows"),
+    )
+    hours = (
+        status.select("source_date", F.explode("hours").alias("hour"))
+        .distinct()
+        .groupBy("source_date")
+        .agg(F.count(F.lit(1)).alias("active_hours"))
     )
-    return docs.join(rows, "source_date", "left").select(
+    return docs.join(hours, "source_date", "left").select(
         "source_date",
         "n_docs",
         "processed_docs",

@@ -98,7 +98,7 @@ def q_trace_docs_scan(spark, sf_dir):
 
 
 def q_doc_status(spark, sf_dir):
-    return doc_status(docs(spark, sf_dir))
+    return doc_status(docs(spark, sf_dir)).drop("hours")
 
 
 def q_point_event_time(spark, sf_dir):
@@ -114,8 +114,7 @@ def q_hourly_counts(spark, sf_dir):
 
 
 def q_ingest_stats(spark, sf_dir):
-    d = docs(spark, sf_dir)
-    return stats.ingest_stats(flatten_docs(d), doc_status(d))
+    return stats.ingest_stats(doc_status(docs(spark, sf_dir)))
 
 
 def q_multi_date_counts(spark, sf_dir):
