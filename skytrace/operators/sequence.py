@@ -89,7 +89,7 @@ def sequence_scan(
     row_number: str | None = "pos",
     running_sums: dict[str, Column] | None = None,
     lags: dict[str, str] | None = None,
-    rows_per_split: int = DEFAULT_ROWS_PER_SPLIT,
+    rows_per_split: int | None = None,
     check_hot: bool = True,
 ) -> DataFrame:
     """Add ordered-scan columns to ``df``.
@@ -105,6 +105,7 @@ def sequence_scan(
     """
     running_sums = running_sums or {}
     lags = lags or {}
+    rows_per_split = rows_per_split or DEFAULT_ROWS_PER_SPLIT
 
     base = df.where(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)))
     hot = _hot_keys(base, keys, order[0], rows_per_split)
