@@ -298,9 +298,13 @@ def q_stream_hourly_counts(spark, sf_dir):
     ev = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     f = _fields(F.col)
     pts = _raw(ev).select(epoch_us(f["timestamp"], f["seconds_after_timestamp"]).alias("event_us"))
+    from ..session import ensure_checkpoint_dir
+
     name = f"hourly_stream_{uuid.uuid4().hex[:12]}"
+    ckpt = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{name}"
     q = (
         hourly_counts_stream(pts).writeStream.format("memory").queryName(name)
+        .option("checkpointLocation", ckpt)
         .outputMode("complete").trigger(availableNow=True).start()
     )
     q.awaitTermination()
