@@ -37,7 +37,8 @@ def main() -> None:
     if os.environ.get("BENCH_ALL") == "1":
         names = list(QUERIES)
 
-    spark = local_session(cpus, shuffle_partitions=int(cpus) * 2, app="skytrace-bench")
+    shuffle = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", int(cpus) * 2))
+    spark = local_session(cpus, shuffle_partitions=shuffle, app="skytrace-bench")
     # JVM warm-up (class loading, JIT) on a smaller scale; not timed.
     for warm in ("sf0.001", "sf0.01"):
         small = re.sub(r"sf[0-9.]+$", warm, sf_dir.rstrip("/"))

@@ -19,13 +19,19 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def strip_ws(x) -> Column:
+    """Remove leading and trailing whitespace of any kind (``trim`` only
+    removes spaces)."""
+    return F.regexp_replace(_c(x), r"^\s+|\s+$", "")
+
+
 def dms_to_decimal(dms) -> Column:
     """``DDMMSS[NSEW]`` / ``DDDMMSS[NSEW]`` → signed decimal degrees.
 
     Input is trimmed and upper-cased first; S and W are negative. Text that
     does not match gives null (the caller reports such rows as bad).
     """
-    s = F.upper(F.trim(_c(dms)))
+    s = F.upper(strip_ws(dms))
     matched = s.rlike(DMS_PATTERN)
     deg = F.regexp_extract(s, DMS_PATTERN, 1).cast("int")
     mins = F.regexp_extract(s, DMS_PATTERN, 2).cast("int")

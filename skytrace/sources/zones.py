@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.geo import close_ring, dms_to_decimal, ring_edges
+from ..functions.geo import close_ring, dms_to_decimal, ring_edges, strip_ws
 
 
 def zones_from_text(df: DataFrame) -> DataFrame:
@@ -22,7 +22,7 @@ def zones_from_text(df: DataFrame) -> DataFrame:
     lines = df.select(
         "zone", F.posexplode(F.split(F.col("text"), r"\r?\n")).alias("vid", "line")
     )
-    field = F.trim(F.substring_index(F.col("line"), ",", 1))
+    field = strip_ws(F.substring_index(F.col("line"), ",", 1))
     lines = lines.select("zone", "vid", field.alias("field")).where(F.col("field") != "")
     parts = F.split(F.col("field"), r"\s+")
     verts = lines.select(

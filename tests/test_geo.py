@@ -13,11 +13,11 @@ BOX = ZONES_DMS["box"]
 
 
 def test_dms(spark):
-    vals = ["013000N", "1043600E", " 013000s ", "013000Nxx", "01.3000N", "0130N", "1800000W"]
+    vals = ["013000N", "1043600E", " 013000s ", "013000Nxx", "01.3000N", "0130N", "1800000W", "\t013000n\r"]
     df = spark.createDataFrame([(v,) for v in vals], "v STRING")
     got = [r[0] for r in df.select(dms_to_decimal("v")).collect()]
     assert got[:4] == [1.5, 104.6, -1.5, 1.5]
-    assert got[4] is None and got[5] is None and got[6] == -180.0
+    assert got[4] is None and got[5] is None and got[6] == -180.0 and got[7] == 1.5
 
 
 def _pts(spark, pts):
