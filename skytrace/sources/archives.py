@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import gzip
 import io
+import re
 import tarfile
 import zlib
 
@@ -78,7 +79,11 @@ class _Concat(io.RawIOBase):
         self._starts = []
         pos = 0
         for p in paths:
-            fs, inner = pafs.FileSystem.from_uri(p if "://" in p else "file://" + p)
+            local = re.sub(r"^file:(//)?", "", p)
+            if "://" in local:
+                fs, inner = pafs.FileSystem.from_uri(local)
+            else:
+                fs, inner = pafs.LocalFileSystem(), local
             f = fs.open_input_file(inner)
             self._files.append(f)
             self._starts.append(pos)
@@ -134,7 +139,7 @@ def _index_archives(batches):
                     for m in tar:
                         if m.isfile():
                             rows.append((archive, parts, m.name, m.offset_data, m.size, "ok"))
-            except (tarfile.TarError, OSError) as e:
+            except (tarfile.TarError, OSError, ValueError) as e:
                 rows.append((archive, parts, None, None, None, f"error: {type(e).__name__}"))
         yield pd.DataFrame(rows, columns=["archive", "parts", "member", "offset", "size", "status"])
 
