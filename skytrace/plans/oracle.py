@@ -498,6 +498,8 @@ FROM points GROUP BY source_date, source_type"""
     q["hourly_partitions"] = _with(pts) + """
 SELECT source_date, hour, count(*) AS n_rows FROM points GROUP BY source_date, hour"""
 
+    q["stream_ingest"] = q["hourly_partitions"]
+
     q["stream_hourly_counts"] = _with(pts) + """
 SELECT make_timestamp((event_us // 3600000000) * 3600000000) AS hour_start, count(*) AS n_rows
 FROM points GROUP BY 1"""

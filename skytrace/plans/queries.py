@@ -311,6 +311,26 @@ def q_stream_hourly_counts(spark, sf_dir):
     return spark.table(name).select(ntz_from_us("window_start_us").alias("hour_start"), "n_rows")
 
 
+def q_stream_ingest(spark, sf_dir):
+    """Incremental ingest as a stream: the documents land as NDJSON files per
+    date, a file stream flattens them into the hour-partitioned Parquet sink
+    (``availableNow``, checkpointed in the shared folder); the sink is read
+    back as rows per (source_date, hour)."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    from ..streaming.ingest import start_ingest, stream_points
+
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-ingest-{uuid.uuid4().hex}"
+    docs(spark, sf_dir).select("source_date", "content").write.partitionBy("source_date").text(f"{root}/landing")
+    q = start_ingest(stream_points(spark, f"{root}/landing", lines=True), f"{root}/points", f"{root}/_checkpoint")
+    q.awaitTermination()
+    from ..sinks.files import read_hourly
+
+    return read_hourly(spark, f"{root}/points").groupBy("source_date", "hour").agg(
+        F.count(F.lit(1)).alias("n_rows"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trace_flatten": q_trace_flatten,
     "trace_docs_scan": q_trace_docs_scan,
@@ -350,4 +370,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "source_mix": q_source_mix,
     "hourly_partitions": q_hourly_partitions,
     "stream_hourly_counts": q_stream_hourly_counts,
+    "stream_ingest": q_stream_ingest,
 }

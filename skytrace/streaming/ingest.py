@@ -22,13 +22,15 @@ from ..operators.flatten import flatten_docs
 from ..sources.trace_docs import DATE_IN_PATH
 
 
-def stream_docs(spark: SparkSession, src_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    r = (
-        spark.readStream.format("text")
-        .option("wholetext", True)
-        .option("pathGlobFilter", "trace_full_*.json")
-        .option("recursiveFileLookup", True)
-    )
+def stream_docs(spark: SparkSession, src_dir: str, max_files_per_trigger: int | None = None,
+                lines: bool = False) -> DataFrame:
+    """New documents under ``src_dir``: one file = one document, or with
+    ``lines`` one line = one document (NDJSON dumps, ``*.json`` / ``*.txt``)."""
+    r = spark.readStream.format("text").option("recursiveFileLookup", True)
+    if lines:
+        r = r.option("pathGlobFilter", "*.txt")
+    else:
+        r = r.option("wholetext", True).option("pathGlobFilter", "trace_full_*.json")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = r.load(src_dir)
@@ -40,8 +42,9 @@ def stream_docs(spark: SparkSession, src_dir: str, max_files_per_trigger: int |
     )
 
 
-def stream_points(spark: SparkSession, src_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    return flatten_docs(stream_docs(spark, src_dir, max_files_per_trigger))
+def stream_points(spark: SparkSession, src_dir: str, max_files_per_trigger: int | None = None,
+                  lines: bool = False) -> DataFrame:
+    return flatten_docs(stream_docs(spark, src_dir, max_files_per_trigger, lines))
 
 
 def start_ingest(points: DataFrame, out_dir: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
