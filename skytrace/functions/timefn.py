@@ -51,8 +51,20 @@ def ntz_from_us(us) -> Column:
 
 
 def us_from_ntz(ts) -> Column:
-    """TIMESTAMP_NTZ → epoch µs, read as UTC wall clock."""
-    return F.timestamp_diff("MICROSECOND", epoch_ntz(), _c(ts))
+    """TIMESTAMP_NTZ → epoch µs, read as UTC wall clock.
+
+    Built from the wall-clock fields with an explicit UTC zone: a
+    ``timestamp_diff`` would cast the NTZ value through the session time
+    zone, which moves wall-clock times that do not exist there (the
+    spring-forward hour) by the DST offset.
+    """
+    t = _c(ts)
+    return F.unix_micros(
+        F.make_timestamp(
+            F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.minute(t),
+            F.date_part(F.lit("SECOND"), t), F.lit("UTC"),
+        )
+    )
 
 
 def floor_div(x, d: int) -> Column:

@@ -50,3 +50,23 @@ def test_ntz_and_seconds_text(spark):
     r = df.select(ntz_from_us("us").alias("t"), utc_seconds_text("us").alias("s")).first()
     assert r.t == dt.datetime(2025, 2, 8, 1, 0, 1, 623456)
     assert r.s == "2025-02-08 01:00:01 UTC"
+
+
+def test_ntz_to_us_ignores_session_dst(spark):
+    """Session is America/New_York: 02:30 on the spring-forward day does not
+    exist there, yet as a UTC wall clock it is an ordinary instant."""
+    from skytrace.functions.timefn import us_from_ntz
+
+    vals = [dt.datetime(2024, 3, 10, 2, 30, 0, 5), dt.datetime(2024, 7, 15, 12, 0, 0, 123456),
+            dt.datetime(2024, 11, 3, 1, 30), dt.datetime(1969, 12, 31, 23, 59, 59, 999999)]
+    df = spark.createDataFrame([(v,) for v in vals], "ts TIMESTAMP_NTZ")
+    got = [r[0] for r in df.select(us_from_ntz("ts")).collect()]
+    epoch = dt.datetime(1970, 1, 1)
+    assert got == [(v - epoch) // dt.timedelta(microseconds=1) for v in vals]
+
+
+def test_us_to_ntz_ignores_session_dst(spark):
+    vals = [dt.datetime(2024, 3, 10, 2, 30, 0, 5), dt.datetime(2024, 11, 3, 1, 30), dt.datetime(1969, 12, 31, 23, 59, 59)]
+    epoch = dt.datetime(1970, 1, 1)
+    df = spark.createDataFrame([((v - epoch) // dt.timedelta(microseconds=1),) for v in vals], "us BIGINT")
+    assert [r[0] for r in df.select(ntz_from_us("us")).collect()] == vals
