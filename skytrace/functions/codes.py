@@ -42,7 +42,7 @@ def is_valid_date(date_str) -> Column:
     d = _c(date_str)
     return F.coalesce(
         d.rlike(r"^\d{4}\.\d{2}\.\d{2}$")
-        & F.try_to_timestamp(d, F.lit("yyyy.MM.dd")).isNotNull(),
+        & F.try_to_date(d, "yyyy.MM.dd").isNotNull(),
         F.lit(False),
     )
 
