@@ -4,7 +4,9 @@
   gzip (the name says ``.json``, so Spark's extension-based codecs do not
   apply). ``binaryFile`` lists and reads them, one file per row; a vectorised
   pandas UDF inflates each batch. A corrupt file gives null text and a status,
-  the batch continues.
+  the batch continues. Arrow batches hold
+  ``spark.sql.execution.arrow.maxRecordsPerBatch`` files; for large trace
+  files lower it (e.g. 256) so a batch stays within a few hundred MB.
 * ``tar_member_index`` / ``read_tar_members``: an archive is one ``.tar`` or
   several parts ``.tar.aa``, ``.tar.ab``, ... whose byte concatenation is the
   tar. One task per archive walks the 512-byte headers (seeking over member
@@ -153,16 +155,27 @@ def tar_member_index(groups: DataFrame) -> DataFrame:
 CONTENT_SCHEMA = "archive STRING, member STRING, content BINARY"
 
 
+MAX_BATCH_BYTES = 64 << 20
+
+
 def _read_members(batches):
+    """Member byte ranges → contents, emitted in batches of at most
+    ``MAX_BATCH_BYTES`` so a task never holds many members at once."""
+    cols = ["archive", "member", "content"]
     for pdf in batches:
-        out = []
+        out, held = [], 0
         for archive, parts, member, offset, size in zip(
             pdf["archive"], pdf["parts"], pdf["member"], pdf["offset"], pdf["size"]
         ):
             with _Concat(parts.split(",")) as stream:
                 stream.seek(int(offset))
                 out.append((archive, member, stream.read(int(size))))
-        yield pd.DataFrame(out, columns=["archive", "member", "content"])
+            held += int(size)
+            if held >= MAX_BATCH_BYTES:
+                yield pd.DataFrame(out, columns=cols)
+                out, held = [], 0
+        if out:
+            yield pd.DataFrame(out, columns=cols)
 
 
 def read_tar_members(index: DataFrame, member_glob: str = r"(^|/)traces/[^/]{2}/[^/]+\.json$") -> DataFrame:
