@@ -53,8 +53,17 @@ def valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return valid_positions(points(spark, sf_dir))
 
 
+_ZONES: dict[str, DataFrame] = {}
+
+
 def zones(spark: SparkSession) -> DataFrame:
-    return zones_from_pairs(spark, P.ZONES_DMS)
+    """The parameter zones, parsed once per session and cached (three rows;
+    a lost block is recomputed from the same text)."""
+    key = spark.sparkContext.applicationId
+    z = _ZONES.get(key)
+    if z is None:
+        z = _ZONES[key] = zones_from_pairs(spark, P.ZONES_DMS).cache()
+    return z
 
 
 def dates_table(spark: SparkSession, sf_dir: str) -> DataFrame:
