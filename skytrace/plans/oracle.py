@@ -62,7 +62,10 @@ points AS (
     geometric_vertical_rate_fpm, indicated_airspeed_kts, roll_angle_deg,
     'traces/' || source_date || '/trace_full_' || icao || '-' || CAST(block AS VARCHAR) || '.json' AS path,
     source_date,
-    CAST(row_number() OVER (PARTITION BY icao, source_date, block ORDER BY event_id) - 1 AS INTEGER) AS seq,
+    CAST(row_number() OVER (PARTITION BY icao, source_date, block ORDER BY event_id) - 1
+         + coalesce(sum(CASE WHEN event_id % 211 = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY icao, source_date, block
+             ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS INTEGER) AS seq,
+    event_id % 211 = 0 AS bad_after,
     event_us,
     CAST(((event_us - ((event_us % 3600000000) + 3600000000) % 3600000000) // 3600000000) % 24 AS INTEGER)
       AS hour,
@@ -207,14 +210,16 @@ def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     pts = _POINTS
 
-    q["trace_flatten"] = _with(pts) + "\nSELECT * EXCLUDE () FROM points".replace(" EXCLUDE ()", "")
+    q["trace_flatten"] = _with(pts) + "\nSELECT * EXCLUDE (bad_after) FROM points"
 
     q["trace_docs_scan"] = _with(pts) + """
-SELECT path, source_date, icao, "timestamp", r, t, "desc", year, ownOp, dbFlags, CAST(count(*) AS INTEGER) AS n_entries
+SELECT path, source_date, icao, "timestamp", r, t, "desc", year, ownOp, dbFlags,
+       CAST(count(*) + count(*) FILTER (WHERE bad_after) AS INTEGER) AS n_entries
 FROM points GROUP BY path, source_date, icao, "timestamp", r, t, "desc", year, ownOp, dbFlags"""
 
     q["doc_status"] = _with(pts) + """
-SELECT path, source_date, true AS parsed, CAST(count(*) AS INTEGER) AS n_entries, 0 AS n_bad_entries,
+SELECT path, source_date, true AS parsed, CAST(count(*) + count(*) FILTER (WHERE bad_after) AS INTEGER) AS n_entries,
+       CAST(count(*) FILTER (WHERE bad_after) AS INTEGER) AS n_bad_entries,
        CAST(count(*) AS INTEGER) AS n_rows, 'processed' AS status
 FROM points GROUP BY path, source_date"""
 
@@ -239,7 +244,7 @@ FROM frame f LEFT JOIN counts c ON f.source_date = c.source_date AND f.hour = c.
 
     q["ingest_stats"] = _with(pts) + """
 SELECT source_date, count(DISTINCT path) AS n_docs, count(DISTINCT path) AS processed_docs, CAST(0 AS BIGINT) AS failed_docs,
-       CAST(0 AS BIGINT) AS bad_entries, count(*) AS total_rows, count(DISTINCT hour) AS active_hours,
+       count(*) FILTER (WHERE bad_after) AS bad_entries, count(*) AS total_rows, count(DISTINCT hour) AS active_hours,
        count(DISTINCT hour) AS files_created
 FROM points GROUP BY source_date"""
 

@@ -28,6 +28,10 @@ from ..functions.timefn import US_PER_DAY, source_date_of_ntz, us_from_ntz
 SOURCE_TYPES = ["adsb_icao", "mlat", "tisb_icao", "adsr_icao"]
 AIRCRAFT_TYPES = ["A320", "B738", "A359", "AT76"]
 DEFAULT_BLOCK_EVENTS = 4096
+# Every event with event_id % BAD_ENTRY_EVERY == 0 is followed by a malformed
+# entry (the number 7), so whole-table checks cover the bad-entry path.
+BAD_ENTRY_EVERY = 211
+BAD_ENTRY_TEXT = "7"
 
 
 def _num(c: Column) -> Column:
@@ -120,7 +124,9 @@ def _entry_json(f: dict[str, Column]) -> Column:
 
 def trace_docs_from_events(events: DataFrame, block_events: int = DEFAULT_BLOCK_EVENTS) -> DataFrame:
     """``events`` → ``(path, source_date, content)``: one JSON trace document per
-    (icao, source_date, event-id block), entries ordered by ``event_id``.
+    (icao, source_date, event-id block), entries ordered by ``event_id``; a
+    malformed entry follows every event whose id is a multiple of
+    ``BAD_ENTRY_EVERY``.
 
     Raw events are hash-partitioned on the document key first; the entry text
     is then built per row (whole-stage codegen, in parallel reduce tasks) and
@@ -131,8 +137,11 @@ def trace_docs_from_events(events: DataFrame, block_events: int = DEFAULT_BLOCK_
         "block", F.floor(F.col("event_id") / F.lit(block_events)).cast("bigint")
     ).repartition(*keys)
     f = _fields(F.col)
-    rows = raw.select(*keys, "event_id", "user_id", f["timestamp"].alias("timestamp"),
-                      _entry_json(f).alias("entry"))
+    entry = F.when(
+        F.col("event_id") % BAD_ENTRY_EVERY == 0,
+        F.concat(_entry_json(f), F.lit("," + BAD_ENTRY_TEXT)),
+    ).otherwise(_entry_json(f))
+    rows = raw.select(*keys, "event_id", "user_id", f["timestamp"].alias("timestamp"), entry.alias("entry"))
     docs = rows.groupBy(*keys).agg(
         F.first("user_id").alias("user_id"),
         F.first("timestamp").alias("timestamp"),
