@@ -47,10 +47,26 @@ def parse_docs(docs: DataFrame) -> DataFrame:
     )
 
 
+CORRUPT = {"columnNameOfCorruptRecord": "_corrupt_record"}
+
+
 def _with_doc(docs: DataFrame) -> DataFrame:
     """Add the parsed document (fast schema) next to its text."""
     return docs.select("path", "source_date", "content",
-                       F.from_json("content", S.DOC_SCHEMA_NESTED).alias("doc"))
+                       F.from_json("content", S.DOC_SCHEMA_NESTED, CORRUPT).alias("doc"))
+
+
+def _parsed() -> Column:
+    """The text is a JSON object. A record the fast parse marks corrupt may
+    only hold a malformed entry; the raw-entry schema decides (parsed only
+    for those documents)."""
+    slow = F.from_json(F.col("content"), S.DOC_SCHEMA_STATUS, CORRUPT)
+    doc = F.col("doc")
+    return (
+        F.when(doc.isNull(), F.lit(False))
+        .when(doc["_corrupt_record"].isNull(), F.lit(True))
+        .otherwise(slow.isNotNull() & slow["_corrupt_record"].isNull())
+    )
 
 
 def _trace() -> Column:
@@ -139,32 +155,42 @@ def flatten_docs(docs: DataFrame) -> DataFrame:
 
 def doc_status(docs: DataFrame) -> DataFrame:
     """Per document: parsed?, entries, bad entries, routable rows, status,
-    and the distinct UTC hours its routable rows fall in.
+    and ``hour_mask`` (bit h set when a routable row falls in UTC hour h).
 
     A document is ``processed`` when it yields at least one routable row,
     else ``failed`` (bad JSON, empty trace, or no entry with a time). Bad
     entries are counted, and do not fail the document.
+
+    Entries are exploded and their instants computed in a codegen'd
+    projection (higher-order functions over the array would be
+    interpreted); a partial aggregation per document then folds each
+    document's entries where they already sit, so only one row per
+    document is shuffled.
     """
-    status = F.from_json(F.col("content"), S.DOC_SCHEMA_STATUS, {"columnNameOfCorruptRecord": "_corrupt_record"})
     d = _with_doc(docs).select(
-        "path", "source_date", "doc", _trace().alias("trace"),
-        (status.isNotNull() & status["_corrupt_record"].isNull()).alias("parsed"),
+        "path", "source_date",
+        _parsed().alias("parsed"),
+        F.col("doc")["timestamp"].alias("_ts"),
+        _trace().alias("_trace"),
     )
-    tr = F.col("trace")
-    ts = F.col("doc")["timestamp"]
-    bad = F.size(F.filter(tr, lambda a: a.isNull()))
-    instants = F.filter(
-        F.transform(tr, lambda a: F.when(a.isNotNull(), epoch_us(ts, _entry_offset_arr(a)))),
-        lambda u: u.isNotNull(),
+    n = F.coalesce(F.size("_trace"), F.lit(0))
+    e = d.select("path", "source_date", "parsed", "_ts", n.alias("_n"), F.explode_outer("_trace").alias("_a"))
+    us = F.when(F.col("_a").isNotNull(), epoch_us("_ts", _entry_offset_arr(F.col("_a"))))
+    e = e.withColumn("_us", us)
+    g = e.groupBy("path", "source_date").agg(
+        F.first("parsed").alias("parsed"),
+        F.first("_n").alias("_n"),
+        F.count_if(F.col("_a").isNull() & (F.col("_n") > 0)).alias("_bad"),
+        F.count("_us").alias("_rows"),
+        F.bit_or(F.pow(F.lit(2), hour_of_day("_us")).cast("int")).alias("_mask"),
     )
-    n_rows = F.coalesce(F.size(instants), F.lit(0))
-    return d.select(
+    return g.select(
         "path",
         "source_date",
         "parsed",
-        F.coalesce(F.size(tr), F.lit(0)).cast("int").alias("n_entries"),
-        F.coalesce(bad, F.lit(0)).cast("int").alias("n_bad_entries"),
-        n_rows.cast("int").alias("n_rows"),
-        F.when(n_rows > 0, F.lit("processed")).otherwise(F.lit("failed")).alias("status"),
-        F.coalesce(F.array_distinct(F.transform(instants, hour_of_day)), F.array()).alias("hours"),
+        F.col("_n").cast("int").alias("n_entries"),
+        F.col("_bad").cast("int").alias("n_bad_entries"),
+        F.col("_rows").cast("int").alias("n_rows"),
+        F.when(F.col("_rows") > 0, F.lit("processed")).otherwise(F.lit("failed")).alias("status"),
+        F.coalesce(F.col("_mask"), F.lit(0)).alias("hour_mask"),
     )

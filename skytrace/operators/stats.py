@@ -32,33 +32,26 @@ def hourly_counts(points: DataFrame) -> DataFrame:
 
 def ingest_stats(status: DataFrame) -> DataFrame:
     """Per date: documents processed/failed, bad entries, rows written,
-    active hours and files created (one per active hour), from the document
-    status alone — one pass over the documents, no point rows.
+    active hours and files created (one per active hour).
 
-    ``total_rows`` is the true count (every routable row reaches a partition).
+    One aggregation over the document status: hours come as per-document
+    24-bit masks, OR-ed per date and counted, so no second pass and no
+    point rows are needed. ``total_rows`` is the true count.
     """
-    docs = status.groupBy("source_date").agg(
+    g = status.groupBy("source_date").agg(
         F.count(F.lit(1)).alias("n_docs"),
         F.count_if(F.col("status") == "processed").alias("processed_docs"),
         F.count_if(F.col("status") == "failed").alias("failed_docs"),
         F.sum("n_bad_entries").cast("bigint").alias("bad_entries"),
         F.sum("n_rows").cast("bigint").alias("total_rows"),
+        F.bit_or("hour_mask").alias("_mask"),
     )
-    hours = (
-        status.select("source_date", F.explode("hours").alias("hour"))
-        .distinct()
-        .groupBy("source_date")
-        .agg(F.count(F.lit(1)).alias("active_hours"))
-    )
-    return docs.join(hours, "source_date", "left").select(
-        "source_date",
-        "n_docs",
-        "processed_docs",
-        "failed_docs",
-        "bad_entries",
+    hours = F.bit_count(F.coalesce(F.col("_mask"), F.lit(0))).cast("bigint")
+    return g.select(
+        "source_date", "n_docs", "processed_docs", "failed_docs", "bad_entries",
         F.coalesce("total_rows", F.lit(0)).cast("bigint").alias("total_rows"),
-        F.coalesce("active_hours", F.lit(0)).cast("bigint").alias("active_hours"),
-        F.coalesce("active_hours", F.lit(0)).cast("bigint").alias("files_created"),
+        hours.alias("active_hours"),
+        hours.alias("files_created"),
     )
 
 

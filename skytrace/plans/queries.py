@@ -107,7 +107,7 @@ def q_trace_docs_scan(spark, sf_dir):
 
 
 def q_doc_status(spark, sf_dir):
-    return doc_status(docs(spark, sf_dir)).drop("hours")
+    return doc_status(docs(spark, sf_dir)).drop("hour_mask")
 
 
 def q_point_event_time(spark, sf_dir):

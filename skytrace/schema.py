@@ -109,7 +109,8 @@ DOC_SCHEMA = T.StructType(
 # null as a whole when any entry is not an array).
 DOC_SCHEMA_NESTED = T.StructType(
     [f for f in DOC_SCHEMA.fields if f.name != "trace"]
-    + [T.StructField("trace", T.ArrayType(T.ArrayType(T.StringType())))]
+    + [T.StructField("trace", T.ArrayType(T.ArrayType(T.StringType()))),
+       T.StructField("_corrupt_record", T.StringType())]
 )
 
 # Raw-entry schema plus the corrupt-record column (document status only).
