@@ -120,21 +120,23 @@ def hourly_file_stats(spark: SparkSession, base: str, fmt: str = "parquet") -> D
     )
 
 
-def write_windows(points: DataFrame, windows, base: str) -> None:
+def write_windows(points: DataFrame, windows, base: str, fmt: str = "parquet") -> None:
     """One folder per (source_date, window), front columns first, rows in
     time order: range partitioning splits a large window over several
-    files, each a contiguous, sorted time range."""
+    files, each a contiguous, sorted time range. CSV output has a header,
+    ``datetime_utc`` as ISO-8601 text and empty fields for null."""
     from ..operators.windows import reorder_window_columns
 
     t = reorder_window_columns(tag_windows(points, windows))
-    (
-        t.repartitionByRange("source_date", "window", "event_us")
-        .sortWithinPartitions("source_date", "window", "event_us", "icao", "seq")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("source_date", "window")
-        .parquet(base)
-    )
+    t = t.repartitionByRange("source_date", "window", "event_us").sortWithinPartitions(
+        "source_date", "window", "event_us", "icao", "seq")
+    if fmt == "csv":
+        cols = [c for c in t.columns if c not in ("path", "event_us", "seq", "hour", "altitude_ft_num", "on_ground")]
+        t = t.withColumn("datetime_utc", iso_utc("event_us")).select(*cols)
+    w = t.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source_date", "window")
+    if fmt == "csv":
+        w = w.option("header", True).option("nullValue", "")
+    w.format(fmt).save(base)
 
 
 def write_features(features: DataFrame, path: str) -> None:

@@ -125,6 +125,10 @@ def test_window_and_feature_sinks(spark, tmp_dir):
     write_windows(v, WINDOWS, os.path.join(tmp_dir, "win"))
     w = spark.read.parquet(os.path.join(tmp_dir, "win"))
     assert set(r[0] for r in w.select("window").distinct().collect()) <= {"0100-0400", "1100-1300"}
+    write_windows(v, WINDOWS, os.path.join(tmp_dir, "wincsv"), fmt="csv")
+    c = spark.read.option("header", True).csv(os.path.join(tmp_dir, "wincsv"))
+    assert c.columns[:2] == ["datetime_utc", "icao"] and c.count() == w.count()
+    assert c.where(~F.col("datetime_utc").endswith("+00:00")).count() == 0
     from skytrace.operators.tracks import track_features
 
     write_features(track_features(v, Q.zones(spark)), os.path.join(tmp_dir, "geo"))
