@@ -13,8 +13,12 @@ that bottleneck:
    pure function of the row and the key's statistics, so every consumer of
    the plan computes the same value (partition ids would differ between two
    evaluations of a range shuffle). The hot-key table has at most
-   ``total_rows / rows_per_split`` rows by construction, the bound that
-   makes broadcasting it safe.
+   ``total_rows / rows_per_split`` rows by construction; it is also counted,
+   and broadcast only within ``MAX_BROADCAST_HOT_KEYS`` (else a shuffle join
+   on the keys, whose hot partitions AQE splits). Buckets have equal time
+   width, so a burst inside a hot key makes one bucket larger than the
+   target. It is still a slice of the key; for position reports (a few per
+   second per aircraft) a 1M-row bucket spans days.
 3. A window over ``(keys, _split)`` computes local row numbers, running sums
    and lags; each window group is one bucket.
 4. A summary per ``(keys, _split)`` (count, sum, last row) and a window over
