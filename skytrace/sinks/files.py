@@ -68,6 +68,10 @@ def _drop_stale_hours(spark: SparkSession, base: str, t0: int) -> list[tuple[str
         dname = dst.getPath().getName()
         if not (dst.isDirectory() and dname.startswith("source_date=")):
             continue
+        # A date folder this run wrote into changed after t0. Object stores
+        # report 0 for folders; those are always listed.
+        if 0 < dst.getModificationTime() < t0:
+            continue
         hours = [
             (int(h.getPath().getName()[5:]), h.getPath())
             for h in fs.listStatus(dst.getPath())
