@@ -16,9 +16,8 @@ that bottleneck:
    ``total_rows / rows_per_split`` rows by construction; it is also counted,
    and broadcast only within ``MAX_BROADCAST_HOT_KEYS`` (else a shuffle join
    on the keys, whose hot partitions AQE splits). Buckets have equal time
-   width, so a burst inside a hot key makes one bucket larger than the
-   target. It is still a slice of the key; for position reports (a few per
-   second per aircraft) a 1M-row bucket spans days.
+   width; a bucket a burst fills beyond twice the target is cut again by
+   its own time range (up to ``MAX_REFINE`` levels, each counted first).
 3. A window over ``(keys, _split)`` computes local row numbers, running sums
    and lags; each window group is one bucket.
 4. A summary per ``(keys, _split)`` (count, sum, last row) and a window over
@@ -56,6 +55,12 @@ def _hot_keys(df: DataFrame, keys: list[str], lead: str, rows_per_split: int) ->
     )
 
 
+# Sub-buckets per bucket at a refinement level (ids stay ordered: a bucket b
+# becomes b * SUB + sub, sub in [0, SUB)); at most MAX_REFINE levels.
+SUB = 1 << 20
+MAX_REFINE = 2
+
+
 def _split_column(df: DataFrame, keys: list[str], lead: str, rows_per_split: int,
                   hot: DataFrame | None = None, n_hot: int | None = None) -> DataFrame:
     if hot is None:
@@ -69,7 +74,24 @@ def _split_column(df: DataFrame, keys: list[str], lead: str, rows_per_split: int
         F.floor((F.col(lead).cast("double") - F.col("_kmin").cast("double")) / F.col("_kw")).cast("bigint"),
         F.lit(0).cast("bigint"),
     )
-    return joined.withColumn("_split", split).drop("_kmin", "_kw")
+    cur = joined.withColumn("_split", split).drop("_kmin", "_kw")
+    # Equal-width buckets overflow where a hot key has a burst; re-cut the
+    # buckets above twice the target by their own time range.
+    for _ in range(MAX_REFINE):
+        big = _hot_keys(cur, [*keys, "_split"], lead, 2 * rows_per_split).withColumnsRenamed(
+            {"_kmin": "_bmin", "_kw": "_bw"})
+        n_big = big.count()
+        if n_big == 0:
+            break
+        side = F.broadcast(big) if n_big <= MAX_BROADCAST_HOT_KEYS else big
+        sub = F.least(
+            F.floor((F.col(lead).cast("double") - F.col("_bmin").cast("double")) / F.col("_bw")).cast("bigint"),
+            F.lit(SUB - 1).cast("bigint"),
+        )
+        cur = cur.join(side, [*keys, "_split"], "left").withColumn(
+            "_split", F.col("_split") * F.lit(SUB) + F.coalesce(sub, F.lit(0).cast("bigint"))
+        ).drop("_bmin", "_bw")
+    return cur
 
 
 def _plain_scan(base: DataFrame, keys, order, row_number, running_sums, lags) -> DataFrame:

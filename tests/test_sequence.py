@@ -41,3 +41,20 @@ def test_hot_key_is_split(skewed):
     n_splits = s.where("key = 'hot'").select("_split").distinct().count()
     biggest = s.groupBy("key", "_split").count().agg(F.max("count")).first()[0]
     assert n_splits >= 20 and biggest <= 300
+
+
+def test_burst_buckets_are_refined(spark):
+    """A hot key whose rows sit almost all in 1% of its time span."""
+    from skytrace.operators.sequence import _split_column
+
+    rows = [("hot", i, i) for i in range(2000)]              # burst: t in [0, 2000)
+    rows += [("hot", 200_000 + i * 1000, 10_000 + i) for i in range(200)]  # sparse tail
+    rows += [("k", i, 20_000 + i) for i in range(50)]
+    df = spark.createDataFrame(rows, "key STRING, t BIGINT, id BIGINT").withColumn("flag", F.lit(1))
+    sizes = _split_column(df, ["key"], "t", 100).groupBy("key", "_split").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 200
+    s = sequence_scan(df, ["key"], ["t", "id"], row_number="pos", lags={"prev_id": "id"},
+                      running_sums={"cum": F.col("flag")}, rows_per_split=100)
+    w = Window.partitionBy("key").orderBy("t", "id")
+    ref = df.select("id", F.row_number().over(w).alias("p"), F.lag("id").over(w).alias("l"))
+    assert {r.id: (r.pos, r.prev_id, r.cum) for r in s.collect()} == {r.id: (r.p, r.l, r.p) for r in ref.collect()}
