@@ -114,14 +114,16 @@ def read_hourly(spark: SparkSession, base: str, fmt: str = "parquet") -> DataFra
 
 
 def hourly_file_stats(spark: SparkSession, base: str, fmt: str = "parquet") -> DataFrame:
-    """Rows, files and bytes per written (source_date, hour)."""
+    """Rows, files, bytes and size in MB (one decimal) per written
+    (source_date, hour)."""
     df = read_hourly(spark, base, fmt).select(
         "source_date", "hour", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("b")
     )
     per_file = df.groupBy("source_date", "hour", "f").agg(F.count(F.lit(1)).alias("n"), F.first("b").alias("b"))
-    return per_file.groupBy("source_date", "hour").agg(
+    g = per_file.groupBy("source_date", "hour").agg(
         F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_files"), F.sum("b").alias("n_bytes"),
     )
+    return g.withColumn("size_mb", F.round(F.col("n_bytes") / F.lit(1024.0 * 1024.0), 1))
 
 
 def write_windows(points: DataFrame, windows, base: str, fmt: str = "parquet") -> None:

@@ -98,6 +98,11 @@ def test_hourly_sink_roundtrip_and_stale_hours(spark, tmp_dir):
     back = read_hourly(spark, base)
     assert back.count() == p.count()
     assert len(written) == p.select("source_date", "hour").distinct().count()
+    from skytrace.sinks.files import hourly_file_stats
+
+    fs = hourly_file_stats(spark, base)
+    assert fs.agg(F.sum("n_rows")).first()[0] == p.count()
+    assert fs.where("n_files < 1 OR n_bytes <= 0 OR size_mb < 0").count() == 0
     # Re-ingest one date without its hour-0 rows: that hour folder must go.
     d = p.select("source_date").orderBy("source_date").first()[0]
     h0 = p.where(F.col("source_date") == d).select(F.min("hour")).first()[0]
