@@ -12,21 +12,21 @@ from .windows import tag_windows
 def hourly_counts(points: DataFrame) -> DataFrame:
     """Rows per (source_date, hour), all 24 hours listed, empty hours as 0.
 
-    The 24-hour frame is generated per date (``explode(sequence(0, 23))``),
-    not by a cross join; counts are joined to it on (source_date, hour).
+    One pass: per date, 24 conditional counts in a single (partial/final)
+    aggregation, then ``posexplode`` of that 24-element array gives the
+    zero-filled rows — no second scan, no join.
     """
-    counts = points.groupBy("source_date", "hour").agg(F.count(F.lit(1)).alias("n_rows"))
-    frame = (
-        counts.select("source_date")
-        .distinct()
-        .select("source_date", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hour"))
+    h = F.col("hour")
+    per_date = points.groupBy("source_date").agg(
+        F.array(*[F.count_if(h == i) for i in range(24)]).alias("_counts")
     )
-    return frame.join(counts, ["source_date", "hour"], "left").select(
+    out = per_date.select("source_date", F.posexplode("_counts").alias("hour", "n_rows"))
+    return out.select(
         "source_date",
-        "hour",
+        F.col("hour").cast("int").alias("hour"),
         hour_range_label("hour").alias("hour_range"),
         hourly_file_name("source_date", "hour").alias("file_name"),
-        F.coalesce(F.col("n_rows"), F.lit(0)).cast("bigint").alias("n_rows"),
+        F.col("n_rows").cast("bigint").alias("n_rows"),
     )
 
 
