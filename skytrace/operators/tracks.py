@@ -72,13 +72,24 @@ def exact_median(df: DataFrame, group: list[str], value: str, bin_width: float =
 
 
 def map_center(points: DataFrame, group: list[str] | None = None) -> DataFrame:
-    """Exact (interpolated) median latitude and longitude per group
-    (``exact_median``: no task holds a whole group)."""
+    """Exact (interpolated) median latitude and longitude per group.
+
+    Both coordinates go through one ``exact_median`` pipeline as stacked
+    (kind, value) rows, so the table is scanned once."""
     group = group or ["source_date"]
-    lat = exact_median(points, group, "latitude").select(
-        *group, F.col("n").alias("n_points"), F.col("median").alias("center_lat"))
-    lon = exact_median(points, group, "longitude").select(*group, F.col("median").alias("center_lon"))
-    return lat.join(lon, group)
+    stacked = points.select(
+        *group,
+        F.inline(F.array(
+            F.struct(F.lit("lat").alias("_kind"), F.col("latitude").alias("_v")),
+            F.struct(F.lit("lon").alias("_kind"), F.col("longitude").alias("_v")),
+        )),
+    )
+    m = exact_median(stacked, [*group, "_kind"], "_v")
+    return m.groupBy(*group).agg(
+        F.max(F.when(F.col("_kind") == "lat", F.col("n"))).alias("n_points"),
+        F.max(F.when(F.col("_kind") == "lat", F.col("median"))).alias("center_lat"),
+        F.max(F.when(F.col("_kind") == "lon", F.col("median"))).alias("center_lon"),
+    )
 
 
 def track_endpoints(points: DataFrame) -> DataFrame:
