@@ -97,12 +97,12 @@ def direction_counts(points: DataFrame) -> DataFrame:
     )
 
 
-def legs(points: DataFrame) -> DataFrame:
+def legs(points: DataFrame, max_key_rows: int | None = None) -> DataFrame:
     """Legs per aircraft-day: points, start/end time and position."""
     marker = F.coalesce(F.col("flags_bitfield").bitwiseAND(S.FLAG_NEW_LEG) != 0, F.lit(False))
     scanned = sequence_scan(
         points, TRACK_KEYS, TIME_ORDER, row_number=None,
-        running_sums={"leg": F.when(marker, 1).otherwise(0)},
+        running_sums={"leg": F.when(marker, 1).otherwise(0)}, max_key_rows=max_key_rows,
     )
     o = F.struct(*TIME_ORDER)
     pos = F.struct("event_us", "latitude", "longitude")
@@ -122,12 +122,12 @@ def legs(points: DataFrame) -> DataFrame:
     )
 
 
-def movements(points: DataFrame) -> DataFrame:
+def movements(points: DataFrame, max_key_rows: int | None = None) -> DataFrame:
     """Departures (ground → air) and arrivals (air → ground) per aircraft-day."""
     known = points.where(F.col("altitude_ft").isNotNull())
     scanned = sequence_scan(
         known, TRACK_KEYS, TIME_ORDER, row_number=None,
-        lags={"prev_ground": "on_ground", "prev_us": "event_us"},
+        lags={"prev_ground": "on_ground", "prev_us": "event_us"}, max_key_rows=max_key_rows,
     )
     kind = (
         F.when(F.col("prev_ground") & ~F.col("on_ground"), F.lit("departure"))
@@ -156,12 +156,12 @@ def zone_membership(points: DataFrame, zones: DataFrame) -> DataFrame:
     return g.select("source_date", "icao", ntz_from_us("event_us").alias("time"), "n_zones", "zones")
 
 
-def zone_visits(points: DataFrame, zones: DataFrame) -> DataFrame:
+def zone_visits(points: DataFrame, zones: DataFrame, max_key_rows: int | None = None) -> DataFrame:
     """Per (date, zone, aircraft): inside points and separate visits, so a
     re-entering aircraft counts once in ``unique_aircraft`` but twice here."""
     scanned = sequence_scan(
         points, TRACK_KEYS, TIME_ORDER, row_number=None,
-        lags={"prev_lat": "latitude", "prev_lon": "longitude"},
+        lags={"prev_lat": "latitude", "prev_lon": "longitude"}, max_key_rows=max_key_rows,
     )
     inside = zone_join(scanned, zones, keep_geometry=True)
     prev_in = F.coalesce(point_in_polygon("prev_lon", "prev_lat", "edges"), F.lit(False))
@@ -234,12 +234,13 @@ def source_mix(points: DataFrame) -> DataFrame:
     )
 
 
-def zone_trajectories(points: DataFrame, zones: DataFrame, segment_points: int = 1000) -> DataFrame:
+def zone_trajectories(points: DataFrame, zones: DataFrame, segment_points: int = 1000,
+                      max_key_rows: int | None = None) -> DataFrame:
     """Full tracks (all points, inside or not) of the aircraft-days that enter
     a zone, as ordered segments per zone."""
     from .tracks import tracks
 
     visitors = zone_join(points, zones).select("zone", *TRACK_KEYS).distinct()
     visiting = points.join(visitors.select(*TRACK_KEYS).distinct(), TRACK_KEYS, "left_semi")
-    t = tracks(visiting, segment_points)
+    t = tracks(visiting, segment_points, max_key_rows)
     return visitors.join(t, TRACK_KEYS, "inner")

@@ -117,6 +117,7 @@ def sequence_scan(
     lags: dict[str, str] | None = None,
     rows_per_split: int | None = None,
     check_hot: bool = True,
+    max_key_rows: int | None = None,
 ) -> DataFrame:
     """Add ordered-scan columns to ``df``.
 
@@ -127,13 +128,19 @@ def sequence_scan(
 
     * ``row_number``: 1-based position within the key group (None: skip);
     * ``running_sums``: ``{out: int_expr}``, inclusive running sum of ``int_expr``;
-    * ``lags``: ``{out: column}``, value of ``column`` on the previous row.
+    * ``lags``: ``{out: column}``, value of ``column`` on the previous row;
+    * ``max_key_rows``: a known upper bound of any key's rows (a statistic of
+      the table ``df`` was filtered from); within ``rows_per_split`` it
+      replaces the hot-key check job.
     """
     running_sums = running_sums or {}
     lags = lags or {}
     rows_per_split = rows_per_split or DEFAULT_ROWS_PER_SPLIT
 
     base = df.where(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)))
+    if max_key_rows is not None and max_key_rows <= rows_per_split:
+        # Bounded by a table statistic: every group fits one task.
+        return _plain_scan(base, keys, order, row_number, running_sums, lags)
     hot = _hot_keys(base, keys, order[0], rows_per_split)
     n_hot = hot.count() if check_hot else None
     if n_hot == 0:

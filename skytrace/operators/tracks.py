@@ -113,13 +113,14 @@ def track_endpoints(points: DataFrame) -> DataFrame:
     )
 
 
-def track_summary(points: DataFrame) -> DataFrame:
+def track_summary(points: DataFrame, max_date_aircraft: int | None = None) -> DataFrame:
     """Aircraft in order of first appearance per date, with point counts and
     palette index ``(rank - 1) mod 20``; ties in first time go by icao."""
     per = points.groupBy(*TRACK_KEYS).agg(
         F.count(F.lit(1)).alias("n_points"), F.min("event_us").alias("first_us")
     )
-    ranked = sequence_scan(per, ["source_date"], ["first_us", "icao"], row_number="appearance_rank")
+    ranked = sequence_scan(per, ["source_date"], ["first_us", "icao"], row_number="appearance_rank",
+                           max_key_rows=max_date_aircraft)
     return ranked.select(
         *TRACK_KEYS,
         "n_points",
@@ -133,17 +134,17 @@ def _fmt(c: str) -> Column:
     return F.format_string("%.6f", F.col(c))
 
 
-def track_points(points: DataFrame) -> DataFrame:
+def track_points(points: DataFrame, max_key_rows: int | None = None) -> DataFrame:
     """Every valid point with its 1-based position ``pos`` in its track."""
-    return sequence_scan(points, TRACK_KEYS, TIME_ORDER, row_number="pos")
+    return sequence_scan(points, TRACK_KEYS, TIME_ORDER, row_number="pos", max_key_rows=max_key_rows)
 
 
-def tracks(points: DataFrame, segment_points: int = 1000) -> DataFrame:
+def tracks(points: DataFrame, segment_points: int = 1000, max_key_rows: int | None = None) -> DataFrame:
     """Ordered track segments: ``segment`` k holds positions
     ``k*segment_points+1 ..`` of the aircraft-day; ``path_text`` is
     ``lat lon`` pairs joined by ``,`` in time order. Each segment's list is
     bounded by ``segment_points``."""
-    tp = track_points(points).withColumn(
+    tp = track_points(points, max_key_rows).withColumn(
         "segment", F.floor((F.col("pos") - 1) / F.lit(segment_points)).cast("bigint")
     )
     seg = tp.groupBy(*TRACK_KEYS, "segment").agg(
@@ -166,13 +167,15 @@ def tracks(points: DataFrame, segment_points: int = 1000) -> DataFrame:
     )
 
 
-def track_features(points: DataFrame, zones: DataFrame | None = None, segment_points: int = 1000) -> DataFrame:
+def track_features(points: DataFrame, zones: DataFrame | None = None, segment_points: int = 1000,
+                   max_key_rows: int | None = None, max_date_aircraft: int | None = None) -> DataFrame:
     """GeoJSON features (one JSON text per row): a LineString per track
     segment with popup ``ICAO: <id><br>Points: <n>`` and palette index, a
     start and an end Point per aircraft-day, and a Polygon per zone
     (``[lon, lat]`` order, ring closed)."""
-    summ = track_summary(points).select(*TRACK_KEYS, F.col("n_points").alias("track_points"), "color_index")
-    tp = track_points(points).withColumn(
+    summ = track_summary(points, max_date_aircraft).select(
+        *TRACK_KEYS, F.col("n_points").alias("track_points"), "color_index")
+    tp = track_points(points, max_key_rows).withColumn(
         "segment", F.floor((F.col("pos") - 1) / F.lit(segment_points)).cast("bigint")
     )
     coord = F.concat(F.lit("["), _fmt("longitude"), F.lit(","), _fmt("latitude"), F.lit("]"))

@@ -56,6 +56,20 @@ def valid(spark: SparkSession, sf_dir: str) -> DataFrame:
 _ZONES: dict[str, DataFrame] = {}
 
 
+def key_stats(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
+    """Statistics of the stored point table, computed once per session:
+    rows of the largest aircraft-day and aircraft of the largest date.
+    Upper bounds for every subset a query scans, so the sequence scans can
+    skip their own hot-key check when these are small."""
+    from .store import key_max_rows
+
+    p = points(spark, sf_dir)
+    tag = f"{spark.sparkContext.applicationId}|{sf_dir}"
+    per_aircraft = key_max_rows(p, tag, ["source_date", "icao"])
+    per_date = key_max_rows(p.select("source_date", "icao").distinct(), tag + "|aircraft", ["source_date"])
+    return per_aircraft, per_date
+
+
 def zones(spark: SparkSession) -> DataFrame:
     """The parameter zones, parsed once per session and cached (three rows;
     a lost block is recomputed from the same text)."""
@@ -170,11 +184,11 @@ def q_map_center(spark, sf_dir):
 
 
 def q_track_summary(spark, sf_dir):
-    return tracks.track_summary(valid(spark, sf_dir))
+    return tracks.track_summary(valid(spark, sf_dir), key_stats(spark, sf_dir)[1])
 
 
 def q_tracks(spark, sf_dir):
-    return tracks.tracks(valid(spark, sf_dir), P.TRACK_SEGMENT_POINTS)
+    return tracks.tracks(valid(spark, sf_dir), P.TRACK_SEGMENT_POINTS, key_stats(spark, sf_dir)[0])
 
 
 def q_track_endpoints(spark, sf_dir):
@@ -182,7 +196,8 @@ def q_track_endpoints(spark, sf_dir):
 
 
 def q_track_features(spark, sf_dir):
-    f = tracks.track_features(valid(spark, sf_dir), zones(spark), P.TRACK_SEGMENT_POINTS)
+    ka, kd = key_stats(spark, sf_dir)
+    f = tracks.track_features(valid(spark, sf_dir), zones(spark), P.TRACK_SEGMENT_POINTS, ka, kd)
     return f
 
 
@@ -244,11 +259,11 @@ def q_direction_counts(spark, sf_dir):
 
 
 def q_legs(spark, sf_dir):
-    return mv.legs(valid(spark, sf_dir))
+    return mv.legs(valid(spark, sf_dir), key_stats(spark, sf_dir)[0])
 
 
 def q_movements(spark, sf_dir):
-    return mv.movements(valid(spark, sf_dir))
+    return mv.movements(valid(spark, sf_dir), key_stats(spark, sf_dir)[0])
 
 
 def q_zone_membership(spark, sf_dir):
@@ -256,7 +271,7 @@ def q_zone_membership(spark, sf_dir):
 
 
 def q_zone_visits(spark, sf_dir):
-    return mv.zone_visits(valid(spark, sf_dir), zones(spark))
+    return mv.zone_visits(valid(spark, sf_dir), zones(spark), key_stats(spark, sf_dir)[0])
 
 
 def q_zone_altitude(spark, sf_dir):
@@ -268,7 +283,8 @@ def q_callsigns(spark, sf_dir):
 
 
 def q_zone_trajectories(spark, sf_dir):
-    return mv.zone_trajectories(valid(spark, sf_dir), zones(spark), P.TRACK_SEGMENT_POINTS)
+    return mv.zone_trajectories(valid(spark, sf_dir), zones(spark), P.TRACK_SEGMENT_POINTS,
+                                key_stats(spark, sf_dir)[0])
 
 
 def q_metadata_fields(spark, sf_dir):

@@ -50,3 +50,18 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
         build().write.mode("overwrite").parquet(path)
         _STORED[key] = path
     return spark.read.parquet(path)
+
+
+_KEY_MAX: dict[tuple, int] = {}
+
+
+def key_max_rows(df: DataFrame, table_key: str, keys: list[str]) -> int:
+    """Rows of the largest ``keys`` group of a stored table, computed once
+    per table and key set (one aggregation job), like a table statistic."""
+    k = (table_key, tuple(keys))
+    if k not in _KEY_MAX:
+        from pyspark.sql import functions as F
+
+        m = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+        _KEY_MAX[k] = int(m or 0)
+    return _KEY_MAX[k]
