@@ -14,8 +14,6 @@ filters, so a window query over 6 dates reads 6 × 3 hour folders.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,8 +78,3 @@ def window_zone_counts(spark: SparkSession, table: str, dates: list[str], win, z
     p = read_hourly(spark, table).where(F.col("source_date").isin(*dates) & F.col("hour").isin(*hours))
     tagged = windows.tag_windows(valid_positions(p), win)
     return unique_aircraft_in_zones(zone_join(tagged, zones), ["source_date", "window", "zone"])
-
-
-def local_files(path: str) -> bool:
-    """True when ``path`` is a local folder (helper for scripts and tests)."""
-    return os.path.isdir(path)
