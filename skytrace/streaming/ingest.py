@@ -47,7 +47,14 @@ def stream_points(spark: SparkSession, src_dir: str, max_files_per_trigger: int
     return flatten_docs(stream_docs(spark, src_dir, max_files_per_trigger, lines))
 
 
-def start_ingest(points: DataFrame, out_dir: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+def start_ingest(points: DataFrame, out_dir: str, checkpoint: str, available_now: bool = True,
+                 cluster_by_hour: bool = True) -> StreamingQuery:
+    """Points → hour-partitioned Parquet. ``cluster_by_hour`` shuffles each
+    micro-batch by (source_date, hour) so a batch writes one file per hour
+    partition instead of one per input task and hour; a batch's size (and so
+    a task's share) is bounded by ``maxFilesPerTrigger`` on the source."""
+    if cluster_by_hour:
+        points = points.repartition("source_date", "hour")
     w = (
         points.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
