@@ -61,13 +61,9 @@ def key_stats(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
     rows of the largest aircraft-day and aircraft of the largest date.
     Upper bounds for every subset a query scans, so the sequence scans can
     skip their own hot-key check when these are small."""
-    from .store import key_max_rows
+    from .store import point_stats
 
-    p = points(spark, sf_dir)
-    tag = f"{spark.sparkContext.applicationId}|{sf_dir}"
-    per_aircraft = key_max_rows(p, tag, ["source_date", "icao"])
-    per_date = key_max_rows(p.select("source_date", "icao").distinct(), tag + "|aircraft", ["source_date"])
-    return per_aircraft, per_date
+    return point_stats(points(spark, sf_dir), f"{spark.sparkContext.applicationId}|{sf_dir}")
 
 
 def zones(spark: SparkSession) -> DataFrame:

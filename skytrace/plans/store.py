@@ -52,16 +52,18 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     return spark.read.parquet(path)
 
 
-_KEY_MAX: dict[tuple, int] = {}
+_POINT_STATS: dict[str, tuple[int, int]] = {}
 
 
-def key_max_rows(df: DataFrame, table_key: str, keys: list[str]) -> int:
-    """Rows of the largest ``keys`` group of a stored table, computed once
-    per table and key set (one aggregation job), like a table statistic."""
-    k = (table_key, tuple(keys))
-    if k not in _KEY_MAX:
+def point_stats(points: DataFrame, table_key: str) -> tuple[int, int]:
+    """Statistics of a stored point table, computed once per table in one
+    job: rows of the largest (source_date, icao) group and aircraft of the
+    largest date."""
+    if table_key not in _POINT_STATS:
         from pyspark.sql import functions as F
 
-        m = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-        _KEY_MAX[k] = int(m or 0)
-    return _KEY_MAX[k]
+        per = points.groupBy("source_date", "icao").agg(F.count(F.lit(1)).alias("n"))
+        per_date = per.groupBy("source_date").agg(F.max("n").alias("m"), F.count(F.lit(1)).alias("a"))
+        r = per_date.agg(F.max("m"), F.max("a")).first()
+        _POINT_STATS[table_key] = (int(r[0] or 0), int(r[1] or 0))
+    return _POINT_STATS[table_key]
