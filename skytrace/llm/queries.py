@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality
+from . import mixing, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op8_mix_sources": mixing.op8_mix_sources,
+    "op9_secret_scan": secrets.op9_secret_scan,
     "op10_quality_rules": quality.op10_quality_rules,
 }
 
