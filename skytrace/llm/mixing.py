@@ -22,8 +22,6 @@ gives an empty result; the same rows give the same result in every run.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -115,22 +113,16 @@ def solve(sizes: DataFrame, wanted: DataFrame) -> DataFrame:
     return state
 
 
-def _copies(groups: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for g in groups:
-        g = g.sort_values(["size", "doc_id"], ascending=[False, True], kind="stable")
-        size, many = g["size"].to_numpy(float), g["m"].to_numpy(float)
-        wanted = g["rate"].to_numpy(float)
-        out, carry = np.zeros(len(g), np.int64), 0.0
-        for i in range(len(g)):
-            tokens = size[i] * many[i]
-            c = wanted[i] + (carry / tokens if tokens else 0.0)
-            out[i] = min(max(int(np.floor(c + 0.5)), 0), int(MAX_RATE))
-            carry += (wanted[i] - out[i]) * tokens
-        yield g.assign(copies=out)[["doc_id", "source", "size", "m", "source_size", "target", "rate", "copies"]]
-
-
-def _round(key, g: pd.DataFrame) -> pd.DataFrame:
-    return next(_copies(iter([g])))
+def _round(g: pd.DataFrame) -> pd.DataFrame:
+    """Copies in one bucket, the rounding error carried from long to short."""
+    g = g.sort_values(["size", "doc_id"], ascending=[False, True], kind="stable")
+    tokens, wanted = (g["size"] * g["m"]).to_numpy(float), g["rate"].to_numpy(float)
+    out, carry = np.zeros(len(g), np.int64), 0.0
+    for i in range(len(g)):
+        c = wanted[i] + (carry / tokens[i] if tokens[i] else 0.0)
+        out[i] = min(max(int(np.floor(c + 0.5)), 0), int(MAX_RATE))
+        carry += (wanted[i] - out[i]) * tokens[i]
+    return g.assign(copies=out)[["doc_id", "source", "size", "m", "source_size", "target", "rate", "copies"]]
 
 
 def mix(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE) -> DataFrame:
