@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality, secrets
+from . import language, mixing, preference, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_preference_format": preference.op4_preference_format,
+    "op7_language_id": language.op7_language_id,
     "op8_mix_sources": mixing.op8_mix_sources,
     "op9_secret_scan": secrets.op9_secret_scan,
     "op10_quality_rules": quality.op10_quality_rules,
@@ -16,4 +18,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: Only what SQL can express on whole tables; the others are tested against
 #: brute-force versions in tests/llm.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_preference_format": preference.ORACLE,
+}
