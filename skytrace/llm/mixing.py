@@ -35,7 +35,7 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MAX_RATE = 2.0
 #: Documents in a rounding bucket, about.
-BUCKET = 20_000
+BUCKET = 2_000
 NEWTON_STEPS = 60
 TOLERANCE = 1e-10
 
