@@ -14,7 +14,10 @@ neighbour with the longest common prefix is tried; components follow; then all
 remaining candidates between different components whose signatures don't rule
 them out, until no pair between components is left untried. Pairs inside a
 component are not tried: they can't change the result, and a group of
-thousands of copies stays linear.
+thousands of copies stays linear. In regions too large for all pairs, each row
+is then tried against every member of the other groups it shares a region
+with, in blocks that count all intersections through one shingle index; and
+rows still single there are sorted anew without those groups.
 
 A pair at similarity 0.85 shares ``SHALLOW`` values in one of the orders with
 probability 1 - (1 - 0.85**4)**20 > 0.9999995, at six values still 0.9999.
@@ -46,6 +49,8 @@ HASHES = TREES * STRIDE
 NEAR = 5
 #: Pairs whose signatures agree on less are six standard deviations from 0.85.
 RULED_OUT = 0.65
+#: Texts in a block when rows are tried against all members of a group.
+BLOCK = 512
 ROWS = 2048  # of a long set hashed at once
 
 _rng = np.random.default_rng(20240229)
@@ -159,6 +164,103 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.select("a", "b").join(a, "a").join(b, "b").where(F.pandas_udf(_linked, "boolean")("text_a", "text_b")).select("a", "b").distinct()
 
 
+def _regions(reps: DataFrame) -> DataFrame:
+    """(tree, region, id): the shallow region of each order that a row is in."""
+    orders = reps.select("id", F.concat("sig", "sig").alias("twice"), F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
+    return orders.select("tree", F.substring("twice", F.col("tree") * 2 * STRIDE + 1, F.lit(2 * SHALLOW)).alias("region"), "id")
+
+
+def _ask(members: pd.DataFrame, askers: pd.DataFrame) -> pd.DataFrame:
+    """One link from each asker into a block of members, where there is one.
+
+    An index from shingle to members counts all intersections of an asker at once.
+    """
+    out = []
+    if len(members) and len(askers):
+        sets = [shingles(t) for t in members["text"]]
+        sizes, ids = np.array([len(x) for x in sets]), members["id"].to_numpy()
+        values, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+        order = np.argsort(values, kind="stable")
+        values, owner = values[order], owner[order]
+        for u, text in zip(askers["id"], askers["text"], strict=True):
+            own = shingles(text)
+            lo, hi = np.searchsorted(values, own, "left"), np.searchsorted(values, own, "right")
+            n = hi - lo
+            at = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+            both = np.bincount(owner[at], minlength=len(sets))
+            hit = np.flatnonzero((both > 0) & (100 * both >= PERCENT * (sizes + len(own) - both)))
+            if len(hit):
+                out.append((u, ids[hit[0]]))
+    return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+
+def links_into(groups: DataFrame, asked: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between askers and components, tried against every member.
+
+    ``groups``: (id, component); ``asked``: (id, component) to try. Both sides
+    come in blocks of ``BLOCK`` texts, so that no task holds a whole group.
+    """
+    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
+    sizes = groups.groupBy("component").agg(F.count(F.lit(1)).alias("n")) \
+        .join(asked.groupBy("component").agg(F.count(F.lit(1)).alias("m")), "component")
+    text = texts.select(F.col("doc_id").alias("id"), "text").dropDuplicates(["id"])
+    every = lambda n: F.explode(F.sequence(F.lit(0), blocks(n) - 1))
+    own = lambda n: F.pmod(F.xxhash64("id"), blocks(n)).cast("int")
+    members = groups.join(sizes, "component").select("component", "id", own("n").alias("x"), every("m").alias("y")).join(text, "id")
+    askers = asked.join(sizes, "component").select("component", "id", own("m").alias("y"), every("n").alias("x")).join(text, "id")
+    key = ["component", "x", "y"]
+    # Both sides come from the same tables: new names keep them apart.
+    members, askers = (d.select(*[F.col(c).alias(c) for c in [*key, "id", "text"]]) for d in (members, askers))
+    return members.groupBy(*key).cogroup(askers.groupBy(*key)).applyInPandas(_ask, "a long, b long")
+
+
+def _may(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """The pairs that the signatures don't rule out."""
+    sig = lambda k: reps.select(F.col("id").alias(k), F.col("sig").alias(f"sig_{k}"))
+    both = pairs.select("a", "b").join(sig("a"), "a").join(sig("b"), "b")
+    return both.where(F.pandas_udf(_may_link, "boolean")("sig_a", "sig_b")).select("a", "b")
+
+
+def _nearest(pairs: DataFrame) -> DataFrame:
+    """The pair of the longest common prefix of each row."""
+    ends = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "common"))
+    best = ends.groupBy("a").agg(F.max(F.struct("common", (-F.col("b")).alias("last"))).alias("best"))
+    return best.select(F.least("a", -F.col("best.last")).alias("x"), F.greatest("a", -F.col("best.last")).alias("b")) \
+        .select(F.col("x").alias("a"), "b").distinct()
+
+
+def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """The pairs between different components."""
+    of = lambda name, k: found.select(F.col("id").alias(k), F.col("component").alias(name))
+    both = pairs.select("a", "b").join(of("of_a", "a"), "a", "left").join(of("of_b", "b"), "b", "left")
+    return both.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
+
+
+def _asked(deep: DataFrame, found: DataFrame) -> DataFrame:
+    """(id, component): rows of deep regions and the groups of other rows there;
+    of two groups, the one with the larger id asks."""
+    rows = deep.join(found, "id", "left")
+    here = rows.where("component is not null").select("tree", "region", F.col("component").alias("group")).distinct()
+    met = rows.join(here, ["tree", "region"]).where("component is null or component > group")
+    return met.select("id", F.col("group").alias("component")).distinct()
+
+
+class _Links:
+    """The confirmed links so far, and the components that they give."""
+
+    def __init__(self, links: DataFrame):
+        self.links = written(links, "neardup-links")
+        self.found = written(components(self.links), "neardup-components")
+
+    def add(self, links: DataFrame) -> bool:
+        new = written(links, "neardup-links")
+        if new.isEmpty():
+            return False
+        self.links = self.links.unionByName(new)
+        self.found = written(components(self.links), "neardup-components")
+        return True
+
+
 def link(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of ``docs``
     (doc_id long, text string; other columns are not read)."""
@@ -166,36 +268,38 @@ def link(docs: DataFrame) -> DataFrame:
     described = written(docs.mapInPandas(_describe, "doc_id long, n_shingles long, set_key binary, sig binary"), "neardup-sets")
     known = described.where("set_key is not null and doc_id is not null")
     by_set = known.groupBy("set_key").agg(F.min("doc_id").alias("id"))
-    reps = known.join(by_set, "set_key").where("doc_id = id").select("id", "sig").distinct()
-    reps = written(reps, "neardup-reps")
-    pairs = written(candidates(reps), "neardup-pairs")
+    reps = written(known.join(by_set, "set_key").where("doc_id = id").select("id", "sig").distinct(), "neardup-reps")
 
-    ends = pairs.select(F.col("a").alias("id"), F.col("b").alias("other"), "common").unionByName(pairs.select(F.col("b").alias("id"), F.col("a").alias("other"), "common"))
-    nearest = ends.groupBy("id").agg(F.max(F.struct("common", (-F.col("other")).alias("last"))).alias("best"))
-    first = nearest.select(F.least("id", -F.col("best.last")).alias("a"), F.greatest("id", -F.col("best.last")).alias("b")).distinct()
-    texts = written(docs.join(ends.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi"), "neardup-texts")
-    all_sets = known.select("set_key", "doc_id").distinct().join(by_set, "set_key").select("doc_id", "id")
-    several = all_sets.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a <> z")
-    same_doc = several.join(all_sets, "doc_id").select("a", F.col("id").alias("b")).where("a <> b")
-    links = written(confirmed(first, texts).unionByName(same_doc), "neardup-links")
-    found = written(components(links), "neardup-components")
-
-    own = lambda name, k: found.select(F.col("id").alias(k), F.col("component").alias(name))
-    sig = lambda k: reps.select(F.col("id").alias(k), F.col("sig").alias(f"sig_{k}"))
-    apart = (
-        pairs.select("a", "b").join(own("of_a", "a"), "a", "left").join(own("of_b", "b"), "b", "left")
-        .where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
-        .join(first, ["a", "b"], "left_anti").join(sig("a"), "a").join(sig("b"), "b").where(F.pandas_udf(_may_link, "boolean")("sig_a", "sig_b"))
-    )
-    more = written(confirmed(apart, texts), "neardup-links")
-    if not more.isEmpty():
-        found = written(components(links.unionByName(more)), "neardup-components")
-
-    component = all_sets.join(found, "id", "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "id")).alias("component_id"))
-    own_id = F.col("d.doc_id")
-    return described.alias("d").join(component.alias("c"), own_id == F.col("c.doc_id"), "left").select(
-        own_id, F.col("d.n_shingles"), F.coalesce("c.component_id", own_id).alias("component_id"),
-        F.coalesce(own_id == F.coalesce("c.component_id", own_id), F.lit(True)).alias("kept"),
+    # Rows that share a doc_id are one document, whatever their sets.
+    sets = known.select("set_key", "doc_id").distinct().join(by_set, "set_key").select("doc_id", "id")
+    several = sets.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a <> z")
+    same_doc = several.join(sets, "doc_id").select("a", F.col("id").alias("b")).where("a <> b")
+
+    pairs = written(candidates(reps), "neardup-pairs")
+    regions = _regions(reps)
+    large = regions.groupBy("tree", "region").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > NEAR)
+    deep = written(regions.join(large, ["tree", "region"], "left_semi"), "neardup-deep")
+    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).unionByName(deep.select(F.col("id").alias("doc_id")))
+    texts = written(docs.join(ids.distinct(), "doc_id", "left_semi"), "neardup-texts")
+
+    first = _nearest(pairs)
+    so_far = _Links(confirmed(first, texts).unionByName(same_doc))
+    so_far.add(confirmed(_may(_apart(pairs, so_far.found).join(first, ["a", "b"], "left_anti"), reps), texts))
+    asked = written(_asked(deep, so_far.found), "neardup-asked")
+    if not asked.isEmpty():
+        so_far.add(links_into(so_far.found.join(asked.select("component").distinct(), "component", "left_semi"), asked, texts))
+    while True:  # rows still single, without the groups that made their regions deep
+        single = reps.join(deep.select("id").distinct(), "id", "left_semi").join(so_far.found, "id", "left_anti")
+        again = written(candidates(single).join(pairs, ["a", "b"], "left_anti"), "neardup-pairs")
+        if again.isEmpty() or not so_far.add(confirmed(_may(again, reps), texts)):
+            break
+        pairs = pairs.unionByName(again)
+
+    component = sets.join(so_far.found, "id", "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "id")).alias("component_id"))
+    own = F.col("d.doc_id")
+    return described.alias("d").join(component.alias("c"), own == F.col("c.doc_id"), "left").select(
+        own, F.col("d.n_shingles"), F.coalesce("c.component_id", own).alias("component_id"),
+        F.coalesce(own == F.coalesce("c.component_id", own), F.lit(True)).alias("kept"),
     )
 
 
