@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, mixing, neardup, preference, quality, secrets
+from . import language, mixing, neardup, preference, quality, secrets, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_ids": tokens.op1_token_ids,
     "op2_near_dedup": neardup.op2_near_dedup,
     "op4_preference_format": preference.op4_preference_format,
     "op7_language_id": language.op7_language_id,
