@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, mixing, neardup, preference, quality, secrets, tokens
+from . import decontaminate, language, mixing, neardup, preference, quality, secrets, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_ids": tokens.op1_token_ids,
     "op2_near_dedup": neardup.op2_near_dedup,
     "op4_preference_format": preference.op4_preference_format,
+    "op6_decontaminate": decontaminate.op6_decontaminate,
     "op7_language_id": language.op7_language_id,
     "op8_mix_sources": mixing.op8_mix_sources,
     "op9_secret_scan": secrets.op9_secret_scan,
