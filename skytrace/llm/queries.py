@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language, mixing, neardup, preference, quality, repeats, secrets, tokens
+from . import decontaminate, language, mixing, neardup, pii, preference, quality, repeats, secrets, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_ids": tokens.op1_token_ids,
     "op2_near_dedup": neardup.op2_near_dedup,
+    "op3_pii": pii.op3_pii,
     "op4_preference_format": preference.op4_preference_format,
     "op5_repeats": repeats.op5_repeats,
     "op6_decontaminate": decontaminate.op6_decontaminate,
