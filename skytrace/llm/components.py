@@ -3,7 +3,7 @@
 Alternates the large-star and the small-star step (Kiveris et al., 2014)
 until the links no longer change. Every step aggregates with map-side combine
 and joins rows of two ids, so a node with very many links is split by the
-engine's skew handling. Each step is checkpointed.
+engine's skew handling. Each step is written to the shared folder.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from .common import written
 
 
 def _both(links: DataFrame) -> DataFrame:
@@ -38,10 +38,10 @@ def _mark(links: DataFrame) -> tuple:
 
 def components(links: DataFrame) -> DataFrame:
     """(id, component) of every node in ``links`` (a, b): its least reachable id."""
-    now = cut_lineage(links.select("a", "b").where("a <> b").distinct())
+    now = written(links.select("a", "b").where("a <> b").distinct(), "star")
     mark = _mark(now)
     while True:
-        now = cut_lineage(_small_star(_large_star(now)))
+        now = written(_small_star(_large_star(now)), "star")
         new = _mark(now)
         if new == mark:
             break

@@ -63,7 +63,8 @@ def _grams(piece: str) -> np.ndarray:
         ok = np.ones(len(code), bool)
         for k in range(1, n - 1):  # a space may stand at either end, but not inside
             ok &= inner[k : k + len(code)]
-        ok &= inner[: len(code)] | inner[n - 1 : n - 1 + len(code)]
+        if n == 2:
+            ok &= inner[:-1] | inner[1:]
         out.append(code[ok])
     return np.concatenate(out)
 
