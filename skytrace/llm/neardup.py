@@ -51,6 +51,9 @@ NEAR = 5
 RULED_OUT = 0.65
 #: Texts in a block when rows are tried against all members of a group.
 BLOCK = 512
+#: So many ids (8 bytes each) may be broadcast to pick the texts to compare;
+#: more are joined by shuffling.
+BROADCAST_IDS = 4_000_000
 ROWS = 2048  # of a long set hashed at once
 
 _rng = np.random.default_rng(20240229)
@@ -161,7 +164,7 @@ def _may_link(x: pd.Series, y: pd.Series) -> pd.Series:
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) whose texts' full sets reach the similarity."""
     a, b = (texts.select(F.col("doc_id").alias(k), F.col("text").alias(f"text_{k}")) for k in "ab")
-    return pairs.select("a", "b").join(a, "a").join(b, "b").where(F.pandas_udf(_linked, "boolean")("text_a", "text_b")).select("a", "b").distinct()
+    return pairs.select("a", "b").join(a, "a").join(b, "b").where(F.pandas_udf(_linked, "boolean")("text_a", "text_b")).select("a", "b")
 
 
 def _regions(reps: DataFrame) -> DataFrame:
@@ -246,18 +249,23 @@ def _asked(deep: DataFrame, found: DataFrame) -> DataFrame:
 
 
 class _Links:
-    """The confirmed links so far, and the components that they give."""
+    """The components that the confirmed links so far give."""
 
     def __init__(self, links: DataFrame):
-        self.links = written(links, "neardup-links")
-        self.found = written(components(self.links), "neardup-components")
+        self.found = written(components(written(links, "neardup-links")), "neardup-components")
 
     def add(self, links: DataFrame) -> bool:
+        """Join components by new links; whether there were any."""
         new = written(links, "neardup-links")
         if new.isEmpty():
             return False
-        self.links = self.links.unionByName(new)
-        self.found = written(components(self.links), "neardup-components")
+        of = lambda name, k: self.found.select(F.col("id").alias(k), F.col("component").alias(name))
+        between = new.join(of("of_a", "a"), "a", "left").join(of("of_b", "b"), "b", "left") \
+            .select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
+        merged = components(written(between, "neardup-links"))
+        to = merged.select(F.col("id").alias("component"), F.col("component").alias("new"))
+        old = self.found.join(to, "component", "left").select("id", F.coalesce("new", "component").alias("component"))
+        self.found = written(old.unionByName(merged.join(self.found, "id", "left_anti")), "neardup-components")
         return True
 
 
@@ -280,7 +288,9 @@ def link(docs: DataFrame) -> DataFrame:
     large = regions.groupBy("tree", "region").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > NEAR)
     deep = written(regions.join(large, ["tree", "region"], "left_semi"), "neardup-deep")
     ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).unionByName(deep.select(F.col("id").alias("doc_id")))
-    texts = written(docs.join(ids.distinct(), "doc_id", "left_semi"), "neardup-texts")
+    ids = written(ids.distinct(), "neardup-ids")
+    few = ids.count() <= BROADCAST_IDS
+    texts = written(docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi"), "neardup-texts")
 
     first = _nearest(pairs)
     so_far = _Links(confirmed(first, texts).unionByName(same_doc))
