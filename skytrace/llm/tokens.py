@@ -55,6 +55,8 @@ END_ID = 2
 SHARD_TOKENS = 1 << 18
 #: A pair gets a rule from this many occurrences on; so many rules a round.
 MIN_COUNT, RULES_A_ROUND, ROUNDS = 6, 2048, 6
+#: No pair of symbols: a rule has two symbols below 65,535.
+_NO_PAIR = np.uint32(0xFFFFFFFF)
 #: Pieces of text whose ids a worker remembers.
 REMEMBERED = 600_000
 
@@ -62,8 +64,11 @@ FORMAT = ("part long, shard long, start long, doc_ids array<long>, symbols_to ar
           "terminals binary, rules binary, lengths binary, symbols binary, wide boolean")
 
 #: The tokenizer splits a text before a space that follows anything but white
-#: space, whatever stands around it, and encodes the parts independently.
+#: space, between a letter and one of these marks, and after a single line
+#: break, whatever stands around it; it encodes the parts
+#: independently.
 _CUT = re.compile(r"(?<=\S) ")
+_FINER = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ɏ])(?=[.,;:!?])|(?<=\S\n)(?=\S)")
 
 
 class Encoder:
@@ -78,27 +83,29 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.place: dict[str | None, int] = {None: 0}  # the end of a text
+        #: Place of a part: a string stands for itself after a space, a tuple of
+        #: one string for just that, None for the end of a text.
+        self.place: dict[str | tuple[str] | None, int] = {None: 0}
         self.ids = np.zeros(1 << 16, np.uint32)
         self.to = np.zeros(1 << 12, np.int64)  # where the ids of a part end
         self.ids[0], self.to[0], self.n = END_ID, 1, 1
 
-    def _encode(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all parts, and how many each has. Parts that begin with a
-        space and end without one are encoded in one string: the cut between
-        them is one that the tokenizer makes itself."""
-        plain = [p for p in parts if p[0] == " " and not p[-1].isspace()]
-        other = [p for p in parts if not (p[0] == " " and not p[-1].isspace())]
-        runs = [plain[i : i + 256] for i in range(0, len(plain), 256)]
-        known = self.tokenizer.encode_batch_fast([*map("".join, runs), *other], add_special_tokens=False)
+    def _encode(self, parts: list) -> tuple[list, np.ndarray, np.ndarray]:
+        """The parts in another order, the ids of all, and how many each has.
+        Parts that begin with a space and end without one are encoded in one
+        string: the cut between them is one that the tokenizer makes itself."""
+        plain = [p for p in parts if isinstance(p, str) and p and not p[-1].isspace()]
+        other = [p for p in parts if not isinstance(p, str) or not p or p[-1].isspace()]
+        texts = [p[0] if isinstance(p, tuple) else " " + p for p in other]
+        runs = [" " + " ".join(plain[i : i + 256]) for i in range(0, len(plain), 256)]
+        known = self.tokenizer.encode_batch_fast([*runs, *texts], add_special_tokens=False)
         ids = np.fromiter(chain.from_iterable(e.ids for e in known), np.uint32)
-        to = np.cumsum(np.fromiter((len(p.encode("utf-8", "surrogatepass")) for p in chain(plain, other)), np.int64, len(parts)))
+        size = lambda t: len(t.encode("utf-8", "surrogatepass"))
+        to = np.cumsum(np.fromiter(chain((size(p) + 1 for p in plain), map(size, texts)), np.int64, len(parts)))
         ends = np.searchsorted(np.cumsum(self.n_bytes[ids]), to) + 1
-        parts[:] = [*plain, *other]
-        return ids, np.diff(np.concatenate([[0], ends]))
+        return [*plain, *other], ids, np.diff(np.concatenate([[0], ends]))
 
-    def _learn(self, parts: list[str]) -> None:
-        new, sizes = self._encode(parts)
+    def _store(self, parts: list, new: np.ndarray, sizes: np.ndarray) -> None:
         used = int(self.to[self.n - 1])
         while used + len(new) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
@@ -109,32 +116,49 @@ class Encoder:
         self.place.update(zip(parts, range(self.n, self.n + len(parts)), strict=True))
         self.n += len(parts)
 
+    def _ids(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of known parts, one after another, and how many each has."""
+        first = np.where(places > 0, self.to[places - 1], 0)
+        size = self.to[places] - first
+        return self.ids[_spread(first, size)], size
+
+    def _learn(self, parts: list) -> None:
+        whole, made, of = [], [], []
+        for p in parts:
+            head, *rest = _FINER.split(p) if isinstance(p, str) else (p,)
+            if rest:
+                made.append(p)
+                of.append([head, *((r,) for r in rest)])
+            else:
+                whole.append(p)
+        finer = {p for some in of for p in some if p not in self.place}
+        if encode := sorted(finer.union(whole), key=str):
+            self._store(*self._encode(encode))
+        if made:
+            ids, size = self._ids(np.fromiter((self.place[p] for some in of for p in some), np.int64))
+            self._store(made, ids, np.add.reduceat(size, np.cumsum([0, *map(len, of[:-1])])))
+
     def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, the end id after each, and where each text ends."""
         if self.n > REMEMBERED:
             self._clear()
-        parts: list[str | None] = []
+        parts: list = []
         ends = []
         for t in texts:
             if t:
-                parts += _cut(t)
+                at = len(parts)
+                parts += _CUT.split(t)
+                parts[at] = (parts[at],)
             parts.append(None)
             ends.append(len(parts) - 1)
         places = list(map(self.place.get, parts))
-        if new := {p for p, i in zip(parts, places, strict=True) if i is None}:
-            self._learn(sorted(new))
-            places = list(map(self.place.get, parts))
-        flat = np.array(places, np.int64)
-        lo = np.concatenate([[0], self.to[: self.n - 1]])[flat]
-        size = self.to[flat] - lo
-        to = np.cumsum(size)
-        at = np.arange(int(to[-1]) if len(to) else 0) + np.repeat(lo - (to - size), size)
-        return self.ids[at], to[ends]
-
-
-def _cut(text: str) -> list[str]:
-    first, *rest = _CUT.split(text)
-    return [first, *[" " + p for p in rest]] if first else [" " + p for p in rest]
+        if None in places:
+            missing = [i for i, k in enumerate(places) if k is None]
+            self._learn(list({parts[i]: None for i in missing}))
+            for i in missing:
+                places[i] = self.place[parts[i]]
+        ids, size = self._ids(np.array(places, np.int64))
+        return ids, np.cumsum(size)[ends]
 
 
 @lru_cache(maxsize=1)
@@ -144,29 +168,30 @@ def encoder(path: str) -> Encoder:
 
 def compress(ids: np.ndarray, doc_to: np.ndarray) -> dict:
     """Re-Pair over one shard. ``doc_to``: where each document ends."""
-    terminals, s = np.unique(ids, return_inverse=True)
-    s = s.astype(np.uint32)
-    last = np.zeros(len(s), bool)  # of a document: no pair starts here
-    last[doc_to - 1] = True
+    present = np.zeros(int(ids.max(initial=0)) + 1, bool)
+    present[ids] = True
+    terminals = np.flatnonzero(present).astype(np.uint32)
+    s = (np.cumsum(present, dtype=np.uint32) - np.uint32(1))[ids]
+    ends = np.asarray(doc_to, np.int64) - 1  # the last symbol of each document: no pair starts there
     rules, n = [], len(terminals)
     for _ in range(ROUNDS):
         room = min(RULES_A_ROUND, (1 << 16) - n)
-        if len(s) < 2 or room <= 0 or n >= 1 << 16:
+        if len(s) < 2 or room <= 0:
             break
         code = (s[:-1] << np.uint32(16)) | s[1:]
-        free = ~last[:-1]
-        order = np.sort(code[free])
+        code[ends[:-1]] = _NO_PAIR
+        order = np.sort(code)
+        order = order[: np.searchsorted(order, _NO_PAIR)]
         starts = np.flatnonzero(np.concatenate([[True], order[1:] != order[:-1]])) if len(order) else np.zeros(0, np.int64)
         counts = np.diff(np.append(starts, len(order)))
         often = np.flatnonzero(counts >= MIN_COUNT)
         if not len(often):
             break
-        best = often[np.argsort(-counts[often], kind="stable")[:room]]
-        best = np.sort(best)
+        best = np.sort(often[np.argsort(-counts[often], kind="stable")[:room]])
         pairs = order[starts[best]]
         left, right = np.zeros(n, bool), np.zeros(n, bool)
         left[pairs >> np.uint32(16)], right[pairs & np.uint32(0xFFFF)] = True, True
-        where = np.flatnonzero(free & left[s[:-1]] & right[s[1:]])
+        where = np.flatnonzero(left[s[:-1]] & right[s[1:]])
         at = np.searchsorted(pairs, code[where])
         at[at == len(pairs)] = 0
         hit = pairs[at] == code[where]
@@ -177,10 +202,10 @@ def compress(ids: np.ndarray, doc_to: np.ndarray) -> dict:
         odd = (np.arange(len(where)) - run_start) % 2 == 0
         take = where[odd]
         s[take] = n + at[odd]
-        last[take] = last[take + 1]
         keep = np.ones(len(s), bool)
         keep[take + 1] = False
-        s, last = s[keep], last[keep]
+        s = s[keep]
+        ends = ends - np.searchsorted(take, ends)
         rules.append(pairs)
         n += len(pairs)
     codes = np.concatenate(rules) if rules else np.zeros(0, np.uint32)
@@ -188,7 +213,7 @@ def compress(ids: np.ndarray, doc_to: np.ndarray) -> dict:
     lengths = expansion_lengths(len(terminals), pairs)
     wide = n > 1 << 16
     return {
-        "symbols_to": np.flatnonzero(last) + 1, "tokens_to": doc_to, "terminals": terminals.astype("<u4").tobytes(),
+        "symbols_to": ends + 1, "tokens_to": doc_to, "terminals": terminals.astype("<u4").tobytes(),
         "rules": pairs.astype("<u4").tobytes(), "lengths": lengths[len(terminals) :].astype("<u4").tobytes(),
         "symbols": s.astype("<u4" if wide else "<u2").tobytes(), "wide": wide,
     }
@@ -219,18 +244,26 @@ def _levels(n_terminals: int, pairs: np.ndarray) -> np.ndarray:
 
 
 def expand(symbols: np.ndarray, terminals: np.ndarray, pairs: np.ndarray) -> np.ndarray:
-    """The ids of a run of symbols."""
+    """The ids of a run of symbols: what each rule stands for is spelt out
+    once, level by level; the run then is one gather."""
     n = len(terminals)
+    size = expansion_lengths(n, pairs)
+    to = np.cumsum(size)
+    spelt = np.zeros(int(to[-1]) if len(to) else 0, np.uint32)
+    spelt[:n] = terminals
+    level = _levels(n, pairs)
+    for k in range(1, int(level.max(initial=0)) + 1):
+        rule = np.flatnonzero(level == k)
+        both = pairs[rule - n].reshape(-1)
+        spelt[_spread(to[rule] - size[rule], size[rule])] = spelt[_spread(to[both] - size[both], size[both])]
     s = symbols.astype(np.int64)
-    while len(rule := np.flatnonzero(s >= n)):
-        size = np.ones(len(s), np.int64)
-        size[rule] = 2
-        to = np.cumsum(size)
-        out = np.repeat(s, size)
-        pair = pairs[s[rule] - n]
-        out[to[rule] - 2], out[to[rule] - 1] = pair[:, 0], pair[:, 1]
-        s = out
-    return terminals[s]
+    return spelt[_spread((to - size)[s], size[s])]
+
+
+def _spread(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places of runs that begin at ``first``, one after another."""
+    to = np.cumsum(size)
+    return np.repeat(first - (to - size), size) + np.arange(int(to[-1]) if len(to) else 0)
 
 
 def decode(row) -> tuple[np.ndarray, np.ndarray]:

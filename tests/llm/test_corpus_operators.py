@@ -281,7 +281,8 @@ def test_mix_edges(spark):
 # --- token shards -----------------------------------------------------------------
 
 TEXTS = ["", "a  b", " a", "a ", None, "a\n b", "x \n y", "tab\t b", "\x1c a \x1d b", "it's  we'll 've <|endoftext|> x<|endoftext|> y", "  lead   multi  ",
-         "1 2 3  4\r\n\r\n 5", "é è  ü", "中文 字 　 x", "a\x85 b \x85 c", "\U0001F600 \U0001F600​ a", "word " * 3000, " ", "\n"]
+         "1 2 3  4\r\n\r\n 5", "é è  ü", "中文 字 　 x", "a\x85 b \x85 c", "\U0001F600 \U0001F600​ a", "word " * 3000, " ", "\n",
+         "end.\nNext, and; more: yes! no?\n\nWord's. 'll. x.\n y .z ,a a.,b a,1 \u00e9.\u00e9 \u2167, \u00b2. end.\n"]
 
 
 def test_parts_encode_as_the_whole_text():
