@@ -98,23 +98,27 @@ def direction_counts(points: DataFrame) -> DataFrame:
 
 
 def legs(points: DataFrame, max_key_rows: int | None = None) -> DataFrame:
-    """Legs per aircraft-day: points, start/end time and position."""
+    """Legs per aircraft-day: points, start/end time, and the position of the
+    first and the last point that has one. Points without a position count:
+    a new-leg mark on one starts a leg."""
     marker = F.coalesce(F.col("flags_bitfield").bitwiseAND(S.FLAG_NEW_LEG) != 0, F.lit(False))
     scanned = sequence_scan(
         points, TRACK_KEYS, TIME_ORDER, row_number=None,
         running_sums={"leg": F.when(marker, 1).otherwise(0)}, max_key_rows=max_key_rows,
     )
     o = F.struct(*TIME_ORDER)
-    pos = F.struct("event_us", "latitude", "longitude")
+    pos = F.struct("latitude", "longitude")
+    seen = F.when(F.col("latitude").isNotNull() & F.col("longitude").isNotNull(), o)
     g = scanned.groupBy(*TRACK_KEYS, "leg").agg(
-        F.count(F.lit(1)).alias("n_points"), F.min_by(pos, o).alias("_s"), F.max_by(pos, o).alias("_e")
+        F.count(F.lit(1)).alias("n_points"), F.min("event_us").alias("_t0"), F.max("event_us").alias("_t1"),
+        F.min_by(pos, seen).alias("_s"), F.max_by(pos, seen).alias("_e")
     )
     return g.select(
         *TRACK_KEYS,
         F.col("leg").cast("bigint").alias("leg"),
         "n_points",
-        ntz_from_us("_s.event_us").alias("start_time"),
-        ntz_from_us("_e.event_us").alias("end_time"),
+        ntz_from_us("_t0").alias("start_time"),
+        ntz_from_us("_t1").alias("end_time"),
         F.col("_s.latitude").alias("start_lat"),
         F.col("_s.longitude").alias("start_lon"),
         F.col("_e.latitude").alias("end_lat"),
@@ -123,7 +127,8 @@ def legs(points: DataFrame, max_key_rows: int | None = None) -> DataFrame:
 
 
 def movements(points: DataFrame, max_key_rows: int | None = None) -> DataFrame:
-    """Departures (ground → air) and arrivals (air → ground) per aircraft-day."""
+    """Departures (ground → air) and arrivals (air → ground) per aircraft-day,
+    over all points with a known altitude, with a position or without."""
     known = points.where(F.col("altitude_ft").isNotNull())
     scanned = sequence_scan(
         known, TRACK_KEYS, TIME_ORDER, row_number=None,

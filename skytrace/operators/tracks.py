@@ -3,8 +3,8 @@
 Time order within an aircraft-day is ``(event_us, path, seq)``. No operator
 here collects a whole aircraft into one row: end points use ``min_by`` /
 ``max_by`` (partial aggregation), and a track is emitted as consecutive
-segments of at most ``segment_points`` points whose positions come from the
-skew-safe ``sequence_scan``.
+parts of at most ``segment_points`` points and the last point of the part
+before, with positions from the skew-safe ``sequence_scan``.
 """
 
 from __future__ import annotations
@@ -139,14 +139,22 @@ def track_points(points: DataFrame, max_key_rows: int | None = None) -> DataFram
     return sequence_scan(points, TRACK_KEYS, TIME_ORDER, row_number="pos", max_key_rows=max_key_rows)
 
 
+def track_parts(points: DataFrame, segment_points: int, max_key_rows: int | None = None) -> DataFrame:
+    """Every valid point by part (``segment``) of its track. Part k holds
+    positions ``k*segment_points+1`` to ``(k+1)*segment_points`` and, from the
+    second on, first the last point of the part before: the parts' lines
+    together draw the whole track."""
+    p = F.col("pos") - 1
+    own, last = F.floor(p / F.lit(segment_points)).cast("bigint"), F.col("pos") % segment_points == 0
+    return track_points(points, max_key_rows).withColumn(
+        "segment", F.explode(F.when(last, F.array(own, own + 1)).otherwise(F.array(own))))
+
+
 def tracks(points: DataFrame, segment_points: int = 1000, max_key_rows: int | None = None) -> DataFrame:
-    """Ordered track segments: ``segment`` k holds positions
-    ``k*segment_points+1 ..`` of the aircraft-day; ``path_text`` is
-    ``lat lon`` pairs joined by ``,`` in time order. Each segment's list is
-    bounded by ``segment_points``."""
-    tp = track_points(points, max_key_rows).withColumn(
-        "segment", F.floor((F.col("pos") - 1) / F.lit(segment_points)).cast("bigint")
-    )
+    """Ordered track parts (see ``track_parts``); ``path_text`` is ``lat lon``
+    pairs joined by ``,`` in time order. Each part's list is bounded by
+    ``segment_points``; a part with nothing but its repeated point is none."""
+    tp = track_parts(points, segment_points, max_key_rows)
     seg = tp.groupBy(*TRACK_KEYS, "segment").agg(
         F.count(F.lit(1)).alias("n_points"),
         F.min("pos").alias("first_pos"),
@@ -155,7 +163,7 @@ def tracks(points: DataFrame, segment_points: int = 1000, max_key_rows: int | No
         F.sort_array(
             F.collect_list(F.struct("pos", F.concat_ws(" ", _fmt("latitude"), _fmt("longitude")).alias("p")))
         ).alias("_pts"),
-    )
+    ).where((F.col("segment") == 0) | (F.col("n_points") > 1))
     return seg.select(
         *TRACK_KEYS,
         "segment",
@@ -169,72 +177,49 @@ def tracks(points: DataFrame, segment_points: int = 1000, max_key_rows: int | No
 
 def track_features(points: DataFrame, zones: DataFrame | None = None, segment_points: int = 1000,
                    max_key_rows: int | None = None, max_date_aircraft: int | None = None) -> DataFrame:
-    """GeoJSON features (one JSON text per row): a LineString per track
-    segment with popup ``ICAO: <id><br>Points: <n>`` and palette index, a
-    start and an end Point per aircraft-day, and a Polygon per zone
-    (``[lon, lat]`` order, ring closed)."""
+    """GeoJSON features (one JSON text per row): a LineString per track part
+    of two positions or more, with popup ``ICAO: <id><br>Points: <n>`` and
+    palette index, a start and an end Point per aircraft-day, and a Polygon
+    per zone (``[lon, lat]`` order, ring closed). Texts are escaped."""
     summ = track_summary(points, max_date_aircraft).select(
         *TRACK_KEYS, F.col("n_points").alias("track_points"), "color_index")
-    tp = track_points(points, max_key_rows).withColumn(
-        "segment", F.floor((F.col("pos") - 1) / F.lit(segment_points)).cast("bigint")
-    )
     coord = F.concat(F.lit("["), _fmt("longitude"), F.lit(","), _fmt("latitude"), F.lit("]"))
-    seg = tp.groupBy(*TRACK_KEYS, "segment").agg(
+    seg = track_parts(points, segment_points, max_key_rows).groupBy(*TRACK_KEYS, "segment").agg(
         F.sort_array(F.collect_list(F.struct("pos", coord.alias("c")))).alias("_pts")
-    ).join(summ, TRACK_KEYS)
+    ).where(F.size("_pts") > 1).join(summ, TRACK_KEYS)
 
-    def props(kind: Column) -> Column:
+    def feature(geometry: str, coordinates: Column, properties: Column) -> Column:
         return F.concat(
-            F.lit('"properties":{"kind":"'), kind,
-            F.lit('","icao":"'), F.col("icao"),
-            F.lit('","source_date":"'), F.col("source_date"),
-            F.lit('","popup":"ICAO: '), F.col("icao"), F.lit("<br>Points: "),
-            F.col("track_points").cast("string"),
-            F.lit('","color_index":'), F.col("color_index").cast("string"), F.lit("}"),
-        )
+            F.lit(f'{{"type":"Feature","geometry":{{"type":"{geometry}","coordinates":'), coordinates,
+            F.lit('},"properties":'), F.to_json(properties), F.lit("}"))
 
-    line = seg.select(
-        F.lit("track").alias("feature_kind"),
-        *TRACK_KEYS,
-        "segment",
-        F.concat(
-            F.lit('{"type":"Feature","geometry":{"type":"LineString","coordinates":['),
-            F.array_join(F.transform("_pts", lambda x: x["c"]), ","),
-            F.lit("]},"), props(F.lit("track")), F.lit("}"),
-        ).alias("feature"),
-    )
-    ends = track_endpoints(points).join(summ, TRACK_KEYS)
-
-    def point_feature(kind: str, lat: str, lon: str) -> DataFrame:
-        c = F.concat(F.lit("["), _fmt(lon), F.lit(","), _fmt(lat), F.lit("]"))
-        return ends.select(
-            F.lit(kind).alias("feature_kind"),
-            *TRACK_KEYS,
-            F.lit(None).cast("bigint").alias("segment"),
-            F.concat(
-                F.lit('{"type":"Feature","geometry":{"type":"Point","coordinates":'), c,
-                F.lit("},"), props(F.lit(kind)), F.lit("}"),
-            ).alias("feature"),
-        )
+    def props(kind: Column) -> Column:
+        popup = F.concat(F.lit("ICAO: "), F.col("icao"), F.lit("<br>Points: "), F.col("track_points").cast("string"))
+        return F.struct(kind.alias("kind"), "icao", "source_date", popup.alias("popup"), "color_index")
 
-    out = line.unionByName(point_feature("start", "first_lat", "first_lon")).unionByName(
-        point_feature("end", "last_lat", "last_lon")
-    )
+    path = F.concat(F.lit("["), F.array_join(F.transform("_pts", lambda x: x["c"]), ","), F.lit("]"))
+    line = seg.select(
+        F.lit("track").alias("feature_kind"), *TRACK_KEYS, "segment",
+        feature("LineString", path, props(F.lit("track"))).alias("feature"))
+    at = lambda lat, lon: F.concat(F.lit("["), _fmt(lon), F.lit(","), _fmt(lat), F.lit("]"))
+    both = F.array(
+        F.struct(F.lit("start").alias("feature_kind"), at("first_lat", "first_lon").alias("c")),
+        F.struct(F.lit("end").alias("feature_kind"), at("last_lat", "last_lon").alias("c")))
+    ends = track_endpoints(points).join(summ, TRACK_KEYS).select(*TRACK_KEYS, "track_points", "color_index", F.inline(both))
+    ends = ends.select(
+        "feature_kind", *TRACK_KEYS, F.lit(None).cast("bigint").alias("segment"),
+        feature("Point", F.col("c"), props(F.col("feature_kind"))).alias("feature"))
+
+    out = line.unionByName(ends)
     if zones is not None:
-        ring = F.transform(
-            "ring", lambda p: F.concat(F.lit("["), F.format_string("%.6f", p["lon"]), F.lit(","),
-                                       F.format_string("%.6f", p["lat"]), F.lit("]"))
-        )
+        pair = lambda p: F.concat(F.lit("["), F.format_string("%.6f", p["lon"]), F.lit(","), F.format_string("%.6f", p["lat"]), F.lit("]"))
+        ring = F.concat(F.lit("[["), F.array_join(F.transform("ring", pair), ","), F.lit("]]"))
         zf = zones.where("valid").select(
             F.lit("zone").alias("feature_kind"),
             F.lit(None).cast("string").alias("source_date"),
             F.col("zone").alias("icao"),
             F.lit(None).cast("bigint").alias("segment"),
-            F.concat(
-                F.lit('{"type":"Feature","geometry":{"type":"Polygon","coordinates":[['),
-                F.array_join(ring, ","),
-                F.lit(']]},"properties":{"kind":"zone","name":"'), F.col("zone"), F.lit('"}}'),
-            ).alias("feature"),
+            feature("Polygon", ring, F.struct(F.lit("zone").alias("kind"), F.col("zone").alias("name"))).alias("feature"),
         )
         out = out.unionByName(zf)
     return out.withColumnRenamed("icao", "name")

@@ -14,12 +14,15 @@ filters, so a window query over 6 dates reads 6 × 3 hour folders.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import stats, windows
 from .operators.flatten import doc_status, flatten_docs
 from .operators.spatial import unique_aircraft_in_zones, valid_positions, zone_join
+from .session import ensure_checkpoint_dir
 from .sinks.files import read_hourly, write_hourly
 from .sources import archives
 from .sources.listing import archive_groups
@@ -37,7 +40,8 @@ def _fs_listing(spark: SparkSession, pattern: str) -> list[str]:
 
 
 def date_docs(spark: SparkSession, base: str, dates: list[str]) -> DataFrame:
-    """Trace documents of the given dates from whichever layout exists."""
+    """Trace documents of the given dates from whichever layout exists; one
+    that cannot be read stays, without content."""
     base = base.rstrip("/")
     parts: list[DataFrame] = []
     plain = [f"{base}/{d}/json" for d in dates if _fs_listing(spark, f"{base}/{d}/json")]
@@ -46,15 +50,14 @@ def date_docs(spark: SparkSession, base: str, dates: list[str]) -> DataFrame:
     for d in dates:
         if _fs_listing(spark, f"{base}/{d}/extracted/traces/??"):
             g = archives.read_gzip_traces(spark, f"{base}/{d}/extracted/traces")
-            parts.append(g.where(F.col("status") == "ok").select(
-                "path", F.lit(d).alias("source_date"), "content"))
+            parts.append(g.select("path", F.lit(d).alias("source_date"), "content"))
     tar_files = [p for d in dates for p in _fs_listing(spark, f"{base}/{d}/downloaded/*.tar*")]
     if tar_files:
         listing = spark.createDataFrame([(p, p.rsplit("/", 1)[1]) for p in tar_files], "path STRING, name STRING")
         groups = archive_groups(listing)
         idx = archives.tar_member_index(groups)
         t = archives.tar_trace_docs(idx)
-        parts.append(t.where(F.col("status") == "ok").select(*DOC_COLUMNS))
+        parts.append(t.select(*DOC_COLUMNS))
     if not parts:
         return spark.createDataFrame([], "path STRING, source_date STRING, content STRING")
     out = parts[0].select(*DOC_COLUMNS)
@@ -66,8 +69,11 @@ def date_docs(spark: SparkSession, base: str, dates: list[str]) -> DataFrame:
 def ingest(spark: SparkSession, base: str, dates: list[str], table: str) -> DataFrame:
     """Flatten the dates into the hour-partitioned table; returns per-date
     ingest statistics computed from the same documents."""
-    docs = date_docs(spark, base, dates)
-    write_hourly(flatten_docs(docs), table)
+    # Read and unpacked once: points and statistics come from this copy.
+    copy = f"{ensure_checkpoint_dir(spark).rstrip('/')}/docs-{uuid.uuid4().hex}"
+    date_docs(spark, base, dates).write.parquet(copy)
+    docs = spark.read.parquet(copy)
+    write_hourly(flatten_docs(docs), table, dates=dates)
     return stats.ingest_stats(doc_status(docs))
 
 

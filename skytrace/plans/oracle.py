@@ -197,13 +197,21 @@ tp AS (
 )"""
 
 
-def _tracks_sql(src_cte: str = "tp") -> str:
+def _parts_cte() -> str:
+    """Points by part of their track; the last point of a part opens the next."""
     n = P.TRACK_SEGMENT_POINTS
     return f"""
-  SELECT source_date, icao, CAST((pos - 1) // {n} AS BIGINT) AS segment, count(*) AS n_points,
+px AS (
+  SELECT *, unnest(CASE WHEN pos % {n} = 0 THEN [(pos - 1) // {n}, pos // {n}] ELSE [(pos - 1) // {n}] END) AS part FROM tp
+)"""
+
+
+def _tracks_sql() -> str:
+    return f"""
+  SELECT source_date, icao, CAST(part AS BIGINT) AS segment, count(*) AS n_points,
          min(pos) AS first_pos, make_timestamp(min(event_us)) AS start_time, make_timestamp(max(event_us)) AS end_time,
          string_agg({_f6('latitude')} || ' ' || {_f6('longitude')}, ',' ORDER BY pos) AS path_text
-  FROM {src_cte} GROUP BY source_date, icao, (pos - 1) // {n}"""
+  FROM px GROUP BY source_date, icao, part HAVING part = 0 OR count(*) > 1"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -310,7 +318,7 @@ SELECT source_date, icao, n_points, make_timestamp(first_us) AS first_time,
        CAST((row_number() OVER (PARTITION BY source_date ORDER BY first_us, icao) - 1) % 20 AS INTEGER) AS color_index
 FROM per"""
 
-    q["tracks"] = _with(pts, _track_pos()) + _tracks_sql()
+    q["tracks"] = _with(pts, _track_pos(), _parts_cte()) + _tracks_sql()
 
     q["track_endpoints"] = _with(pts, _track_pos()) + """
 SELECT source_date, icao, count(*) AS n_points,
@@ -320,13 +328,11 @@ SELECT source_date, icao, count(*) AS n_points,
        make_timestamp(arg_max(event_us, pos)) AS last_time
 FROM tp GROUP BY source_date, icao"""
 
-    n = P.TRACK_SEGMENT_POINTS
     props = (
-        """'"properties":{"kind":"' || KIND || '","icao":"' || s.icao || '","source_date":"' || s.source_date
-        || '","popup":"ICAO: ' || s.icao || '<br>Points: ' || CAST(s.n_points AS VARCHAR)
-        || '","color_index":' || CAST(s.color_index AS VARCHAR) || '}'"""
+        """'"properties":' || json_object('kind', KIND, 'icao', s.icao, 'source_date', s.source_date,
+        'popup', 'ICAO: ' || s.icao || '<br>Points: ' || CAST(s.n_points AS VARCHAR), 'color_index', s.color_index)"""
     )
-    q["track_features"] = _with(pts, _track_pos(), _zones_cte(), f"""
+    q["track_features"] = _with(pts, _track_pos(), _parts_cte(), _zones_cte(), f"""
 summ AS (
   SELECT source_date, icao, count(*) AS n_points,
          CAST((row_number() OVER (PARTITION BY source_date ORDER BY min(event_us), icao) - 1) % 20 AS INTEGER) AS color_index,
@@ -335,9 +341,9 @@ summ AS (
   FROM tp GROUP BY source_date, icao
 ),
 segs AS (
-  SELECT source_date, icao, CAST((pos - 1) // {n} AS BIGINT) AS segment,
+  SELECT source_date, icao, CAST(part AS BIGINT) AS segment,
          string_agg('[' || {_f6('longitude')} || ',' || {_f6('latitude')} || ']', ',' ORDER BY pos) AS coords
-  FROM tp GROUP BY source_date, icao, (pos - 1) // {n}
+  FROM px GROUP BY source_date, icao, part HAVING count(*) > 1
 )""") + f"""
 SELECT 'track' AS feature_kind, s.source_date, s.icao AS name, g.segment,
        '{{"type":"Feature","geometry":{{"type":"LineString","coordinates":[' || g.coords || ']}},'
@@ -357,7 +363,7 @@ UNION ALL
 SELECT 'zone', CAST(NULL AS VARCHAR), zone, CAST(NULL AS BIGINT),
        '{{"type":"Feature","geometry":{{"type":"Polygon","coordinates":[[' ||
        array_to_string(list_transform(ring, lambda v: '[' || {_f6('v.lon')} || ',' || {_f6('v.lat')} || ']'), ',')
-       || ']]}},"properties":{{"kind":"zone","name":"' || zone || '"}}}}'
+       || ']]}},"properties":' || json_object('kind', 'zone', 'name', zone) || '}}'
 FROM zr"""
 
     q["valid_dates"] = _with(_DATES) + "\nSELECT date_str, kind, valid FROM vd"
@@ -434,20 +440,24 @@ SELECT source_date,
        count(*) AS n_points, count(DISTINCT icao) AS n_aircraft
 FROM hd2 GROUP BY 1, 2"""
 
-    q["legs"] = _with(pts, _track_pos(), f"""
+    q["legs"] = _with(pts, f"""
+lp AS (SELECT *, row_number() OVER (PARTITION BY source_date, icao ORDER BY {_ORDER}) AS pos,
+              CASE WHEN latitude IS NOT NULL AND longitude IS NOT NULL THEN latitude END AS plat,
+              CASE WHEN latitude IS NOT NULL AND longitude IS NOT NULL THEN longitude END AS plon
+       FROM points WHERE icao IS NOT NULL),
 lg AS (SELECT *, sum(CASE WHEN (flags_bitfield & 2) <> 0 THEN 1 ELSE 0 END)
                    OVER (PARTITION BY source_date, icao ORDER BY {_ORDER} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS leg
-       FROM tp)""") + """
+       FROM lp)""") + """
 SELECT source_date, icao, CAST(leg AS BIGINT) AS leg, count(*) AS n_points,
        make_timestamp(arg_min(event_us, pos)) AS start_time, make_timestamp(arg_max(event_us, pos)) AS end_time,
-       arg_min(latitude, pos) AS start_lat, arg_min(longitude, pos) AS start_lon,
-       arg_max(latitude, pos) AS end_lat, arg_max(longitude, pos) AS end_lon
+       arg_min(plat, pos) AS start_lat, arg_min(plon, pos) AS start_lon,
+       arg_max(plat, pos) AS end_lat, arg_max(plon, pos) AS end_lon
 FROM lg GROUP BY source_date, icao, leg"""
 
     q["movements"] = _with(pts, f"""
 k AS (SELECT *, lag(on_ground) OVER (PARTITION BY source_date, icao ORDER BY {_ORDER}) AS prev_ground,
              lag(event_us) OVER (PARTITION BY source_date, icao ORDER BY {_ORDER}) AS prev_us
-      FROM vp WHERE altitude_ft IS NOT NULL)""") + """
+      FROM points WHERE icao IS NOT NULL AND altitude_ft IS NOT NULL)""") + """
 SELECT source_date, icao,
        CASE WHEN prev_ground AND NOT on_ground THEN 'departure' WHEN NOT prev_ground AND on_ground THEN 'arrival' END AS movement,
        datetime_utc AS "time", make_timestamp(prev_us) AS prev_time, latitude, longitude
@@ -483,7 +493,7 @@ SELECT source_date, icao, arg_max(callsign, event_us) AS callsign, count(DISTINC
 FROM cs WHERE callsign IS NOT NULL GROUP BY source_date, icao"""
 
     q["zone_trajectories"] = _with(pts, _zones_cte(), _inside_cte(), """
-visitors AS (SELECT DISTINCT zone, source_date, icao FROM inside)""", _track_pos(), """
+visitors AS (SELECT DISTINCT zone, source_date, icao FROM inside)""", _track_pos(), _parts_cte(), """
 trk AS (""" + _tracks_sql() + ")") + """
 SELECT v.zone, t.* FROM visitors v JOIN trk t ON v.source_date = t.source_date AND v.icao = t.icao"""
 
@@ -501,9 +511,17 @@ SELECT source_date, source_type, count(*) AS n_points, count(DISTINCT icao) AS n
 FROM points GROUP BY source_date, source_type"""
 
     q["hourly_partitions"] = _with(pts) + """
-SELECT source_date, hour, count(*) AS n_rows FROM points GROUP BY source_date, hour"""
+SELECT source_date, hour, count(*) AS n_rows, true AS has_files, true AS has_bytes FROM points GROUP BY source_date, hour"""
+
+    q["window_files"] = _with(pts, _windows_cte(P.WINDOWS[1:])) + """
+SELECT source_date, w.label AS "window", count(*) AS n_rows, count(DISTINCT icao) AS n_aircraft, min(event_us) AS first_us
+FROM points p JOIN wins w ON p.hour >= w.ws AND p.hour < w.we GROUP BY source_date, w.label"""
 
-    q["stream_ingest"] = q["hourly_partitions"]
+    q["stream_ingest"] = _with(pts, _zones_cte(), _inside_cte(), """
+mem AS (SELECT source_date, count(DISTINCT path || '/' || CAST(seq AS VARCHAR)) AS n_inside, count(*) AS n_memberships FROM inside GROUP BY 1)""") + """
+SELECT p.source_date, count(*) AS n_rows, count(DISTINCT icao) AS n_aircraft, count(DISTINCT path) AS n_docs,
+       count(DISTINCT hour) AS n_hours, coalesce(max(n_inside), 0) AS n_inside, coalesce(max(n_memberships), 0) AS n_memberships
+FROM points p LEFT JOIN mem m ON p.source_date = m.source_date GROUP BY p.source_date"""
 
     q["stream_hourly_counts"] = _with(pts) + """
 SELECT make_timestamp((event_us // 3600000000) * 3600000000) AS hour_start, count(*) AS n_rows

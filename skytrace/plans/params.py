@@ -26,7 +26,8 @@ LOCAL_WINDOWS = [("0900-1200", 9, 12), ("1900-2100", 19, 21)]
 # One window for the single-window filter query.
 WINDOW_FILTER = (1, 4)
 
-# Points per track segment (a track is emitted as consecutive segments).
+# Points per track part. A part also repeats the last point of the part before,
+# so the parts draw the whole track; the size only bounds a row's list.
 TRACK_SEGMENT_POINTS = 1000
 
 # Link-scan parameters over the ``pages`` table. The pages hold no release

@@ -53,6 +53,11 @@ def valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return valid_positions(points(spark, sf_dir))
 
 
+def located(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points of a known aircraft, with a position or without."""
+    return points(spark, sf_dir).where(F.col("icao").isNotNull())
+
+
 _ZONES: dict[str, DataFrame] = {}
 
 
@@ -61,9 +66,10 @@ def key_stats(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
     rows of the largest aircraft-day and aircraft of the largest date.
     Upper bounds for every subset a query scans, so the sequence scans can
     skip their own hot-key check when these are small."""
-    from .store import point_stats
+    from .store import point_stats, stored_path
 
-    return point_stats(points(spark, sf_dir), f"{spark.sparkContext.applicationId}|{sf_dir}")
+    path = stored_path(spark, sf_dir, "points", lambda: points_fresh(spark, sf_dir))
+    return point_stats(spark.read.parquet(path), path)
 
 
 def zones(spark: SparkSession) -> DataFrame:
@@ -255,11 +261,11 @@ def q_direction_counts(spark, sf_dir):
 
 
 def q_legs(spark, sf_dir):
-    return mv.legs(valid(spark, sf_dir), key_stats(spark, sf_dir)[0])
+    return mv.legs(located(spark, sf_dir), key_stats(spark, sf_dir)[0])
 
 
 def q_movements(spark, sf_dir):
-    return mv.movements(valid(spark, sf_dir), key_stats(spark, sf_dir)[0])
+    return mv.movements(located(spark, sf_dir), key_stats(spark, sf_dir)[0])
 
 
 def q_zone_membership(spark, sf_dir):
@@ -301,55 +307,71 @@ def q_hourly_partitions(spark, sf_dir):
 
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/hourly-{uuid.uuid4().hex}"
     write_hourly(points(spark, sf_dir), base)
-    return hourly_file_stats(spark, base).select("source_date", "hour", "n_rows")
+    write_hourly(points(spark, sf_dir), base)  # a second run replaces what the first wrote
+    return hourly_file_stats(spark, base).select(
+        "source_date", "hour", "n_rows", (F.col("n_files") > 0).alias("has_files"), (F.col("n_bytes") > 0).alias("has_bytes"))
+
+
+def q_window_files(spark, sf_dir):
+    """Window rows written per (date, window), written again without the rows
+    of the first window, and read back: the second run replaces the first."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    from ..sinks.files import write_windows
+
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/windows-{uuid.uuid4().hex}"
+    p = points(spark, sf_dir)
+    write_windows(p, P.WINDOWS, base)
+    write_windows(p, P.WINDOWS[1:], base, dates=[r[0] for r in p.select("source_date").distinct().collect()])
+    return spark.read.parquet(base).groupBy(F.col("source_date").cast("string").alias("source_date"), "window").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("icao").alias("n_aircraft"), F.min("event_us").alias("first_us"))
 
 
 def q_stream_hourly_counts(spark, sf_dir):
-    """Hourly counts as a Structured Streaming query: the events table as a
-    file stream, fixture point fields, UTC hour windows with a watermark,
-    run to completion (``availableNow``) into a memory table."""
+    """Hourly counts as a Structured Streaming query: the events table, a file
+    or a folder of part files, as a file stream; fixture point fields; UTC
+    hour windows with a watermark, written by micro-batch (``availableNow``)
+    and read back."""
     import uuid
 
     from ..functions.timefn import epoch_us
+    from ..session import ensure_checkpoint_dir
     from ..sources.events_docs import _fields, _raw
-    from ..streaming.ingest import hourly_counts_stream
+    from ..streaming.ingest import read_hourly_counts, start_hourly_counts
 
-    path = f"{sf_dir}/events.parquet"
-    schema = spark.read.parquet(path).schema
-    ev = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    schema = read_table(spark, sf_dir, "events").schema
+    ev = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")  # the stream source takes folders and globs
     f = _fields(F.col)
     pts = _raw(ev).select(epoch_us(f["timestamp"], f["seconds_after_timestamp"]).alias("event_us"))
-    from ..session import ensure_checkpoint_dir
-
-    name = f"hourly_stream_{uuid.uuid4().hex[:12]}"
-    ckpt = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{name}"
-    q = (
-        hourly_counts_stream(pts).writeStream.format("memory").queryName(name)
-        .option("checkpointLocation", ckpt)
-        .outputMode("complete").trigger(availableNow=True).start()
-    )
-    q.awaitTermination()
-    return spark.table(name).select(ntz_from_us("window_start_us").alias("hour_start"), "n_rows")
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    # One bounded run over a table in no order of time: no row may come late.
+    start_hourly_counts(pts, f"{root}/counts", f"{root}/_checkpoint", watermark="36500 days").awaitTermination()
+    c = read_hourly_counts(spark, f"{root}/counts")
+    return c.select(ntz_from_us("window_start_us").alias("hour_start"), "n_rows")
 
 
 def q_stream_ingest(spark, sf_dir):
     """Incremental ingest as a stream: the documents land as NDJSON files per
-    date, a file stream flattens them into the hour-partitioned Parquet sink
-    (``availableNow``, checkpointed in the shared folder); the sink is read
-    back as rows per (source_date, hour)."""
+    date, a file stream flattens them into the hour-partitioned table
+    (``availableNow``, checkpointed in the shared folder). Read back per date:
+    rows, documents, aircraft, and rows and points of the zone membership."""
     import uuid
 
     from ..session import ensure_checkpoint_dir
+    from ..sinks.files import read_hourly
     from ..streaming.ingest import start_ingest, stream_points
 
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-ingest-{uuid.uuid4().hex}"
     docs(spark, sf_dir).select("source_date", "content").write.partitionBy("source_date").text(f"{root}/landing")
-    q = start_ingest(stream_points(spark, f"{root}/landing", lines=True), f"{root}/points", f"{root}/_checkpoint")
-    q.awaitTermination()
-    from ..sinks.files import read_hourly
-
-    return read_hourly(spark, f"{root}/points").groupBy("source_date", "hour").agg(
-        F.count(F.lit(1)).alias("n_rows"))
+    start_ingest(stream_points(spark, f"{root}/landing", lines=True), f"{root}/points", f"{root}/_checkpoint").awaitTermination()
+    p = read_hourly(spark, f"{root}/points")
+    per_date = stats.multi_date_counts(p)
+    inside = mv.zone_membership(valid_positions(p), zones(spark)).groupBy("source_date").agg(
+        F.count(F.lit(1)).alias("n_inside"), F.sum("n_zones").alias("n_memberships"))
+    return per_date.join(inside, "source_date", "left").select(
+        "source_date", "n_rows", "n_aircraft", "n_docs", "n_hours",
+        F.coalesce("n_inside", F.lit(0)).alias("n_inside"), F.coalesce("n_memberships", F.lit(0)).alias("n_memberships"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -390,6 +412,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "metadata_fields": q_metadata_fields,
     "source_mix": q_source_mix,
     "hourly_partitions": q_hourly_partitions,
+    "window_files": q_window_files,
     "stream_hourly_counts": q_stream_hourly_counts,
     "stream_ingest": q_stream_ingest,
 }

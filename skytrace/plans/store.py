@@ -8,13 +8,12 @@ reuse an exchange between them; from Parquet each branch is a cheap pruned
 scan. Writing the table also cuts the lineage: a lost executor re-reads
 files instead of recomputing the ingest.
 
-The table is keyed by the source file (path, size, modification time), so a
-changed input is ingested again.
+The table is keyed by the source's files (name, size, modification time), so
+a changed input is ingested again, and its statistics by the stored folder.
 """
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,12 +24,13 @@ _STORED: dict[tuple, str] = {}
 
 
 def _source_key(spark: SparkSession, sf_dir: str, table: str) -> tuple:
+    """Path, sizes and modification times of all files of the source, through
+    the file system that holds it."""
     path = f"{sf_dir}/{table}.parquet"
-    try:
-        st = os.stat(path)
-        stamp = (st.st_size, st.st_mtime_ns)
-    except OSError:
-        stamp = None
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    stamp = tuple(sorted((st.getPath().getName(), st.getLen(), st.getModificationTime()) for st in fs.listStatus(p)))
     return spark.sparkContext.applicationId, path, stamp
 
 
@@ -41,15 +41,20 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))
 
 
-def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """Parquet copy of ``build()`` for this source, written on first use."""
+def stored_path(spark: SparkSession, sf_dir: str, name: str, build) -> str:
+    """Folder of the Parquet copy of ``build()`` for this source, written on
+    first use and again when a file of the source changed."""
     key = (*_source_key(spark, sf_dir, "events"), name)
     path = _STORED.get(key)
     if path is None or not _exists(spark, path):
         path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
         build().write.mode("overwrite").parquet(path)
         _STORED[key] = path
-    return spark.read.parquet(path)
+    return path
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    return spark.read.parquet(stored_path(spark, sf_dir, name, build))
 
 
 _POINT_STATS: dict[str, tuple[int, int]] = {}

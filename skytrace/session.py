@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,8 +44,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, tz: str |
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the cluster's checkpoint folder (``spark.checkpoint.dir``).
 
-    On a cluster that setting names a shared folder and is used as is. Only
-    when it is unset (local tests, bench) a fresh scratch folder is made.
+    On a cluster that setting names a shared folder and is used as is. Where
+    it is unset, a local master gets a fresh scratch folder; any other master
+    is refused, as its executors share no local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -52,6 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
+        if not fallback and not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf = fallback or tempfile.mkdtemp(prefix="skytrace-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf

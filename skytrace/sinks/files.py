@@ -1,14 +1,17 @@
 """File sinks: hourly point partitions, per-window files, GeoJSON features.
 
-Hourly sink: one write job, ``partitionBy(source_date, hour)`` with dynamic
-partition overwrite, so dates not in this run are untouched. Hours that held
-rows in an earlier run of a written date but have none now would survive a
-dynamic overwrite; they are removed afterwards from the listing of the
-written dates (a metadata operation on at most 24 folders per date).
+A run writes into a folder of its own below the table (``_run-…``, which
+readers skip) and then replaces exactly its dates: each old date folder goes,
+the new one takes its place. Hours and windows that hold no rows any more go
+with it, other dates are untouched, and file times play no part. Micro-batches
+of a stream add files to the hour folders under names that carry the batch, so
+that a repeated batch replaces its own files and nothing else.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,65 +29,77 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
-def write_hourly(points: DataFrame, base: str, fmt: str = "parquet") -> list[tuple[str, int]]:
-    """Write points under ``base/source_date=<d>/hour=<h>/``; returns the
-    (date, hour) partitions written by this run.
+def _run_folder(base: str, name: str = "") -> str:
+    return f"{base.rstrip('/')}/_run-{name or uuid.uuid4().hex}"
 
-    CSV output carries the 23 point columns with a header, ``datetime_utc``
-    as ISO-8601 text and null as an empty field.
-    """
-    spark = points.sparkSession
+
+def _folders(fs, path, key: str) -> dict:
+    """Partition folders ``key=value`` directly below a path, by value."""
+    found = (st.getPath() for st in (fs.listStatus(path) if fs.exists(path) else []) if st.isDirectory())
+    return {p.getName()[len(key) + 1 :]: p for p in found if p.getName().startswith(f"{key}=")}
+
+
+def _replace_dates(spark: SparkSession, run: str, base: str, dates: list[str] | None) -> None:
+    """Put the run's date folders in place of the table's; ``dates`` without
+    rows in the run lose their folder."""
+    fs, root, jvm = _fs(spark, base)
+    new = _folders(fs, jvm.org.apache.hadoop.fs.Path(run), "source_date")
+    for d in sorted({*new, *(dates or [])}):
+        target = jvm.org.apache.hadoop.fs.Path(root, f"source_date={d}")
+        fs.delete(target, True)
+        if d in new and not fs.rename(new[d], target):
+            raise OSError(f"cannot move {new[d]} to {target}")
+    fs.delete(jvm.org.apache.hadoop.fs.Path(run), True)
+
+
+def _hourly_rows(points: DataFrame, fmt: str) -> DataFrame:
+    """The sink's columns, rows of an hour together; ``rebalance`` lets a hot
+    hour spread over several tasks."""
     out = points.select(*POINT_FILE_COLUMNS, "source_date", "hour")
     if fmt == "csv":
         out = out.withColumn("datetime_utc", iso_utc("event_us")).select(*S.POINT_COLUMNS, "source_date", "hour")
-    # Cluster each (date, hour) so a task writes few files; ``rebalance`` lets
-    # AQE split a hot hour over several tasks instead of one.
-    out = out.hint("rebalance", "source_date", "hour")
-    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source_date", "hour")
-    if fmt == "csv":
-        writer = writer.option("header", True).option("nullValue", "")
+    return out.hint("rebalance", "source_date", "hour")
+
+
+def _writer(out: DataFrame, fmt: str, *partitions: str):
+    w = out.write.mode("overwrite").format(fmt).partitionBy(*partitions)
+    return w.option("header", True).option("nullValue", "") if fmt == "csv" else w
 
-    fs, root, jvm = _fs(spark, base)
-    fs.mkdirs(root)
-    marker = jvm.org.apache.hadoop.fs.Path(root, "_write_started")
-    fs.create(marker, True).close()
-    t0 = fs.getFileStatus(marker).getModificationTime()
-    fs.delete(marker, False)
-    writer.format(fmt).save(base)
-    return _drop_stale_hours(spark, base, t0)
-
-
-def _newest(fs, path) -> int:
-    return max((st.getModificationTime() for st in fs.listStatus(path) if st.isFile()), default=-1)
-
-
-def _drop_stale_hours(spark: SparkSession, base: str, t0: int) -> list[tuple[str, int]]:
-    """For each date this run wrote (an hour folder with files from this
-    run), delete its hour folders holding only older files. File-system
-    metadata only; the data is not read again."""
-    fs, root, _ = _fs(spark, base)
-    written: list[tuple[str, int]] = []
-    for dst in fs.listStatus(root):
-        dname = dst.getPath().getName()
-        if not (dst.isDirectory() and dname.startswith("source_date=")):
-            continue
-        # A date folder this run wrote into changed after t0. Object stores
-        # report 0 for folders; those are always listed.
-        if 0 < dst.getModificationTime() < t0:
-            continue
-        hours = [
-            (int(h.getPath().getName()[5:]), h.getPath())
-            for h in fs.listStatus(dst.getPath())
-            if h.isDirectory() and h.getPath().getName().startswith("hour=")
-        ]
-        fresh = {hour for hour, p in hours if _newest(fs, p) >= t0}
-        if not fresh:
-            continue
-        for hour, p in hours:
-            if hour not in fresh:
-                fs.delete(p, True)
-        written += [(dname[len("source_date="):], h) for h in sorted(fresh)]
-    return sorted(written)
+
+def write_hourly(points: DataFrame, base: str, fmt: str = "parquet", dates: list[str] | None = None) -> list[tuple[str, int]]:
+    """Write points under ``base/source_date=<d>/hour=<h>/`` and return the
+    (date, hour) partitions of this run. ``dates`` are the dates of the run
+    (default: those with rows); each is replaced as a whole.
+
+    CSV output carries the 23 point columns with a header, ``datetime_utc``
+    as ISO-8601 text and null as an empty field.
+    """
+    spark, run = points.sparkSession, _run_folder(base)
+    _writer(_hourly_rows(points, fmt), fmt, "source_date", "hour").save(run)
+    fs, at, _ = _fs(spark, run)
+    written = sorted((d, int(h)) for d, p in _folders(fs, at, "source_date").items() for h in _folders(fs, p, "hour"))
+    _replace_dates(spark, run, base, dates)
+    return written
+
+
+def append_hourly(points: DataFrame, base: str, batch: str) -> None:
+    """Add a micro-batch to the hourly table. ``batch`` names it: the same
+    batch written again replaces its own files."""
+    spark, run = points.sparkSession, _run_folder(base, batch)
+    _writer(_hourly_rows(points, "parquet"), "parquet", "source_date", "hour").save(run)
+    fs, at, jvm = _fs(spark, run)
+    for d, date_folder in _folders(fs, at, "source_date").items():
+        for h, hour_folder in _folders(fs, date_folder, "hour").items():
+            target = jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/source_date={d}/hour={h}")
+            fs.mkdirs(target)
+            for st in fs.listStatus(target):
+                if st.getPath().getName().startswith(f"{batch}-"):
+                    fs.delete(st.getPath(), False)
+            for st in fs.listStatus(hour_folder):
+                name = st.getPath().getName()
+                if not name.startswith((".", "_")):
+                    fs.rename(st.getPath(), jvm.org.apache.hadoop.fs.Path(target, f"{batch}-{name}"))
+    fs.delete(at, True)
 
 
 def _file_schema(fmt: str) -> T.StructType:
@@ -126,9 +141,10 @@ def hourly_file_stats(spark: SparkSession, base: str, fmt: str = "parquet") -> D
     return g.withColumn("size_mb", F.round(F.col("n_bytes") / F.lit(1024.0 * 1024.0), 1))
 
 
-def write_windows(points: DataFrame, windows, base: str, fmt: str = "parquet") -> None:
+def write_windows(points: DataFrame, windows, base: str, fmt: str = "parquet", dates: list[str] | None = None) -> None:
     """One folder per (source_date, window), front columns first, rows in
-    time order: range partitioning splits a large window over several
+    time order; the dates of the run (default: those with rows) are replaced
+    as a whole, so a window without rows any more goes. Range partitioning splits a large window over several
     files, each a contiguous, sorted time range. CSV output has a header,
     ``datetime_utc`` as ISO-8601 text and empty fields for null."""
     from ..operators.windows import reorder_window_columns
@@ -139,10 +155,9 @@ def write_windows(points: DataFrame, windows, base: str, fmt: str = "parquet") -
     if fmt == "csv":
         cols = [c for c in t.columns if c not in ("path", "event_us", "seq", "hour", "altitude_ft_num", "on_ground")]
         t = t.withColumn("datetime_utc", iso_utc("event_us")).select(*cols)
-    w = t.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source_date", "window")
-    if fmt == "csv":
-        w = w.option("header", True).option("nullValue", "")
-    w.format(fmt).save(base)
+    run = _run_folder(base)
+    _writer(t, fmt, "source_date", "window").save(run)
+    _replace_dates(points.sparkSession, run, base, dates)
 
 
 def write_features(features: DataFrame, path: str) -> None:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .trace_docs import DATE_IN_PATH
+from .trace_docs import date_of_path
 
 GUNZIP_SCHEMA = T.StructType([T.StructField("text", T.StringType()), T.StructField("status", T.StringType())])
 
@@ -61,7 +61,7 @@ def read_gzip_traces(spark: SparkSession, traces_dir: str) -> DataFrame:
     g = raw.where(F.length(bucket) == 2).select("path", gunzip_text("content").alias("g"))
     return g.select(
         "path",
-        F.regexp_extract("path", DATE_IN_PATH, 1).alias("source_date"),
+        date_of_path(F.col("path")).alias("source_date"),
         F.col("g.text").alias("content"),
         F.col("g.status").alias("status"),
     )
@@ -152,7 +152,7 @@ def tar_member_index(groups: DataFrame) -> DataFrame:
     return groups.select("archive", "parts").repartition("archive").mapInPandas(_index_archives, MEMBER_SCHEMA)
 
 
-CONTENT_SCHEMA = "archive STRING, member STRING, content BINARY"
+CONTENT_SCHEMA = "archive STRING, parts STRING, member STRING, content BINARY"
 
 
 MAX_BATCH_BYTES = 64 << 20
@@ -161,7 +161,7 @@ MAX_BATCH_BYTES = 64 << 20
 def _read_members(batches):
     """Member byte ranges → contents, emitted in batches of at most
     ``MAX_BATCH_BYTES`` so a task never holds many members at once."""
-    cols = ["archive", "member", "content"]
+    cols = ["archive", "parts", "member", "content"]
     for pdf in batches:
         out, held = [], 0
         streams: dict[str, _Concat] = {}  # parts opened once per batch
@@ -173,7 +173,7 @@ def _read_members(batches):
                 if stream is None:
                     stream = streams[parts] = _Concat(parts.split(","))
                 stream.seek(int(offset))
-                out.append((archive, member, stream.read(int(size))))
+                out.append((archive, parts, member, stream.read(int(size))))
                 held += int(size)
                 if held >= MAX_BATCH_BYTES:
                     yield pd.DataFrame(out, columns=cols)
@@ -197,11 +197,17 @@ def read_tar_members(index: DataFrame, member_glob: str = r"(^|/)traces/[^/]{2}/
 def tar_trace_docs(index: DataFrame, source_date: str | None = None) -> DataFrame:
     """Gzip trace members of archives → ``(path, source_date, content, status)``."""
     raw = read_tar_members(index)
-    g = raw.select("archive", "member", gunzip_text("content").alias("g"))
-    date = F.lit(source_date) if source_date else F.regexp_extract("archive", DATE_IN_PATH, 1)
-    return g.select(
-        F.concat_ws("!", "archive", "member").alias("path"),
+    g = raw.select("archive", "parts", "member", gunzip_text("content").alias("g"))
+    parts = F.col("parts")  # the archive's date folder; else the date in its name
+    name = F.regexp_extract("archive", r"(\d{4}\.\d{2}\.\d{2})", 1)
+    date = F.lit(source_date) if source_date else F.coalesce(F.nullif(date_of_path(parts), F.lit("")), name)
+    read = g.select(
+        F.concat_ws("!", F.substring_index("parts", ",", 1), "member").alias("path"),
         date.alias("source_date"),
         F.col("g.text").alias("content"),
         F.col("g.status").alias("status"),
     )
+    # An archive that cannot be read is one failed document.
+    broken = index.where(F.col("status") != "ok").select(
+        F.substring_index("parts", ",", 1).alias("path"), date.alias("source_date"), F.lit(None).cast("string").alias("content"), "status")
+    return read.unionByName(broken)

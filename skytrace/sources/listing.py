@@ -32,12 +32,15 @@ def files_from_orders(orders: DataFrame) -> DataFrame:
 
 def archive_groups(files: DataFrame) -> DataFrame:
     """``(path, name)`` listing → one row per archive with its ordered parts.
+    Files belong together by folder and base name: equal names under two
+    dates are two archives.
 
     A group holds the distinct files of one base name, so its list is bounded
     by the number of part suffixes, not by the size of the listing.
     """
     f = files.where(F.col("name").rlike(r"\.tar") & accepted_asset("name"))
-    g = f.groupBy(archive_base("name").alias("archive")).agg(
+    folder = F.expr("left(path, length(path) - length(name))")
+    g = f.groupBy(folder.alias("_folder"), archive_base("name").alias("archive")).agg(
         F.count(F.lit(1)).alias("n_parts"),
         F.array_join(F.sort_array(F.collect_list("path")), ",").alias("parts"),
         F.max("name").alias("_one"),

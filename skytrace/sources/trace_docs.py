@@ -1,20 +1,25 @@
 """Trace-document and point-table file sources.
 
 * ``read_trace_docs``: every ``trace_full_*.json`` under one or more date
-  folders, one whole file = one document row (``wholetext``). The date comes
-  from the ``YYYY.MM.DD`` folder in the path, so many dates are one scan.
+  folders, one whole file = one document row (``wholetext``). The date is the
+  last ``YYYY.MM.DD`` folder of the path, so many dates are one scan.
 * ``read_points_csv``: the 23-column point CSV with an explicit schema
   (never inferred: a hex id like ``7380e5`` must stay text).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
 
-DATE_IN_PATH = r"(\d{4}\.\d{2}\.\d{2})"
+#: The last folder of a path that is a date, alone or as a partition value.
+DATE_IN_PATH = r".*[/=](\d{4}\.\d{2}\.\d{2})/"
+
+
+def date_of_path(path) -> Column:
+    return F.regexp_extract(path, DATE_IN_PATH, 1)
 
 
 def read_trace_docs(spark: SparkSession, paths, glob: str = "trace_full_*.json") -> DataFrame:
@@ -30,7 +35,7 @@ def read_trace_docs(spark: SparkSession, paths, glob: str = "trace_full_*.json")
     path = F.col("_metadata.file_path")
     return raw.select(
         path.alias("path"),
-        F.regexp_extract(path, DATE_IN_PATH, 1).alias("source_date"),
+        date_of_path(path).alias("source_date"),
         F.col("value").alias("content"),
     )
 

@@ -4,8 +4,8 @@
   = one row) → the same flatten as the batch path. The file source tracks
   what it has read in the checkpoint, so a restart after an executor or
   driver loss neither loses nor duplicates documents.
-* ``start_ingest``: points → hour-partitioned Parquet (file sink, exactly
-  once through its commit log), e.g. ``trigger(availableNow=True)``.
+* ``start_ingest``: points → the hour-partitioned table of the batch writer,
+  one named batch at a time, e.g. ``trigger(availableNow=True)``.
 * ``hourly_counts_stream``: event-time hour windows with a watermark. The
   window runs on the UTC instant (``timestamp_micros``), so hours are UTC
   whatever the session time zone. Batch ``hourly_counts`` is keyed by
@@ -14,12 +14,15 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.flatten import flatten_docs
-from ..sources.trace_docs import DATE_IN_PATH
+from ..sinks.files import append_hourly
+from ..sources.trace_docs import date_of_path
 
 
 def stream_docs(spark: SparkSession, src_dir: str, max_files_per_trigger: int | None = None,
@@ -35,11 +38,9 @@ def stream_docs(spark: SparkSession, src_dir: str, max_files_per_trigger: int |
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = r.load(src_dir)
     path = F.col("_metadata.file_path")
-    return raw.select(
-        path.alias("path"),
-        F.regexp_extract(path, DATE_IN_PATH, 1).alias("source_date"),
-        F.col("value").alias("content"),
-    )
+    # A line's own id: equal lines of a file are one document.
+    doc = F.concat_ws("#", path, F.sha2("value", 256)) if lines else path
+    return raw.select(doc.alias("path"), date_of_path(path).alias("source_date"), F.col("value").alias("content"))
 
 
 def stream_points(spark: SparkSession, src_dir: str, max_files_per_trigger: int | None = None,
@@ -47,22 +48,37 @@ def stream_points(spark: SparkSession, src_dir: str, max_files_per_trigger: int
     return flatten_docs(stream_docs(spark, src_dir, max_files_per_trigger, lines))
 
 
-def start_ingest(points: DataFrame, out_dir: str, checkpoint: str, available_now: bool = True,
-                 cluster_by_hour: bool = True) -> StreamingQuery:
-    """Points → hour-partitioned Parquet. ``cluster_by_hour`` shuffles each
-    micro-batch by (source_date, hour) so a batch writes one file per hour
-    partition instead of one per input task and hour; a batch's size (and so
-    a task's share) is bounded by ``maxFilesPerTrigger`` on the source."""
-    if cluster_by_hour:
-        points = points.repartition("source_date", "hour")
-    w = (
-        points.writeStream.format("parquet")
-        .option("checkpointLocation", checkpoint)
-        .partitionBy("source_date", "hour")
-        .outputMode("append")
-    )
+def start_ingest(points: DataFrame, out_dir: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """Points → the hourly table that the batch writer writes as well. Each
+    micro-batch goes through ``append_hourly`` under a name made of this
+    stream's checkpoint and the batch id: a batch repeated after a failure
+    replaces its own files, and batch rows of other runs stay readable."""
+    stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        append_hourly(batch, out_dir, f"s{stream}-{batch_id}")
+
+    w = points.writeStream.option("checkpointLocation", checkpoint).outputMode("append").foreachBatch(write)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
-    return w.start(out_dir)
+    return w.start()
+
+
+def start_hourly_counts(points: DataFrame, out_dir: str, checkpoint: str, watermark: str = "1 hour") -> StreamingQuery:
+    """Hourly counts of a stream into ``out_dir/batch=<id>``: each micro-batch
+    writes the windows that it changed (update mode, so the watermark drops
+    old state), and nothing passes through the driver."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/batch={batch_id}")
+
+    counts = hourly_counts_stream(points, watermark)
+    return counts.writeStream.option("checkpointLocation", checkpoint).outputMode("update").foreachBatch(write) \
+        .trigger(availableNow=True).start()
+
+
+def read_hourly_counts(spark: SparkSession, out_dir: str) -> DataFrame:
+    """(window_start_us, n_rows): the latest count of each window."""
+    rows = spark.read.schema("window_start_us long, n_rows long, batch long").parquet(out_dir)
+    return rows.groupBy("window_start_us").agg(F.max_by("n_rows", "batch").alias("n_rows"))
 
 
 def hourly_counts_stream(points: DataFrame, watermark: str = "1 hour") -> DataFrame:
