@@ -42,7 +42,12 @@ UNITS = {
     "sentence": re.compile(r"(?<=[.!?])[ \t]+|\n+"),
 }
 _DROPPED = re.compile(r"[\W_]+")
-SCHEMA = "doc_id long, t long, unit int, from int, to int, n_words int, h1 long, h2 long, again boolean"
+#: A unit in six numbers, as it is shuffled: ``place`` holds its number and
+#: words, ``span`` its offsets, 32 bits each.
+SCHEMA = "doc_id long, t long, place long, span long, h1 long, h2 long, again boolean"
+#: So many changed documents (16 bytes each) may be broadcast to pick their
+#: texts; more are joined by shuffling all texts.
+BROADCAST_DOCS = 4_000_000
 
 
 def cut(text: str, unit: str) -> Iterator[tuple[int, int]]:
@@ -71,11 +76,11 @@ def _units(unit: str):
                     for i, j in cut(text, unit):
                         if plain := normalised(text[i:j]):
                             h = xxhash.xxh3_128_digest(plain.encode("utf-8", "surrogatepass"))
-                            rows.append((doc_id, t, k, i, j, plain.count(" ") + 1, h in seen))
+                            rows.append((doc_id, t, k << 32 | plain.count(" ") + 1, i << 32 | j, h in seen))
                             halves.append(h)
                             seen.add(h)
                             k += 1
-                out = pd.DataFrame(rows, columns=["doc_id", "t", "unit", "from", "to", "n_words", "again"])
+                out = pd.DataFrame(rows, columns=["doc_id", "t", "place", "span", "again"])
                 both = np.frombuffer(b"".join(halves), np.int64).reshape(-1, 2)
                 yield out.assign(h1=both[:, 0], h2=both[:, 1])
 
@@ -94,10 +99,12 @@ def repeats(docs: DataFrame, unit: str = "sentence", min_words: int = MIN_WORDS)
     units = written(rows.mapInPandas(_units(unit), SCHEMA), "repeat-units")
     firsts = units.where("not again").groupBy("h1", "h2").agg(F.min("doc_id").alias("kept_in"), F.max("doc_id").alias("last"))
     shared = firsts.where("last > kept_in").select("h1", "h2", "kept_in")
-    place = ["doc_id", "t", "unit", "from", "to", "n_words"]
-    foreign = units.join(shared, ["h1", "h2"]).where("doc_id > kept_in").select(*place, "kept_in")
-    own = units.where("again").select(*place, F.col("doc_id").alias("kept_in"))
-    gone = foreign.unionByName(own).groupBy(*place).agg(F.min("kept_in").alias("kept_in"))
+    key = ["doc_id", "t", "place", "span"]
+    foreign = units.select(*key, "h1", "h2").join(shared, ["h1", "h2"]).where("doc_id > kept_in").select(*key, "kept_in")
+    own = units.where("again").select(*key, F.col("doc_id").alias("kept_in"))
+    gone = foreign.unionByName(own).groupBy(*key).agg(F.min("kept_in").alias("kept_in"))
+    high, low = (lambda c: F.shiftright(c, 32).cast("int")), (lambda c: F.col(c).bitwiseAND(0xFFFFFFFF).cast("int"))
+    gone = gone.select("doc_id", "t", high("place").alias("unit"), low("place").alias("n_words"), high("span").alias("from"), low("span").alias("to"), "kept_in")
     in_doc = W.partitionBy("doc_id", "t").orderBy("unit")
     runs = gone.withColumn("run", F.col("unit") - F.row_number().over(in_doc)).groupBy("doc_id", "t", "run").agg(
         F.min("from").alias("from"), F.max("to").alias("to"), F.count(F.lit(1)).alias("n_units"),
@@ -120,8 +127,10 @@ def remove(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """The documents that lose something: their columns, the text without the
     spans, and ``removed``, an array of (from, to, n_units, n_words, kept_in)."""
     by_doc = spans.groupBy("doc_id", "t").agg(F.sort_array(F.collect_list(F.struct("from", "to", "n_units", "n_words", "kept_in"))).alias("removed"))
-    docs = _keyed(docs.drop("t", "removed"))
-    joined = docs.join(by_doc, ["doc_id", "t"])
+    by_doc = written(by_doc, "repeat-spans")
+    docs, changed = _keyed(docs.drop("t", "removed")), by_doc.select("doc_id", "t")
+    few = changed.count() <= BROADCAST_DOCS
+    joined = docs.join(F.broadcast(changed) if few else changed, ["doc_id", "t"], "left_semi").join(by_doc, ["doc_id", "t"])
     offsets = F.transform("removed", lambda s: F.struct(s["from"].alias("from"), s["to"].alias("to")))
     return joined.withColumn("text", F.pandas_udf(_without, "string")("text", offsets)).drop("t")
 
