@@ -142,3 +142,47 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold benchmark items, one row a document and item."""
     return contaminated(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
+
+
+def oracle() -> str:
+    """The same in SQL, with windows as texts in place of digests."""
+    units = ", ".join(f"'{u}'" for u in UNITS)
+
+    def canonical_sql(table: str, key: str) -> str:
+        return f"""
+  SELECT {key}, w, list_transform(range(1, len(w) + 1), lambda i: CASE
+      WHEN k[i] = '' THEN w[i]
+      WHEN regexp_matches(k[i], '{NUMBER}') THEN '{NUM}'
+      WHEN k[i] IN ({units}) THEN '{UNIT}'
+      WHEN regexp_matches(w[i], '{CAPITAL}') AND i > 1 AND NOT regexp_matches(w[i - 1], '{SENTENCE_END.replace("'", "''")}') THEN '{NAME}'
+      ELSE k[i] END) AS c
+  FROM (SELECT {key}, w, list_transform(w, lambda x: lower(regexp_replace(x, '{EDGE}', '', 'g'))) AS k FROM (
+    SELECT DISTINCT {key}, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM {table}))"""
+
+    slot = f"c[p + j] IN ('{NUM}', '{UNIT}', '{NAME}')"
+    core = lambda x: f"lower(regexp_replace({x}, '{EDGE}', '', 'g'))"
+    return f"""
+WITH d AS ({canonical_sql("documents", "doc_id")}),
+b AS ({canonical_sql("benchmark", "item_id")}),
+bw AS (
+  SELECT item_id, w, c, size, p, list_filter(range(0, size), lambda j: {slot}) AS slots, array_to_string(c[p:p + size - 1], chr(31)) AS g
+  FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS p FROM (SELECT *, least(len(w), {WINDOW}) AS size FROM b WHERE len(w) > 0))),
+usable AS (SELECT * FROM bw WHERE 2 * len(slots) <= size),
+sizes AS (SELECT DISTINCT size FROM usable),
+dw AS (
+  SELECT doc_id, size, p, array_to_string(c[p:p + size - 1], chr(31)) AS g
+  FROM (SELECT doc_id, c, size, unnest(range(1, len(w) - size + 2)) AS p FROM d, sizes WHERE len(w) >= size)),
+m AS (SELECT dw.doc_id, dw.p AS pos, u.item_id, u.p AS item_pos, u.slots FROM dw JOIN usable u ON dw.g = u.g AND dw.size = u.size),
+total AS (SELECT item_id, count(DISTINCT p) AS item_windows FROM usable GROUP BY item_id),
+held AS (SELECT doc_id, item_id, count(DISTINCT item_pos) AS n_windows FROM m GROUP BY doc_id, item_id),
+pr AS (
+  SELECT m.doc_id, m.item_id, {core("b.w[item_pos + j]")} AS theirs, {core("d.w[pos + j]")} AS ours, item_pos + j AS place
+  FROM (SELECT *, unnest(slots) AS j FROM m) m JOIN b ON b.item_id = m.item_id JOIN d ON d.doc_id = m.doc_id),
+f AS (SELECT doc_id, item_id, theirs, ours, count(DISTINCT place) AS n FROM pr GROUP BY ALL),
+x AS (SELECT doc_id, item_id, sum(n) AS n, sum(most) AS a FROM (SELECT doc_id, item_id, theirs, sum(n) AS n, max(n) AS most FROM f GROUP BY ALL) GROUP BY ALL),
+y AS (SELECT doc_id, item_id, sum(most) AS b FROM (SELECT doc_id, item_id, ours, max(n) AS most FROM f GROUP BY ALL) GROUP BY ALL)
+SELECT held.doc_id, held.item_id, n_windows, item_windows, coalesce(x.n, 0)::BIGINT AS n_slots, coalesce(least(x.a, y.b), 0)::BIGINT AS n_consistent
+FROM held JOIN total ON total.item_id = held.item_id LEFT JOIN x ON x.doc_id = held.doc_id AND x.item_id = held.item_id
+LEFT JOIN y ON y.doc_id = held.doc_id AND y.item_id = held.item_id
+WHERE n_windows >= {COVERAGE} * item_windows AND coalesce(least(x.a, y.b), 0) >= {CONSISTENT} * coalesce(x.n, 0)
+"""

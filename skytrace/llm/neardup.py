@@ -316,3 +316,28 @@ def link(docs: DataFrame) -> DataFrame:
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of near copies of every document."""
     return link(documents(spark, sf_dir))
+
+
+#: The same by comparing every two documents that share a shingle.
+ORACLE = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                             '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g
+  FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n_both FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (
+  SELECT x, y FROM shared JOIN n AS p ON p.doc_id = x JOIN n AS q ON q.doc_id = y
+  WHERE 100 * n_both >= 85 * (p.n + q.n - n_both)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+reach(doc_id, root) AS (
+  SELECT DISTINCT x, x FROM e UNION SELECT e.y, r.root FROM reach r JOIN e ON e.x = r.doc_id),
+c AS (SELECT doc_id, min(root) AS component_id FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.component_id, d.doc_id) AS component_id,
+       coalesce(c.component_id, d.doc_id) = d.doc_id AS kept
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN c ON c.doc_id = d.doc_id
+"""

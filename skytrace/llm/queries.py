@@ -24,5 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 #: Only what SQL can express on whole tables; the others are tested against
 #: brute-force versions in tests/llm.
 ORACLE_SQL: dict[str, str] = {
+    "op2_near_dedup": neardup.ORACLE,
     "op4_preference_format": preference.ORACLE,
+    "op6_decontaminate": decontaminate.oracle(),
 }
