@@ -35,11 +35,15 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def neardup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    linked = neardup.link(docs)
-    # Repeated rows share a doc_id: one of them stays, with the kept document.
+    linked = written(neardup.link(docs), "linked")
     gone = linked.where("not kept").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").select(*docs.columns).dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null"))
+    left = docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").select(*docs.columns)
+    # Repeated rows share a doc_id: one of them stays.
+    several = linked.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if not several.isEmpty():
+        one = left.join(several, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
+        left = left.join(several, "doc_id", "left_anti").select(*docs.columns).unionByName(one)
+    return left.unionByName(docs.where("doc_id is null"))
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
