@@ -1,8 +1,9 @@
 """Geographic expressions: DMS text, polygon rings, strict point-in-polygon.
 
 All of it is built from Catalyst expressions (regexp, higher-order array
-functions), so the polygon test runs inside whole-stage codegen with no
-Python on the query path.
+functions): no Python on the query path. Higher-order functions, and so the
+edge test and a join condition that holds it, are interpreted on the JVM, not
+generated code; the bounding box in front of them is cheap either way.
 """
 
 from __future__ import annotations

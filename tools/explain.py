@@ -21,7 +21,7 @@ def main() -> None:
     spark = local_session(8)
     for name in names:
         df = QUERIES[name](spark, sf_dir)
-        df.write.format("noop").mode("overwrite").save()  # final adaptive plan
+        df._jdf.queryExecution().toRdd().count()  # runs this very plan, so that its final adaptive form shows
         text = df._jdf.queryExecution().explainString(
             spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
         tree, _, details = text.partition("\n\n\n")
