@@ -65,7 +65,8 @@ def window_stats(points: DataFrame, windows, approx: bool = False) -> DataFrame:
     (``approx_count_distinct``), fixed memory per group.
     """
     tagged = tag_windows(points, windows, keep_outside=True)
-    distinct = F.approx_count_distinct("icao") if approx else F.countDistinct("icao")
+    icao = F.when(F.col("window").isNotNull(), F.col("icao"))  # points in no window add nothing to count
+    distinct = F.approx_count_distinct(icao) if approx else F.countDistinct(icao)
     g = tagged.groupBy("source_date", "window").agg(
         F.count(F.lit(1)).alias("rows_after"),
         F.count_if("first_tag").alias("_firsts"),

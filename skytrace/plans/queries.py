@@ -44,9 +44,14 @@ def points_fresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored point table (ingested once per source, see ``plans.store``)."""
-    from .store import stored
+    return spark.read.parquet(points_path(spark, sf_dir))
 
-    return stored(spark, sf_dir, "points", lambda: points_fresh(spark, sf_dir))
+
+def points_path(spark: SparkSession, sf_dir: str) -> str:
+    """Its folder, partitioned by hour: a window query reads its hours only."""
+    from .store import stored_path
+
+    return stored_path(spark, sf_dir, "points", lambda: points_fresh(spark, sf_dir), ("hour",))
 
 
 def valid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,10 +71,9 @@ def key_stats(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
     rows of the largest aircraft-day and aircraft of the largest date.
     Upper bounds for every subset a query scans, so the sequence scans can
     skip their own hot-key check when these are small."""
-    from .store import point_stats, stored_path
+    from .store import point_stats
 
-    path = stored_path(spark, sf_dir, "points", lambda: points_fresh(spark, sf_dir))
-    return point_stats(spark.read.parquet(path), path)
+    return point_stats(points(spark, sf_dir), points_path(spark, sf_dir))
 
 
 def zones(spark: SparkSession) -> DataFrame:

@@ -41,22 +41,23 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))
 
 
-def stored_path(spark: SparkSession, sf_dir: str, name: str, build) -> str:
+def stored_path(spark: SparkSession, sf_dir: str, name: str, build, partition_by: tuple[str, ...] = ()) -> str:
     """Folder of the Parquet copy of ``build()`` for this source, written on
-    first use and again when a file of the source changed."""
+    first use and again when a file of the source changed. Rows of a partition
+    are brought together first (``rebalance`` splits large ones), so that a
+    folder holds few files."""
     key = (*_source_key(spark, sf_dir, "events"), name)
     path = _STORED.get(key)
     if path is None or not _exists(spark, path):
         path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-        build().write.mode("overwrite").parquet(path)
+        df = build()
+        if partition_by:
+            df = df.hint("rebalance", *partition_by)
+        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
         _STORED[key] = path
     return path
 
 
-def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    return spark.read.parquet(stored_path(spark, sf_dir, name, build))
-
-
 _POINT_STATS: dict[str, tuple[int, int]] = {}
 
 

@@ -24,3 +24,11 @@ def test_no_python_on_query_paths(spark):
 def test_scan_prunes_columns(spark):
     plan = _plan(Q.q_page_asset_links(spark, SF_SMALL))
     assert "ReadSchema: struct<page_id:bigint,html:string>" in plan or "struct<page_id:bigint,html:string>" in plan
+
+
+def test_window_queries_read_their_hours_only(spark):
+    for name in ("window_filter", "window_points", "zone_unique_aircraft"):
+        plan = Q.QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        pruned = [x for x in plan.splitlines() if x.startswith("PartitionFilters:")]
+        assert pruned and all("hour" in x for x in pruned), name
