@@ -28,7 +28,6 @@ from ..functions.timefn import epoch_us, hour_of_day, ntz_from_us
 ENTRY_TYPE = "array<string>"
 
 # Extra columns carried next to the 23 point columns.
-POINT_EXTRA = ["path", "source_date", "seq", "event_us", "hour", "altitude_ft_num", "on_ground"]
 
 
 def _to_double(c: Column) -> Column:
@@ -99,7 +98,8 @@ def explode_entries(docs: DataFrame) -> DataFrame:
 
 
 def flatten_docs(docs: DataFrame) -> DataFrame:
-    """Documents → point rows (23 point columns + ``POINT_EXTRA``).
+    """Documents → point rows (23 point columns, path, source_date, seq,
+    event_us, hour, altitude_ft_num, on_ground).
 
     Rows whose instant is null (no base timestamp, null offset, out of range)
     are dropped, as they cannot be routed to an hour.

@@ -513,6 +513,12 @@ FROM points GROUP BY source_date, source_type"""
     q["hourly_partitions"] = _with(pts) + """
 SELECT source_date, hour, count(*) AS n_rows, true AS has_files, true AS has_bytes FROM points GROUP BY source_date, hour"""
 
+    q["points_csv"] = _with(pts) + """
+SELECT icao, datetime_utc, latitude, longitude, altitude_ft, ground_speed_kts, flags_bitfield, source_type, aircraft_metadata FROM points"""
+
+    q["fresh_points"] = _with(pts) + """
+SELECT source_date, icao, path, seq, event_us, latitude, longitude FROM points WHERE coalesce((flags_bitfield & 1) = 0, true)"""
+
     q["window_files"] = _with(pts, _windows_cte(P.WINDOWS[1:])) + """
 SELECT source_date, w.label AS "window", count(*) AS n_rows, count(DISTINCT icao) AS n_aircraft, min(event_us) AS first_us
 FROM points p JOIN wins w ON p.hour >= w.ws AND p.hour < w.we GROUP BY source_date, w.label"""

@@ -316,6 +316,26 @@ def q_hourly_partitions(spark, sf_dir):
         "source_date", "hour", "n_rows", (F.col("n_files") > 0).alias("has_files"), (F.col("n_bytes") > 0).alias("has_bytes"))
 
 
+def q_points_csv(spark, sf_dir):
+    """Points written as CSV by hour and read back with the fixed schema,
+    projected to the columns a study starts from."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    from ..sinks.files import write_hourly
+    from ..sources.trace_docs import read_points_csv
+
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
+    write_hourly(points(spark, sf_dir), base, fmt="csv")
+    return read_points_csv(spark, f"{base}/source_date=*/hour=*", projected=[
+        "icao", "datetime_utc", "latitude", "longitude", "altitude_ft", "ground_speed_kts", "flags_bitfield", "source_type", "aircraft_metadata"])
+
+
+def q_fresh_points(spark, sf_dir):
+    """Points whose position is not stale."""
+    return mv.fresh_positions(points(spark, sf_dir)).select("source_date", "icao", "path", "seq", "event_us", "latitude", "longitude")
+
+
 def q_window_files(spark, sf_dir):
     """Window rows written per (date, window), written again without the rows
     of the first window, and read back: the second run replaces the first."""
@@ -417,6 +437,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "source_mix": q_source_mix,
     "hourly_partitions": q_hourly_partitions,
     "window_files": q_window_files,
+    "points_csv": q_points_csv,
+    "fresh_points": q_fresh_points,
     "stream_hourly_counts": q_stream_hourly_counts,
     "stream_ingest": q_stream_ingest,
 }

@@ -63,9 +63,6 @@ DBFLAG_INTERESTING = 2
 DBFLAG_PIA = 4
 DBFLAG_LADD = 8
 
-# Default study windows: label, start hour (inclusive), end hour (exclusive), UTC.
-DEFAULT_WINDOWS = [("0100-0400", 1, 4), ("1100-1300", 11, 13)]
-
 # Near-region box (degrees, inclusive bounds): lat 01°30'N..02°30'N,
 # lon 104°36'E..106°00'E.
 NEAR_REGION = {"lat_min": 1.5, "lat_max": 2.5, "lon_min": 104.6, "lon_max": 106.0}
@@ -116,15 +113,6 @@ DOC_SCHEMA_NESTED = T.StructType(
 # Raw-entry schema plus the corrupt-record column (document status only).
 DOC_SCHEMA_STATUS = T.StructType(DOC_SCHEMA.fields + [T.StructField("_corrupt_record", T.StringType())])
 
-# Raw document rows: where a document came from and its text.
-DOCS_SCHEMA = T.StructType(
-    [
-        T.StructField("path", T.StringType()),
-        T.StructField("source_date", T.StringType()),
-        T.StructField("content", T.StringType()),
-    ]
-)
-
 # The 23 point columns as typed columns (CSV interchange schema).
 POINT_SCHEMA = T.StructType(
     [
@@ -207,5 +195,3 @@ METADATA_SCHEMA = T.StructType(
         T.StructField("tat", T.DoubleType()),
     ]
 )
-
-ZONES_SCHEMA = "zone STRING, ring ARRAY<STRUCT<lon: DOUBLE, lat: DOUBLE>>"

@@ -90,13 +90,6 @@ def _raw(events: DataFrame) -> DataFrame:
     )
 
 
-def event_points(events: DataFrame) -> DataFrame:
-    """Per event: every trace field of the fixture as a typed column."""
-    raw = _raw(events)
-    f = _fields(F.col)
-    return raw.select("event_id", "icao", "user_id", "source_date", *[c.alias(n) for n, c in f.items()])
-
-
 def _entry_json(f: dict[str, Column]) -> Column:
     alt = F.when(f["altitude_ft"] == "ground", F.lit('"ground"')).otherwise(f["altitude_ft"])
     return F.concat(
