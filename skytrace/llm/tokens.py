@@ -41,6 +41,8 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -68,6 +70,8 @@ FORMAT = ("part long, shard long, start long, doc_ids array<long>, symbols_to ar
 #: break, whatever stands around it; it encodes the parts
 #: independently.
 _CUT = re.compile(r"(?<=\S) ")
+#: White space before a space, or a space at the start: not every space cuts.
+_ODD = r"(?:^|[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]) "
 _FINER = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ɏ])(?=[.,;:!?])|(?<=\S\n)(?=\S)")
 
 
@@ -84,8 +88,8 @@ class Encoder:
 
     def _clear(self) -> None:
         #: Place of a part: a string stands for itself after a space, a tuple of
-        #: one string for just that, None for the end of a text.
-        self.place: dict[str | tuple[str] | None, int] = {None: 0}
+        #: one string for just that. Place 0 is the end of a text.
+        self.place: dict[str | tuple[str], int] = {}
         self.ids = np.zeros(1 << 16, np.uint32)
         self.to = np.zeros(1 << 12, np.int64)  # where the ids of a part end
         self.ids[0], self.to[0], self.n = END_ID, 1, 1
@@ -138,26 +142,52 @@ class Encoder:
             ids, size = self._ids(np.fromiter((self.place[p] for some in of for p in some), np.int64))
             self._store(made, ids, np.add.reduceat(size, np.cumsum([0, *map(len, of[:-1])])))
 
-    def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, the end id after each, and where each text ends."""
-        if self.n > REMEMBERED:
-            self._clear()
-        parts: list = []
-        ends = []
-        for t in texts:
-            if t:
-                at = len(parts)
-                parts += _CUT.split(t)
-                parts[at] = (parts[at],)
-            parts.append(None)
-            ends.append(len(parts) - 1)
+    def _places(self, parts: list) -> np.ndarray:
+        """The places of parts; those not met before are encoded."""
         places = list(map(self.place.get, parts))
         if None in places:
             missing = [i for i, k in enumerate(places) if k is None]
             self._learn(list({parts[i]: None for i in missing}))
             for i in missing:
                 places[i] = self.place[parts[i]]
-        ids, size = self._ids(np.array(places, np.int64))
+        return np.array(places, np.int64)
+
+    def _split(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Places of all parts of texts that every single space cuts, and how
+        many each text has. Equal parts are looked up once."""
+        lists = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        parts = lists.flatten().dictionary_encode()
+        distinct = parts.dictionary.to_pylist()
+        codes, n = parts.indices.to_numpy(), pc.list_value_length(lists).to_numpy()
+        places = self._places(distinct)[codes]
+        first = np.cumsum(n) - n
+        places[first] = self._places([(distinct[k],) for k in codes[first]])
+        return places, n
+
+    def _cut(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for texts with other white space before a space."""
+        cut = [_CUT.split(t) for t in texts]
+        return self._places([p for first, *rest in cut for p in ((first,), *rest)]), np.array([len(c) for c in cut], np.int64)
+
+    def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, the end id after each, and where each text ends."""
+        if self.n > REMEMBERED:
+            self._clear()
+        rows = np.flatnonzero([bool(t) for t in texts])
+        some = [texts[i] for i in rows]
+        odd = pc.match_substring_regex(pa.array(some, pa.large_string()), _ODD).to_numpy(zero_copy_only=False).astype(bool)
+        count = np.zeros(len(texts), np.int64)
+        found = []
+        for which, split in ((rows[~odd], self._split), (rows[odd], self._cut)):
+            if len(which):
+                places, n = split([texts[i] for i in which])
+                count[which] = n
+                found.append((which, places, n))
+        ends = np.cumsum(count + 1) - 1
+        every = np.zeros(len(texts) + int(count.sum()), np.int64)  # 0: the end of a text
+        for which, places, n in found:
+            every[_spread(ends[which] - n, n)] = places
+        ids, size = self._ids(every)
         return ids, np.cumsum(size)[ends]
 
 
@@ -294,8 +324,8 @@ def _pack(path: str):
             return pd.DataFrame([{"part": part, "shard": shard, "start": start, "doc_ids": doc_ids, **row}])
 
         for b in batches:
-            for at in range(0, len(b), 512):
-                some = b.iloc[at : at + 512]
+            for at in range(0, len(b), 1024):
+                some = b.iloc[at : at + 1024]
                 got, to = encode([None if pd.isna(t) else t for t in some["text"]])
                 for k, doc_id in enumerate(some["doc_id"]):
                     lo = int(to[k - 1]) if k else 0
