@@ -27,7 +27,6 @@ from ..functions.timefn import epoch_us, hour_of_day, ntz_from_us
 
 ENTRY_TYPE = "array<string>"
 
-# Extra columns carried next to the 23 point columns.
 
 
 def _to_double(c: Column) -> Column:
