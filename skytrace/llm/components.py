@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 from .common import written
 
 
+LINKS_A_TASK = 200_000
+
+
 def _joined_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     root: dict[int, int] = {}
 
@@ -47,18 +50,18 @@ def _both(links: DataFrame) -> DataFrame:
     return links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
 
-def _large_star(links: DataFrame) -> DataFrame:
+def _large_star(links: DataFrame, tasks: int) -> DataFrame:
     near = _both(links)
     least = near.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    return near.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+    return near.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").coalesce(tasks)
 
 
-def _small_star(links: DataFrame) -> DataFrame:
+def _small_star(links: DataFrame, tasks: int) -> DataFrame:
     down = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = down.groupBy("a").agg(F.min("b").alias("m"))
     met = down.join(least, "a")
     out = met.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(met.select("a", F.col("m").alias("b")))
-    return out.where("a <> b").distinct()
+    return out.where("a <> b").coalesce(tasks).distinct().coalesce(tasks)
 
 
 def _mark(links: DataFrame) -> tuple:
@@ -70,7 +73,10 @@ def components(links: DataFrame) -> DataFrame:
     now = written(_local(links.select("a", "b").where("a <> b")), "star")
     mark = _mark(now)
     while True:
-        now = written(_local(_small_star(_large_star(now))), "star")
+        # Links are two numbers: a task takes many, whatever the session's
+        # number of shuffle partitions.
+        tasks = max(links.sparkSession.sparkContext.defaultParallelism, -(-mark[0] // LINKS_A_TASK))
+        now = written(_local(_small_star(_large_star(now, tasks), tasks)), "star")
         new = _mark(now)
         if new == mark:
             break
