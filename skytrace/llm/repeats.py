@@ -98,7 +98,8 @@ def repeats(docs: DataFrame, unit: str = "sentence", min_words: int = MIN_WORDS)
     rows = _keyed(docs.select("doc_id", "text")).where("doc_id is not null and text is not null")
     units = written(rows.mapInPandas(_units(unit), SCHEMA), "repeat-units")
     firsts = units.where("not again").groupBy("h1", "h2").agg(F.min("doc_id").alias("kept_in"), F.max("doc_id").alias("last"))
-    shared = firsts.where("last > kept_in").select("h1", "h2", "kept_in")
+    # A table of its own: a join of two plain shuffles, whose hot digests the engine splits.
+    shared = written(firsts.where("last > kept_in").select("h1", "h2", "kept_in"), "repeat-shared")
     key = ["doc_id", "t", "place", "span"]
     foreign = units.select(*key, "h1", "h2").join(shared, ["h1", "h2"]).where("doc_id > kept_in").select(*key, "kept_in")
     own = units.where("again").select(*key, F.col("doc_id").alias("kept_in"))
