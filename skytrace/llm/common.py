@@ -13,12 +13,22 @@ from ..session import ensure_checkpoint_dir, read_table
 #: White space that separates words, as one string and as a regex class.
 SPACE = " \t\n\x0b\x0c\r"
 SPACE_CLASS = r"[\x20\x09-\x0D]"
+#: Rows of an Arrow batch of texts.
+BATCH_ROWS = 1000
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Have texts reach Python in batches of ``BATCH_ROWS`` rows at most: with
+    the default of 10,000, two columns of long texts fill a worker's memory."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once and use it in ``body`` any number of times.
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import documents
+from .common import documents, small_batches
 
 LONGEST = 3
 PROFILE = 400
@@ -128,6 +128,7 @@ def profiles(labelled: DataFrame) -> DataFrame:
 
     ``labelled``: columns text and lang; rows lacking either are left out.
     """
+    small_batches(labelled.sparkSession)
     sums = labelled.select("lang", "text").where("lang is not null and text is not null") \
         .mapInPandas(_sum_grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     rank = F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "gram"))
@@ -165,6 +166,7 @@ def nearest(text: str | None, langs: list[str], grams: np.ndarray, ranks: np.nda
 def predict(docs: DataFrame, learned: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred`` and ``lang_score``; columns of these names give way."""
     spark = docs.sparkSession
+    small_batches(spark)
     rows = learned.limit(MAX_PROFILES * PROFILE + 1).collect()
     if len(rows) > MAX_PROFILES * PROFILE:
         raise ValueError(f"more than {MAX_PROFILES} languages")

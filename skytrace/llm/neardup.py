@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, written
+from .common import documents, small_batches, written
 from .components import components
 
 SHINGLE = 5
@@ -272,6 +272,7 @@ class _Links:
 def link(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of ``docs``
     (doc_id long, text string; other columns are not read)."""
+    small_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     described = written(docs.mapInPandas(_describe, "doc_id long, n_shingles long, set_key binary, sig binary"), "neardup-sets")
     known = described.where("set_key is not null and doc_id is not null")

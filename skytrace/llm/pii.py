@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, written
+from .common import documents, small_batches, written
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE, SAMPLE_TOKENS = 1500, 80
@@ -340,6 +340,7 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """The columns of ``docs`` but for the text, with ``pii``, all spans as
     (kind, start, end) by kind and start, and ``pii_base``, the base spans.
     Columns of these names give way."""
+    small_batches(docs.sparkSession)
     kept = [c for c in docs.columns if c not in {text, "pii", "pii_base"}]
     found = F.pandas_udf(_scan, f"struct<base:{_SPANS},regions:array<struct<at:long,text:string,more:boolean>>>")
     rows = docs.select(*[F.col(f"`{c}`") for c in kept], found(F.col(f"`{text}`")).alias("_found"))

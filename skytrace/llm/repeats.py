@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import documents, written
+from .common import documents, small_batches, written
 
 MIN_WORDS = 20
 #: Where a unit ends: the pattern covers what separates it from the next.
@@ -95,6 +95,7 @@ def repeats(docs: DataFrame, unit: str = "sentence", min_words: int = MIN_WORDS)
     """(doc_id, t, from, to, n_units, n_words, kept_in): spans to remove, and
     the least document in which a unit of the span stays; ``t`` tells texts
     under the same doc_id apart."""
+    small_batches(docs.sparkSession)
     rows = _keyed(docs.select("doc_id", "text")).where("doc_id is not null and text is not null")
     units = written(rows.mapInPandas(_units(unit), SCHEMA), "repeat-units")
     firsts = units.where("not again").groupBy("h1", "h2").agg(F.min("doc_id").alias("kept_in"), F.max("doc_id").alias("last"))

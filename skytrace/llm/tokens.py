@@ -50,7 +50,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ..session import ensure_checkpoint_dir
-from .common import documents, written
+from .common import documents, small_batches, written
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
@@ -345,6 +345,7 @@ def _pack(path: str):
 def write(docs: DataFrame, path: str, tokenizer: str | None = None) -> None:
     """Write the token ids of ``docs`` (doc_id long, text string; other columns
     are not read) to the folder ``path``, in ascending doc_id order."""
+    small_batches(docs.sparkSession)
     rows = docs.select("doc_id", "text").repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
     rows.mapInPandas(_pack(tokenizer or public_tokenizers.path(TOKENIZER)), FORMAT).write.parquet(path)
 
