@@ -7,7 +7,13 @@ items, which finds a question again after its numbers or names were changed.
 Per document and item, the placeholders of matching windows are then compared:
 one benchmark value must always stand for one value in the document, and the
 other way round. A document is contaminated by an item of which it holds
-``COVERAGE`` of the windows, consistently.
+``COVERAGE`` of the windows, consistently. That is asked of the document as a
+whole and of each alignment by itself, so that several variants of one item
+don't speak against each other: of the matches at one distance from their
+places in the item, and of those at distances that lie ``BAND`` apart at most
+(copies with words put in or left out). In an alignment a value left as it was
+is always consistent. The figures returned are those of the document as a
+whole where they suffice, else of its best alignment.
 
 The benchmark's windows are broadcast where they number ``BROADCAST_ROWS`` at
 most (their digests are 8 bytes each); beyond that the join is shuffled. The
@@ -21,7 +27,7 @@ item_id or doc_id are matched as the null id; empty tables give empty results.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import read_table
@@ -30,6 +36,7 @@ from .common import documents, let, words, written
 WINDOW = 8
 COVERAGE = 0.3
 CONSISTENT = 0.8
+BAND = 4
 BROADCAST_ROWS = 200_000
 
 NUM, UNIT, NAME = "<num>", "<unit>", "<name>"
@@ -105,38 +112,62 @@ def matches(docs: DataFrame, windows: DataFrame) -> DataFrame:
     return exploded.join(F.broadcast(keys) if few else keys, "digest").drop("digest")
 
 
+#: What an alignment is known by; of kind WHOLE there is one a document and item.
+ALIGNMENT = ["doc_id", "item_id", "kind", "at"]
+WHOLE, NEARBY, DIAGONAL = 0, 1, 2
+
+
+def _aligned(found: DataFrame) -> DataFrame:
+    """The matches once for each alignment they are part of."""
+    order = Window.partitionBy("doc_id", "item_id").orderBy("off")
+    rows = found.withColumn("off", F.col("pos") - F.col("item_pos"))
+    rows = rows.withColumn("apart", F.coalesce(F.col("off") - F.lag("off").over(order) > BAND, F.lit(False)))
+    rows = rows.withColumn("band", F.sum(F.col("apart").cast("int")).over(order))
+    key = lambda kind, at: F.struct(F.lit(kind).alias("kind"), at.cast("long").alias("at"))
+    keys = F.explode(F.array(key(WHOLE, F.lit(0)), key(NEARBY, F.col("band")), key(DIAGONAL, F.col("off"))))
+    return rows.withColumn("key", keys).select("key.*", *found.columns)
+
+
 def _consistency(found: DataFrame, docs: DataFrame) -> DataFrame:
-    """(doc_id, item_id, n_slots, n_consistent) of matches with placeholders."""
+    """(ALIGNMENT, n_slots, n_consistent) of matches with placeholders."""
     asked = found.where(F.size("slots") > 0)
     some = docs.join(asked.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", words(F.col("text")).alias("w"))
     pairs = asked.join(some, "doc_id").select(
-        "doc_id", "item_id", F.explode(F.transform("slots", lambda k: F.struct(
+        *ALIGNMENT, F.explode(F.transform("slots", lambda k: F.struct(
             (F.col("item_pos") + k).alias("place"), _core(F.get("held", k)).alias("theirs"), _core(F.get("w", F.col("pos") + k)).alias("ours")))).alias("s"),
-    ).select("doc_id", "item_id", "s.theirs", "s.ours", "s.place").groupBy("doc_id", "item_id", "theirs", "ours").agg(F.countDistinct("place").alias("n"))
-    # The most frequent partner of a value counts as its meaning, both ways.
-    meant = pairs.groupBy("doc_id", "item_id", "theirs").agg(F.sum("n").alias("n"), F.max("n").alias("most"))
-    back = pairs.groupBy("doc_id", "item_id", "ours").agg(F.sum("n").alias("n"), F.max("n").alias("most"))
-    total = lambda x, name: x.groupBy("doc_id", "item_id").agg(F.sum("n").alias("n_slots"), F.sum("most").alias(name))
+    ).select(*ALIGNMENT, "s.theirs", "s.ours", "s.place").groupBy(*ALIGNMENT, "theirs", "ours").agg(F.countDistinct("place").alias("n"))
+    # The most frequent partner of a value counts as its meaning, both ways, and in an alignment the value itself.
+    itself = (F.col("kind") != WHOLE) & (F.col("theirs") == F.col("ours"))
+    pairs = pairs.withColumn("kept", F.when(itself, F.col("n")).otherwise(0)).withColumn("other", F.when(itself, 0).otherwise(F.col("n")))
+    most = (F.sum("kept") + F.max("other")).alias("most")
+    meant = pairs.groupBy(*ALIGNMENT, "theirs").agg(F.sum("n").alias("n"), most)
+    back = pairs.groupBy(*ALIGNMENT, "ours").agg(F.sum("n").alias("n"), most)
+    total = lambda x, name: x.groupBy(*ALIGNMENT).agg(F.sum("n").alias("n_slots"), F.sum("most").alias(name))
     b = total(back, "b").drop("n_slots")
-    return total(meant, "a").join(b, ["doc_id", "item_id"]).select("doc_id", "item_id", "n_slots", F.least("a", "b").alias("n_consistent"))
+    return total(meant, "a").join(b, ALIGNMENT).select(*ALIGNMENT, "n_slots", F.least("a", "b").alias("n_consistent"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, n_windows, item_windows, n_slots, n_consistent) of
     documents that hold benchmark items."""
     windows = written(item_windows(benchmark), "bench-windows")
-    found = written(matches(docs, windows), "bench-matches")
+    found = written(_aligned(matches(docs, windows)), "bench-matches")
     total = windows.groupBy("item_id").agg(F.countDistinct("pos").alias("item_windows"))
-    held = found.select("doc_id", "item_id", "item_pos").distinct().groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("n_windows"))
+    held = found.select(*ALIGNMENT, "item_pos").distinct().groupBy(*ALIGNMENT).agg(F.count(F.lit(1)).alias("n_windows"))
     same = lambda a, b: F.col(a).eqNullSafe(F.col(b))
     hit = held.alias("h").join(total.alias("t"), same("h.item_id", "t.item_id")).select("h.*", "t.item_windows") \
         .where(F.col("n_windows") >= COVERAGE * F.col("item_windows"))
     if found.where(F.size("slots") > 0).isEmpty():  # nothing to compare
-        return hit.withColumn("n_slots", F.lit(0).cast("long")).withColumn("n_consistent", F.lit(0).cast("long"))
-    c = _consistency(found, docs).alias("c")
-    return hit.alias("h").join(c, same("h.doc_id", "c.doc_id") & same("h.item_id", "c.item_id"), "left").select(
-        "h.*", F.coalesce("c.n_slots", F.lit(0)).alias("n_slots"), F.coalesce("c.n_consistent", F.lit(0)).alias("n_consistent"),
-    ).where(F.col("n_consistent") >= CONSISTENT * F.col("n_slots"))
+        judged = hit.withColumn("n_slots", F.lit(0).cast("long")).withColumn("n_consistent", F.lit(0).cast("long"))
+    else:
+        c = _consistency(found, docs).alias("c")
+        both = same("h.doc_id", "c.doc_id") & same("h.item_id", "c.item_id") & same("h.kind", "c.kind") & same("h.at", "c.at")
+        judged = hit.alias("h").join(c, both, "left").select(
+            "h.*", F.coalesce("c.n_slots", F.lit(0)).alias("n_slots"), F.coalesce("c.n_consistent", F.lit(0)).alias("n_consistent"),
+        ).where(F.col("n_consistent") >= CONSISTENT * F.col("n_slots"))
+    figures = ["n_windows", "item_windows", "n_slots", "n_consistent"]
+    best = F.max(F.struct((F.col("kind") == WHOLE).alias("whole"), *figures)).alias("best")
+    return judged.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", *[F.col(f"best.{x}").alias(x) for x in figures])
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

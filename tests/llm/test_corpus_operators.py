@@ -185,6 +185,19 @@ def test_inconsistent_slots(spark):
     assert {r.doc_id for r in decontaminate.contaminated(docs, bench(spark, [(10, loose)])).collect()} == {2}
 
 
+def test_variants_are_judged_one_by_one(spark):
+    """A question beside its variant, and an item that repeats its own template."""
+    other = QUESTION.replace("Texas", "Iowa").replace("12", "31").replace("3 d", "6 d").replace("Smith", "Brown")
+    balls = "There are 5 red balls in the first box on the table. There are 7 red balls in the first box on the table. Count all."
+    docs = table(spark, [(1, f"{QUESTION}. {CHANGED}."), (2, f"{CHANGED}. {other}. {QUESTION}."), (3, f"See: {balls}"), (4, f"{CHANGED}. {other}."),
+                         (5, SWAPPED), (6, f"{SWAPPED}. Then nothing.")])
+    items = bench(spark, [(10, QUESTION), (11, balls)])
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, items).collect()}
+    one = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs.where("doc_id = 5"), items).collect()}
+    assert got - {(5, 10), (6, 10)} == {(1, 10), (2, 10), (3, 11), (4, 10)}
+    assert ((5, 10) in got) == ((6, 10) in got) == ((5, 10) in one)
+
+
 def test_leaks_of_documents(spark):
     flat = lambda t: " ".join((t or "").split())
     items = [(r.item_id, flat(r.text)) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
