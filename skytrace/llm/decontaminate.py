@@ -15,13 +15,18 @@ places in the item, and of those at distances that lie ``BAND`` apart at most
 is always consistent. The figures returned are those of the document as a
 whole where they suffice, else of its best alignment.
 
+Windows are also joined by their literal words, lower-cased, which finds
+copies in another case and windows that hold more placeholders than plain
+words. Alignments count them: there, ``COVERAGE`` may be reached among the
+windows with plain words or among all.
+
 The benchmark's windows are broadcast where they number ``BROADCAST_ROWS`` at
 most (their digests are 8 bytes each); beyond that the join is shuffled. The
 documents' windows are exploded and joined in one stage, and only matches go on.
 
 Defined results: null and empty texts have no windows and match nothing; an
 item shorter than a window is one window; a window of which fewer than half
-the words are plain is not used; repeated rows count once; rows with a null
+the words are plain is only found word for word; repeated rows count once; rows with a null
 item_id or doc_id are matched as the null id; empty tables give empty results.
 """
 
@@ -56,12 +61,15 @@ def _core(w: Column) -> Column:
 
 
 def canonical(w: Column) -> Column:
-    """Canonical words of an array of words, in order."""
+    """(template, literal) of the words of an array, in order: the canonical
+    word, and the lower-cased word without outer punctuation."""
     def form(x: Column, i: Column) -> Column:
         def of(core: Column) -> Column:
             before = F.get(w, i - 1)
             name = x.rlike(CAPITAL) & (i > 0) & ~before.rlike(SENTENCE_END)
-            return (F.when(core == "", x).when(core.rlike(NUMBER), NUM).when(core.isin(*UNITS), UNIT).when(name, NAME).otherwise(core))
+            literal = F.when(core == "", x).otherwise(core)
+            template = F.when(core == "", x).when(core.rlike(NUMBER), NUM).when(core.isin(*UNITS), UNIT).when(name, NAME).otherwise(core)
+            return F.struct(template.alias("template"), literal.alias("literal"))
 
         return let(_core(x), of)
 
@@ -69,12 +77,13 @@ def canonical(w: Column) -> Column:
 
 
 def _windows(c: Column, size: int) -> Column:
-    """(pos, digest) of each run of ``size`` canonical words."""
+    """(pos, digest, literal) of each run of ``size`` canonical words."""
     last = F.size(c) - size
     at = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-    digests = F.transform(c, lambda x: F.xxhash64(x))
+    digests = F.transform(c, lambda x: F.struct(F.xxhash64(x.template).alias("template"), F.xxhash64(x.literal).alias("literal")))
+    of = lambda h, i, form: F.xxhash64(F.lit(size), *[F.get(h, i + k)[form] for k in range(size)])
     return let(digests, lambda h: F.transform(at, lambda i: F.struct(
-        i.alias("pos"), F.xxhash64(F.lit(size), *[F.get(h, i + k) for k in range(size)]).alias("digest"))))
+        i.alias("pos"), of(h, i, "template").alias("digest"), of(h, i, "literal").alias("literal"))))
 
 
 def _with_words(rows: DataFrame, text: str) -> DataFrame:
@@ -82,11 +91,13 @@ def _with_words(rows: DataFrame, text: str) -> DataFrame:
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
-    """(item_id, size, pos, digest, slots) of the usable windows of the items;
-    ``slots`` are the places in the window that hold placeholders."""
+    """(item_id, size, pos, usable, template, digest, slots, held) of the
+    windows of the items. Usable ones are there by their template, and all by
+    their literal words where these give another digest; ``slots`` are the
+    places in the window that hold placeholders."""
     items = _with_words(benchmark.select("item_id", "text").distinct(), "text").where(F.size("w") > 0)
     items = items.withColumn("size", F.least(F.size("w"), F.lit(WINDOW)))
-    filled = lambda i: F.get(F.col("c"), i).isin(NUM, UNIT, NAME)
+    filled = lambda i: F.get(F.col("c"), i).template.isin(NUM, UNIT, NAME)
 
     def one(pos: Column, size: int) -> Column:
         return F.filter(F.sequence(F.lit(0), F.lit(size - 1)), lambda k: filled(pos + k))
@@ -95,24 +106,41 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
     for size in range(1, WINDOW + 1):
         found = items.where(F.col("size") == size).select(
             "item_id", "size", "w", "c", F.explode(_windows(F.col("c"), size)).alias("win"))
-        found = found.select("item_id", "size", F.col("win.pos").alias("pos"), F.col("win.digest").alias("digest"),
+        found = found.select("item_id", "size", "win.pos", "win.digest", "win.literal",
                              one(F.col("win.pos"), size).alias("slots"), F.slice("w", F.col("win.pos") + 1, F.lit(size)).alias("held"))
         by_size = found if by_size is None else by_size.unionByName(found)
-    return by_size.where(2 * F.size("slots") <= F.col("size"))
+    by_size = by_size.withColumn("usable", 2 * F.size("slots") <= F.col("size"))
+    form = lambda template, digest: F.struct(F.lit(template).alias("template"), F.col(digest).alias("digest"))
+    literal = F.array(form(False, "literal"))
+    forms = F.when(~F.col("usable"), literal).when(F.col("digest") == F.col("literal"), F.array(form(True, "digest"))) \
+        .otherwise(F.concat(F.array(form(True, "digest")), literal))
+    return by_size.withColumn("form", F.explode(forms)).select("item_id", "size", "pos", "usable", "form.template", "form.digest", "slots", "held")
+
+
+def _both_forms(found: Column) -> Column:
+    """(pos, digest, template) of windows by their templates, and by their
+    literal words where these give another digest."""
+    form = lambda x, digest, template: F.struct(x.pos.alias("pos"), digest.alias("digest"), F.lit(template).alias("template"))
+    return F.concat(F.transform(found, lambda x: form(x, x.digest, True)),
+                    F.transform(F.filter(found, lambda x: x.digest != x.literal), lambda x: form(x, x.literal, False)))
 
 
 def matches(docs: DataFrame, windows: DataFrame) -> DataFrame:
-    """(doc_id, item_id, pos, item_pos, size, slots, held): equal windows."""
+    """(doc_id, item_id, pos, item_pos, size, template, slots, held): equal
+    windows; ``template`` where both sides are templates."""
     sizes = sorted(r[0] for r in windows.select("size").distinct().collect())  # WINDOW values at most
     few = windows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    keys = windows.select("item_id", F.col("pos").alias("item_pos"), "size", "digest", "slots", "held")
+    keys = windows.select("item_id", F.col("pos").alias("item_pos"), "size", F.col("template").alias("item_template"), "digest", "slots", "held")
     d = _with_words(docs.select("doc_id", "text"), "text")
-    all_windows = F.concat(*[_windows(F.col("c"), s) for s in sizes]) if sizes else F.array().cast("array<struct<pos:int,digest:bigint>>")
-    exploded = d.select("doc_id", F.explode(all_windows).alias("win")).select("doc_id", "win.pos", "win.digest")
-    return exploded.join(F.broadcast(keys) if few else keys, "digest").drop("digest")
+    all_windows = F.concat(*[_windows(F.col("c"), s) for s in sizes]) if sizes \
+        else F.array().cast("array<struct<pos:int,digest:bigint,literal:bigint>>")
+    exploded = d.select("doc_id", F.explode(let(all_windows, _both_forms)).alias("win")).select("doc_id", "win.*")
+    found = exploded.join(F.broadcast(keys) if few else keys, "digest").drop("digest")
+    return found.withColumn("template", F.col("template") & F.col("item_template")).drop("item_template")
 
 
-#: What an alignment is known by; of kind WHOLE there is one a document and item.
+#: What an alignment is known by; of kind WHOLE, matches of templates, there
+#: is one a document and item.
 ALIGNMENT = ["doc_id", "item_id", "kind", "at"]
 WHOLE, NEARBY, DIAGONAL = 0, 1, 2
 
@@ -125,7 +153,7 @@ def _aligned(found: DataFrame) -> DataFrame:
     rows = rows.withColumn("band", F.sum(F.col("apart").cast("int")).over(order))
     key = lambda kind, at: F.struct(F.lit(kind).alias("kind"), at.cast("long").alias("at"))
     keys = F.explode(F.array(key(WHOLE, F.lit(0)), key(NEARBY, F.col("band")), key(DIAGONAL, F.col("off"))))
-    return rows.withColumn("key", keys).select("key.*", *found.columns)
+    return rows.withColumn("key", keys).select("key.*", *found.columns).where((F.col("kind") != WHOLE) | F.col("template"))
 
 
 def _consistency(found: DataFrame, docs: DataFrame) -> DataFrame:
@@ -152,11 +180,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     documents that hold benchmark items."""
     windows = written(item_windows(benchmark), "bench-windows")
     found = written(_aligned(matches(docs, windows)), "bench-matches")
-    total = windows.groupBy("item_id").agg(F.countDistinct("pos").alias("item_windows"))
-    held = found.select(*ALIGNMENT, "item_pos").distinct().groupBy(*ALIGNMENT).agg(F.count(F.lit(1)).alias("n_windows"))
+    total = windows.select("item_id", "pos", "usable").groupBy("item_id", "pos").agg(F.max("usable").alias("usable")) \
+        .groupBy("item_id").agg(F.count(F.lit(1)).alias("all"), F.count_if("usable").alias("usable"))
+    held = found.groupBy(*ALIGNMENT, "item_pos").agg(F.max("template").alias("template")) \
+        .groupBy(*ALIGNMENT).agg(F.count(F.lit(1)).alias("n_all"), F.count_if("template").alias("n_template"))
     same = lambda a, b: F.col(a).eqNullSafe(F.col(b))
-    hit = held.alias("h").join(total.alias("t"), same("h.item_id", "t.item_id")).select("h.*", "t.item_windows") \
-        .where(F.col("n_windows") >= COVERAGE * F.col("item_windows"))
+    hit = held.alias("h").join(total.alias("t"), same("h.item_id", "t.item_id")).select("h.*", "t.all", "t.usable")
+    enough = (F.col("n_template") > 0) & (F.col("n_template") >= COVERAGE * F.col("usable"))
+    hit = hit.where(enough | (F.col("n_all") >= COVERAGE * F.col("all"))).select(
+        *ALIGNMENT, F.when(enough, F.col("n_template")).otherwise(F.col("n_all")).alias("n_windows"),
+        F.when(enough, F.col("usable")).otherwise(F.col("all")).alias("item_windows"))
     if found.where(F.size("slots") > 0).isEmpty():  # nothing to compare
         judged = hit.withColumn("n_slots", F.lit(0).cast("long")).withColumn("n_consistent", F.lit(0).cast("long"))
     else:

@@ -198,6 +198,16 @@ def test_variants_are_judged_one_by_one(spark):
     assert ((5, 10) in got) == ((6, 10) in got) == ((5, 10) in one)
 
 
+def test_copies_in_another_case(spark):
+    """Upper-case copies, and items of which no window has enough plain words."""
+    title = "The Old Man And The Sea Was Written By Which American Author"
+    names = "Alice Brown 12 kg Bob White 13 kg Carol Green 14 kg"
+    docs = table(spark, [(1, f"x {QUESTION.upper()}"), (2, f"We ask: {title}? Yes."), (3, title.lower()), (4, f"so {names.upper()} so"),
+                         (5, "The Young Man And The Hill Was Painted By Which Spanish Author"), (6, "Dora Black 15 kg Emil Grey 16 kg Fay Blue 17 kg")])
+    items = bench(spark, [(10, QUESTION), (11, title), (12, names)])
+    assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, items).collect()} == {(1, 10), (2, 11), (3, 11), (4, 12)}
+
+
 def test_leaks_of_documents(spark):
     flat = lambda t: " ".join((t or "").split())
     items = [(r.item_id, flat(r.text)) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
