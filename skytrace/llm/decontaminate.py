@@ -18,7 +18,9 @@ whole where they suffice, else of its best alignment.
 Windows are also joined by their literal words, lower-cased, which finds
 copies in another case and windows that hold more placeholders than plain
 words. Alignments count them: there, ``COVERAGE`` may be reached among the
-windows with plain words or among all.
+windows with plain words or among all. Of long items a passage is enough: a
+run of matching windows, ``RUN_WORDS`` words long and consistent by itself,
+in which no window with plain words is left out.
 
 The benchmark's windows are broadcast where they number ``BROADCAST_ROWS`` at
 most (their digests are 8 bytes each); beyond that the join is shuffled. The
@@ -42,6 +44,7 @@ WINDOW = 8
 COVERAGE = 0.3
 CONSISTENT = 0.8
 BAND = 4
+RUN_WORDS = 20
 BROADCAST_ROWS = 200_000
 
 NUM, UNIT, NAME = "<num>", "<unit>", "<name>"
@@ -91,8 +94,8 @@ def _with_words(rows: DataFrame, text: str) -> DataFrame:
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
-    """(item_id, size, pos, usable, template, digest, slots, held) of the
-    windows of the items. Usable ones are there by their template, and all by
+    """(item_id, size, pos, before, usable, template, digest, slots, held) of
+    the windows of the items; ``before`` counts the usable ones before. Usable ones are there by their template, and all by
     their literal words where these give another digest; ``slots`` are the
     places in the window that hold placeholders."""
     items = _with_words(benchmark.select("item_id", "text").distinct(), "text").where(F.size("w") > 0)
@@ -106,15 +109,18 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
     for size in range(1, WINDOW + 1):
         found = items.where(F.col("size") == size).select(
             "item_id", "size", "w", "c", F.explode(_windows(F.col("c"), size)).alias("win"))
-        found = found.select("item_id", "size", "win.pos", "win.digest", "win.literal",
+        found = found.select("item_id", "size", "w", "win.pos", "win.digest", "win.literal",
                              one(F.col("win.pos"), size).alias("slots"), F.slice("w", F.col("win.pos") + 1, F.lit(size)).alias("held"))
         by_size = found if by_size is None else by_size.unionByName(found)
     by_size = by_size.withColumn("usable", 2 * F.size("slots") <= F.col("size"))
+    so_far = F.sum(F.col("usable").cast("int")).over(Window.partitionBy("item_id", "w").orderBy("pos"))
+    by_size = by_size.withColumn("before", so_far - F.col("usable").cast("int"))
     form = lambda template, digest: F.struct(F.lit(template).alias("template"), F.col(digest).alias("digest"))
     literal = F.array(form(False, "literal"))
     forms = F.when(~F.col("usable"), literal).when(F.col("digest") == F.col("literal"), F.array(form(True, "digest"))) \
         .otherwise(F.concat(F.array(form(True, "digest")), literal))
-    return by_size.withColumn("form", F.explode(forms)).select("item_id", "size", "pos", "usable", "form.template", "form.digest", "slots", "held")
+    return by_size.withColumn("form", F.explode(forms)).select(
+        "item_id", "size", "pos", "before", "usable", "form.template", "form.digest", "slots", "held")
 
 
 def _both_forms(found: Column) -> Column:
@@ -126,11 +132,12 @@ def _both_forms(found: Column) -> Column:
 
 
 def matches(docs: DataFrame, windows: DataFrame) -> DataFrame:
-    """(doc_id, item_id, pos, item_pos, size, template, slots, held): equal
-    windows; ``template`` where both sides are templates."""
+    """(doc_id, item_id, pos, item_pos, size, before, usable, template, slots,
+    held): equal windows; ``template`` where both sides are templates."""
     sizes = sorted(r[0] for r in windows.select("size").distinct().collect())  # WINDOW values at most
     few = windows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    keys = windows.select("item_id", F.col("pos").alias("item_pos"), "size", F.col("template").alias("item_template"), "digest", "slots", "held")
+    keys = windows.select("item_id", F.col("pos").alias("item_pos"), "size", "before", "usable", F.col("template").alias("item_template"),
+                          "digest", "slots", "held")
     d = _with_words(docs.select("doc_id", "text"), "text")
     all_windows = F.concat(*[_windows(F.col("c"), s) for s in sizes]) if sizes \
         else F.array().cast("array<struct<pos:int,digest:bigint,literal:bigint>>")
@@ -142,7 +149,7 @@ def matches(docs: DataFrame, windows: DataFrame) -> DataFrame:
 #: What an alignment is known by; of kind WHOLE, matches of templates, there
 #: is one a document and item.
 ALIGNMENT = ["doc_id", "item_id", "kind", "at"]
-WHOLE, NEARBY, DIAGONAL = 0, 1, 2
+WHOLE, NEARBY, DIAGONAL, RUN = 0, 1, 2, 3
 
 
 def _aligned(found: DataFrame) -> DataFrame:
@@ -151,8 +158,12 @@ def _aligned(found: DataFrame) -> DataFrame:
     rows = found.withColumn("off", F.col("pos") - F.col("item_pos"))
     rows = rows.withColumn("apart", F.coalesce(F.col("off") - F.lag("off").over(order) > BAND, F.lit(False)))
     rows = rows.withColumn("band", F.sum(F.col("apart").cast("int")).over(order))
+    along = Window.partitionBy("doc_id", "item_id").orderBy("off", "item_pos")
+    missed = F.col("before") > F.lag(F.col("before") + F.col("usable").cast("int")).over(along)
+    ends = (F.col("off") != F.lag("off").over(along)) | missed | (F.col("item_pos") - F.lag("item_pos").over(along) > F.col("size"))
+    rows = rows.withColumn("ends", F.coalesce(ends, F.lit(False))).withColumn("run", F.sum(F.col("ends").cast("int")).over(along))
     key = lambda kind, at: F.struct(F.lit(kind).alias("kind"), at.cast("long").alias("at"))
-    keys = F.explode(F.array(key(WHOLE, F.lit(0)), key(NEARBY, F.col("band")), key(DIAGONAL, F.col("off"))))
+    keys = F.explode(F.array(key(WHOLE, F.lit(0)), key(NEARBY, F.col("band")), key(DIAGONAL, F.col("off")), key(RUN, F.col("run"))))
     return rows.withColumn("key", keys).select("key.*", *found.columns).where((F.col("kind") != WHOLE) | F.col("template"))
 
 
@@ -182,12 +193,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = written(_aligned(matches(docs, windows)), "bench-matches")
     total = windows.select("item_id", "pos", "usable").groupBy("item_id", "pos").agg(F.max("usable").alias("usable")) \
         .groupBy("item_id").agg(F.count(F.lit(1)).alias("all"), F.count_if("usable").alias("usable"))
-    held = found.groupBy(*ALIGNMENT, "item_pos").agg(F.max("template").alias("template")) \
-        .groupBy(*ALIGNMENT).agg(F.count(F.lit(1)).alias("n_all"), F.count_if("template").alias("n_template"))
+    held = found.groupBy(*ALIGNMENT, "item_pos").agg(F.max("template").alias("template"), F.max("size").alias("size")) \
+        .groupBy(*ALIGNMENT).agg(F.count(F.lit(1)).alias("n_all"), F.count_if("template").alias("n_template"),
+                                 (F.max(F.col("item_pos") + F.col("size")) - F.min("item_pos")).alias("n_words"))
     same = lambda a, b: F.col(a).eqNullSafe(F.col(b))
     hit = held.alias("h").join(total.alias("t"), same("h.item_id", "t.item_id")).select("h.*", "t.all", "t.usable")
     enough = (F.col("n_template") > 0) & (F.col("n_template") >= COVERAGE * F.col("usable"))
-    hit = hit.where(enough | (F.col("n_all") >= COVERAGE * F.col("all"))).select(
+    long = (F.col("kind") == RUN) & (F.col("n_words") >= RUN_WORDS)
+    hit = hit.where(enough | (F.col("n_all") >= COVERAGE * F.col("all")) | long).select(
         *ALIGNMENT, F.when(enough, F.col("n_template")).otherwise(F.col("n_all")).alias("n_windows"),
         F.when(enough, F.col("usable")).otherwise(F.col("all")).alias("item_windows"))
     if found.where(F.size("slots") > 0).isEmpty():  # nothing to compare

@@ -208,6 +208,19 @@ def test_copies_in_another_case(spark):
     assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, items).collect()} == {(1, 10), (2, 11), (3, 11), (4, 12)}
 
 
+def test_passage_of_a_long_item(spark):
+    r = random.Random(3)
+    item = [r.choice("alpha beta gamma delta river stone cloud window".split()) + str(r.randint(0, 999)) + "x" for _ in range(600)]
+    numbers = [w if i % 6 else str(i) for i, w in enumerate(item)]
+    other = [str(1000 + i) if i % 6 == 0 else w for i, w in enumerate(numbers)]
+    cut = lambda w, a, n: "Own words here. " + " ".join(w[a : a + n]) + " and own words again"
+    docs = table(spark, [(1, cut(item, 300, 50)), (2, cut(item, 10, 20)), (3, cut(item, 10, 18)), (4, f"{cut(item, 50, 12)} {cut(item, 90, 12)}"),
+                         (5, cut(numbers, 101, 50)), (6, cut(other, 101, 50)), (7, cut(other, 101, 50).replace(" 1102 ", " 1108 ").replace(" 1114 ", " 1108 "))])
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, bench(spark, [(10, " ".join(item)), (11, " ".join(numbers))])).collect()}
+    assert {(1, 10), (2, 10), (5, 11), (6, 11)} <= got
+    assert not {(3, 10), (4, 10)} & got
+
+
 def test_leaks_of_documents(spark):
     flat = lambda t: " ".join((t or "").split())
     items = [(r.item_id, flat(r.text)) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
