@@ -17,7 +17,8 @@ component are not tried: they can't change the result, and a group of
 thousands of copies stays linear. In regions too large for all pairs, each row
 is then tried against every member of the other groups it shares a region
 with, in blocks that count all intersections through one shingle index; and
-rows still single there are sorted anew without those groups.
+the rows single there before are tried against each other by a prefix join on
+their full sets, which leaves out no pair that reaches the similarity.
 
 A pair at similarity 0.85 shares ``SHALLOW`` values in one of the orders with
 probability 1 - (1 - 0.85**4)**20 > 0.9999995, at six values still 0.9999.
@@ -51,6 +52,8 @@ NEAR = 5
 RULED_OUT = 0.65
 #: Texts in a block when rows are tried against all members of a group.
 BLOCK = 512
+#: Counts of shingles are kept by so many of their low bits' values.
+BUCKETS = 1 << 20
 #: So many ids (8 bytes each) may be broadcast to pick the texts to compare;
 #: more are joined by shuffling.
 BROADCAST_IDS = 4_000_000
@@ -217,6 +220,40 @@ def links_into(groups: DataFrame, asked: DataFrame, texts: DataFrame) -> DataFra
     return members.groupBy(*key).cogroup(askers.groupBy(*key)).applyInPandas(_ask, "a long, b long")
 
 
+def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    n = np.zeros(BUCKETS, np.int64)
+    for b in batches:
+        for text in b["text"]:
+            np.add.at(n, (shingles(text) & np.uint64(BUCKETS - 1)).astype(np.int64), 1)
+    at = np.flatnonzero(n)
+    yield pd.DataFrame({"bucket": at, "n": n[at]})
+
+
+def alike(texts: DataFrame) -> DataFrame:
+    """(a, b): pairs of texts (doc_id, text) of which the similarity may be
+    reached, none left out (prefix join).
+
+    With all sets in one order of shingles, rare ones first, two sets that
+    reach the similarity share one of the first ``n - ceil(n * PERCENT / 100) + 1``
+    of each. Any order is exact; counts by bucket come close to rare first.
+    """
+    counts = np.zeros(BUCKETS, np.int64)
+    seen = texts.mapInPandas(_counted, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()  # BUCKETS rows at most
+    counts[seen["bucket"].to_numpy(np.int64)] = seen["n"].to_numpy(np.int64)
+
+    def prefixes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for doc_id, text in zip(b["doc_id"], b["text"], strict=True):
+                s = shingles(text)
+                first = np.lexsort((s, counts[(s & np.uint64(BUCKETS - 1)).astype(np.int64)]))[: len(s) + (-len(s) * PERCENT) // 100 + 1]
+                yield pd.DataFrame({"shingle": s[first].view(np.int64), "id": np.int64(doc_id), "n": np.int64(len(s))})
+
+    held = written(texts.mapInPandas(prefixes, "shingle long, id long, n long"), "neardup-prefixes")
+    a, b = (held.select("shingle", F.col("id").alias(k), F.col("n").alias(f"n_{k}")) for k in "ab")
+    near = 100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b")
+    return a.join(b, "shingle").where((F.col("a") < F.col("b")) & near).select("a", "b").distinct()
+
+
 def _may(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     """The pairs that the signatures don't rule out."""
     sig = lambda k: reps.select(F.col("id").alias(k), F.col("sig").alias(f"sig_{k}"))
@@ -296,15 +333,15 @@ def link(docs: DataFrame) -> DataFrame:
     first = _nearest(pairs)
     so_far = _Links(confirmed(first, texts).unionByName(same_doc))
     so_far.add(confirmed(_may(_apart(pairs, so_far.found).join(first, ["a", "b"], "left_anti"), reps), texts))
+    # All pairs of the rows single now are tried below, so rows that join a group first need not be asked again.
+    alone = written(deep.select("id").distinct().join(so_far.found, "id", "left_anti"), "neardup-alone")
     asked = written(_asked(deep, so_far.found), "neardup-asked")
     if not asked.isEmpty():
         so_far.add(links_into(so_far.found.join(asked.select("component").distinct(), "component", "left_semi"), asked, texts))
-    while True:  # rows still single, without the groups that made their regions deep
-        single = reps.join(deep.select("id").distinct(), "id", "left_semi").join(so_far.found, "id", "left_anti")
-        again = written(candidates(single).join(pairs, ["a", "b"], "left_anti"), "neardup-pairs")
-        if again.isEmpty() or not so_far.add(confirmed(_may(again, reps), texts)):
-            break
-        pairs = pairs.unionByName(again)
+    if not alone.isEmpty():
+        among = alike(texts.join(alone.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi"))
+        among = written(_apart(among.join(pairs, ["a", "b"], "left_anti"), so_far.found), "neardup-pairs")
+        so_far.add(confirmed(_may(among, reps), texts))
 
     component = sets.join(so_far.found, "id", "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "id")).alias("component_id"))
     own = F.col("d.doc_id")

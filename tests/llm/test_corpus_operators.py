@@ -82,6 +82,17 @@ def test_near_copies_of_a_dense_group(spark, monkeypatch):
     check_links(spark, rows)
 
 
+def test_near_copies_among_singles_of_one_template(spark):
+    """Pairs at 0.86 among rows that are all at 0.74 of each other."""
+    template, rows = [f"t{i}" for i in range(120)], []
+    for i in range(360):
+        own = [f"o{i}_{k}" for k in range(20)]
+        rows.append((i, " ".join(template + own)))
+        if i % 12 == 0:
+            rows.append((5000 + i, " ".join(template + own[:10] + [f"p{i}_{k}" for k in range(10)])))
+    check_links(spark, rows)
+
+
 def test_near_copies_edges(spark):
     check_links(spark, [*EDGE, (8, "WORD"), (9, "a b c d"), (10, "a  b\nC d"), (11, "a b c")])
     assert neardup.link(table(spark, [])).count() == 0
