@@ -24,10 +24,9 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions.codes import db_flag_columns, trace_flag_columns
-from ..functions.geo import point_in_polygon
 from ..functions.timefn import ntz_from_us
 from .sequence import sequence_scan
-from .spatial import zone_join
+from .spatial import CellIndex, zone_join, zone_tags
 from .tracks import TIME_ORDER, TRACK_KEYS
 
 def flags_decode(points: DataFrame) -> DataFrame:
@@ -148,29 +147,20 @@ def movements(points: DataFrame, max_key_rows: int | None = None) -> DataFrame:
     ).where(F.col("movement").isNotNull())
 
 
-def zone_membership(points: DataFrame, zones: DataFrame) -> DataFrame:
+def zone_membership(points: DataFrame, zones: DataFrame | CellIndex) -> DataFrame:
     """Points inside at least one zone: how many zones and which (sorted)."""
-    inside = zone_join(points, zones)
-    g = inside.groupBy("path", "seq").agg(
-        F.first("source_date").alias("source_date"),
-        F.first("icao").alias("icao"),
-        F.first("event_us").alias("event_us"),
-        F.count(F.lit(1)).alias("n_zones"),
-        F.array_join(F.sort_array(F.collect_list("zone")), ",").alias("zones"),
-    )
-    return g.select("source_date", "icao", ntz_from_us("event_us").alias("time"), "n_zones", "zones")
+    tagged = zone_tags(points, zones, "_in").where(F.size("_in") > 0)
+    return tagged.select("source_date", "icao", ntz_from_us("event_us").alias("time"),
+                         F.size("_in").cast("bigint").alias("n_zones"), F.array_join("_in", ",").alias("zones"))
 
 
-def zone_visits(points: DataFrame, zones: DataFrame, max_key_rows: int | None = None) -> DataFrame:
+def zone_visits(points: DataFrame, zones: DataFrame | CellIndex, max_key_rows: int | None = None) -> DataFrame:
     """Per (date, zone, aircraft): inside points and separate visits, so a
     re-entering aircraft counts once in ``unique_aircraft`` but twice here."""
-    scanned = sequence_scan(
-        points, TRACK_KEYS, TIME_ORDER, row_number=None,
-        lags={"prev_lat": "latitude", "prev_lon": "longitude"}, max_key_rows=max_key_rows,
-    )
-    inside = zone_join(scanned, zones, keep_geometry=True)
-    prev_in = F.coalesce(point_in_polygon("prev_lon", "prev_lat", "edges"), F.lit(False))
-    v = inside.withColumn("visit_start", ~prev_in)
+    tagged = zone_tags(points.select(*TRACK_KEYS, *TIME_ORDER, "latitude", "longitude"), zones, "_in").drop("latitude", "longitude")
+    scanned = sequence_scan(tagged, TRACK_KEYS, TIME_ORDER, row_number=None, lags={"_before": "_in"}, max_key_rows=max_key_rows)
+    v = scanned.select(*TRACK_KEYS, "event_us", "_before", F.explode("_in").alias("zone")).withColumn(
+        "visit_start", ~F.coalesce(F.array_contains("_before", F.col("zone")), F.lit(False)))
     g = v.groupBy("source_date", "zone", "icao").agg(
         F.count(F.lit(1)).alias("n_points"),
         F.count_if("visit_start").alias("n_visits"),
@@ -183,7 +173,7 @@ def zone_visits(points: DataFrame, zones: DataFrame, max_key_rows: int | None =
     )
 
 
-def zone_altitude(points: DataFrame, zones: DataFrame) -> DataFrame:
+def zone_altitude(points: DataFrame, zones: DataFrame | CellIndex) -> DataFrame:
     """Airborne altitude per (date, zone, aircraft): min, max, mean, samples."""
     inside = zone_join(points, zones).where(~F.coalesce(F.col("on_ground"), F.lit(False)))
     alt = F.coalesce(F.col("altitude_ft_num"), F.col("geometric_altitude_ft"))
@@ -239,7 +229,7 @@ def source_mix(points: DataFrame) -> DataFrame:
     )
 
 
-def zone_trajectories(points: DataFrame, zones: DataFrame, segment_points: int = 1000,
+def zone_trajectories(points: DataFrame, zones: DataFrame | CellIndex, segment_points: int = 1000,
                       max_key_rows: int | None = None) -> DataFrame:
     """Full tracks (all points, inside or not) of the aircraft-days that enter
     a zone, as ordered segments per zone."""

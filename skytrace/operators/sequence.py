@@ -5,93 +5,59 @@ single aircraft (or date) holding a third of all rows would then be sorted
 and scanned by one core. ``sequence_scan`` computes the same values without
 that bottleneck:
 
-1. Per key: count, min and max of the leading (numeric) order column — a
-   partial/final aggregation, skew-safe.
-2. Keys with more than ``rows_per_split`` rows are *hot*. A hot key is cut
-   into ``_split`` buckets of the leading order column, the bucket width
-   chosen so a bucket holds about ``rows_per_split`` rows. The split is a
-   pure function of the row and the key's statistics, so every consumer of
-   the plan computes the same value (partition ids would differ between two
-   evaluations of a range shuffle). The hot-key table has at most
-   ``total_rows / rows_per_split`` rows by construction; it is also counted,
-   and broadcast only within ``MAX_BROADCAST_HOT_KEYS`` (else a shuffle join
-   on the keys, whose hot partitions AQE splits). Buckets have equal time
-   width; a bucket a burst fills beyond twice the target is cut again by
-   its own time range (up to ``MAX_REFINE`` levels, each counted first).
+1. Rows per key are counted (a partial aggregation). Keys with more than
+   ``rows_per_split`` rows are *hot*; there are at most ``total / rows_per_split``
+   of them. Where none is, a plain window is bounded per task.
+2. The rows of hot keys are cut into buckets at sampled boundaries of the full
+   order (keys, then all order columns): Spark's range partitioning samples the
+   rows, so that a burst, or thousands of rows of one instant, is cut like any
+   other stretch. The rows are written with their bucket (``_split``), once, so
+   that all that follows reads the same buckets, also after a lost executor.
 3. A window over ``(keys, _split)`` computes local row numbers, running sums
    and lags; each window group is one bucket.
 4. A summary per ``(keys, _split)`` (count, sum, last row) and a window over
    it (one row per bucket of a key) give carries: rows and sums of earlier
    buckets, and the previous bucket's last row. They are joined back on
    ``(keys, _split)``, the partitioning the window already has.
-
-When no key exceeds ``rows_per_split`` (checked by one aggregation job), the
-plain window is used: it is then bounded per task, and one shuffle cheaper.
+5. Rows of the other keys take the plain window.
 
 Key columns must be non-null (rows with a null key are dropped here); the
-order columns must give a total order within a key, and the first of them
-must be numeric.
+order columns must give a total order within a key.
 """
 
 from __future__ import annotations
 
+import math
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 DEFAULT_ROWS_PER_SPLIT = 1_000_000
-MAX_BROADCAST_HOT_KEYS = 2_000_000
-
-
-def _hot_keys(df: DataFrame, keys: list[str], lead: str, rows_per_split: int) -> DataFrame:
-    stats = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_kn"), F.min(lead).alias("_kmin"), F.max(lead).alias("_kmax")
-    )
-    return stats.where(F.col("_kn") > rows_per_split).select(
-        *keys,
-        "_kmin",
-        # Bucket width so a bucket holds about rows_per_split rows.
-        ((F.col("_kmax").cast("double") - F.col("_kmin").cast("double") + F.lit(1.0))
-         * F.lit(float(rows_per_split)) / F.col("_kn").cast("double")).alias("_kw"),
-    )
-
-
-# Sub-buckets per bucket at a refinement level (ids stay ordered: a bucket b
-# becomes b * SUB + sub, sub in [0, SUB)); at most MAX_REFINE levels.
-SUB = 1 << 20
-MAX_REFINE = 2
-
-
-def _split_column(df: DataFrame, keys: list[str], lead: str, rows_per_split: int,
-                  hot: DataFrame | None = None, n_hot: int | None = None) -> DataFrame:
-    if hot is None:
-        hot = _hot_keys(df, keys, lead, rows_per_split)
-    # At most total_rows / rows_per_split hot keys; broadcast when the
-    # counted size is within bounds, else a shuffle join (AQE splits the
-    # hot keys' partitions of the left side).
-    small = n_hot is None or n_hot <= MAX_BROADCAST_HOT_KEYS
-    joined = df.join(F.broadcast(hot) if small else hot, keys, "left")
-    split = F.coalesce(
-        F.floor((F.col(lead).cast("double") - F.col("_kmin").cast("double")) / F.col("_kw")).cast("bigint"),
-        F.lit(0).cast("bigint"),
-    )
-    cur = joined.withColumn("_split", split).drop("_kmin", "_kw")
-    # Equal-width buckets overflow where a hot key has a burst; re-cut the
-    # buckets above twice the target by their own time range.
-    for _ in range(MAX_REFINE):
-        big = _hot_keys(cur, [*keys, "_split"], lead, 2 * rows_per_split).withColumnsRenamed(
-            {"_kmin": "_bmin", "_kw": "_bw"})
-        n_big = big.count()
-        if n_big == 0:
-            break
-        side = F.broadcast(big) if n_big <= MAX_BROADCAST_HOT_KEYS else big
-        sub = F.least(
-            F.floor((F.col(lead).cast("double") - F.col("_bmin").cast("double")) / F.col("_bw")).cast("bigint"),
-            F.lit(SUB - 1).cast("bigint"),
-        )
-        cur = cur.join(side, [*keys, "_split"], "left").withColumn(
-            "_split", F.col("_split") * F.lit(SUB) + F.coalesce(sub, F.lit(0).cast("bigint"))
-        ).drop("_bmin", "_bw")
-    return cur
+#: A key's text and count take a few dozen bytes: some 100 MB at most.
+MAX_BROADCAST_HOT_KEYS = 1_000_000
+#: Buckets at most; beyond that they grow (the driver holds their boundaries).
+MAX_BUCKETS = 20_000
+
+
+def _hot_keys(df: DataFrame, keys: list[str], rows_per_split: int) -> DataFrame:
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_kn")).where(F.col("_kn") > rows_per_split)
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def split_rows(df: DataFrame, keys: list[str], order: list[str], n_rows: int, rows_per_split: int) -> DataFrame:
+    """``df`` (``n_rows`` rows) with ``_split``, the number of a row's bucket in
+    the order of keys and order columns, written once."""
+    buckets = max(1, min(MAX_BUCKETS, math.ceil(n_rows / rows_per_split)))
+    placed = df.repartitionByRange(buckets, *keys, *order).withColumn("_split", F.spark_partition_id())
+    return _written(placed, "sequence")
 
 
 def _plain_scan(base: DataFrame, keys, order, row_number, running_sums, lags) -> DataFrame:
@@ -116,15 +82,11 @@ def sequence_scan(
     running_sums: dict[str, Column] | None = None,
     lags: dict[str, str] | None = None,
     rows_per_split: int | None = None,
-    check_hot: bool = True,
     max_key_rows: int | None = None,
 ) -> DataFrame:
     """Add ordered-scan columns to ``df``.
 
-    With ``check_hot`` one small job first looks for keys above
-    ``rows_per_split``; when there are none, every window group is bounded
-    and a plain window is used. ``check_hot=False`` always takes the split
-    path (no extra job).
+    One small job first looks for keys above ``rows_per_split``.
 
     * ``row_number``: 1-based position within the key group (None: skip);
     * ``running_sums``: ``{out: int_expr}``, inclusive running sum of ``int_expr``;
@@ -141,16 +103,22 @@ def sequence_scan(
     if max_key_rows is not None and max_key_rows <= rows_per_split:
         # Bounded by a table statistic: every group fits one task.
         return _plain_scan(base, keys, order, row_number, running_sums, lags)
-    hot = _hot_keys(base, keys, order[0], rows_per_split)
-    n_hot = hot.count() if check_hot else None
+    hot = _hot_keys(base, keys, rows_per_split)
+    n_hot, n_rows = hot.agg(F.count(F.lit(1)), F.sum("_kn")).first()
     if n_hot == 0:
-        # Checked: no key group exceeds rows_per_split rows, so a plain
-        # window (one shuffle on the keys) is bounded per task.
         return _plain_scan(base, keys, order, row_number, running_sums, lags)
+    hot = _written(hot.select(*keys), "sequence-hot")
+    if n_hot <= MAX_BROADCAST_HOT_KEYS:
+        hot = F.broadcast(hot)
+    cold = _plain_scan(base.join(hot, keys, "left_anti"), keys, order, row_number, running_sums, lags)
+    split = split_rows(base.join(hot, keys, "left_semi"), keys, order, n_rows, rows_per_split)
+    return cold.unionByName(_split_scan(split, keys, order, row_number, running_sums, lags))
+
+
+def _split_scan(split: DataFrame, keys, order, row_number, running_sums, lags) -> DataFrame:
+    base = split
     for name, expr in running_sums.items():
         base = base.withColumn(f"_rs_{name}", expr.cast("bigint"))
-    base = _split_column(base, keys, order[0], rows_per_split, hot, n_hot)
-
     gkeys = [*keys, "_split"]
     w = Window.partitionBy(*gkeys).orderBy(*order)
     w_cum = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -1,31 +1,42 @@
-"""Points × zones: the spatial join and the zone questions built on it.
-
-``zone_join`` keeps one row per (point, zone) with the point strictly inside
-the zone. Zones are a small user-supplied table; its size is checked before
-it is broadcast:
-
-* up to ``NESTED_LOOP_MAX_ZONES`` zones (counted) and no grid: broadcast
-  nested-loop join, cheap bounding-box conjunct first, polygon test second;
-  each point is checked against that handful of boxes and is never
-  shuffled;
-* more zones (or an explicit ``cell_deg``): each zone is expanded to the
-  grid cells its box covers and joined on ``(cell_x, cell_y)``, so a point
-  meets only the zones of its own cell: a broadcast hash join with the
-  polygon test as residual condition when the cell table is within
-  ``MAX_BROADCAST_CELLS`` (counted), else a shuffle join on the cell key
-  (AQE splits hot cells).
+"""Points × zones through a cell index, and the zone questions built on it.
+
+Zones are cut by a grid of square cells once (``cell_index``). A cell is
+
+* *inside* a zone: no edge touches it and its centre is inside, so that every
+  point of it is strictly inside and needs no edge test;
+* on its *boundary*: an edge touches it. The cell then carries the edges that
+  can decide for one of its points: those that reach its band of latitudes
+  and do not end west of it (the test's ray runs east);
+* outside: not in the index.
+
+A point looks its cell up by one number (``cell_key``) in a hash join, so it
+meets the zones of its own cell only, and edges are tested near boundaries
+only. The grid is the finest power of two of a degree, from ``FINEST`` on, that
+cuts all zones' boxes into at most ``TARGET_CELLS`` cells; multiples of a power
+of two are exact, so that a point's cell and the cell's borders agree.
+
+The index is broadcast where its cells and edges take ``MAX_INDEX_BYTES`` at
+most (computed from the index itself); beyond that it is joined by shuffling
+on the cell, whose hot partitions AQE splits.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geo import in_box, point_in_polygon
+from ..functions.geo import point_in_polygon
 
-NESTED_LOOP_MAX_ZONES = 64
-DEFAULT_CELL_DEG = 0.5
-MAX_BROADCAST_CELLS = 2_000_000
+#: Cell sizes in degrees are 2^k, from the finest k to the coarsest.
+FINEST, COARSEST = -7, 4
+TARGET_CELLS = 16_384
+MAX_INDEX_BYTES = 64 << 20
+#: Bytes of an index row without its edges (key, zone name, flag, headers) and of an edge.
+ROW_BYTES, EDGE_BYTES = 96, 48
+#: Cells are widened by so much of a degree before edges are tested against them.
+SLACK = 1e-9
 GEOMETRY = ["edges", "lon_min", "lon_max", "lat_min", "lat_max"]
 
 
@@ -34,53 +45,114 @@ def valid_positions(points: DataFrame) -> DataFrame:
     return points.na.drop(how="any", subset=["icao", "latitude", "longitude"])
 
 
-def _inside(z_prefix: str = "") -> Column:
-    zc = lambda n: F.col(z_prefix + n)
-    return in_box("longitude", "latitude", zc("lon_min"), zc("lon_max"), zc("lat_min"), zc("lat_max")) & (
-        point_in_polygon("longitude", "latitude", zc("edges"))
+@dataclass(frozen=True)
+class CellIndex:
+    """``cells``: (cell, zone, inside, edges); edges are empty for inside cells."""
+
+    cells: DataFrame
+    cell_deg: float
+    n_bytes: int
+
+    def side(self, df: DataFrame) -> DataFrame:
+        """The build side of a join: broadcast within the byte bound only."""
+        return F.broadcast(df) if self.n_bytes <= MAX_INDEX_BYTES else df
+
+
+def _at(c: Column, cell_deg: float) -> Column:
+    return F.floor(c / F.lit(cell_deg)).cast("bigint")
+
+
+def cell_key(lon: Column, lat: Column, cell_deg: float) -> Column:
+    """One number for the cell of a position (null for a null position)."""
+    return F.shiftleft(_at(lon, cell_deg), 32) + _at(lat, cell_deg)
+
+
+def _pick_size(z: DataFrame) -> float:
+    """The finest cell size whose cells over all boxes stay within the target."""
+    def n(k: int) -> Column:
+        d = 2.0**k
+        wide = _at(F.col("lon_max"), d) - _at(F.col("lon_min"), d) + 1
+        return F.sum(wide.cast("double") * (_at(F.col("lat_max"), d) - _at(F.col("lat_min"), d) + 1))
+
+    sizes = list(range(FINEST, COARSEST + 1))
+    counts = z.agg(*[n(k).alias(f"n{i}") for i, k in enumerate(sizes)]).first()
+    return 2.0 ** next((k for k, c in zip(sizes, counts, strict=True) if (c or 0) <= TARGET_CELLS), COARSEST)
+
+
+def _touches(e: Column, x0: Column, x1: Column, y0: Column, y1: Column) -> Column:
+    """Whether an edge may touch a box: their boxes meet, and the box's corners
+    don't all lie on one side of the edge's line."""
+    def side(x: Column, y: Column) -> Column:
+        return (e["x2"] - e["x1"]) * (y - e["y1"]) - (x - e["x1"]) * (e["y2"] - e["y1"])
+
+    corners = [side(x, y) for x in (x0, x1) for y in (y0, y1)]
+    return (
+        (F.least(e["x1"], e["x2"]) <= x1) & (F.greatest(e["x1"], e["x2"]) >= x0)
+        & (F.least(e["y1"], e["y2"]) <= y1) & (F.greatest(e["y1"], e["y2"]) >= y0)
+        & (F.least(*corners) <= 0) & (F.greatest(*corners) >= 0)
     )
 
 
-def checked_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
-    """Broadcast ``df`` only when its row count is within ``max_rows``."""
-    n = df.count()
-    if n <= max_rows:
-        return F.broadcast(df), True
-    return df, False
+def require_valid(zones: DataFrame) -> DataFrame:
+    """The zones, or a ``ValueError`` that names the invalid ones and why."""
+    bad = zones.where(~F.col("valid")).select("zone", "error").orderBy("zone").limit(20).collect()
+    if bad:
+        raise ValueError("invalid zones: " + "; ".join(f"{r.zone}: {r.error}" for r in bad))
+    return zones
 
 
-def zone_join(points: DataFrame, zones: DataFrame, cell_deg: float | None = None,
-              max_nested_loop_zones: int = NESTED_LOOP_MAX_ZONES, keep_geometry: bool = False) -> DataFrame:
-    """Points strictly inside each valid zone → points columns + ``zone``
-    (+ the zone's ``edges`` and box when ``keep_geometry``)."""
+def cell_index(zones: DataFrame, cell_deg: float | None = None, strict: bool = False) -> CellIndex:
+    """The cells of all valid zones, cached (recomputed from the zones where a
+    block is lost), with their size in bytes. ``strict``: invalid zones are an
+    error instead of being left out."""
+    if strict:
+        require_valid(zones)
     z = zones.where("valid").select("zone", *GEOMETRY)
-    if cell_deg is None:
-        zb, ok = checked_broadcast(z, max_nested_loop_zones)
-        if ok:
-            out = points.join(zb, _inside(), "inner")
-            return out if keep_geometry else out.drop(*GEOMETRY)
-        cell_deg = DEFAULT_CELL_DEG
-    out = _grid_join(points, z, cell_deg)
-    return out if keep_geometry else out.drop(*GEOMETRY)
-
-
-def _cell(c, cell_deg: float) -> Column:
-    return F.floor(F.col(c) / F.lit(cell_deg)).cast("bigint")
-
-
-def _grid_join(points: DataFrame, z: DataFrame, cell_deg: float) -> DataFrame:
-    cells = z.select(
-        "*",
-        F.explode(F.sequence(_cell("lon_min", cell_deg), _cell("lon_max", cell_deg))).alias("cell_x"),
-    ).select(
-        "*",
-        F.explode(F.sequence(_cell("lat_min", cell_deg), _cell("lat_max", cell_deg))).alias("cell_y"),
-    )
-    cells, _ = checked_broadcast(cells, MAX_BROADCAST_CELLS)
-    p = points.withColumn("cell_x", _cell("longitude", cell_deg)).withColumn(
-        "cell_y", _cell("latitude", cell_deg)
-    )
-    return p.join(cells, ["cell_x", "cell_y"], "inner").where(_inside()).drop("cell_x", "cell_y")
+    d = cell_deg or _pick_size(z)
+    axis = lambda lo, hi: F.explode(F.sequence(_at(F.col(lo), d), _at(F.col(hi), d)))
+    cells = z.select("zone", "edges", "lat_min", "lat_max", axis("lon_min", "lon_max").alias("cx")) \
+        .select("zone", "edges", "cx", axis("lat_min", "lat_max").alias("cy"))
+    x0, y0 = F.col("cx") * F.lit(d), F.col("cy") * F.lit(d)
+    x1, y1 = x0 + F.lit(d), y0 + F.lit(d)
+    wide = (x0 - SLACK, x1 + SLACK, y0 - SLACK, y1 + SLACK)
+    boundary = F.exists("edges", lambda e: _touches(e, *wide))
+    near = F.filter("edges", lambda e: (F.least(e["y1"], e["y2"]) <= wide[3]) & (F.greatest(e["y1"], e["y2"]) >= wide[2])
+                    & (F.greatest(e["x1"], e["x2"]) >= wide[0]))
+    centre = point_in_polygon(x0 + F.lit(d / 2), y0 + F.lit(d / 2), F.col("edges"))
+    classed = cells.select(
+        (F.shiftleft("cx", 32) + F.col("cy")).alias("cell"), "zone", boundary.alias("on"), near.alias("near"), centre.alias("centre"))
+    kept = classed.where("on or centre").select(
+        "cell", "zone", (~F.col("on")).alias("inside"), F.when(F.col("on"), F.col("near")).otherwise(F.slice("near", 1, 0)).alias("edges")).cache()
+    n_bytes = kept.agg(F.sum(F.lit(ROW_BYTES) + F.octet_length("zone") + F.size("edges") * EDGE_BYTES)).first()[0]
+    return CellIndex(kept, d, int(n_bytes or 0))
+
+
+def _index(zones: DataFrame | CellIndex) -> CellIndex:
+    return zones if isinstance(zones, CellIndex) else cell_index(zones)
+
+
+def zone_join(points: DataFrame, zones: DataFrame | CellIndex) -> DataFrame:
+    """Points strictly inside each valid zone → points columns + ``zone``.
+
+    ``zones`` may be an index made once for several joins.
+    """
+    index = _index(zones)
+    cells = index.cells.select(F.col("cell").alias("_cell"), "zone", F.col("inside").alias("_inside"), F.col("edges").alias("_edges"))
+    keyed = points.withColumn("_cell", cell_key(F.col("longitude"), F.col("latitude"), index.cell_deg))
+    met = keyed.join(index.side(cells), "_cell")
+    return met.where(F.col("_inside") | point_in_polygon("longitude", "latitude", "_edges")).drop("_cell", "_inside", "_edges")
+
+
+def zone_tags(points: DataFrame, zones: DataFrame | CellIndex, name: str = "zones") -> DataFrame:
+    """Every point with the sorted array of the zones it is strictly inside
+    (empty for none): one row a point, and no shuffle within the byte bound."""
+    index = _index(zones)
+    by_cell = index.cells.groupBy(F.col("cell").alias("_cell")).agg(F.sort_array(F.collect_list(F.struct("zone", "inside", "edges"))).alias("_met"))
+    keyed = points.withColumn("_cell", cell_key(F.col("longitude"), F.col("latitude"), index.cell_deg))
+    met = keyed.join(index.side(by_cell), "_cell", "left")
+    own = F.filter("_met", lambda c: c["inside"] | point_in_polygon("longitude", "latitude", c["edges"]))
+    none = F.array().cast("array<string>")
+    return met.withColumn(name, F.when(F.col("_met").isNull(), none).otherwise(F.transform(own, lambda c: c["zone"]))).drop("_cell", "_met")
 
 
 def unique_aircraft_in_zones(inside: DataFrame, group: list[str]) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .operators import stats, windows
 from .operators.flatten import doc_status, flatten_docs
-from .operators.spatial import unique_aircraft_in_zones, valid_positions, zone_join
+from .operators.spatial import cell_index, unique_aircraft_in_zones, valid_positions, zone_join
 from .session import ensure_checkpoint_dir
 from .sinks.files import read_hourly, write_hourly
 from .sources import archives
@@ -79,8 +79,9 @@ def ingest(spark: SparkSession, base: str, dates: list[str], table: str) -> Data
 
 def window_zone_counts(spark: SparkSession, table: str, dates: list[str], win, zones: DataFrame) -> DataFrame:
     """Distinct aircraft per (date, window, zone) from the stored table; the
-    date and hour filters prune partition folders before any file is read."""
+    date and hour filters prune partition folders before any file is read. An
+    invalid zone stops the study, as its count would be missed unnoticed."""
     hours = sorted({h for _, s, e in win for h in range(s, e)})
     p = read_hourly(spark, table).where(F.col("source_date").isin(*dates) & F.col("hour").isin(*hours))
     tagged = windows.tag_windows(valid_positions(p), win)
-    return unique_aircraft_in_zones(zone_join(tagged, zones), ["source_date", "window", "zone"])
+    return unique_aircraft_in_zones(zone_join(tagged, cell_index(zones, strict=True)), ["source_date", "window", "zone"])

@@ -20,7 +20,7 @@ from ..functions.timefn import hour_range_label, iso_utc, ntz_from_us
 from ..operators import movement as mv
 from ..operators import stats, tracks, windows
 from ..operators.flatten import doc_status, flatten_docs, parse_docs
-from ..operators.spatial import unique_aircraft_in_zones, valid_positions, zone_join
+from ..operators.spatial import CellIndex, cell_index, unique_aircraft_in_zones, valid_positions, zone_join
 from ..session import read_table
 from ..sources.events_docs import trace_docs_from_events
 from ..sources.links import asset_links
@@ -64,6 +64,7 @@ def located(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _ZONES: dict[str, DataFrame] = {}
+_CELLS: dict[str, CellIndex] = {}
 
 
 def key_stats(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
@@ -86,6 +87,15 @@ def zones(spark: SparkSession) -> DataFrame:
     return z
 
 
+def cells(spark: SparkSession) -> CellIndex:
+    """Their cell index, made once per session."""
+    key = spark.sparkContext.applicationId
+    c = _CELLS.get(key)
+    if c is None:
+        c = _CELLS[key] = cell_index(zones(spark))
+    return c
+
+
 def dates_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct order dates as ``YYYY.MM.DD`` plus variants made by string
     surgery: shifted 27 years (into the release years; 29 Feb may become
@@ -175,13 +185,13 @@ def q_valid_positions(spark, sf_dir):
 
 
 def q_points_in_zone(spark, sf_dir):
-    inside = zone_join(valid(spark, sf_dir), zones(spark))
+    inside = zone_join(valid(spark, sf_dir), cells(spark))
     return inside.select("source_date", "zone", "icao", "path", "seq", "event_us", "latitude", "longitude")
 
 
 def q_zone_unique_aircraft(spark, sf_dir):
     tagged = windows.tag_windows(valid(spark, sf_dir), P.WINDOWS)
-    inside = zone_join(tagged, zones(spark))
+    inside = zone_join(tagged, cells(spark))
     return unique_aircraft_in_zones(inside, ["source_date", "window", "zone"])
 
 
@@ -273,15 +283,15 @@ def q_movements(spark, sf_dir):
 
 
 def q_zone_membership(spark, sf_dir):
-    return mv.zone_membership(valid(spark, sf_dir), zones(spark))
+    return mv.zone_membership(valid(spark, sf_dir), cells(spark))
 
 
 def q_zone_visits(spark, sf_dir):
-    return mv.zone_visits(valid(spark, sf_dir), zones(spark), key_stats(spark, sf_dir)[0])
+    return mv.zone_visits(valid(spark, sf_dir), cells(spark), key_stats(spark, sf_dir)[0])
 
 
 def q_zone_altitude(spark, sf_dir):
-    return mv.zone_altitude(valid(spark, sf_dir), zones(spark))
+    return mv.zone_altitude(valid(spark, sf_dir), cells(spark))
 
 
 def q_callsigns(spark, sf_dir):
@@ -289,7 +299,7 @@ def q_callsigns(spark, sf_dir):
 
 
 def q_zone_trajectories(spark, sf_dir):
-    return mv.zone_trajectories(valid(spark, sf_dir), zones(spark), P.TRACK_SEGMENT_POINTS,
+    return mv.zone_trajectories(valid(spark, sf_dir), cells(spark), P.TRACK_SEGMENT_POINTS,
                                 key_stats(spark, sf_dir)[0])
 
 
@@ -391,7 +401,7 @@ def q_stream_ingest(spark, sf_dir):
     start_ingest(stream_points(spark, f"{root}/landing", lines=True), f"{root}/points", f"{root}/_checkpoint").awaitTermination()
     p = read_hourly(spark, f"{root}/points")
     per_date = stats.multi_date_counts(p)
-    inside = mv.zone_membership(valid_positions(p), zones(spark)).groupBy("source_date").agg(
+    inside = mv.zone_membership(valid_positions(p), cells(spark)).groupBy("source_date").agg(
         F.count(F.lit(1)).alias("n_inside"), F.sum("n_zones").alias("n_memberships"))
     return per_date.join(inside, "source_date", "left").select(
         "source_date", "n_rows", "n_aircraft", "n_docs", "n_hours",

@@ -11,10 +11,21 @@ def _plan(df):
 
 def test_zone_join_broadcasts_zones(spark):
     plan = _plan(Q.q_points_in_zone(spark, SF_SMALL))
-    assert "BroadcastNestedLoopJoin" in plan or "BroadcastHashJoin" in plan
+    assert "BroadcastHashJoin" in plan
     assert "SortMergeJoin" not in plan
 
 
+def test_no_nested_loops(spark):
+    for name, fn in Q.QUERIES.items():
+        if "zone" in name:
+            assert "NestedLoopJoin" not in _plan(fn(spark, SF_SMALL)), name
+
+
+def test_zone_membership_needs_no_shuffle_of_points(spark):
+    scan = _plan(Q.q_zone_membership(spark, SF_SMALL)).split("BroadcastExchange")[0]
+    assert "Exchange" not in scan
+
+
 def test_no_python_on_query_paths(spark):
     for name, fn in Q.QUERIES.items():
         plan = _plan(fn(spark, SF_SMALL))

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from skytrace.operators.sequence import sequence_scan
+from skytrace.operators.sequence import sequence_scan, split_rows
 
 
 @pytest.fixture(scope="module")
@@ -17,12 +17,11 @@ def skewed(spark):
     )
 
 
-@pytest.mark.parametrize("rows_per_split,check_hot", [(1_000_000, True), (1_000_000, False), (100, True), (7, False)])
-def test_scan_matches_window(skewed, rows_per_split, check_hot):
+@pytest.mark.parametrize("rows_per_split", [1_000_000, 100, 7])
+def test_scan_matches_window(skewed, rows_per_split):
     s = sequence_scan(
         skewed, ["key"], ["t", "id"], row_number="pos",
         running_sums={"cum": F.col("flag")}, lags={"prev_id": "id"}, rows_per_split=rows_per_split,
-        check_hot=check_hot,
     )
     w = Window.partitionBy("key").orderBy("t", "id")
     ref = skewed.select(
@@ -34,25 +33,35 @@ def test_scan_matches_window(skewed, rows_per_split, check_hot):
     assert got == want
 
 
+def test_null_keys_go(spark):
+    df = spark.createDataFrame([("a", 1), (None, 2), ("a", 0)], "key STRING, t BIGINT")
+    assert sorted((r.t, r.pos) for r in sequence_scan(df, ["key"], ["t"], rows_per_split=1).collect()) == [(0, 1), (1, 2)]
+
+
 def test_hot_key_is_split(skewed):
-    from skytrace.operators.sequence import _split_column
+    sizes = split_rows(skewed, ["key"], ["t", "id"], skewed.count(), 100).groupBy("_split").count()
+    assert sizes.count() >= 30 and sizes.agg(F.max("count")).first()[0] <= 200
+
 
-    s = _split_column(skewed, ["key"], "t", 100)
-    n_splits = s.where("key = 'hot'").select("_split").distinct().count()
-    biggest = s.groupBy("key", "_split").count().agg(F.max("count")).first()[0]
-    assert n_splits >= 20 and biggest <= 300
+def test_rows_of_one_instant_are_split(spark):
+    """All rows of a hot key at one instant: only the full order can cut them."""
+    rows = [("hot", 5, i) for i in range(2000)] + [("k", i, 20_000 + i) for i in range(5)]
+    df = spark.createDataFrame(rows, "key STRING, t BIGINT, id BIGINT").withColumn("flag", F.lit(1))
+    sizes = split_rows(df.where("key = 'hot'"), ["key"], ["t", "id"], 2000, 10).groupBy("_split").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 20
+    s = sequence_scan(df, ["key"], ["t", "id"], row_number="pos", lags={"prev_id": "id"},
+                      running_sums={"cum": F.col("flag")}, rows_per_split=10)
+    got = {r.id: (r.pos, r.prev_id, r.cum) for r in s.collect()}
+    assert all(got[i] == (i + 1, i - 1 if i else None, i + 1) for i in range(2000))
+    assert got[20_004] == (5, 20_003, 5)
 
 
-def test_burst_buckets_are_refined(spark):
+def test_burst_is_split(spark):
     """A hot key whose rows sit almost all in 1% of its time span."""
-    from skytrace.operators.sequence import _split_column
-
     rows = [("hot", i, i) for i in range(2000)]              # burst: t in [0, 2000)
     rows += [("hot", 200_000 + i * 1000, 10_000 + i) for i in range(200)]  # sparse tail
     rows += [("k", i, 20_000 + i) for i in range(50)]
     df = spark.createDataFrame(rows, "key STRING, t BIGINT, id BIGINT").withColumn("flag", F.lit(1))
-    sizes = _split_column(df, ["key"], "t", 100).groupBy("key", "_split").count()
-    assert sizes.agg(F.max("count")).first()[0] <= 200
     s = sequence_scan(df, ["key"], ["t", "id"], row_number="pos", lags={"prev_id": "id"},
                       running_sums={"cum": F.col("flag")}, rows_per_split=100)
     w = Window.partitionBy("key").orderBy("t", "id")

@@ -27,5 +27,5 @@ def test_small_split_makes_hot_keys(spark):
     from skytrace.plans import queries as Q
 
     v = Q.valid(spark, SF_SMALL)
-    hot = sequence._hot_keys(v, ["source_date", "icao"], "event_us", 2)
+    hot = sequence._hot_keys(v, ["source_date", "icao"], 2)
     assert hot.count() > 10
