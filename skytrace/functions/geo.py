@@ -110,3 +110,19 @@ def in_box(lon, lat, lon_min, lon_max, lat_min, lat_max) -> Column:
         & (lat >= _c(lat_min))
         & (lat <= _c(lat_max))
     )
+
+
+def _spread(x: Column) -> Column:
+    """The low 16 bits of a number, a zero between each two."""
+    for shift, mask in ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)):
+        x = x.bitwiseOR(F.shiftleft(x, shift)).bitwiseAND(F.lit(mask).cast("bigint"))
+    return x
+
+
+def z_order(lat, lon) -> Column:
+    """Interleaved bits of latitude and longitude (16 each, some 300 m): rows
+    sorted by it lie near each other on the map. Null for a null position."""
+    cell = lambda c, low, span: F.least(
+        F.greatest(F.floor((_c(c) - F.lit(low)) * F.lit(65536.0 / span)), F.lit(0)), F.lit(65535)).cast("bigint")
+    both = _spread(cell(lon, -180.0, 360.0)).bitwiseOR(F.shiftleft(_spread(cell(lat, -90.0, 180.0)), 1))
+    return F.when(_c(lat).isNotNull() & _c(lon).isNotNull(), both)

@@ -7,8 +7,8 @@ Rules the format leaves open (ours, stated once here):
   [315, 45), E [45, 135), S [135, 225), W [225, 315);
 * legs: bit 2 of ``flags_bitfield`` starts a new leg; points before the first
   marker are leg 0;
-* departures/arrivals: over the points with a known altitude, a change of
-  ``on_ground`` from true to false is a departure, false to true an arrival;
+* departures/arrivals: changes of a state machine over ground mark, altitude
+  near 0, speed and vertical rate, per leg (``ground_state``, ``movements``);
 * a zone visit starts at a point inside the zone whose previous valid point
   of that aircraft-day is not inside it (or does not exist);
 * altitude: barometric first, geometric as fallback, ground points excluded;
@@ -125,20 +125,48 @@ def legs(points: DataFrame, max_key_rows: int | None = None) -> DataFrame:
     )
 
 
+def ground_state() -> Column:
+    """What a point says by itself: ``ground``, ``air``, or null (it keeps the
+    state before it).
+
+    Ground: the ground mark; an altitude of ``NEAR_ZERO_FT`` at most, slow and
+    level where speed and vertical rate are known; without any altitude, known
+    to be slow and level. Air: ``AIR_FT`` or more; or fast and climbing or
+    sinking, above ``NEAR_ZERO_FT`` or without an altitude. Between the two
+    lies the band in which nothing changes.
+    """
+    alt, speed, rate = F.col("altitude_ft_num"), F.col("ground_speed_kts"), F.abs("vertical_rate_fpm")
+    mark = F.coalesce(F.col("on_ground"), F.lit(False))
+    slow, level = speed <= S.SLOW_KTS, rate <= S.LEVEL_FPM
+    moving = F.coalesce((speed >= S.FAST_KTS) & (rate >= S.CLIMB_FPM), F.lit(False))
+    low = F.coalesce((alt <= S.NEAR_ZERO_FT) & F.coalesce(slow, F.lit(True)) & F.coalesce(level, F.lit(True)), F.lit(False))
+    still = alt.isNull() & F.coalesce(slow & level, F.lit(False))
+    high = F.coalesce(alt >= S.AIR_FT, F.lit(False)) | (moving & F.coalesce(alt > S.NEAR_ZERO_FT, F.lit(True)))
+    return F.when(mark | low | still, F.lit("ground")).when(high, F.lit("air"))
+
+
 def movements(points: DataFrame, max_key_rows: int | None = None) -> DataFrame:
-    """Departures (ground → air) and arrivals (air → ground) per aircraft-day,
-    over all points with a known altitude, with a position or without."""
-    known = points.where(F.col("altitude_ft").isNotNull())
+    """Departures (ground → air) and arrivals (air → ground) per leg of an
+    aircraft-day, over all points, with a position or without.
+
+    A state machine with hysteresis (see ``ground_state``): each point either
+    sets the state or keeps it, and a new leg begins without one. So a stretch
+    of points, however long, does what its last setting point does; that point
+    is all that ``sequence_scan`` carries from one part of a track to the next.
+    """
+    new_leg = F.coalesce(F.col("flags_bitfield").bitwiseAND(S.FLAG_NEW_LEG) != 0, F.lit(False))
+    setting = points.withColumns({"_state": ground_state(), "_new_leg": new_leg}).where("_state is not null or _new_leg")
     scanned = sequence_scan(
-        known, TRACK_KEYS, TIME_ORDER, row_number=None,
-        lags={"prev_ground": "on_ground", "prev_us": "event_us"}, max_key_rows=max_key_rows,
+        setting, TRACK_KEYS, TIME_ORDER, row_number=None, running_sums={"leg": F.when(F.col("_new_leg"), 1).otherwise(0)},
+        lags={"_before": "_state", "prev_us": "event_us"}, max_key_rows=max_key_rows,
     )
     kind = (
-        F.when(F.col("prev_ground") & ~F.col("on_ground"), F.lit("departure"))
-        .when(~F.col("prev_ground") & F.col("on_ground"), F.lit("arrival"))
+        F.when((F.col("_before") == "ground") & (F.col("_state") == "air"), F.lit("departure"))
+        .when((F.col("_before") == "air") & (F.col("_state") == "ground"), F.lit("arrival"))
     )
-    return scanned.select(
+    return scanned.where(~F.col("_new_leg")).select(
         *TRACK_KEYS,
+        F.col("leg").cast("bigint").alias("leg"),
         kind.alias("movement"),
         F.col("datetime_utc").alias("time"),
         ntz_from_us("prev_us").alias("prev_time"),

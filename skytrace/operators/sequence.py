@@ -46,7 +46,8 @@ def _hot_keys(df: DataFrame, keys: list[str], rows_per_split: int) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_kn")).where(F.col("_kn") > rows_per_split)
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared checkpoint folder and read back."""
     path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -57,7 +58,7 @@ def split_rows(df: DataFrame, keys: list[str], order: list[str], n_rows: int, ro
     the order of keys and order columns, written once."""
     buckets = max(1, min(MAX_BUCKETS, math.ceil(n_rows / rows_per_split)))
     placed = df.repartitionByRange(buckets, *keys, *order).withColumn("_split", F.spark_partition_id())
-    return _written(placed, "sequence")
+    return written(placed, "sequence")
 
 
 def _plain_scan(base: DataFrame, keys, order, row_number, running_sums, lags) -> DataFrame:
@@ -107,7 +108,7 @@ def sequence_scan(
     n_hot, n_rows = hot.agg(F.count(F.lit(1)), F.sum("_kn")).first()
     if n_hot == 0:
         return _plain_scan(base, keys, order, row_number, running_sums, lags)
-    hot = _written(hot.select(*keys), "sequence-hot")
+    hot = written(hot.select(*keys), "sequence-hot")
     if n_hot <= MAX_BROADCAST_HOT_KEYS:
         hot = F.broadcast(hot)
     cold = _plain_scan(base.join(hot, keys, "left_anti"), keys, order, row_number, running_sums, lags)

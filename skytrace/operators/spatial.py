@@ -52,6 +52,7 @@ class CellIndex:
     cells: DataFrame
     cell_deg: float
     n_bytes: int
+    box: tuple[float, float, float, float] | None  # lon, lat of all zones; None without zones
 
     def side(self, df: DataFrame) -> DataFrame:
         """The build side of a join: broadcast within the byte bound only."""
@@ -67,16 +68,18 @@ def cell_key(lon: Column, lat: Column, cell_deg: float) -> Column:
     return F.shiftleft(_at(lon, cell_deg), 32) + _at(lat, cell_deg)
 
 
-def _pick_size(z: DataFrame) -> float:
-    """The finest cell size whose cells over all boxes stay within the target."""
+def _measure(z: DataFrame) -> tuple[float, tuple[float, float, float, float] | None]:
+    """The finest cell size whose cells over all boxes stay within the target,
+    and the box around all zones."""
     def n(k: int) -> Column:
         d = 2.0**k
         wide = _at(F.col("lon_max"), d) - _at(F.col("lon_min"), d) + 1
         return F.sum(wide.cast("double") * (_at(F.col("lat_max"), d) - _at(F.col("lat_min"), d) + 1))
 
     sizes = list(range(FINEST, COARSEST + 1))
-    counts = z.agg(*[n(k).alias(f"n{i}") for i, k in enumerate(sizes)]).first()
-    return 2.0 ** next((k for k, c in zip(sizes, counts, strict=True) if (c or 0) <= TARGET_CELLS), COARSEST)
+    r = z.agg(F.min("lon_min"), F.max("lon_max"), F.min("lat_min"), F.max("lat_max"), *[n(k).alias(f"n{i}") for i, k in enumerate(sizes)]).first()
+    size = 2.0 ** next((k for k, c in zip(sizes, r[4:], strict=True) if (c or 0) <= TARGET_CELLS), COARSEST)
+    return size, None if r[0] is None else tuple(r[:4])
 
 
 def _touches(e: Column, x0: Column, x1: Column, y0: Column, y1: Column) -> Column:
@@ -108,7 +111,8 @@ def cell_index(zones: DataFrame, cell_deg: float | None = None, strict: bool = F
     if strict:
         require_valid(zones)
     z = zones.where("valid").select("zone", *GEOMETRY)
-    d = cell_deg or _pick_size(z)
+    size, box = _measure(z)
+    d = cell_deg or size
     axis = lambda lo, hi: F.explode(F.sequence(_at(F.col(lo), d), _at(F.col(hi), d)))
     cells = z.select("zone", "edges", "lat_min", "lat_max", axis("lon_min", "lon_max").alias("cx")) \
         .select("zone", "edges", "cx", axis("lat_min", "lat_max").alias("cy"))
@@ -124,7 +128,7 @@ def cell_index(zones: DataFrame, cell_deg: float | None = None, strict: bool = F
     kept = classed.where("on or centre").select(
         "cell", "zone", (~F.col("on")).alias("inside"), F.when(F.col("on"), F.col("near")).otherwise(F.slice("near", 1, 0)).alias("edges")).cache()
     n_bytes = kept.agg(F.sum(F.lit(ROW_BYTES) + F.octet_length("zone") + F.size("edges") * EDGE_BYTES)).first()[0]
-    return CellIndex(kept, d, int(n_bytes or 0))
+    return CellIndex(kept, d, int(n_bytes or 0), box)
 
 
 def _index(zones: DataFrame | CellIndex) -> CellIndex:
@@ -138,6 +142,9 @@ def zone_join(points: DataFrame, zones: DataFrame | CellIndex) -> DataFrame:
     """
     index = _index(zones)
     cells = index.cells.select(F.col("cell").alias("_cell"), "zone", F.col("inside").alias("_inside"), F.col("edges").alias("_edges"))
+    if index.box:  # reaches the scan, where pages outside are skipped
+        x0, x1, y0, y1 = index.box
+        points = points.where(F.col("longitude").between(x0, x1) & F.col("latitude").between(y0, y1))
     keyed = points.withColumn("_cell", cell_key(F.col("longitude"), F.col("latitude"), index.cell_deg))
     met = keyed.join(index.side(cells), "_cell")
     return met.where(F.col("_inside") | point_in_polygon("longitude", "latitude", "_edges")).drop("_cell", "_inside", "_edges")

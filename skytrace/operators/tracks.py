@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions.timefn import ntz_from_us
-from .sequence import sequence_scan
+from .sequence import sequence_scan, written
 
 TRACK_KEYS = ["source_date", "icao"]
 TIME_ORDER = ["event_us", "path", "seq"]
@@ -24,50 +24,68 @@ def _order_struct() -> Column:
     return F.struct(*[F.col(c) for c in TIME_ORDER])
 
 
-def exact_median(df: DataFrame, group: list[str], value: str, bin_width: float = 0.01) -> DataFrame:
+#: Rows that a group may have between its bracket's ends for the exact step.
+EXACT_ROWS = 1_000_000
+#: Parts of a quantile sketch, and its accuracy (rank error 1 in so many rows).
+SKETCH_PARTS, SKETCH_ACCURACY = 100, 10_000
+#: A row a group: some 100 MB at most.
+MAX_BROADCAST_GROUPS = 500_000
+
+
+def exact_median(df: DataFrame, group: list[str], value: str, exact_rows: int | None = None) -> DataFrame:
     """Exact interpolated median of ``value`` per group, fully distributed.
 
-    1. Count rows per (group, bin) with ``bin = floor(value / bin_width)`` —
-       a partial aggregation; the result has at most (range / bin_width) rows
-       per group.
-    2. Running counts over the bins (a window over that small table) locate
-       the bin(s) holding the two middle ranks ``(n-1) div 2 + 1`` and
-       ``n div 2 + 1``.
-    3. Only rows of those bins (at most two per group, broadcast: bounded by
-       the number of groups) are counted per distinct value, and the value
-       at each middle rank is picked the same way.
-
-    The median is ``0.5 * lo + 0.5 * hi`` (equal to ``lo`` for odd ``n``),
-    the same interpolation as Spark's ``percentile(…, 0.5)``. No task ever
-    holds more than one bin's distinct values.
+    1. Rows per group are counted; the whole range is the first bracket.
+    2. While some group has more than ``exact_rows`` rows strictly inside its
+       bracket, a quantile sketch of these rows (``SKETCH_PARTS`` parts) gives a
+       narrower one around the middle ranks, with a part to spare on both
+       sides, a hundred times the sketch's error. One pass over the values
+       then counts exactly what lies below it and inside it.
+    3. Values within the brackets are counted per distinct value; running
+       counts give the values at the two middle ranks.
+
+    Nothing depends on the values' range, and a value that fills half the rows
+    is one entry of the last step. The median is ``0.5 * lo + 0.5 * hi`` (equal
+    to ``lo`` for odd ``n``), as Spark's ``percentile(…, 0.5)`` interpolates.
     """
+    exact_rows = exact_rows or EXACT_ROWS
     v = F.col(value)
-    base = df.where(v.isNotNull()).select(*group, v.alias("_v"), F.floor(v / F.lit(bin_width)).alias("_b"))
-    bins = base.groupBy(*group, "_b").agg(F.count(F.lit(1)).alias("_c"))
-    wg = Window.partitionBy(*group)
-    wb = wg.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    bins = bins.withColumn("_through", F.sum("_c").over(wb)).withColumn("_n", F.sum("_c").over(wg))
-    bins = bins.withColumn("_before", F.col("_through") - F.col("_c"))
-    ranks = F.array(
-        F.struct(F.lit(0).alias("which"), (F.floor((F.col("_n") - 1) / 2) + 1).cast("bigint").alias("k")),
-        F.struct(F.lit(1).alias("which"), (F.floor(F.col("_n") / 2) + 1).cast("bigint").alias("k")),
-    )
-    targets = (
-        bins.select(*group, "_b", "_before", "_through", "_n", F.inline(ranks))
-        .where((F.col("k") > F.col("_before")) & (F.col("k") <= F.col("_through")))
-        .select(*group, "_b", "_n", "which", (F.col("k") - F.col("_before")).alias("_kin"))
-    )
-    in_bins = base.join(F.broadcast(targets.select(*group, "_b").distinct()), [*group, "_b"])
-    vals = in_bins.groupBy(*group, "_b", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    wv = Window.partitionBy(*group, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    vals = vals.withColumn("_through", F.sum("_c").over(wv)).withColumn("_before", F.col("_through") - F.col("_c"))
-    picked = vals.join(targets, [*group, "_b"]).where(
-        (F.col("_kin") > F.col("_before")) & (F.col("_kin") <= F.col("_through"))
-    )
-    return picked.groupBy(*group).agg(
+    base = df.where(v.isNotNull()).select(*group, v.cast("double").alias("_v"))
+    none = F.lit(None).cast("double")
+    state = written(base.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).select(
+        *group, "_n", none.alias("_lo"), none.alias("_hi"), F.lit(0).cast("bigint").alias("_below"), F.col("_n").alias("_inside")), "median")
+    groups, largest = state.agg(F.count(F.lit(1)), F.max("_inside")).first()
+    side = F.broadcast if groups <= MAX_BROADCAST_GROUPS else (lambda d: d)
+    after, before = F.col("_lo").isNull() | (F.col("_v") >= F.col("_lo")), F.col("_hi").isNull() | (F.col("_v") <= F.col("_hi"))
+    while groups and largest > exact_rows:
+        parts = [i / SKETCH_PARTS for i in range(SKETCH_PARTS + 1)]
+        open_ = (F.col("_lo").isNull() | (F.col("_v") > F.col("_lo"))) & (F.col("_hi").isNull() | (F.col("_v") < F.col("_hi")))
+        within = base.join(side(state), group).where(after & before)
+        sketch = within.groupBy(*group).agg(
+            F.percentile_approx("_v", parts, SKETCH_ACCURACY).alias("_q"), F.count(F.lit(1)).alias("_c"),
+            F.first("_n").alias("_n"), F.first("_below").alias("_below"), F.max("_inside").alias("_was"),
+            F.first("_lo").alias("_old_lo"), F.first("_hi").alias("_old_hi"))
+        at = lambda rank: (rank - F.col("_below")) * F.lit(float(SKETCH_PARTS)) / F.col("_c")
+        lo_at = F.floor(at(F.floor((F.col("_n") - 1) / 2) + 1) - 1).cast("int")
+        hi_at = F.ceil(at(F.floor(F.col("_n") / 2) + 1) + 1).cast("int")
+        wide = F.col("_was") > exact_rows  # other groups keep their bracket
+        lo = F.when(~wide, F.col("_old_lo")).otherwise(F.get("_q", F.greatest(lo_at, F.lit(0))))
+        hi = F.when(~wide, F.col("_old_hi")).otherwise(F.get("_q", F.least(hi_at, F.lit(SKETCH_PARTS))))
+        bracket = written(sketch.select(*group, "_n", lo.alias("_lo"), hi.alias("_hi")), "median")
+        state = written(base.join(side(bracket), group).groupBy(*group).agg(
+            F.first("_n").alias("_n"), F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi"),
+            F.count_if(F.col("_v") < F.col("_lo")).alias("_below"), F.count_if(open_).alias("_inside")), "median")
+        largest = state.agg(F.max("_inside")).first()[0]
+    wv = Window.partitionBy(*group).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = base.join(side(state.drop("_inside")), group).where(after & before).groupBy(*group, "_v").agg(
+        F.count(F.lit(1)).alias("_c"), F.first("_n").alias("_n"), F.first("_below").alias("_below"))
+    through = F.col("_below") + F.sum("_c").over(wv)
+    ranked = counted.select(*group, "_v", "_n", through.alias("_through"), (through - F.col("_c")).alias("_before"))
+    holds = lambda k: (F.col("_before") < k) & (F.col("_through") >= k)
+    low, high = F.floor((F.col("_n") - 1) / 2) + 1, F.floor(F.col("_n") / 2) + 1
+    return ranked.groupBy(*group).agg(
         F.max("_n").alias("n"),
-        (F.lit(0.5) * F.max(F.when(F.col("which") == 0, F.col("_v")))
-         + F.lit(0.5) * F.max(F.when(F.col("which") == 1, F.col("_v")))).alias("median"),
+        (F.lit(0.5) * F.max(F.when(holds(low), F.col("_v"))) + F.lit(0.5) * F.max(F.when(holds(high), F.col("_v")))).alias("median"),
     )
 
 

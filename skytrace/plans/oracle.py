@@ -7,6 +7,7 @@ window functions. Column names equal the Spark outputs.
 
 from __future__ import annotations
 
+from .. import schema as S
 from . import params as P
 
 # Points of the fixture, straight from events (same arithmetic as the
@@ -297,6 +298,13 @@ vpw AS (SELECT p.*, w.label AS "window" FROM vp p JOIN wins w ON p.hour >= w.ws
 SELECT source_date, "window", zone, count(DISTINCT icao) AS unique_aircraft, count(*) AS n_points
 FROM inside GROUP BY source_date, "window", zone"""
 
+    q["zone_aircraft_sketch"] = _with(pts, _zones_cte(), _windows_cte(P.WINDOWS), """
+vpw AS (SELECT p.*, w.label AS "window" FROM vp p JOIN wins w ON p.hour >= w.ws AND p.hour < w.we)""",
+                                     _inside_cte("vpw"), """
+seen AS (SELECT source_date, "window", zone, icao FROM inside UNION ALL SELECT source_date, "window", '*', icao FROM vpw)""") + """
+SELECT source_date, "window", zone, count(DISTINCT icao) AS unique_aircraft, count(*) AS n_points, true AS same_points, true AS within_bound
+FROM seen GROUP BY source_date, "window", zone"""
+
     q["map_center"] = _with(pts, """
 lat_o AS (SELECT source_date, latitude AS v, row_number() OVER (PARTITION BY source_date ORDER BY latitude) AS rn,
                  count(*) OVER (PARTITION BY source_date) AS n FROM vp),
@@ -455,13 +463,24 @@ SELECT source_date, icao, CAST(leg AS BIGINT) AS leg, count(*) AS n_points,
 FROM lg GROUP BY source_date, icao, leg"""
 
     q["movements"] = _with(pts, f"""
-k AS (SELECT *, lag(on_ground) OVER (PARTITION BY source_date, icao ORDER BY {_ORDER}) AS prev_ground,
-             lag(event_us) OVER (PARTITION BY source_date, icao ORDER BY {_ORDER}) AS prev_us
-      FROM points WHERE icao IS NOT NULL AND altitude_ft IS NOT NULL)""") + """
-SELECT source_date, icao,
-       CASE WHEN prev_ground AND NOT on_ground THEN 'departure' WHEN NOT prev_ground AND on_ground THEN 'arrival' END AS movement,
+g AS (
+  SELECT *, (flags_bitfield & {S.FLAG_NEW_LEG}) <> 0 AS new_leg, altitude_ft_num AS alt, ground_speed_kts AS kts, abs(vertical_rate_fpm) AS fpm
+  FROM points WHERE icao IS NOT NULL),
+st AS (
+  SELECT *,
+    CASE WHEN on_ground
+           OR (alt <= {S.NEAR_ZERO_FT} AND coalesce(kts <= {S.SLOW_KTS}, true) AND coalesce(fpm <= {S.LEVEL_FPM}, true))
+           OR (alt IS NULL AND kts <= {S.SLOW_KTS} AND fpm <= {S.LEVEL_FPM}) THEN 'ground'
+         WHEN alt >= {S.AIR_FT}
+           OR (kts >= {S.FAST_KTS} AND fpm >= {S.CLIMB_FPM} AND coalesce(alt > {S.NEAR_ZERO_FT}, true)) THEN 'air' END AS state
+  FROM g),
+k AS (
+  SELECT *, lag(state) OVER w AS before, lag(event_us) OVER w AS prev_us, count(*) FILTER (WHERE new_leg) OVER w AS leg
+  FROM st WHERE state IS NOT NULL OR new_leg
+  WINDOW w AS (PARTITION BY source_date, icao ORDER BY {_ORDER}))""") + """
+SELECT source_date, icao, leg, CASE WHEN state = 'air' THEN 'departure' ELSE 'arrival' END AS movement,
        datetime_utc AS "time", make_timestamp(prev_us) AS prev_time, latitude, longitude
-FROM k WHERE (prev_ground AND NOT on_ground) OR (NOT prev_ground AND on_ground)"""
+FROM k WHERE NOT coalesce(new_leg, false) AND ((before = 'ground' AND state = 'air') OR (before = 'air' AND state = 'ground'))"""
 
     q["zone_membership"] = _with(pts, _zones_cte(), _inside_cte()) + """
 SELECT any_value(source_date) AS source_date, any_value(icao) AS icao, make_timestamp(any_value(event_us)) AS "time",

@@ -16,9 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import codes
+from ..functions.geo import z_order
 from ..functions.timefn import hour_range_label, iso_utc, ntz_from_us
 from ..operators import movement as mv
-from ..operators import stats, tracks, windows
+from ..operators import sketches, stats, tracks, windows
 from ..operators.flatten import doc_status, flatten_docs, parse_docs
 from ..operators.spatial import CellIndex, cell_index, unique_aircraft_in_zones, valid_positions, zone_join
 from ..session import read_table
@@ -48,10 +49,11 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def points_path(spark: SparkSession, sf_dir: str) -> str:
-    """Its folder, partitioned by hour: a window query reads its hours only."""
+    """Its folder, partitioned by hour (a window query reads its hours only)
+    and in Z-order within one (a region query reads the pages near it)."""
     from .store import stored_path
 
-    return stored_path(spark, sf_dir, "points", lambda: points_fresh(spark, sf_dir), ("hour",))
+    return stored_path(spark, sf_dir, "points", lambda: points_fresh(spark, sf_dir), ("hour",), (z_order("latitude", "longitude"),))
 
 
 def valid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,6 +197,22 @@ def q_zone_unique_aircraft(spark, sf_dir):
     return unique_aircraft_in_zones(inside, ["source_date", "window", "zone"])
 
 
+def q_zone_aircraft_sketch(spark, sf_dir):
+    """Distinct aircraft per date, window and zone (``*``: anywhere) from the
+    hourly sketches, written once, beside the exact count of the points."""
+    from .store import stored_path
+
+    made = stored_path(spark, sf_dir, "sketches", lambda: sketches.aircraft_sketches(valid(spark, sf_dir), cells(spark)))
+    keys = ["source_date", "window", "zone"]
+    estimated = sketches.united(spark.read.parquet(made), P.WINDOWS, keys)
+    tagged = windows.tag_windows(valid(spark, sf_dir), P.WINDOWS)
+    anywhere = tagged.withColumn("zone", F.lit(sketches.ANYWHERE))
+    exact = unique_aircraft_in_zones(zone_join(tagged, cells(spark)).unionByName(anywhere), keys)
+    both = exact.withColumnRenamed("n_points", "exact_points").join(estimated, keys)
+    return both.select(*keys, "unique_aircraft", "n_points", (F.col("n_points") == F.col("exact_points")).alias("same_points"),
+                       sketches.within_bound("estimate", "unique_aircraft").alias("within_bound"))
+
+
 def q_map_center(spark, sf_dir):
     return tracks.map_center(valid(spark, sf_dir))
 
@@ -422,6 +440,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "valid_positions": q_valid_positions,
     "points_in_zone": q_points_in_zone,
     "zone_unique_aircraft": q_zone_unique_aircraft,
+    "zone_aircraft_sketch": q_zone_aircraft_sketch,
     "map_center": q_map_center,
     "track_summary": q_track_summary,
     "tracks": q_tracks,

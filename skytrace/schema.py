@@ -67,6 +67,11 @@ DBFLAG_LADD = 8
 # lon 104°36'E..106°00'E.
 NEAR_REGION = {"lat_min": 1.5, "lat_max": 2.5, "lon_min": 104.6, "lon_max": 106.0}
 
+# Ours: bounds of the ground/air state machine (feet, knots, feet a minute).
+NEAR_ZERO_FT, AIR_FT = 200, 500
+SLOW_KTS, FAST_KTS = 40, 80
+LEVEL_FPM, CLIMB_FPM = 300, 500
+
 # Offset of the study's local time (GMT+8) from UTC, in hours.
 LOCAL_UTC_OFFSET_HOURS = 8
 
