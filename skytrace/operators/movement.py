@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions.codes import db_flag_columns, trace_flag_columns
 from ..functions.timefn import ntz_from_us
-from .sequence import sequence_scan
+from .sequence import sequence_scan, written
 from .spatial import CellIndex, zone_join, zone_tags
-from .tracks import TIME_ORDER, TRACK_KEYS
+from .tracks import TIME_ORDER, TRACK_KEYS, tracks
 
 def flags_decode(points: DataFrame) -> DataFrame:
     """Per date: points carrying each trace flag, and fresh (not stale) points."""
@@ -257,13 +257,22 @@ def source_mix(points: DataFrame) -> DataFrame:
     )
 
 
+#: Aircraft-days (two short texts each) broadcast to pick points at the scan.
+MAX_BROADCAST_VISITORS = 1_000_000
+
+
 def zone_trajectories(points: DataFrame, zones: DataFrame | CellIndex, segment_points: int = 1000,
                       max_key_rows: int | None = None) -> DataFrame:
     """Full tracks (all points, inside or not) of the aircraft-days that enter
-    a zone, as ordered segments per zone."""
-    from .tracks import tracks
+    a zone, as ordered segments per zone.
 
-    visitors = zone_join(points, zones).select("zone", *TRACK_KEYS).distinct()
-    visiting = points.join(visitors.select(*TRACK_KEYS).distinct(), TRACK_KEYS, "left_semi")
-    t = tracks(visiting, segment_points, max_key_rows)
-    return visitors.join(t, TRACK_KEYS, "inner")
+    The visits are found and written once. The visiting aircraft-days then
+    filter the points where they are scanned, before any shuffle, as long as
+    they are few enough to broadcast (counted); beyond that by a shuffled join.
+    """
+    visits = written(zone_join(points, zones).select("zone", *TRACK_KEYS).distinct(), "visits")
+    who = visits.select(*TRACK_KEYS).distinct()
+    few = visits.count() <= MAX_BROADCAST_VISITORS
+    side = F.broadcast if few else (lambda d: d)
+    t = tracks(points.join(side(who), TRACK_KEYS, "left_semi"), segment_points, max_key_rows)
+    return t.join(side(visits), TRACK_KEYS)

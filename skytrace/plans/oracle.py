@@ -548,8 +548,15 @@ SELECT p.source_date, count(*) AS n_rows, count(DISTINCT icao) AS n_aircraft, co
        count(DISTINCT hour) AS n_hours, coalesce(max(n_inside), 0) AS n_inside, coalesce(max(n_memberships), 0) AS n_memberships
 FROM points p LEFT JOIN mem m ON p.source_date = m.source_date GROUP BY p.source_date"""
 
-    q["stream_hourly_counts"] = _with(pts) + """
-SELECT make_timestamp((event_us // 3600000000) * 3600000000) AS hour_start, count(*) AS n_rows
-FROM points GROUP BY 1"""
+    q["stream_hourly_counts"] = _with(pts, """
+b AS (SELECT min(event_us) AS lo, max(event_us) AS hi FROM points),
+land AS (
+  SELECT event_us, least(2, (event_us - lo) * 3 // (hi - lo + 1) + CASE WHEN bad_after THEN 1 ELSE 0 END) AS slice FROM points, b),
+wm AS (SELECT slice + 1 AS slice, max(max(event_us)) OVER (ORDER BY slice) // 1000 * 1000 - 3600000000 AS bound FROM land GROUP BY slice),
+t AS (
+  SELECT event_us // 3600000000 * 3600000000 AS h, coalesce(event_us // 3600000000 * 3600000000 + 3600000000 <= bound, false) AS late
+  FROM land LEFT JOIN wm USING (slice))""") + """
+SELECT make_timestamp(h) AS hour_start, count(*) FILTER (WHERE NOT late) AS n_rows, count(*) FILTER (WHERE late) AS n_late
+FROM t GROUP BY h"""
 
     return q

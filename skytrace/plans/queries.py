@@ -355,7 +355,7 @@ def q_points_csv(spark, sf_dir):
 
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
     write_hourly(points(spark, sf_dir), base, fmt="csv")
-    return read_points_csv(spark, f"{base}/source_date=*/hour=*", projected=[
+    return read_points_csv(spark, f"{base}/source_date=*/hour=*/run=*", projected=[
         "icao", "datetime_utc", "latitude", "longitude", "altitude_ft", "ground_speed_kts", "flags_bitfield", "source_type", "aircraft_metadata"])
 
 
@@ -370,37 +370,51 @@ def q_window_files(spark, sf_dir):
     import uuid
 
     from ..session import ensure_checkpoint_dir
-    from ..sinks.files import write_windows
+    from ..sinks.files import read_windows, write_windows
 
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/windows-{uuid.uuid4().hex}"
     p = points(spark, sf_dir)
     write_windows(p, P.WINDOWS, base)
     write_windows(p, P.WINDOWS[1:], base, dates=[r[0] for r in p.select("source_date").distinct().collect()])
-    return spark.read.parquet(base).groupBy(F.col("source_date").cast("string").alias("source_date"), "window").agg(
+    return read_windows(spark, base).groupBy("source_date", "window").agg(
         F.count(F.lit(1)).alias("n_rows"), F.countDistinct("icao").alias("n_aircraft"), F.min("event_us").alias("first_us"))
 
 
+#: The hourly stream lands in so many slices of time; of the rows whose id is
+#: a multiple of LATE_EVERY, those land one slice after their own.
+STREAM_SLICES, LATE_EVERY = 3, 211
+
+
 def q_stream_hourly_counts(spark, sf_dir):
-    """Hourly counts as a Structured Streaming query: the events table, a file
-    or a folder of part files, as a file stream; fixture point fields; UTC
-    hour windows with a watermark, written by micro-batch (``availableNow``)
-    and read back."""
+    """Hourly counts as a Structured Streaming query with a watermark of one
+    hour: the points land as files, slice of time by slice, some of them one
+    slice late; after each the stream runs on from its checkpoint
+    (``availableNow``). Per hour: rows counted, and rows that came after the
+    hour was closed (from the side output)."""
     import uuid
 
-    from ..functions.timefn import epoch_us
+    from ..functions.timefn import US_PER_HOUR, epoch_us
     from ..session import ensure_checkpoint_dir
     from ..sources.events_docs import _fields, _raw
-    from ..streaming.ingest import read_hourly_counts, start_hourly_counts
+    from ..streaming.ingest import read_hourly_counts, read_late_rows, start_hourly_counts, start_late_rows
 
-    schema = read_table(spark, sf_dir, "events").schema
-    ev = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")  # the stream source takes folders and globs
     f = _fields(F.col)
-    pts = _raw(ev).select(epoch_us(f["timestamp"], f["seconds_after_timestamp"]).alias("event_us"))
+    pts = _raw(read_table(spark, sf_dir, "events")).select("event_id", epoch_us(f["timestamp"], f["seconds_after_timestamp"]).alias("event_us"))
+    lo, hi = pts.agg(F.min("event_us"), F.max("event_us")).first()
+    own = F.floor((F.col("event_us") - F.lit(lo)) * F.lit(STREAM_SLICES) / F.lit(hi - lo + 1))
+    landed = F.least(own + F.when(F.col("event_id") % LATE_EVERY == 0, 1).otherwise(0), F.lit(STREAM_SLICES - 1))
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
-    # One bounded run over a table in no order of time: no row may come late.
-    start_hourly_counts(pts, f"{root}/counts", f"{root}/_checkpoint", watermark="36500 days").awaitTermination()
-    c = read_hourly_counts(spark, f"{root}/counts")
-    return c.select(ntz_from_us("window_start_us").alias("hour_start"), "n_rows")
+    for k in range(STREAM_SLICES):
+        pts.where(landed == k).write.mode("append").parquet(f"{root}/landing")
+        stream = spark.readStream.schema(pts.schema).parquet(f"{root}/landing")
+        running = [start_hourly_counts(stream, f"{root}/counts", f"{root}/_counts"), start_late_rows(stream, f"{root}/late", f"{root}/_late")]
+        for query in running:
+            query.awaitTermination()
+    late = read_late_rows(spark, f"{root}/late").groupBy((F.col("event_us") - F.pmod("event_us", F.lit(US_PER_HOUR))).alias("window_start_us")) \
+        .agg(F.count(F.lit(1)).alias("n_late"))
+    both = read_hourly_counts(spark, f"{root}/counts").join(late, "window_start_us", "full")
+    return both.select(ntz_from_us("window_start_us").alias("hour_start"), F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
+                       F.coalesce("n_late", F.lit(0)).alias("n_late"))
 
 
 def q_stream_ingest(spark, sf_dir):

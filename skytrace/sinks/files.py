@@ -1,18 +1,26 @@
 """File sinks: hourly point partitions, per-window files, GeoJSON features.
 
-A run writes into a folder of its own below the table (``_run-…``, which
-readers skip) and then replaces exactly its dates: each old date folder goes,
-the new one takes its place. Hours and windows that hold no rows any more go
-with it, other dates are untouched, and file times play no part. Micro-batches
-of a stream add files to the hour folders under names that carry the batch, so
-that a repeated batch replaces its own files and nothing else.
+A table's folders are ``source_date=…/hour=…/run=…`` (or ``window`` in place
+of ``hour``): each write adds a run folder of its own and touches no other.
+When its files stand, one small file in ``_runs`` says, for each date of the
+run, that this run now is what its *writer* (``batch``, or a micro-batch of a
+stream) has for that date. Readers take the latest run of every writer and
+date, so that
+
+* a batch run replaces the batch rows of its dates at one instant, also where
+  hours or windows hold no rows any more, and leaves streamed rows alone;
+* a run that fails midway, or a reader beside it, sees nothing of it;
+* a repeated micro-batch replaces its earlier attempt, whatever hours that had.
+
+``vacuum`` deletes the folders of replaced and failed runs.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +29,8 @@ from ..functions.timefn import iso_utc
 from ..operators.windows import tag_windows
 
 POINT_FILE_COLUMNS = S.POINT_COLUMNS + ["path", "seq", "event_us", "altitude_ft_num", "on_ground"]
+BATCH = "batch"
+_RUNS = "source_date string, writer string, run string, committed_us long"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -29,27 +39,63 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
-def _run_folder(base: str, name: str = "") -> str:
-    return f"{base.rstrip('/')}/_run-{name or uuid.uuid4().hex}"
+def _committed(spark: SparkSession, base: str) -> DataFrame | None:
+    path = f"{base.rstrip('/')}/_runs"
+    fs, p, _ = _fs(spark, path)
+    return spark.read.schema(_RUNS).parquet(path) if fs.exists(p) else None
 
 
-def _folders(fs, path, key: str) -> dict:
-    """Partition folders ``key=value`` directly below a path, by value."""
-    found = (st.getPath() for st in (fs.listStatus(path) if fs.exists(path) else []) if st.isDirectory())
-    return {p.getName()[len(key) + 1 :]: p for p in found if p.getName().startswith(f"{key}=")}
+def current_runs(spark: SparkSession, base: str) -> DataFrame | None:
+    """(source_date, run) that make up the table now; None before the first run."""
+    runs = _committed(spark, base)
+    if runs is None:
+        return None
+    # With a filter on this side, Spark prunes the table's run folders by it.
+    return runs.where(F.col("writer") > "").groupBy("source_date", "writer").agg(F.max_by("run", F.struct("committed_us", "run")).alias("run")).select("source_date", "run")
 
 
-def _replace_dates(spark: SparkSession, run: str, base: str, dates: list[str] | None) -> None:
-    """Put the run's date folders in place of the table's; ``dates`` without
-    rows in the run lose their folder."""
-    fs, root, jvm = _fs(spark, base)
-    new = _folders(fs, jvm.org.apache.hadoop.fs.Path(run), "source_date")
-    for d in sorted({*new, *(dates or [])}):
-        target = jvm.org.apache.hadoop.fs.Path(root, f"source_date={d}")
-        fs.delete(target, True)
-        if d in new and not fs.rename(new[d], target):
-            raise OSError(f"cannot move {new[d]} to {target}")
-    fs.delete(jvm.org.apache.hadoop.fs.Path(run), True)
+def _write_run(out: DataFrame, fmt: str, base: str, second: str, dates: list[str] | None, writer: str = BATCH) -> list[tuple]:
+    """Add ``out`` as a run and commit it; the (date, ``second``) partitions written.
+
+    ``dates`` belong to the run even without rows; a stream's writer always
+    has all its dates replaced.
+    """
+    spark, run, seen = out.sparkSession, uuid.uuid4().hex, Observation()
+    held = out.observe(seen, F.collect_set(F.struct("source_date", second)).alias("parts"))  # a few per date
+    w = held.withColumn("run", F.lit(run)).write.mode("append").format(fmt).partitionBy("source_date", second, "run")
+    if fmt == "csv":
+        w = w.option("header", True).option("nullValue", "")
+    w.save(base)
+    parts = sorted({(r[0], r[1]) for r in seen.get["parts"]})
+    of_run = {d for d, _ in parts} | set(dates or [])
+    before = _committed(spark, base)
+    if writer != BATCH and before is not None:
+        of_run |= {r[0] for r in before.where(F.col("writer") == writer).select("source_date").distinct().collect()}
+    if of_run:
+        rows = [(d, writer, run, time.time_ns() // 1000) for d in sorted(of_run)]
+        spark.createDataFrame(rows, _RUNS).coalesce(1).write.mode("append").parquet(f"{base.rstrip('/')}/_runs")
+    return parts
+
+
+def _current(table: DataFrame, base: str) -> DataFrame:
+    """The rows of the table's current runs; the runs' folders are pruned."""
+    runs = current_runs(table.sparkSession, base)
+    return table if runs is None else table.join(runs, ["source_date", "run"], "left_semi")
+
+
+def vacuum(spark: SparkSession, base: str) -> int:
+    """Delete the folders of runs that no reader takes any more (no run may be
+    under way); their number. A step of upkeep, not of any write."""
+    runs = current_runs(spark, base)
+    keep = {(r[0], r[1]) for r in runs.collect()} if runs is not None else set()
+    fs, _, jvm = _fs(spark, base)
+    gone = 0
+    for st in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/source_date=*/*/run=*")) or []:
+        of = dict(x.split("=", 1) for x in st.getPath().toString().split("/") if "=" in x)
+        if (of["source_date"], of["run"]) not in keep:
+            fs.delete(st.getPath(), True)
+            gone += 1
+    return gone
 
 
 def _hourly_rows(points: DataFrame, fmt: str) -> DataFrame:
@@ -61,11 +107,6 @@ def _hourly_rows(points: DataFrame, fmt: str) -> DataFrame:
     return out.hint("rebalance", "source_date", "hour")
 
 
-def _writer(out: DataFrame, fmt: str, *partitions: str):
-    w = out.write.mode("overwrite").format(fmt).partitionBy(*partitions)
-    return w.option("header", True).option("nullValue", "") if fmt == "csv" else w
-
-
 def write_hourly(points: DataFrame, base: str, fmt: str = "parquet", dates: list[str] | None = None) -> list[tuple[str, int]]:
     """Write points under ``base/source_date=<d>/hour=<h>/`` and return the
     (date, hour) partitions of this run. ``dates`` are the dates of the run
@@ -74,32 +115,13 @@ def write_hourly(points: DataFrame, base: str, fmt: str = "parquet", dates: list
     CSV output carries the 23 point columns with a header, ``datetime_utc``
     as ISO-8601 text and null as an empty field.
     """
-    spark, run = points.sparkSession, _run_folder(base)
-    _writer(_hourly_rows(points, fmt), fmt, "source_date", "hour").save(run)
-    fs, at, _ = _fs(spark, run)
-    written = sorted((d, int(h)) for d, p in _folders(fs, at, "source_date").items() for h in _folders(fs, p, "hour"))
-    _replace_dates(spark, run, base, dates)
-    return written
+    return _write_run(_hourly_rows(points, fmt), fmt, base, "hour", dates)
 
 
 def append_hourly(points: DataFrame, base: str, batch: str) -> None:
     """Add a micro-batch to the hourly table. ``batch`` names it: the same
-    batch written again replaces its own files."""
-    spark, run = points.sparkSession, _run_folder(base, batch)
-    _writer(_hourly_rows(points, "parquet"), "parquet", "source_date", "hour").save(run)
-    fs, at, jvm = _fs(spark, run)
-    for d, date_folder in _folders(fs, at, "source_date").items():
-        for h, hour_folder in _folders(fs, date_folder, "hour").items():
-            target = jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/source_date={d}/hour={h}")
-            fs.mkdirs(target)
-            for st in fs.listStatus(target):
-                if st.getPath().getName().startswith(f"{batch}-"):
-                    fs.delete(st.getPath(), False)
-            for st in fs.listStatus(hour_folder):
-                name = st.getPath().getName()
-                if not name.startswith((".", "_")):
-                    fs.rename(st.getPath(), jvm.org.apache.hadoop.fs.Path(target, f"{batch}-{name}"))
-    fs.delete(at, True)
+    batch written again replaces its own rows."""
+    _write_run(_hourly_rows(points, "parquet"), "parquet", base, "hour", None, batch)
 
 
 def _file_schema(fmt: str) -> T.StructType:
@@ -116,24 +138,28 @@ def _file_schema(fmt: str) -> T.StructType:
             T.StructField("altitude_ft_num", T.IntegerType()),
             T.StructField("on_ground", T.BooleanType()),
         ]
-    return T.StructType(fields + [T.StructField("source_date", T.StringType()), T.StructField("hour", T.IntegerType())])
+    return T.StructType(fields + [
+        T.StructField("source_date", T.StringType()), T.StructField("hour", T.IntegerType()), T.StructField("run", T.StringType())])
 
 
-def read_hourly(spark: SparkSession, base: str, fmt: str = "parquet") -> DataFrame:
-    """The hourly point table with ``source_date`` and ``hour`` as partition
-    columns (filters on them prune folders)."""
+def _hourly_table(spark: SparkSession, base: str, fmt: str) -> DataFrame:
     r = spark.read.format(fmt).schema(_file_schema(fmt))
     if fmt == "csv":
         r = r.option("header", True).option("nullValue", "")
     return r.load(base)
 
 
+def read_hourly(spark: SparkSession, base: str, fmt: str = "parquet") -> DataFrame:
+    """The hourly point table with ``source_date`` and ``hour`` as partition
+    columns (filters on them prune folders)."""
+    return _current(_hourly_table(spark, base, fmt), base).drop("run")
+
+
 def hourly_file_stats(spark: SparkSession, base: str, fmt: str = "parquet") -> DataFrame:
     """Rows, files, bytes and size in MB (one decimal) per written
     (source_date, hour)."""
-    df = read_hourly(spark, base, fmt).select(
-        "source_date", "hour", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("b")
-    )
+    df = _current(_hourly_table(spark, base, fmt).select(
+        "source_date", "hour", "run", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("b")), base)
     per_file = df.groupBy("source_date", "hour", "f").agg(F.count(F.lit(1)).alias("n"), F.first("b").alias("b"))
     g = per_file.groupBy("source_date", "hour").agg(
         F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_files"), F.sum("b").alias("n_bytes"),
@@ -155,9 +181,14 @@ def write_windows(points: DataFrame, windows, base: str, fmt: str = "parquet", d
     if fmt == "csv":
         cols = [c for c in t.columns if c not in ("path", "event_us", "seq", "hour", "altitude_ft_num", "on_ground")]
         t = t.withColumn("datetime_utc", iso_utc("event_us")).select(*cols)
-    run = _run_folder(base)
-    _writer(t, fmt, "source_date", "window").save(run)
-    _replace_dates(points.sparkSession, run, base, dates)
+    _write_run(t, fmt, base, "window", dates)
+
+
+def read_windows(spark: SparkSession, base: str, fmt: str = "parquet") -> DataFrame:
+    """The window rows with ``source_date`` and ``window`` as partition columns."""
+    r = spark.read.format(fmt)
+    table = (r.option("header", True).option("nullValue", "") if fmt == "csv" else r).load(base)
+    return _current(table.withColumn("source_date", F.col("source_date").cast("string")), base).drop("run")
 
 
 def write_features(features: DataFrame, path: str) -> None:

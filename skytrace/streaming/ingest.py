@@ -10,6 +10,8 @@
   window runs on the UTC instant (``timestamp_micros``), so hours are UTC
   whatever the session time zone. Batch ``hourly_counts`` is keyed by
   (source_date, hour); the two agree when no point spills past midnight.
+* ``start_late_rows``: the rows that come too late for their window, as a
+  side output.
 """
 
 from __future__ import annotations
@@ -20,11 +22,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.timefn import US_PER_HOUR
 from ..operators.flatten import flatten_docs
 from ..sinks.files import append_hourly
 from ..sources.trace_docs import date_of_path
 
 
+_SEEN = "last_us long, batch long"
+
+
 def stream_docs(spark: SparkSession, src_dir: str, max_files_per_trigger: int | None = None,
                 lines: bool = False) -> DataFrame:
     """New documents under ``src_dir``: one file = one document, or with
@@ -52,7 +58,7 @@ def start_ingest(points: DataFrame, out_dir: str, checkpoint: str, available_now
     """Points → the hourly table that the batch writer writes as well. Each
     micro-batch goes through ``append_hourly`` under a name made of this
     stream's checkpoint and the batch id: a batch repeated after a failure
-    replaces its own files, and batch rows of other runs stay readable."""
+    replaces its own rows, and batch rows of other runs stay readable."""
     stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -66,7 +72,8 @@ def start_ingest(points: DataFrame, out_dir: str, checkpoint: str, available_now
 def start_hourly_counts(points: DataFrame, out_dir: str, checkpoint: str, watermark: str = "1 hour") -> StreamingQuery:
     """Hourly counts of a stream into ``out_dir/batch=<id>``: each micro-batch
     writes the windows that it changed (update mode, so the watermark drops
-    old state), and nothing passes through the driver."""
+    old state), and nothing passes through the driver. Rows that come after
+    their window was closed are not counted; ``start_late_rows`` gives them."""
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/batch={batch_id}")
 
@@ -81,6 +88,38 @@ def read_hourly_counts(spark: SparkSession, out_dir: str) -> DataFrame:
     return rows.groupBy("window_start_us").agg(F.max_by("n_rows", "batch").alias("n_rows"))
 
 
+def start_late_rows(points: DataFrame, out_dir: str, checkpoint: str, late_after_us: int = US_PER_HOUR) -> StreamingQuery:
+    """The rows of a stream that come after their hour window was closed, into
+    ``out_dir/rows/batch=<id>``: a side output beside ``start_hourly_counts``
+    over the same source with the same batches.
+
+    A window is closed when the latest instant of all earlier batches, less
+    ``late_after_us``, has reached its end, which is the rule of the watermark.
+    Each batch leaves its latest instant in ``out_dir/seen/batch=<id>``, so a
+    restarted stream goes on where it stood, and a repeated batch finds the
+    same bound and replaces its own rows.
+    """
+    base = out_dir.rstrip("/")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        seen = spark.read.schema(_SEEN).parquet(f"{base}/seen").where(F.col("batch") < batch_id) if batch_id else None
+        last = seen.agg(F.max("last_us")).first()[0] if seen is not None else None
+        batch.agg(F.max("event_us").alias("last_us")).write.mode("overwrite").parquet(f"{base}/seen/batch={batch_id}")
+        # The watermark counts whole milliseconds.
+        bound = None if last is None else last // 1000 * 1000 - late_after_us
+        end = F.col("event_us") - F.pmod("event_us", F.lit(US_PER_HOUR)) + F.lit(US_PER_HOUR)
+        late = batch.where(F.lit(False) if bound is None else end <= F.lit(bound))
+        late.write.mode("overwrite").parquet(f"{base}/rows/batch={batch_id}")
+
+    return points.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write).trigger(availableNow=True).start()
+
+
+def read_late_rows(spark: SparkSession, out_dir: str) -> DataFrame:
+    """All late rows so far, with the batch that brought them."""
+    return spark.read.parquet(f"{out_dir.rstrip('/')}/rows")
+
+
 def hourly_counts_stream(points: DataFrame, watermark: str = "1 hour") -> DataFrame:
     """Rows per UTC hour window; a window is emitted once the watermark passes it."""
     ts = F.timestamp_micros(F.col("event_us"))

@@ -119,7 +119,7 @@ def test_csv_sink_and_typed_read(spark, tmp_dir):
     p = Q.points(spark, SF_SMALL)
     base = os.path.join(tmp_dir, "csv")
     write_hourly(p, base, fmt="csv")
-    back = read_points_csv(spark, base + "/*/*/*.csv", projected=["datetime_utc", "icao", "latitude", "longitude"])
+    back = read_points_csv(spark, base + "/*/*/*/*.csv", projected=["datetime_utc", "icao", "latitude", "longitude"])
     assert back.count() == p.count()
     assert back.schema["icao"].dataType.simpleString() == "string"
     assert back.where("datetime_utc IS NULL").count() == 0

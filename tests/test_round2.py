@@ -19,7 +19,7 @@ from skytrace.pipeline import ingest
 from skytrace.plans import oracle, queries as Q
 from skytrace.plans import params as P
 from skytrace.session import TABLES, read_table
-from skytrace.sinks.files import append_hourly, read_hourly, write_hourly, write_windows
+from skytrace.sinks.files import append_hourly, read_hourly, read_windows, vacuum, write_hourly, write_windows
 from skytrace.sources.listing import archive_groups
 from skytrace.sources.trace_docs import date_of_path
 from skytrace.streaming.ingest import start_ingest, stream_points
@@ -103,6 +103,32 @@ def test_stream_then_batch_in_one_table(spark, tmp_dir):
     assert len(rows(spark, table)) == 5
     append_hourly(points(spark, "2025.02.08", "bbbbbb", [1]), table, "s1-1")  # the batch again
     assert len(rows(spark, table)) == 5
+    # A batch run of the streamed date leaves its streamed rows, and the other way round.
+    write_hourly(points(spark, "2025.02.08", "dddddd", [1, 2]), table)
+    write_hourly(points(spark, "2025.02.08", "dddddd", [1, 2, 7200]), table)
+    assert Counter(r[2] for r in rows(spark, table)) == {"aaaaaa": 1, "bbbbbb": 1, "cccccc": 3, "dddddd": 3}
+    # The repeated batch has rows at another date and hour now: its old ones go.
+    append_hourly(points(spark, "2025.02.07", "bbbbbb", [7200]), table, "s1-1")
+    assert sorted(r[:1] + r[2:3] for r in rows(spark, table) if r[2] in ("aaaaaa", "bbbbbb")) == [("2025.02.07", "bbbbbb"), ("2025.02.08", "aaaaaa")]
+    n = len(rows(spark, table))
+    assert vacuum(spark, table) == 3 and len(rows(spark, table)) == n and vacuum(spark, table) == 0
+
+
+def test_a_failed_run_is_not_seen(spark, tmp_dir):
+    table = f"{tmp_dir}/t"
+    write_hourly(points(spark, "2025.02.08", "aaaaaa", [1]), table)
+    bad = points(spark, "2025.02.08", "bbbbbb", [1, 2]).withColumn("seq", F.when(F.col("seq") == 1, F.raise_error(F.lit("stop")).cast("int")).otherwise(F.col("seq")))
+    with pytest.raises(Exception, match="stop"):
+        write_hourly(bad, table)
+    assert [r[2] for r in rows(spark, table)] == ["aaaaaa"]
+
+
+def test_other_runs_are_pruned(spark, tmp_dir):
+    table = f"{tmp_dir}/t"
+    for _ in range(3):
+        write_hourly(points(spark, "2025.02.08", "aaaaaa", [1, 2]), table)
+    plan = read_hourly(spark, table)._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan and len(rows(spark, table)) == 2
 
 
 def test_hourly_run_replaces_its_dates(spark, tmp_dir):
@@ -114,7 +140,8 @@ def test_hourly_run_replaces_its_dates(spark, tmp_dir):
     assert [r[0] for r in rows(spark, table)] == ["2025.02.08", "2025.02.09"]
     write_hourly(left, table, dates=["2025.02.08", "2025.02.09"])
     assert [r[0] for r in rows(spark, table)] == ["2025.02.08"]
-    assert not [x for x in os.listdir(table) if x.startswith("_run")]
+    vacuum(spark, table)
+    assert [r[0] for r in rows(spark, table)] == ["2025.02.08"]
 
 
 def test_window_run_replaces_its_dates(spark, tmp_dir):
@@ -124,9 +151,9 @@ def test_window_run_replaces_its_dates(spark, tmp_dir):
     wins = [("a", hours[0], hours[0] + 1), ("b", hours[1], hours[1] + 1)]
     write_windows(p, wins, base)
     write_windows(p, wins[1:], base)
-    assert [r[0] for r in spark.read.parquet(base).select("window").collect()] == ["b"]
+    assert [r[0] for r in read_windows(spark, base).select("window").collect()] == ["b"]
     write_windows(p.where("false"), wins, base, dates=["2025.02.08"])
-    assert not [x for x in os.listdir(base) if x.startswith("source_date")]
+    assert read_windows(spark, base).count() == 0
 
 
 def test_date_is_the_last_date_folder(spark):
