@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from .. import schema as S
 from ..functions.codes import db_flag_columns, trace_flag_columns
@@ -233,19 +234,37 @@ def callsigns(points: DataFrame) -> DataFrame:
     return g
 
 
+def _snapshots(points: DataFrame) -> DataFrame:
+    """Points that carry a metadata snapshot, parsed once to a variant ``m``
+    (null where the text is no JSON)."""
+    return points.where(F.col("aircraft_metadata").isNotNull()).withColumn("m", F.try_parse_json(F.col("aircraft_metadata")))
+
+
+def _typed(field) -> Column:
+    """A field of the snapshot in its documented type; null where it is missing
+    or of another kind. Whole numbers may come as floats; an altitude may be a
+    text (``ground``)."""
+    path, kind = f"$.{field.name}", field.dataType.simpleString()
+    value = F.try_variant_get(F.col("m"), path, kind)
+    if field.name == "alt_baro":
+        value = F.coalesce(F.try_variant_get(F.col("m"), path, "bigint").cast("string"), value)
+    return (F.trim(value) if field.name == "flight" else value).alias(field.name)
+
+
 def metadata_fields(points: DataFrame) -> DataFrame:
-    """Metadata snapshots parsed to typed fields (points that carry one)."""
-    m = points.where(F.col("aircraft_metadata").isNotNull()).withColumn(
-        "m", F.from_json("aircraft_metadata", S.METADATA_SCHEMA)
-    )
-    return m.select(
-        "source_date", "icao", "datetime_utc",
-        F.trim(F.col("m.flight")).alias("flight"),
-        F.col("m.true_heading").alias("true_heading"),
-        F.col("m.alt_baro").alias("alt_baro"),
-        F.col("m.squawk").alias("squawk"),
-        F.col("m.category").alias("category"),
-    )
+    """All documented single fields of the metadata snapshots, typed."""
+    m = _snapshots(points)
+    return m.select("source_date", "icao", "datetime_utc", *[_typed(f) for f in S.METADATA_SCHEMA.fields if not isinstance(f.dataType, ArrayType)])
+
+
+def metadata_lists(points: DataFrame) -> DataFrame:
+    """The list fields of the snapshots (autopilot modes, fields from MLAT and
+    TIS-B), one row an item with its place in the list."""
+    m = _snapshots(points)
+    lists = [f for f in S.METADATA_SCHEMA.fields if isinstance(f.dataType, ArrayType)]
+    each = F.explode(F.array(*[F.struct(F.lit(f.name).alias("field"), _typed(f).alias("items")) for f in lists]))
+    return m.select("source_date", "icao", "path", "seq", each.alias("l")).select(
+        "source_date", "icao", "path", "seq", F.col("l.field").alias("field"), F.posexplode("l.items").alias("place", "item"))
 
 
 def source_mix(points: DataFrame) -> DataFrame:

@@ -34,7 +34,13 @@ p0 AS (
     CAST(event_id % 16 AS INTEGER) AS flags_bitfield,
     CAST((event_id % 4001) - 2000 AS INTEGER) AS vertical_rate_fpm,
     CASE WHEN event_id % 3 = 0 THEN '{"flight":"FL' || CAST(user_id AS VARCHAR) || ' ","true_heading":'
-         || CAST((event_id * 53 % 3600) / 1e1 AS VARCHAR) || '}' END AS aircraft_metadata,
+         || CAST((event_id * 53 % 3600) / 1e1 AS VARCHAR)
+         || CASE WHEN event_id % 30 = 0 THEN
+              ',"alt_baro":' || CASE WHEN event_id % 60 = 0 THEN '"ground"' ELSE CAST(event_id % 400 * 100 AS VARCHAR) || '.0' END
+              || ',"squawk":"' || lpad(CAST(event_id % 7778 AS VARCHAR), 4, '0') || '","category":"A' || CAST(event_id % 8 AS VARCHAR)
+              || '","emergency":"none","nic":' || CAST(event_id % 12 AS VARCHAR) || '.0,"version":2,"rssi":-' || CAST(event_id % 40 AS VARCHAR) || '.5'
+              || CASE WHEN event_id % 120 < 90 THEN ',"nav_modes":["autopilot","vnav"],"mlat":["lat","lon"],"tisb":[]' ELSE ',"nav_modes":["lnav"]' END
+            ELSE '' END || '}' END AS aircraft_metadata,
     (['adsb_icao', 'mlat', 'tisb_icao', 'adsr_icao'])[event_id % 4 + 1] AS source_type,
     CAST(CASE WHEN event_id % 7 <> 0 THEN CAST(floor(value * 100) AS BIGINT) + event_id % 50 END AS INTEGER)
       AS geometric_altitude_ft,
@@ -82,6 +88,14 @@ vp AS (
 )"""
 
 
+# Documents of the fixture that fail: no JSON, and an empty trace.
+_FAILED = """
+fd AS (SELECT DISTINCT source_date, icao, block, (user_id + block) % 50 AS kind,
+              'traces/' || source_date || '/trace_full_' || icao || '-' || CAST(block AS VARCHAR) AS stem FROM p0),
+failed AS (SELECT stem || CASE WHEN kind = 3 THEN 'x' ELSE 'e' END || '.json' AS path, stem || '.json' AS beside, source_date, kind = 4 AS parsed
+           FROM fd WHERE kind IN (3, 4))"""
+
+
 def _dms(x: str) -> str:
     u = f"upper(trim({x}))"
     pat = r"'^(\d{2,3})(\d{2})(\d{2})([NSEW])'"
@@ -221,16 +235,21 @@ def oracle_sql() -> dict[str, str]:
 
     q["trace_flatten"] = _with(pts) + "\nSELECT * EXCLUDE (bad_after) FROM points"
 
-    q["trace_docs_scan"] = _with(pts) + """
+    q["trace_docs_scan"] = _with(pts, _FAILED) + """
 SELECT path, source_date, icao, "timestamp", r, t, "desc", year, ownOp, dbFlags,
        CAST(count(*) + count(*) FILTER (WHERE bad_after) AS INTEGER) AS n_entries
-FROM points GROUP BY path, source_date, icao, "timestamp", r, t, "desc", year, ownOp, dbFlags"""
+FROM points GROUP BY path, source_date, icao, "timestamp", r, t, "desc", year, ownOp, dbFlags
+UNION ALL
+SELECT f.path, f.source_date, p.icao, p."timestamp", p.r, p.t, p."desc", p.year, p.ownOp, p.dbFlags, CASE WHEN f.parsed THEN 0 END
+FROM failed f LEFT JOIN (SELECT DISTINCT path, icao, "timestamp", r, t, "desc", year, ownOp, dbFlags FROM points) p
+  ON f.parsed AND p.path = f.beside"""
 
-    q["doc_status"] = _with(pts) + """
+    q["doc_status"] = _with(pts, _FAILED) + """
 SELECT path, source_date, true AS parsed, CAST(count(*) + count(*) FILTER (WHERE bad_after) AS INTEGER) AS n_entries,
        CAST(count(*) FILTER (WHERE bad_after) AS INTEGER) AS n_bad_entries,
        CAST(count(*) AS INTEGER) AS n_rows, 'processed' AS status
-FROM points GROUP BY path, source_date"""
+FROM points GROUP BY path, source_date
+UNION ALL SELECT path, source_date, parsed, 0, 0, 0, 'failed' FROM failed"""
 
     q["point_event_time"] = _with(pts) + """
 SELECT path, seq, icao, event_us, datetime_utc,
@@ -251,11 +270,13 @@ SELECT f.source_date, f.hour,
        CAST(coalesce(c.n, 0) AS BIGINT) AS n_rows
 FROM frame f LEFT JOIN counts c ON f.source_date = c.source_date AND f.hour = c.hour"""
 
-    q["ingest_stats"] = _with(pts) + """
-SELECT source_date, count(DISTINCT path) AS n_docs, count(DISTINCT path) AS processed_docs, CAST(0 AS BIGINT) AS failed_docs,
+    q["ingest_stats"] = _with(pts, _FAILED, """
+f AS (SELECT source_date, count(*) AS n FROM failed GROUP BY source_date)""") + """
+SELECT p.source_date, count(DISTINCT path) + coalesce(any_value(f.n), 0) AS n_docs, count(DISTINCT path) AS processed_docs,
+       CAST(coalesce(any_value(f.n), 0) AS BIGINT) AS failed_docs,
        count(*) FILTER (WHERE bad_after) AS bad_entries, count(*) AS total_rows, count(DISTINCT hour) AS active_hours,
        count(DISTINCT hour) AS files_created
-FROM points GROUP BY source_date"""
+FROM points p LEFT JOIN f ON f.source_date = p.source_date GROUP BY p.source_date"""
 
     q["multi_date_counts"] = _with(pts) + """
 SELECT source_date, count(*) AS n_rows, count(DISTINCT icao) AS n_aircraft, count(DISTINCT path) AS n_docs,
@@ -516,13 +537,24 @@ visitors AS (SELECT DISTINCT zone, source_date, icao FROM inside)""", _track_pos
 trk AS (""" + _tracks_sql() + ")") + """
 SELECT v.zone, t.* FROM visitors v JOIN trk t ON v.source_date = t.source_date AND v.icao = t.icao"""
 
-    q["metadata_fields"] = _with(pts) + """
-SELECT source_date, icao, datetime_utc, trim(json_extract_string(aircraft_metadata, '$.flight')) AS flight,
-       TRY_CAST(json_extract_string(aircraft_metadata, '$.true_heading') AS DOUBLE) AS true_heading,
-       json_extract_string(aircraft_metadata, '$.alt_baro') AS alt_baro,
-       json_extract_string(aircraft_metadata, '$.squawk') AS squawk,
-       json_extract_string(aircraft_metadata, '$.category') AS category
-FROM points WHERE aircraft_metadata IS NOT NULL"""
+    sql_type = {"string": "VARCHAR", "double": "DOUBLE", "int": "INTEGER", "bigint": "BIGINT"}
+    fields = []
+    for f in S.METADATA_SCHEMA.fields:
+        kind, text = f.dataType.simpleString(), f"json_extract_string(aircraft_metadata, '$.{f.name}')"
+        if kind in sql_type:
+            value = f"TRY_CAST({text} AS {sql_type[kind]})"
+            if f.name == "alt_baro":
+                value = f"coalesce(CAST(TRY_CAST({text} AS BIGINT) AS VARCHAR), {text})"
+            fields.append(f'{"trim(" + value + ")" if f.name == "flight" else value} AS "{f.name}"')
+    q["metadata_fields"] = _with(pts) + f"""
+SELECT source_date, icao, datetime_utc, {", ".join(fields)} FROM points WHERE aircraft_metadata IS NOT NULL"""
+
+    q["metadata_lists"] = _with(pts, """
+l AS (SELECT source_date, icao, path, seq, unnest(['nav_modes', 'mlat', 'tisb']) AS field, aircraft_metadata FROM points
+      WHERE aircraft_metadata IS NOT NULL),
+i AS (SELECT source_date, icao, path, seq, field, CAST(json_extract(aircraft_metadata, '$.' || field) AS VARCHAR[]) AS items FROM l)""") + """
+SELECT source_date, icao, path, seq, field, CAST(place - 1 AS INTEGER) AS place, items[place] AS item
+FROM (SELECT *, unnest(range(1, len(items) + 1)) AS place FROM i WHERE len(items) > 0)"""
 
     q["source_mix"] = _with(pts) + """
 SELECT source_date, source_type, count(*) AS n_points, count(DISTINCT icao) AS n_aircraft,

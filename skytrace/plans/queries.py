@@ -325,6 +325,10 @@ def q_metadata_fields(spark, sf_dir):
     return mv.metadata_fields(points(spark, sf_dir))
 
 
+def q_metadata_lists(spark, sf_dir):
+    return mv.metadata_lists(points(spark, sf_dir))
+
+
 def q_source_mix(spark, sf_dir):
     return mv.source_mix(points(spark, sf_dir))
 
@@ -477,6 +481,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "callsigns": q_callsigns,
     "zone_trajectories": q_zone_trajectories,
     "metadata_fields": q_metadata_fields,
+    "metadata_lists": q_metadata_lists,
     "source_mix": q_source_mix,
     "hourly_partitions": q_hourly_partitions,
     "window_files": q_window_files,

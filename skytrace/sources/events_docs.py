@@ -32,6 +32,10 @@ DEFAULT_BLOCK_EVENTS = 4096
 # entry (the number 7), so whole-table checks cover the bad-entry path.
 BAD_ENTRY_EVERY = 211
 BAD_ENTRY_TEXT = "7"
+# Documents with (user_id + block) % BAD_DOC_EVERY == 3 are followed by a text
+# that is no document, those with 4 by one with an empty trace.
+BAD_DOC_EVERY = 50
+BAD_DOC_TEXT = "no document"
 
 
 def _num(c: Column) -> Column:
@@ -53,6 +57,15 @@ def _fields(get) -> dict[str, Column]:
     offset = F.floor((us - day_s * F.lit(1_000_000)) / F.lit(1e3)).cast("double") / F.lit(1e3)
     value_alt = F.floor(get("value") * F.lit(100)).cast("bigint")
     heading = (eid * 53 % 3600) / F.lit(1e1)
+    text = lambda c: c.cast("string")
+    # Every tenth snapshot has fields of all kinds: a number or "ground", whole
+    # numbers sent as floats, lists (also empty, also missing).
+    more = F.concat(
+        F.lit(',"alt_baro":'), F.when(eid % 60 == 0, F.lit('"ground"')).otherwise(F.concat(text(eid % 400 * 100), F.lit(".0"))),
+        F.lit(',"squawk":"'), F.lpad(text(eid % 7778), 4, "0"), F.lit('","category":"A'), text(eid % 8),
+        F.lit('","emergency":"none","nic":'), text(eid % 12), F.lit('.0,"version":2,"rssi":-'), text(eid % 40), F.lit(".5"),
+        F.when(eid % 120 < 90, F.lit(',"nav_modes":["autopilot","vnav"],"mlat":["lat","lon"],"tisb":[]')).otherwise(F.lit(',"nav_modes":["lnav"]')),
+    )
     meta = F.when(
         eid % 3 == 0,
         F.concat(
@@ -60,6 +73,7 @@ def _fields(get) -> dict[str, Column]:
             get("user_id").cast("string"),
             F.lit(' ","true_heading":'),
             heading.cast("string"),
+            F.when(eid % 30 == 0, more).otherwise(F.lit("")),
             F.lit("}"),
         ),
     )
@@ -119,7 +133,7 @@ def trace_docs_from_events(events: DataFrame, block_events: int = DEFAULT_BLOCK_
     """``events`` → ``(path, source_date, content)``: one JSON trace document per
     (icao, source_date, event-id block), entries ordered by ``event_id``; a
     malformed entry follows every event whose id is a multiple of
-    ``BAD_ENTRY_EVERY``.
+    ``BAD_ENTRY_EVERY``, and some documents are followed by one that fails.
 
     Raw events are hash-partitioned on the document key first; the entry text
     is then built per row (whole-stage codegen, in parallel reduce tasks) and
@@ -161,7 +175,12 @@ def trace_docs_from_events(events: DataFrame, block_events: int = DEFAULT_BLOCK_
         .otherwise(F.lit("")),
         F.lit(',"trace":['),
     )
-    content = F.concat(header, F.array_join(entries, ","), F.lit("]}"))
+    kind = (uid + F.col("block")) % BAD_DOC_EVERY
+    versions = F.array_compact(F.array(
+        F.struct(F.lit("").alias("mark"), F.concat(header, F.array_join(entries, ","), F.lit("]}")).alias("content")),
+        F.when(kind == 3, F.struct(F.lit("x").alias("mark"), F.lit(BAD_DOC_TEXT).alias("content"))),
+        F.when(kind == 4, F.struct(F.lit("e").alias("mark"), F.concat(header, F.lit("]}")).alias("content"))),
+    ))
     path = F.concat(
         F.lit("traces/"),
         F.col("source_date"),
@@ -169,6 +188,7 @@ def trace_docs_from_events(events: DataFrame, block_events: int = DEFAULT_BLOCK_
         F.col("icao"),
         F.lit("-"),
         F.col("block").cast("string"),
+        F.col("mark"),
         F.lit(".json"),
     )
-    return docs.select(path.alias("path"), "source_date", content.alias("content"))
+    return docs.select("source_date", "icao", "block", F.inline(versions)).select(path.alias("path"), "source_date", "content")
