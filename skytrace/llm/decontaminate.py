@@ -22,14 +22,17 @@ windows with plain words or among all. Of long items a passage is enough: a
 run of matching windows, ``RUN_WORDS`` words long and consistent by itself,
 in which no window with plain words is left out.
 
-The benchmark's windows are broadcast where they number ``BROADCAST_ROWS`` at
-most (their digests are 8 bytes each); beyond that the join is shuffled. The
-documents' windows are exploded and joined in one stage, and only matches go on.
+The benchmark's windows are broadcast, as some fixed numbers each, where they
+number ``BROADCAST_ROWS`` at most (``ROW_BYTES`` each); beyond that the join is
+shuffled. The documents' windows are exploded and joined in one stage, and only
+matches go on. Words of small letters alone, most of a text, take one test
+instead of five, and a window's literal digest is made only where it differs.
 
 Defined results: null and empty texts have no windows and match nothing; an
 item shorter than a window is one window; a window of which fewer than half
 the words are plain is only found word for word; repeated rows count once; rows with a null
-item_id or doc_id are matched as the null id; empty tables give empty results.
+item_id or doc_id are judged as the null id; different texts under one id are
+judged each by itself, and the best figures stand; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -45,7 +48,8 @@ COVERAGE = 0.3
 CONSISTENT = 0.8
 BAND = 4
 RUN_WORDS = 20
-BROADCAST_ROWS = 200_000
+#: Windows that may be broadcast, some 13 MB.
+BROADCAST_ROWS, ROW_BYTES = 200_000, 64
 
 NUM, UNIT, NAME = "<num>", "<unit>", "<name>"
 #: Words read as units.
@@ -57,6 +61,8 @@ EDGE = r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$"
 NUMBER = r"^[0-9][0-9.,:/-]*$"
 CAPITAL = r"^[^\p{L}\p{N}]*\p{Lu}\p{L}+"
 SENTENCE_END = r"[.!?:]['\")\]]*$"
+#: Words that are their own core, and neither number nor name.
+PLAIN = r"^\p{Ll}+$"
 
 
 def _core(w: Column) -> Column:
@@ -74,19 +80,27 @@ def canonical(w: Column) -> Column:
             template = F.when(core == "", x).when(core.rlike(NUMBER), NUM).when(core.isin(*UNITS), UNIT).when(name, NAME).otherwise(core)
             return F.struct(template.alias("template"), literal.alias("literal"))
 
-        return let(_core(x), of)
+        plain = F.struct(F.when(x.isin(*UNITS), UNIT).otherwise(x).alias("template"), x.alias("literal"))
+        return F.when(x.rlike(PLAIN), plain).otherwise(let(_core(x), of))
 
     return F.transform(w, form)
 
 
 def _windows(c: Column, size: int) -> Column:
-    """(pos, digest, literal) of each run of ``size`` canonical words."""
+    """(pos, digest, literal) of each run of ``size`` canonical words; the
+    literal words' digest is null where they are the template."""
     last = F.size(c) - size
-    at = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-    digests = F.transform(c, lambda x: F.struct(F.xxhash64(x.template).alias("template"), F.xxhash64(x.literal).alias("literal")))
-    of = lambda h, i, form: F.xxhash64(F.lit(size), *[F.get(h, i + k)[form] for k in range(size)])
-    return let(digests, lambda h: F.transform(at, lambda i: F.struct(
-        i.alias("pos"), of(h, i, "template").alias("digest"), of(h, i, "literal").alias("literal"))))
+    at = F.when(last >= 0, F.sequence(F.lit(1), last + 1)).otherwise(F.array().cast("array<int>"))
+
+    def found(t: Column, l: Column) -> Column:
+        def one(i: Column) -> Column:
+            mine, literal = F.slice(t, i, F.lit(size)), F.slice(l, i, F.lit(size))
+            return F.struct((i - 1).alias("pos"), F.xxhash64(F.lit(size), mine).alias("digest"),
+                            F.when(mine != literal, F.xxhash64(F.lit(size), literal)).alias("literal"))
+
+        return F.transform(at, one)
+
+    return let(F.transform(c, lambda x: F.xxhash64(x.template)), lambda t: let(F.transform(c, lambda x: F.xxhash64(x.literal)), lambda l: found(t, l)))
 
 
 def _with_words(rows: DataFrame, text: str) -> DataFrame:
@@ -94,12 +108,13 @@ def _with_words(rows: DataFrame, text: str) -> DataFrame:
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
-    """(item_id, size, pos, before, usable, template, digest, slots, held) of
-    the windows of the items; ``before`` counts the usable ones before. Usable ones are there by their template, and all by
-    their literal words where these give another digest; ``slots`` are the
-    places in the window that hold placeholders."""
+    """(item_id, item_key, size, pos, before, usable, template, digest, slots,
+    held) of the windows of the items; ``item_key`` tells texts under one id
+    apart; ``before`` counts the usable windows before. Usable ones are there by
+    their template, and all by their literal words where these give another
+    digest; ``slots`` are the places in the window that hold placeholders."""
     items = _with_words(benchmark.select("item_id", "text").distinct(), "text").where(F.size("w") > 0)
-    items = items.withColumn("size", F.least(F.size("w"), F.lit(WINDOW)))
+    items = items.withColumn("size", F.least(F.size("w"), F.lit(WINDOW))).withColumn("item_key", F.xxhash64("w"))
     filled = lambda i: F.get(F.col("c"), i).template.isin(NUM, UNIT, NAME)
 
     def one(pos: Column, size: int) -> Column:
@@ -108,19 +123,19 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
     by_size = None
     for size in range(1, WINDOW + 1):
         found = items.where(F.col("size") == size).select(
-            "item_id", "size", "w", "c", F.explode(_windows(F.col("c"), size)).alias("win"))
-        found = found.select("item_id", "size", "w", "win.pos", "win.digest", "win.literal",
+            "item_id", "item_key", "size", "w", "c", F.explode(_windows(F.col("c"), size)).alias("win"))
+        found = found.select("item_id", "item_key", "size", "win.pos", "win.digest", "win.literal",
                              one(F.col("win.pos"), size).alias("slots"), F.slice("w", F.col("win.pos") + 1, F.lit(size)).alias("held"))
         by_size = found if by_size is None else by_size.unionByName(found)
     by_size = by_size.withColumn("usable", 2 * F.size("slots") <= F.col("size"))
-    so_far = F.sum(F.col("usable").cast("int")).over(Window.partitionBy("item_id", "w").orderBy("pos"))
+    so_far = F.sum(F.col("usable").cast("int")).over(Window.partitionBy("item_id", "item_key").orderBy("pos"))
     by_size = by_size.withColumn("before", so_far - F.col("usable").cast("int"))
     form = lambda template, digest: F.struct(F.lit(template).alias("template"), F.col(digest).alias("digest"))
-    literal = F.array(form(False, "literal"))
-    forms = F.when(~F.col("usable"), literal).when(F.col("digest") == F.col("literal"), F.array(form(True, "digest"))) \
-        .otherwise(F.concat(F.array(form(True, "digest")), literal))
+    own = F.array(form(True, "digest"))
+    literal = F.array(F.struct(F.lit(False).alias("template"), F.coalesce("literal", "digest").alias("digest")))
+    forms = F.when(~F.col("usable"), literal).when(F.col("literal").isNull(), own).otherwise(F.concat(own, literal))
     return by_size.withColumn("form", F.explode(forms)).select(
-        "item_id", "size", "pos", "before", "usable", "form.template", "form.digest", "slots", "held")
+        "item_id", "item_key", "size", "pos", "before", "usable", "form.template", "form.digest", "slots", "held")
 
 
 def _both_forms(found: Column) -> Column:
@@ -128,37 +143,56 @@ def _both_forms(found: Column) -> Column:
     literal words where these give another digest."""
     form = lambda x, digest, template: F.struct(x.pos.alias("pos"), digest.alias("digest"), F.lit(template).alias("template"))
     return F.concat(F.transform(found, lambda x: form(x, x.digest, True)),
-                    F.transform(F.filter(found, lambda x: x.digest != x.literal), lambda x: form(x, x.literal, False)))
+                    F.transform(F.filter(found, lambda x: x.literal.isNotNull()), lambda x: form(x, x.literal, False)))
+
+
+#: What a text is known by: texts under one id are judged apart.
+TEXT = ["doc_id", "text_key"]
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+
+
+def _same(a: str, b: str, columns: list[str]) -> Column:
+    """Null-safe equality of columns of two aliased tables."""
+    out = F.lit(True)
+    for c in columns:
+        out = out & F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}"))
+    return out
 
 
 def matches(docs: DataFrame, windows: DataFrame) -> DataFrame:
-    """(doc_id, item_id, pos, item_pos, size, before, usable, template, slots,
-    held): equal windows; ``template`` where both sides are templates."""
+    """(TEXT, ITEM, pos, item_pos, size, before, usable, filled, template):
+    equal windows; ``template`` where both sides are templates, ``filled`` the
+    number of placeholders."""
     sizes = sorted(r[0] for r in windows.select("size").distinct().collect())  # WINDOW values at most
     few = windows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    keys = windows.select("item_id", F.col("pos").alias("item_pos"), "size", "before", "usable", F.col("template").alias("item_template"),
-                          "digest", "slots", "held")
-    d = _with_words(docs.select("doc_id", "text"), "text")
+    # Numbers only: the words and places of placeholders join the matches later.
+    keys = windows.select(*ITEM, F.col("pos").alias("item_pos"), "size", "before", "usable", F.size("slots").alias("filled"),
+                          F.col("template").alias("item_template"), "digest")
+    d = _with_words(_texts(docs), "text")
     all_windows = F.concat(*[_windows(F.col("c"), s) for s in sizes]) if sizes \
         else F.array().cast("array<struct<pos:int,digest:bigint,literal:bigint>>")
-    exploded = d.select("doc_id", F.explode(let(all_windows, _both_forms)).alias("win")).select("doc_id", "win.*")
+    exploded = d.select(*TEXT, F.explode(let(all_windows, _both_forms)).alias("win")).select(*TEXT, "win.*")
     found = exploded.join(F.broadcast(keys) if few else keys, "digest").drop("digest")
     return found.withColumn("template", F.col("template") & F.col("item_template")).drop("item_template")
 
 
+ITEM = ["item_id", "item_key"]
 #: What an alignment is known by; of kind WHOLE, matches of templates, there
 #: is one a document and item.
-ALIGNMENT = ["doc_id", "item_id", "kind", "at"]
+ALIGNMENT = [*TEXT, *ITEM, "kind", "at"]
 WHOLE, NEARBY, DIAGONAL, RUN = 0, 1, 2, 3
 
 
 def _aligned(found: DataFrame) -> DataFrame:
     """The matches once for each alignment they are part of."""
-    order = Window.partitionBy("doc_id", "item_id").orderBy("off")
+    order = Window.partitionBy(*TEXT, *ITEM).orderBy("off")
     rows = found.withColumn("off", F.col("pos") - F.col("item_pos"))
     rows = rows.withColumn("apart", F.coalesce(F.col("off") - F.lag("off").over(order) > BAND, F.lit(False)))
     rows = rows.withColumn("band", F.sum(F.col("apart").cast("int")).over(order))
-    along = Window.partitionBy("doc_id", "item_id").orderBy("off", "item_pos")
+    along = Window.partitionBy(*TEXT, *ITEM).orderBy("off", "item_pos")
     missed = F.col("before") > F.lag(F.col("before") + F.col("usable").cast("int")).over(along)
     ends = (F.col("off") != F.lag("off").over(along)) | missed | (F.col("item_pos") - F.lag("item_pos").over(along) > F.col("size"))
     rows = rows.withColumn("ends", F.coalesce(ends, F.lit(False))).withColumn("run", F.sum(F.col("ends").cast("int")).over(along))
@@ -167,11 +201,14 @@ def _aligned(found: DataFrame) -> DataFrame:
     return rows.withColumn("key", keys).select("key.*", *found.columns).where((F.col("kind") != WHOLE) | F.col("template"))
 
 
-def _consistency(found: DataFrame, docs: DataFrame) -> DataFrame:
+def _consistency(found: DataFrame, docs: DataFrame, windows: DataFrame) -> DataFrame:
     """(ALIGNMENT, n_slots, n_consistent) of matches with placeholders."""
-    asked = found.where(F.size("slots") > 0)
-    some = docs.join(asked.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", words(F.col("text")).alias("w"))
-    pairs = asked.join(some, "doc_id").select(
+    asked = found.where(F.col("filled") > 0)
+    who = asked.select(*TEXT).distinct()
+    some = _texts(docs).alias("d").join(who.alias("a"), _same("d", "a", TEXT), "left_semi").select(*TEXT, words(F.col("text")).alias("w")).dropDuplicates(TEXT)
+    places = windows.where(F.size("slots") > 0).select(*ITEM, F.col("pos").alias("item_pos"), "slots", "held").dropDuplicates([*ITEM, "item_pos"])
+    with_held = asked.alias("a").join(places.alias("p"), _same("a", "p", [*ITEM, "item_pos"])).select("a.*", "p.slots", "p.held")
+    pairs = with_held.alias("a").join(some.alias("d"), _same("a", "d", TEXT)).select("a.*", "d.w").select(
         *ALIGNMENT, F.explode(F.transform("slots", lambda k: F.struct(
             (F.col("item_pos") + k).alias("place"), _core(F.get("held", k)).alias("theirs"), _core(F.get("w", F.col("pos") + k)).alias("ours")))).alias("s"),
     ).select(*ALIGNMENT, "s.theirs", "s.ours", "s.place").groupBy(*ALIGNMENT, "theirs", "ours").agg(F.countDistinct("place").alias("n"))
@@ -183,7 +220,8 @@ def _consistency(found: DataFrame, docs: DataFrame) -> DataFrame:
     back = pairs.groupBy(*ALIGNMENT, "ours").agg(F.sum("n").alias("n"), most)
     total = lambda x, name: x.groupBy(*ALIGNMENT).agg(F.sum("n").alias("n_slots"), F.sum("most").alias(name))
     b = total(back, "b").drop("n_slots")
-    return total(meant, "a").join(b, ALIGNMENT).select(*ALIGNMENT, "n_slots", F.least("a", "b").alias("n_consistent"))
+    return total(meant, "a").alias("x").join(b.alias("y"), _same("x", "y", ALIGNMENT)).select(
+        *[f"x.{c}" for c in ALIGNMENT], "x.n_slots", F.least("x.a", "y.b").alias("n_consistent"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -191,24 +229,22 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     documents that hold benchmark items."""
     windows = written(item_windows(benchmark), "bench-windows")
     found = written(_aligned(matches(docs, windows)), "bench-matches")
-    total = windows.select("item_id", "pos", "usable").groupBy("item_id", "pos").agg(F.max("usable").alias("usable")) \
-        .groupBy("item_id").agg(F.count(F.lit(1)).alias("all"), F.count_if("usable").alias("usable"))
+    total = windows.select(*ITEM, "pos", "usable").groupBy(*ITEM, "pos").agg(F.max("usable").alias("usable")) \
+        .groupBy(*ITEM).agg(F.count(F.lit(1)).alias("all"), F.count_if("usable").alias("usable"))
     held = found.groupBy(*ALIGNMENT, "item_pos").agg(F.max("template").alias("template"), F.max("size").alias("size")) \
         .groupBy(*ALIGNMENT).agg(F.count(F.lit(1)).alias("n_all"), F.count_if("template").alias("n_template"),
                                  (F.max(F.col("item_pos") + F.col("size")) - F.min("item_pos")).alias("n_words"))
-    same = lambda a, b: F.col(a).eqNullSafe(F.col(b))
-    hit = held.alias("h").join(total.alias("t"), same("h.item_id", "t.item_id")).select("h.*", "t.all", "t.usable")
+    hit = held.alias("h").join(total.alias("t"), _same("h", "t", ITEM)).select("h.*", "t.all", "t.usable")
     enough = (F.col("n_template") > 0) & (F.col("n_template") >= COVERAGE * F.col("usable"))
     long = (F.col("kind") == RUN) & (F.col("n_words") >= RUN_WORDS)
     hit = hit.where(enough | (F.col("n_all") >= COVERAGE * F.col("all")) | long).select(
         *ALIGNMENT, F.when(enough, F.col("n_template")).otherwise(F.col("n_all")).alias("n_windows"),
         F.when(enough, F.col("usable")).otherwise(F.col("all")).alias("item_windows"))
-    if found.where(F.size("slots") > 0).isEmpty():  # nothing to compare
+    if found.where(F.col("filled") > 0).isEmpty():  # nothing to compare
         judged = hit.withColumn("n_slots", F.lit(0).cast("long")).withColumn("n_consistent", F.lit(0).cast("long"))
     else:
-        c = _consistency(found, docs).alias("c")
-        both = same("h.doc_id", "c.doc_id") & same("h.item_id", "c.item_id") & same("h.kind", "c.kind") & same("h.at", "c.at")
-        judged = hit.alias("h").join(c, both, "left").select(
+        c = _consistency(found, docs, windows)
+        judged = hit.alias("h").join(c.alias("c"), _same("h", "c", ALIGNMENT), "left").select(
             "h.*", F.coalesce("c.n_slots", F.lit(0)).alias("n_slots"), F.coalesce("c.n_consistent", F.lit(0)).alias("n_consistent"),
         ).where(F.col("n_consistent") >= CONSISTENT * F.col("n_slots"))
     figures = ["n_windows", "item_windows", "n_slots", "n_consistent"]
@@ -224,42 +260,83 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def oracle() -> str:
     """The same in SQL, with windows as texts in place of digests."""
     units = ", ".join(f"'{u}'" for u in UNITS)
+    end = SENTENCE_END.replace("'", "''")
 
     def canonical_sql(table: str, key: str) -> str:
         return f"""
-  SELECT {key}, w, list_transform(range(1, len(w) + 1), lambda i: CASE
-      WHEN k[i] = '' THEN w[i]
-      WHEN regexp_matches(k[i], '{NUMBER}') THEN '{NUM}'
-      WHEN k[i] IN ({units}) THEN '{UNIT}'
-      WHEN regexp_matches(w[i], '{CAPITAL}') AND i > 1 AND NOT regexp_matches(w[i - 1], '{SENTENCE_END.replace("'", "''")}') THEN '{NAME}'
-      ELSE k[i] END) AS c
-  FROM (SELECT {key}, w, list_transform(w, lambda x: lower(regexp_replace(x, '{EDGE}', '', 'g'))) AS k FROM (
+  SELECT row_number() OVER () AS k, {key}, w, n, list_transform(range(1, len(w) + 1), lambda i: CASE
+      WHEN n[i] = '' THEN w[i]
+      WHEN regexp_matches(n[i], '{NUMBER}') THEN '{NUM}'
+      WHEN n[i] IN ({units}) THEN '{UNIT}'
+      WHEN regexp_matches(w[i], '{CAPITAL}') AND i > 1 AND NOT regexp_matches(w[i - 1], '{end}') THEN '{NAME}'
+      ELSE n[i] END) AS c,
+    list_transform(range(1, len(w) + 1), lambda i: CASE WHEN n[i] = '' THEN w[i] ELSE n[i] END) AS l
+  FROM (SELECT {key}, w, list_transform(w, lambda x: lower(regexp_replace(x, '{EDGE}', '', 'g'))) AS n FROM (
     SELECT DISTINCT {key}, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM {table}))"""
 
-    slot = f"c[p + j] IN ('{NUM}', '{UNIT}', '{NAME}')"
-    core = lambda x: f"lower(regexp_replace({x}, '{EDGE}', '', 'g'))"
+    text = lambda c: f"array_to_string({c}[p + 1:p + size], chr(31))"
+    filled = f"c[p + j + 1] IN ('{NUM}', '{UNIT}', '{NAME}')"
+    al = "dk, ik, kind, spot"
     return f"""
-WITH d AS ({canonical_sql("documents", "doc_id")}),
-b AS ({canonical_sql("benchmark", "item_id")}),
+WITH d AS MATERIALIZED ({canonical_sql("documents", "doc_id")}),
+b AS MATERIALIZED ({canonical_sql("benchmark", "item_id")}),
+-- windows of the items: by template where half the words are plain, and word for word
 bw AS (
-  SELECT item_id, w, c, size, p, list_filter(range(0, size), lambda j: {slot}) AS slots, array_to_string(c[p:p + size - 1], chr(31)) AS g
-  FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS p FROM (SELECT *, least(len(w), {WINDOW}) AS size FROM b WHERE len(w) > 0))),
-usable AS (SELECT * FROM bw WHERE 2 * len(slots) <= size),
-sizes AS (SELECT DISTINCT size FROM usable),
-dw AS (
-  SELECT doc_id, size, p, array_to_string(c[p:p + size - 1], chr(31)) AS g
-  FROM (SELECT doc_id, c, size, unnest(range(1, len(w) - size + 2)) AS p FROM d, sizes WHERE len(w) >= size)),
-m AS (SELECT dw.doc_id, dw.p AS pos, u.item_id, u.p AS item_pos, u.slots FROM dw JOIN usable u ON dw.g = u.g AND dw.size = u.size),
-total AS (SELECT item_id, count(DISTINCT p) AS item_windows FROM usable GROUP BY item_id),
-held AS (SELECT doc_id, item_id, count(DISTINCT item_pos) AS n_windows FROM m GROUP BY doc_id, item_id),
+  SELECT k AS ik, size, p, list_filter(range(0, size), lambda j: {filled}) AS slots, {text("c")} AS gt, {text("l")} AS gl
+  FROM (SELECT *, unnest(range(0, len(w) - size + 1)) AS p FROM (SELECT *, least(len(w), {WINDOW}) AS size FROM b WHERE len(w) > 0))),
+bu AS (SELECT *, 2 * len(slots) <= size AS usable FROM bw),
+bb AS (SELECT *, sum(usable::INT) OVER (PARTITION BY ik ORDER BY p) - usable::INT AS before FROM bu),
+iw AS (
+  SELECT ik, size, p, slots, usable, before, true AS template, gt AS g FROM bb WHERE usable
+  UNION ALL SELECT ik, size, p, slots, usable, before, false, gl FROM bb WHERE NOT usable OR gt <> gl),
+dp AS (
+  SELECT k AS dk, size, p, {text("c")} AS gt, {text("l")} AS gl
+  FROM (SELECT d.*, size, unnest(range(0, len(w) - size + 1)) AS p FROM d, (SELECT DISTINCT size FROM bw) WHERE len(w) >= size)),
+dw AS (SELECT dk, size, p, true AS template, gt AS g FROM dp UNION ALL SELECT dk, size, p, false, gl FROM dp WHERE gt <> gl),
+m AS (
+  SELECT dk, ik, dw.p AS pos, iw.p AS item_pos, iw.size, slots, usable, before, dw.template AND iw.template AS template, dw.p - iw.p AS off
+  FROM dw JOIN iw USING (g, size)),
+-- alignments: all matches by template, near distances, one distance, unbroken runs
+m1 AS (
+  SELECT *, coalesce(off - lag(off) OVER o > {BAND}, false) AS apart,
+    coalesce(off <> lag(off) OVER o OR before > lag(before + usable::INT) OVER o OR item_pos - lag(item_pos) OVER o > size, false) AS ends
+  FROM m WINDOW o AS (PARTITION BY dk, ik ORDER BY off, item_pos)),
+m2 AS (
+  SELECT *, sum(apart::INT) OVER (PARTITION BY dk, ik ORDER BY off) AS band, sum(ends::INT) OVER (PARTITION BY dk, ik ORDER BY off, item_pos) AS run
+  FROM m1),
+a AS (
+  SELECT 0 AS kind, 0 AS spot, * FROM m2 WHERE template UNION ALL SELECT 1, band, * FROM m2
+  UNION ALL SELECT 2, off, * FROM m2 UNION ALL SELECT 3, run, * FROM m2),
+held AS (
+  SELECT {al}, count(DISTINCT item_pos) AS n_all, count(DISTINCT item_pos) FILTER (WHERE template) AS n_template,
+    max(item_pos + size) - min(item_pos) AS n_words
+  FROM a GROUP BY {al}),
+total AS (SELECT ik, count(*) AS n_all, count(*) FILTER (WHERE usable) AS n_usable FROM bb GROUP BY ik),
+hit AS (
+  SELECT held.*, t.n_all AS item_all, t.n_usable, n_template > 0 AND n_template >= {COVERAGE} * t.n_usable AS enough
+  FROM held JOIN total t USING (ik)),
+ok AS (
+  SELECT {al}, CASE WHEN enough THEN n_template ELSE n_all END AS n_windows, CASE WHEN enough THEN n_usable ELSE item_all END AS item_windows
+  FROM hit WHERE enough OR n_all >= {COVERAGE} * item_all OR (kind = 3 AND n_words >= {RUN_WORDS})),
+-- slots: one value must stand for one value, both ways; in an alignment a value left as it was is right
 pr AS (
-  SELECT m.doc_id, m.item_id, {core("b.w[item_pos + j]")} AS theirs, {core("d.w[pos + j]")} AS ours, item_pos + j AS place
-  FROM (SELECT *, unnest(slots) AS j FROM m) m JOIN b ON b.item_id = m.item_id JOIN d ON d.doc_id = m.doc_id),
-f AS (SELECT doc_id, item_id, theirs, ours, count(DISTINCT place) AS n FROM pr GROUP BY ALL),
-x AS (SELECT doc_id, item_id, sum(n) AS n, sum(most) AS a FROM (SELECT doc_id, item_id, theirs, sum(n) AS n, max(n) AS most FROM f GROUP BY ALL) GROUP BY ALL),
-y AS (SELECT doc_id, item_id, sum(most) AS b FROM (SELECT doc_id, item_id, ours, max(n) AS most FROM f GROUP BY ALL) GROUP BY ALL)
-SELECT held.doc_id, held.item_id, n_windows, item_windows, coalesce(x.n, 0)::BIGINT AS n_slots, coalesce(least(x.a, y.b), 0)::BIGINT AS n_consistent
-FROM held JOIN total ON total.item_id = held.item_id LEFT JOIN x ON x.doc_id = held.doc_id AND x.item_id = held.item_id
-LEFT JOIN y ON y.doc_id = held.doc_id AND y.item_id = held.item_id
-WHERE n_windows >= {COVERAGE} * item_windows AND coalesce(least(x.a, y.b), 0) >= {CONSISTENT} * coalesce(x.n, 0)
+  SELECT {al}, b.n[item_pos + j + 1] AS theirs, d.n[pos + j + 1] AS ours, item_pos + j AS place
+  FROM (SELECT *, unnest(slots) AS j FROM a) x JOIN b ON b.k = x.ik JOIN d ON d.k = x.dk),
+f AS (SELECT {al}, theirs, ours, count(DISTINCT place) AS n, kind <> 0 AND theirs = ours AS itself FROM pr GROUP BY ALL),
+x AS (
+  SELECT {al}, sum(n) AS n, sum(most) AS a
+  FROM (SELECT {al}, theirs, sum(n) AS n, coalesce(sum(n) FILTER (WHERE itself), 0) + coalesce(max(n) FILTER (WHERE NOT itself), 0) AS most FROM f GROUP BY ALL)
+  GROUP BY ALL),
+y AS (
+  SELECT {al}, sum(most) AS b
+  FROM (SELECT {al}, ours, coalesce(sum(n) FILTER (WHERE itself), 0) + coalesce(max(n) FILTER (WHERE NOT itself), 0) AS most FROM f GROUP BY ALL)
+  GROUP BY ALL),
+j AS (
+  SELECT ok.*, coalesce(x.n, 0) AS n_slots, coalesce(least(x.a, y.b), 0) AS n_consistent
+  FROM ok LEFT JOIN x USING ({al}) LEFT JOIN y USING ({al})),
+best AS (
+  SELECT doc_id, item_id, n_windows, item_windows, n_slots, n_consistent,
+    row_number() OVER (PARTITION BY doc_id, item_id ORDER BY kind = 0 DESC, n_windows DESC, item_windows DESC, n_slots DESC, n_consistent DESC) AS place
+  FROM j JOIN d ON d.k = j.dk JOIN b ON b.k = j.ik WHERE n_consistent >= {CONSISTENT} * n_slots)
+SELECT doc_id, item_id, n_windows, item_windows, n_slots::BIGINT AS n_slots, n_consistent::BIGINT AS n_consistent FROM best WHERE place = 1
 """

@@ -199,6 +199,28 @@ def test_inconsistent_slots(spark):
     assert {r.doc_id for r in decontaminate.contaminated(docs, bench(spark, [(10, loose)])).collect()} == {2}
 
 
+def test_slots_without_id(spark):
+    """Rows without an id are judged like others: inconsistent slots count."""
+    loose = " ".join(f"w{i} 5 x{i} y{i}" for i in range(8))
+    varied = " ".join(f"w{i} {i + 1} x{i} y{i}" for i in range(8))
+    constant = " ".join(f"w{i} 9 x{i} y{i}" for i in range(8))
+    found = lambda docs, items: {(r.doc_id, r.item_id) for r in decontaminate.contaminated(table(spark, docs), bench(spark, items)).collect()}
+    assert found([(None, varied)], [(10, loose)]) == found([(7, varied)], [(10, loose)]) == set()
+    assert found([(None, constant), (7, varied)], [(None, loose)]) == {(None, None)}
+
+
+def test_texts_under_one_id_are_judged_apart(spark):
+    """Neither text holds enough of the item, or holds it consistently, alone."""
+    words = [f"w{i} 5 x{i} y{i}" for i in range(12)]
+    one, two = " ".join(words[:4]).replace(" 5 ", " 7 "), " ".join(words[4:7]).replace(" 5 ", " 8 ")
+    whole = " ".join(words)
+    docs = lambda a, b: table(spark, [(a, one + " and more of its own"), (b, "other " * 30 + two)])
+    items = bench(spark, [(10, whole)])
+    apart = {r.doc_id: tuple(r)[2:] for r in decontaminate.contaminated(docs(1, 2), items).collect()}
+    together = [tuple(r)[2:] for r in decontaminate.contaminated(docs(1, 1), items).collect()]
+    assert together == ([max(apart.values())] if apart else [])
+
+
 def test_variants_are_judged_one_by_one(spark):
     """A question beside its variant, and an item that repeats its own template."""
     other = QUESTION.replace("Texas", "Iowa").replace("12", "31").replace("3 d", "6 d").replace("Smith", "Brown")
