@@ -86,21 +86,41 @@ def canonical(w: Column) -> Column:
     return F.transform(w, form)
 
 
-def _windows(c: Column, size: int) -> Column:
-    """(pos, digest, literal) of each run of ``size`` canonical words; the
-    literal words' digest is null where they are the template."""
-    last = F.size(c) - size
-    at = F.when(last >= 0, F.sequence(F.lit(1), last + 1)).otherwise(F.array().cast("array<int>"))
+def _digest(c: Column, i: Column, size: int, form: str) -> Column:
+    """Digest of the ``size`` canonical words from place ``i`` on: of pairs, of
+    pairs of pairs and so on, which ``_rolling`` makes for all places at once."""
+    level = [F.get(c, i + k)[form] for k in range(size)]
+    while len(level) > 1:
+        level = [F.xxhash64(*level[k : k + 2]) for k in range(0, len(level), 2)]
+    return level[0] if size > 1 else F.xxhash64(level[0])
+
+
+def _rolling(c: Column) -> Column:
+    """Template digests of all windows of ``WINDOW`` (a power of two) words, in order."""
+    def next_level(a: Column, step: int) -> Column:
+        wider = F.transform(a, lambda x, i: F.xxhash64(x, F.get(a, i + step)))
+        return wider if 2 * step == WINDOW else let(wider, lambda b: next_level(b, 2 * step))
+
+    pairs = F.transform(c, lambda x, i: F.xxhash64(x.template, F.get(c, i + 1).template))
+    return F.slice(let(pairs, lambda a: next_level(a, 2)), 1, F.greatest(F.size(c) - (WINDOW - 1), F.lit(0)))
+
 
-    def found(t: Column, l: Column) -> Column:
-        def one(i: Column) -> Column:
-            mine, literal = F.slice(t, i, F.lit(size)), F.slice(l, i, F.lit(size))
-            return F.struct((i - 1).alias("pos"), F.xxhash64(F.lit(size), mine).alias("digest"),
-                            F.when(mine != literal, F.xxhash64(F.lit(size), literal)).alias("literal"))
+def _places(c: Column, size: int) -> Column:
+    """Where windows of ``size`` words begin."""
+    last = F.size(c) - size
+    return F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
 
-        return F.transform(at, one)
 
-    return let(F.transform(c, lambda x: F.xxhash64(x.template)), lambda t: let(F.transform(c, lambda x: F.xxhash64(x.literal)), lambda l: found(t, l)))
+def _both_forms(c: Column, size: int) -> Column:
+    """(pos, digest, template) of windows by their templates, and by their
+    literal words where a placeholder makes these another digest."""
+    form = lambda pos, digest, template: F.struct(pos.alias("pos"), digest.alias("digest"), F.lit(template).alias("template"))
+    by_template = F.transform(_rolling(c), lambda h, i: form(i, h, True)) if size == WINDOW else \
+        F.transform(_places(c, size), lambda i: form(i, _digest(c, i, size, "template"), True))
+    filled = F.filter(F.transform(c, lambda x, i: F.when(x.template != x.literal, i)), lambda i: i.isNotNull())
+    around = F.transform(filled, lambda i: F.sequence(F.greatest(i - (size - 1), F.lit(0)), F.least(i, F.size(c) - size)))
+    literal = F.transform(F.array_distinct(F.flatten(around)), lambda i: form(i, _digest(c, i, size, "literal"), False))
+    return F.when(F.size(c) >= size, F.concat(by_template, literal)).otherwise(F.slice(by_template, 1, 0))
 
 
 def _with_words(rows: DataFrame, text: str) -> DataFrame:
@@ -123,29 +143,21 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
     by_size = None
     for size in range(1, WINDOW + 1):
         found = items.where(F.col("size") == size).select(
-            "item_id", "item_key", "size", "w", "c", F.explode(_windows(F.col("c"), size)).alias("win"))
-        found = found.select("item_id", "item_key", "size", "win.pos", "win.digest", "win.literal",
-                             one(F.col("win.pos"), size).alias("slots"), F.slice("w", F.col("win.pos") + 1, F.lit(size)).alias("held"))
+            "item_id", "item_key", "size", "w", "c", F.explode(_places(F.col("c"), size)).alias("pos"))
+        of = lambda form: _digest(F.col("c"), F.col("pos"), size, form)  # noqa: E731, B023
+        found = found.select("item_id", "item_key", "size", "pos", of("template").alias("digest"), of("literal").alias("literal"),
+                             one(F.col("pos"), size).alias("slots"), F.slice("w", F.col("pos") + 1, F.lit(size)).alias("held"))
         by_size = found if by_size is None else by_size.unionByName(found)
     by_size = by_size.withColumn("usable", 2 * F.size("slots") <= F.col("size"))
     so_far = F.sum(F.col("usable").cast("int")).over(Window.partitionBy("item_id", "item_key").orderBy("pos"))
     by_size = by_size.withColumn("before", so_far - F.col("usable").cast("int"))
     form = lambda template, digest: F.struct(F.lit(template).alias("template"), F.col(digest).alias("digest"))
-    own = F.array(form(True, "digest"))
-    literal = F.array(F.struct(F.lit(False).alias("template"), F.coalesce("literal", "digest").alias("digest")))
-    forms = F.when(~F.col("usable"), literal).when(F.col("literal").isNull(), own).otherwise(F.concat(own, literal))
+    own, literal = F.array(form(True, "digest")), F.array(form(False, "literal"))
+    forms = F.when(~F.col("usable"), literal).when(F.col("literal") == F.col("digest"), own).otherwise(F.concat(own, literal))
     return by_size.withColumn("form", F.explode(forms)).select(
         "item_id", "item_key", "size", "pos", "before", "usable", "form.template", "form.digest", "slots", "held")
 
 
-def _both_forms(found: Column) -> Column:
-    """(pos, digest, template) of windows by their templates, and by their
-    literal words where these give another digest."""
-    form = lambda x, digest, template: F.struct(x.pos.alias("pos"), digest.alias("digest"), F.lit(template).alias("template"))
-    return F.concat(F.transform(found, lambda x: form(x, x.digest, True)),
-                    F.transform(F.filter(found, lambda x: x.literal.isNotNull()), lambda x: form(x, x.literal, False)))
-
-
 #: What a text is known by: texts under one id are judged apart.
 TEXT = ["doc_id", "text_key"]
 
@@ -172,10 +184,11 @@ def matches(docs: DataFrame, windows: DataFrame) -> DataFrame:
     keys = windows.select(*ITEM, F.col("pos").alias("item_pos"), "size", "before", "usable", F.size("slots").alias("filled"),
                           F.col("template").alias("item_template"), "digest")
     d = _with_words(_texts(docs), "text")
-    all_windows = F.concat(*[_windows(F.col("c"), s) for s in sizes]) if sizes \
-        else F.array().cast("array<struct<pos:int,digest:bigint,literal:bigint>>")
-    exploded = d.select(*TEXT, F.explode(let(all_windows, _both_forms)).alias("win")).select(*TEXT, "win.*")
-    found = exploded.join(F.broadcast(keys) if few else keys, "digest").drop("digest")
+    each = [F.transform(_both_forms(F.col("c"), n), lambda x: x.withField("size", F.lit(n))) if len(sizes) > 1 else _both_forms(F.col("c"), n) for n in sizes]
+    all_windows = F.concat(*each) if sizes else F.array().cast("array<struct<pos:int,digest:bigint,template:boolean>>")
+    exploded = d.select(*TEXT, F.explode(all_windows).alias("win")).select(*TEXT, "win.*")
+    on = ["digest", "size"] if len(sizes) > 1 else ["digest"]
+    found = exploded.join(F.broadcast(keys) if few else keys, on).drop("digest")
     return found.withColumn("template", F.col("template") & F.col("item_template")).drop("item_template")
 
 
