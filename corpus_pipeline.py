@@ -26,6 +26,8 @@ from skytrace.session import ensure_checkpoint_dir, read_table
 
 #: Least share of the greatest out-of-place distance that a kept text saves.
 MIN_SCORE = 0.1
+#: Similarity of two documents, in hundredths, from which on one of them goes.
+SIMILAR = 80
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +37,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def neardup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    linked = written(neardup.link(docs), "linked")
+    linked = written(neardup.link(docs, SIMILAR), "linked")
     gone = linked.where("not kept").select("doc_id").distinct()
     left = docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").select(*docs.columns)
     # Repeated rows share a doc_id: one of them stays.

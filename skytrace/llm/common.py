@@ -14,8 +14,8 @@ from ..session import ensure_checkpoint_dir, read_table
 #: White space that separates words, as one string and as a regex class.
 SPACE = " \t\n\x0b\x0c\r"
 SPACE_CLASS = r"[\x20\x09-\x0D]"
-#: Rows of an Arrow batch of texts.
-BATCH_ROWS = 1000
+#: Rows and bytes of an Arrow batch of texts.
+BATCH_ROWS, BATCH_BYTES = 1000, "8MB"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,15 +23,18 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Have texts reach Python in batches of ``BATCH_ROWS`` rows at most: with
-    the default of 10,000, two columns of long texts fill a worker's memory."""
+    """Have texts reach Python in batches of ``BATCH_ROWS`` rows and
+    ``BATCH_BYTES`` at most: with the default of 10,000 rows, two columns of long
+    texts fill a worker's memory. The settings stay, as results are computed
+    after the operator has returned; ``text_batches`` is for jobs within one."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
         spark.conf.set(key, str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 @contextmanager
-def text_batches(spark: SparkSession, rows: int = BATCH_ROWS, size: str = "16MB") -> Iterator[None]:
+def text_batches(spark: SparkSession, rows: int = BATCH_ROWS, size: str = BATCH_BYTES) -> Iterator[None]:
     """Within the block, batches that reach Python hold ``rows`` rows and
     ``size`` bytes at most (one row at least); the session's own settings
     return at its end. Holds for jobs that run inside the block."""

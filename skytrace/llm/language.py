@@ -39,7 +39,7 @@ MAX_PROFILES = 5000
 UNKNOWN = "und"
 PIECE = 1 << 20
 #: Distinct n-grams that a task holds before it passes its sums on.
-HELD = 2_000_000
+HELD = 500_000
 _BITS = 21  # of a code point
 
 

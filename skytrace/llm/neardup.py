@@ -17,8 +17,12 @@ component are not tried: they can't change the result, and a group of
 thousands of copies stays linear. In regions too large for all pairs, each row
 is then tried against every member of the other groups it shares a region
 with, in blocks that count all intersections through one shingle index; and
-the rows single there before are tried against each other by a prefix join on
-their full sets, which leaves out no pair that reaches the similarity.
+the rows single there before are tried against each other by prefixes of their
+full sets, which leaves out no pair that reaches the similarity: rows that
+share a shingle of their prefixes are a list; equal lists are taken once; pairs
+are formed within tasks, and only those leave them that the signatures don't
+rule out (short lists) or that are confirmed links between what the task has
+not linked yet (long lists, in blocks).
 
 A pair at similarity 0.85 shares ``SHALLOW`` values in one of the orders with
 probability 1 - (1 - 0.85**4)**20 > 0.9999995, at six values still 0.9999.
@@ -48,10 +52,11 @@ PERCENT = 85
 TREES, STRIDE, DEPTH, SHALLOW = 20, 6, 16, 4
 HASHES = TREES * STRIDE
 NEAR = 5
-#: Pairs whose signatures agree on less are six standard deviations from 0.85.
-RULED_OUT = 0.65
-#: Texts in a block when rows are tried against all members of a group.
-BLOCK = 512
+#: Shingles in a block when rows are tried against all members of a group or
+#: list: some 500 texts of usual length, few of great length.
+BLOCK_SHINGLES = 200_000
+#: Rows that a list may have to be compared in one stretch.
+SHORT_LIST = 256
 #: Counts of shingles are kept by so many of their low bits' values.
 BUCKETS = 1 << 20
 #: So many ids (8 bytes each) may be broadcast to pick the texts to compare;
@@ -146,28 +151,31 @@ def candidates(reps: DataFrame) -> DataFrame:
     return pairs.where("a <> b").groupBy("a", "b").agg(F.max("common").alias("common"))
 
 
-def _linked(x: pd.Series, y: pd.Series) -> pd.Series:
-    def linked(s: str, t: str) -> bool:
-        a, b = shingles(s), shingles(t)
-        if min(len(a), len(b)) * 100 < PERCENT * max(len(a), len(b)):
-            return False
-        both = len(np.intersect1d(a, b, assume_unique=True))
-        return both > 0 and 100 * both >= PERCENT * (len(a) + len(b) - both)
+def ruled_out(percent: int) -> float:
+    """Share of agreeing values six standard deviations below the similarity."""
+    p = percent / 100
+    return p - 6 * (p * (1 - p) / HASHES) ** 0.5
+
 
-    return pd.Series([linked(s, t) for s, t in zip(x, y, strict=True)], dtype=bool)
+def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two sets reach the similarity."""
+    if min(len(a), len(b)) * 100 < percent * max(len(a), len(b)):
+        return False
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both > 0 and 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def _may_link(x: pd.Series, y: pd.Series) -> pd.Series:
-    if not len(x):
-        return pd.Series([], dtype=bool)
-    a, b = (np.frombuffer(b"".join(s), ">u2").reshape(len(s), HASHES) for s in (x, y))
-    return pd.Series((a == b).mean(axis=1) >= RULED_OUT)
+def _signatures(sigs: pd.Series) -> np.ndarray:
+    return np.frombuffer(b"".join(sigs), ">u2").reshape(len(sigs), HASHES)
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose texts' full sets reach the similarity."""
+    def linked(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([similar(shingles(s), shingles(t), percent) for s, t in zip(x, y, strict=True)], dtype=bool)
+
     a, b = (texts.select(F.col("doc_id").alias(k), F.col("text").alias(f"text_{k}")) for k in "ab")
-    return pairs.select("a", "b").join(a, "a").join(b, "b").where(F.pandas_udf(_linked, "boolean")("text_a", "text_b")).select("a", "b")
+    return pairs.select("a", "b").join(a, "a").join(b, "b").where(F.pandas_udf(linked, "boolean")("text_a", "text_b")).select("a", "b")
 
 
 def _regions(reps: DataFrame) -> DataFrame:
@@ -176,7 +184,7 @@ def _regions(reps: DataFrame) -> DataFrame:
     return orders.select("tree", F.substring("twice", F.col("tree") * 2 * STRIDE + 1, F.lit(2 * SHALLOW)).alias("region"), "id")
 
 
-def _ask(members: pd.DataFrame, askers: pd.DataFrame) -> pd.DataFrame:
+def _ask(members: pd.DataFrame, askers: pd.DataFrame, percent: int) -> pd.DataFrame:
     """One link from each asker into a block of members, where there is one.
 
     An index from shingle to members counts all intersections of an asker at once.
@@ -194,30 +202,35 @@ def _ask(members: pd.DataFrame, askers: pd.DataFrame) -> pd.DataFrame:
             n = hi - lo
             at = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
             both = np.bincount(owner[at], minlength=len(sets))
-            hit = np.flatnonzero((both > 0) & (100 * both >= PERCENT * (sizes + len(own) - both)))
+            hit = np.flatnonzero((both > 0) & (100 * both >= percent * (sizes + len(own) - both)))
             if len(hit):
                 out.append((u, ids[hit[0]]))
     return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
 
-def links_into(groups: DataFrame, asked: DataFrame, texts: DataFrame) -> DataFrame:
+def _blocks(n_shingles) -> F.Column:
+    return F.ceil(n_shingles / BLOCK_SHINGLES).cast("int")
+
+
+def links_into(groups: DataFrame, asked: DataFrame, reps: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Links between askers and components, tried against every member.
 
     ``groups``: (id, component); ``asked``: (id, component) to try. Both sides
-    come in blocks of ``BLOCK`` texts, so that no task holds a whole group.
+    come in blocks of about ``BLOCK_SHINGLES``, so that no task holds a whole group.
     """
-    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
-    sizes = groups.groupBy("component").agg(F.count(F.lit(1)).alias("n")) \
-        .join(asked.groupBy("component").agg(F.count(F.lit(1)).alias("m")), "component")
+    size = reps.select("id", "n_shingles")
+    total = lambda d, name: d.join(size, "id").groupBy("component").agg(F.sum("n_shingles").alias(name))
+    sizes = total(groups, "n").join(total(asked, "m"), "component")
     text = texts.select(F.col("doc_id").alias("id"), "text").dropDuplicates(["id"])
-    every = lambda n: F.explode(F.sequence(F.lit(0), blocks(n) - 1))
-    own = lambda n: F.pmod(F.xxhash64("id"), blocks(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), _blocks(F.col(n)) - 1))
+    own = lambda n: F.pmod(F.xxhash64("id"), _blocks(F.col(n))).cast("int")
     members = groups.join(sizes, "component").select("component", "id", own("n").alias("x"), every("m").alias("y")).join(text, "id")
     askers = asked.join(sizes, "component").select("component", "id", own("m").alias("y"), every("n").alias("x")).join(text, "id")
     key = ["component", "x", "y"]
     # Both sides come from the same tables: new names keep them apart.
     members, askers = (d.select(*[F.col(c).alias(c) for c in [*key, "id", "text"]]) for d in (members, askers))
-    return members.groupBy(*key).cogroup(askers.groupBy(*key)).applyInPandas(_ask, "a long, b long")
+    ask = lambda m, a: _ask(m, a, percent)
+    return members.groupBy(*key).cogroup(askers.groupBy(*key)).applyInPandas(ask, "a long, b long")
 
 
 def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -229,12 +242,66 @@ def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame({"bucket": at, "n": n[at]})
 
 
-def alike(texts: DataFrame) -> DataFrame:
-    """(a, b): pairs of texts (doc_id, text) of which the similarity may be
-    reached, none left out (prefix join).
+def _short_lists(percent: int):
+    """Pairs of rows of one list that sizes and signatures don't rule out."""
+    least = ruled_out(percent)
+
+    def of(g: pd.DataFrame) -> pd.DataFrame:
+        key, ids, n, sig = g["list"].to_numpy(), g["id"].to_numpy(), g["n"].to_numpy(), _signatures(g["sig"])
+        out = []
+        for j in range(1, len(g)):
+            i = np.flatnonzero(key[:-j] == key[j:])
+            if not len(i):
+                break
+            i = i[100 * np.minimum(n[i], n[i + j]) >= percent * np.maximum(n[i], n[i + j])]
+            i = i[(sig[i] == sig[i + j]).mean(axis=1) >= least]
+            out.append(np.stack([np.minimum(ids[i], ids[i + j]), np.maximum(ids[i], ids[i + j])], axis=1))
+        return pd.DataFrame(np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64), columns=["a", "b"])
+
+    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for b in batches:
+            b = b if held is None else pd.concat([held, b], ignore_index=True)
+            whole = b["list"].to_numpy() != b["list"].iloc[-1]  # the last list may go on; it is short
+            if whole.any():
+                yield of(b[whole])
+            held = b[~whole]
+        if held is not None:
+            yield of(held)
+
+    return pairs
+
+
+def _long_list(percent: int):
+    """Links that join up what is similar among the rows of one or two blocks."""
+    least = ruled_out(percent)
+
+    def links(g: pd.DataFrame) -> pd.DataFrame:
+        g = g.drop_duplicates("id", ignore_index=True)
+        ids, own, sig = g["id"].to_numpy(np.int64), g["own"].to_numpy(), _signatures(g["sig"])
+        sets = [shingles(t) for t in g["text"]]
+        n, root, out = np.array([len(x) for x in sets]), np.arange(len(g)), []
+        two = own.min() != own.max()
+        for i in range(len(g)):
+            may = np.flatnonzero((100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i])) & ((own != own[i]) if two else True))
+            may = may[may > i]
+            may = may[(sig[may] == sig[i]).mean(axis=1) >= least]
+            for j in may:
+                if root[i] != root[j] and similar(sets[i], sets[j], percent):
+                    out.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+                    root[root == root[j]] = root[i]
+        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+    return links
+
+
+def alike(texts: DataFrame, reps: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(pairs, links): pairs (a, b) of texts (doc_id, text) of which the
+    similarity may be reached, to be confirmed, and confirmed links. Together
+    they join up every two texts that reach it.
 
     With all sets in one order of shingles, rare ones first, two sets that
-    reach the similarity share one of the first ``n - ceil(n * PERCENT / 100) + 1``
+    reach the similarity share one of the first ``n - ceil(n * percent / 100) + 1``
     of each. Any order is exact; counts by bucket come close to rare first.
     """
     counts = np.zeros(BUCKETS, np.int64)
@@ -245,20 +312,38 @@ def alike(texts: DataFrame) -> DataFrame:
         for b in batches:
             for doc_id, text in zip(b["doc_id"], b["text"], strict=True):
                 s = shingles(text)
-                first = np.lexsort((s, counts[(s & np.uint64(BUCKETS - 1)).astype(np.int64)]))[: len(s) + (-len(s) * PERCENT) // 100 + 1]
-                yield pd.DataFrame({"shingle": s[first].view(np.int64), "id": np.int64(doc_id), "n": np.int64(len(s))})
+                first = np.lexsort((s, counts[(s & np.uint64(BUCKETS - 1)).astype(np.int64)]))[: len(s) + (-len(s) * percent) // 100 + 1]
+                yield pd.DataFrame({"list": s[first].view(np.int64), "id": np.int64(doc_id), "n": np.int64(len(s))})
+
+    held = written(texts.mapInPandas(prefixes, "list long, id long, n long"), "neardup-prefixes")
+    # A list is known by its rows: shingles of one template have the same list, and one of them will do.
+    digest = [F.bit_xor(F.xxhash64("id")).alias("x"), F.sum(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1 << 40))).alias("y")]
+    lists = held.groupBy("list").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("all"), *digest).where("rows > 1")
+    once = lists.groupBy("rows", "all", "x", "y").agg(F.min("list").alias("list")).select("list", "rows", "all")
+    rows = written(held.join(once, "list"), "neardup-lists")
+    sig = reps.select("id", "sig")
+    short = rows.where(F.col("rows") <= SHORT_LIST).select("list", "id", "n").join(sig, "id")
+    pairs = short.repartition("list").sortWithinPartitions("list").mapInPandas(_short_lists(percent), "a long, b long").distinct()
 
-    held = written(texts.mapInPandas(prefixes, "shingle long, id long, n long"), "neardup-prefixes")
-    a, b = (held.select("shingle", F.col("id").alias(k), F.col("n").alias(f"n_{k}")) for k in "ab")
-    near = 100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b")
-    return a.join(b, "shingle").where((F.col("a") < F.col("b")) & near).select("a", "b").distinct()
+    text = texts.select(F.col("doc_id").alias("id"), "text").dropDuplicates(["id"])
+    blocks = _blocks(F.col("all"))
+    other = rows.where(F.col("rows") > SHORT_LIST).select(
+        "list", "id", F.pmod(F.xxhash64("id"), blocks).cast("int").alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    both = other.select("list", "id", "own", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi")).join(sig, "id").join(text, "id")
+    links = both.groupBy("list", "lo", "hi").applyInPandas(_long_list(percent), "a long, b long").distinct()
+    return pairs, links
 
 
-def _may(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+def _may(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """The pairs that the signatures don't rule out."""
+    least = ruled_out(percent)
+
+    def may_link(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series((_signatures(x) == _signatures(y)).mean(axis=1) >= least) if len(x) else pd.Series([], dtype=bool)
+
     sig = lambda k: reps.select(F.col("id").alias(k), F.col("sig").alias(f"sig_{k}"))
     both = pairs.select("a", "b").join(sig("a"), "a").join(sig("b"), "b")
-    return both.where(F.pandas_udf(_may_link, "boolean")("sig_a", "sig_b")).select("a", "b")
+    return both.where(F.pandas_udf(may_link, "boolean")("sig_a", "sig_b")).select("a", "b")
 
 
 def _nearest(pairs: DataFrame) -> DataFrame:
@@ -306,15 +391,16 @@ class _Links:
         return True
 
 
-def link(docs: DataFrame) -> DataFrame:
+def link(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of ``docs``
-    (doc_id long, text string; other columns are not read)."""
+    (doc_id long, text string; other columns are not read); two texts are
+    linked from a similarity of ``percent`` hundredths on."""
     small_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     described = written(docs.mapInPandas(_describe, "doc_id long, n_shingles long, set_key binary, sig binary"), "neardup-sets")
     known = described.where("set_key is not null and doc_id is not null")
     by_set = known.groupBy("set_key").agg(F.min("doc_id").alias("id"))
-    reps = written(known.join(by_set, "set_key").where("doc_id = id").select("id", "sig").distinct(), "neardup-reps")
+    reps = written(known.join(by_set, "set_key").where("doc_id = id").select("id", "n_shingles", "sig").distinct(), "neardup-reps")
 
     # Rows that share a doc_id are one document, whatever their sets.
     sets = known.select("set_key", "doc_id").distinct().join(by_set, "set_key").select("doc_id", "id")
@@ -331,17 +417,17 @@ def link(docs: DataFrame) -> DataFrame:
     texts = written(docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi"), "neardup-texts")
 
     first = _nearest(pairs)
-    so_far = _Links(confirmed(first, texts).unionByName(same_doc))
-    so_far.add(confirmed(_may(_apart(pairs, so_far.found).join(first, ["a", "b"], "left_anti"), reps), texts))
+    so_far = _Links(confirmed(first, texts, percent).unionByName(same_doc))
+    so_far.add(confirmed(_may(_apart(pairs, so_far.found).join(first, ["a", "b"], "left_anti"), reps, percent), texts, percent))
     # All pairs of the rows single now are tried below, so rows that join a group first need not be asked again.
     alone = written(deep.select("id").distinct().join(so_far.found, "id", "left_anti"), "neardup-alone")
     asked = written(_asked(deep, so_far.found), "neardup-asked")
     if not asked.isEmpty():
-        so_far.add(links_into(so_far.found.join(asked.select("component").distinct(), "component", "left_semi"), asked, texts))
+        so_far.add(links_into(so_far.found.join(asked.select("component").distinct(), "component", "left_semi"), asked, reps, texts, percent))
     if not alone.isEmpty():
-        among = alike(texts.join(alone.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi"))
+        among, links = alike(texts.join(alone.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi"), reps, percent)
         among = written(_apart(among.join(pairs, ["a", "b"], "left_anti"), so_far.found), "neardup-pairs")
-        so_far.add(confirmed(_may(among, reps), texts))
+        so_far.add(confirmed(among, texts, percent).unionByName(links))
 
     component = sets.join(so_far.found, "id", "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "id")).alias("component_id"))
     own = F.col("d.doc_id")

@@ -32,7 +32,7 @@ def shingle_set(t):
     return frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
 
 
-def brute_components(rows):
+def brute_components(rows, percent=85):
     sets = [(d, shingle_set(t)) for d, t in rows if d is not None]
     root = {d: d for d, _ in sets}
 
@@ -43,15 +43,15 @@ def brute_components(rows):
 
     for i, (a, s) in enumerate(sets):
         for b, t in sets[:i]:
-            if s and t and 100 * len(s & t) >= 85 * len(s | t):
+            if s and t and 100 * len(s & t) >= percent * len(s | t):
                 x, y = find(a), find(b)
                 root[max(x, y)] = min(x, y)
     return {d: find(d) for d, _ in sets}
 
 
-def check_links(spark, rows):
-    want = brute_components(rows)
-    got = neardup.link(table(spark, rows)).collect()
+def check_links(spark, rows, percent=85):
+    want = brute_components(rows, percent)
+    got = neardup.link(table(spark, rows), percent).collect()
     assert len(got) == len(rows)
     assert {r.doc_id: r.component_id for r in got if r.doc_id is not None} == want
     assert all(r.kept == (r.doc_id == r.component_id) for r in got if r.doc_id is not None)
@@ -72,7 +72,7 @@ def edited(r, words, k):
 
 def test_near_copies_of_a_dense_group(spark, monkeypatch):
     """Hundreds of differing copies, close to the threshold, in small blocks."""
-    monkeypatch.setattr(neardup, "BLOCK", 16)
+    monkeypatch.setattr(neardup, "BLOCK_SHINGLES", 2500)
     r = random.Random(5)
     base = [f"w{i}" for i in range(150)]
     rows = [(i, edited(r, base, r.choice([0, 1, 2, 2, 3]))) for i in range(260)]
@@ -82,9 +82,21 @@ def test_near_copies_of_a_dense_group(spark, monkeypatch):
     check_links(spark, rows)
 
 
-def test_near_copies_among_singles_of_one_template(spark, monkeypatch):
+@pytest.mark.parametrize("percent", [80, 85])
+def test_near_copies_at_other_similarities(spark, percent):
+    r = random.Random(percent)
+    base = [[f"w{k}_{i}" for i in range(120)] for k in range(12)]
+    rows = [(100 * k + i, edited(r, b, r.choice([0, 1, 2, 3, 4]))) for k, b in enumerate(base) for i in range(8)]
+    assert brute_components(rows, 80) != brute_components(rows, 85)
+    check_links(spark, rows, percent)
+
+
+@pytest.mark.parametrize("short,block", [(256, 200_000), (8, 1500), (8, 200_000)])
+def test_near_copies_among_singles_of_one_template(spark, monkeypatch, short, block):
     """Pairs at 0.86 among rows that are all at 0.74 of each other, none of
-    them close neighbours in an order."""
+    them close neighbours in an order; lists in one stretch, and in blocks."""
+    monkeypatch.setattr(neardup, "SHORT_LIST", short)
+    monkeypatch.setattr(neardup, "BLOCK_SHINGLES", block)
     orders = neardup.candidates
     monkeypatch.setattr(neardup, "candidates", lambda reps: orders(reps).where("false"))
     template, rows = [f"t{i}" for i in range(120)], []
