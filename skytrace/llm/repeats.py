@@ -1,12 +1,14 @@
-"""Remove repeated lines, paragraphs or sentences across documents.
-
-Texts are cut into units at line breaks, blank lines or sentence ends. Each
-unit is normalised (lower case, white space and punctuation dropped) and
-digested; digests are grouped over the whole corpus, and the occurrence in
-the document of least doc_id, there the first, is kept. Other occurrences are
-removed where the run of neighbouring repeated units they stand in has
-``MIN_WORDS`` words or more: short phrases recur by chance and stay. Removed
-spans keep their offsets in the original text.
+"""Remove repeated lines or paragraphs across documents.
+
+Texts are cut into lines (or paragraphs), and these into sentences. Each unit
+is normalised (lower case, white space and punctuation dropped; a line of
+several sentences is the list of these) and digested;
+digests are grouped over the whole corpus, and the occurrence in the document
+of least doc_id, there the first, is kept. A line that holds a letter goes at
+every other occurrence, however short it is. Sentences within lines that differ
+otherwise go where the run of neighbouring repeated sentences they stand in has
+``MIN_WORDS`` words or more: short phrases recur by chance inside a line and
+stay. Removed spans keep their offsets in the original text.
 
 A unit goes through the shuffle as two digest halves, its document and place.
 The grouping is a plain minimum with map-side combine, so a line that a third
@@ -34,6 +36,7 @@ from pyspark.sql import functions as F
 
 from .common import documents, small_batches, written
 
+#: Words that a run of repeated sentences must have outside repeated lines.
 MIN_WORDS = 20
 #: Where a unit ends: the pattern covers what separates it from the next.
 UNITS = {
@@ -42,12 +45,16 @@ UNITS = {
     "sentence": re.compile(r"(?<=[.!?])[ \t]+|\n+"),
 }
 _DROPPED = re.compile(r"[\W_]+")
-#: A unit in six numbers, as it is shuffled: ``place`` holds its number and
-#: words, ``span`` its offsets, 32 bits each.
+#: A unit in six numbers, as it is shuffled. ``place``: 32 bits, the number of
+#: its (first) sentence; 2 bits, what it is; 30 bits, its words (of several
+#: sentences: how many). ``span``: its offsets, 32 bits each.
 SCHEMA = "doc_id long, t long, place long, span long, h1 long, h2 long, again boolean"
 #: So many changed documents (16 bytes each) may be broadcast to pick their
 #: texts; more are joined by shuffling all texts.
 BROADCAST_DOCS = 4_000_000
+#: A sentence inside a line, one that is a whole line with a letter, and a line
+#: with a letter of several sentences.
+INSIDE, WHOLE, SEVERAL = 0, 1, 2
 
 
 def cut(text: str, unit: str) -> Iterator[tuple[int, int]]:
@@ -65,6 +72,20 @@ def normalised(unit: str) -> str:
     return _DROPPED.sub(" ", unit.lower()).strip()
 
 
+def _sentences(text: str, unit: str) -> Iterator[tuple[int, int, int, int, str]]:
+    """(first sentence or its own number, kind, words or sentences, from, to,
+    normalised text) of the sentences of a text and of its units that hold several."""
+    k = 0
+    for lo, hi in cut(text, unit):
+        own = [(lo + i, lo + j, plain) for i, j in cut(text[lo:hi], "sentence") if (plain := normalised(text[lo + i : lo + j]))]
+        whole = unit != "sentence" and any(c.isalpha() for _, _, plain in own for c in plain)
+        for n, (i, j, plain) in enumerate(own):
+            yield k + n, WHOLE if whole and len(own) == 1 else INSIDE, plain.count(" ") + 1, i, j, plain
+        if whole and len(own) > 1:
+            yield k, SEVERAL, len(own), own[0][0], own[-1][1], "\n".join(plain for _, _, plain in own)
+        k += len(own)
+
+
 def _units(unit: str):
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -72,14 +93,12 @@ def _units(unit: str):
                 some = b.iloc[at : at + 512]
                 rows, halves = [], []
                 for doc_id, t, text in zip(some["doc_id"], some["t"], some["text"], strict=True):
-                    seen, k = set(), 0
-                    for i, j in cut(text, unit):
-                        if plain := normalised(text[i:j]):
-                            h = xxhash.xxh3_128_digest(plain.encode("utf-8", "surrogatepass"))
-                            rows.append((doc_id, t, k << 32 | plain.count(" ") + 1, i << 32 | j, h in seen))
-                            halves.append(h)
-                            seen.add(h)
-                            k += 1
+                    seen = set()
+                    for k, kind, n, i, j, plain in _sentences(text, unit):
+                        h = xxhash.xxh3_128_digest(plain.encode("utf-8", "surrogatepass"))
+                        rows.append((doc_id, t, k << 32 | kind << 30 | n, i << 32 | j, h in seen))
+                        halves.append(h)
+                        seen.add(h)
                 out = pd.DataFrame(rows, columns=["doc_id", "t", "place", "span", "again"])
                 both = np.frombuffer(b"".join(halves), np.int64).reshape(-1, 2)
                 yield out.assign(h1=both[:, 0], h2=both[:, 1])
@@ -91,10 +110,11 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumn("t", F.xxhash64("text"))
 
 
-def repeats(docs: DataFrame, unit: str = "sentence", min_words: int = MIN_WORDS) -> DataFrame:
+def repeats(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, t, from, to, n_units, n_words, kept_in): spans to remove, and
-    the least document in which a unit of the span stays; ``t`` tells texts
-    under the same doc_id apart."""
+    the least document in which a sentence of the span stays; ``t`` tells texts
+    under the same doc_id apart. ``unit``: ``line`` or ``paragraph``, removed
+    whatever its length, or ``sentence``, removed in runs only."""
     small_batches(docs.sparkSession)
     rows = _keyed(docs.select("doc_id", "text")).where("doc_id is not null and text is not null")
     units = written(rows.mapInPandas(_units(unit), SCHEMA), "repeat-units")
@@ -106,12 +126,21 @@ def repeats(docs: DataFrame, unit: str = "sentence", min_words: int = MIN_WORDS)
     own = units.where("again").select(*key, F.col("doc_id").alias("kept_in"))
     gone = foreign.unionByName(own).groupBy(*key).agg(F.min("kept_in").alias("kept_in"))
     high, low = (lambda c: F.shiftright(c, 32).cast("int")), (lambda c: F.col(c).bitwiseAND(0xFFFFFFFF).cast("int"))
-    gone = gone.select("doc_id", "t", high("place").alias("unit"), low("place").alias("n_words"), high("span").alias("from"), low("span").alias("to"), "kept_in")
+    bits = F.shiftright("place", 30).bitwiseAND(3).cast("int")
+    gone = gone.select("doc_id", "t", high("place").alias("unit"), bits.alias("kind"), F.col("place").bitwiseAND((1 << 30) - 1).cast("int").alias("n"),
+                       high("span").alias("from"), low("span").alias("to"), "kept_in")
+    # Every sentence of a repeated line is repeated itself, so a line only marks
+    # its sentences as covered; then runs of neighbouring sentences are measured.
+    so_far = W.partitionBy("doc_id", "t").orderBy("unit", F.col("kind").desc())
+    reach = F.max(F.when(F.col("kind") == SEVERAL, F.col("unit") + F.col("n"))).over(so_far)
+    covered = (F.col("kind") == WHOLE) | F.coalesce(reach > F.col("unit"), F.lit(False))
+    gone = gone.withColumn("covered", covered).where(F.col("kind") != SEVERAL)
     in_doc = W.partitionBy("doc_id", "t").orderBy("unit")
-    runs = gone.withColumn("run", F.col("unit") - F.row_number().over(in_doc)).groupBy("doc_id", "t", "run").agg(
+    long = F.sum("n").over(W.partitionBy("doc_id", "t", "run")) >= min_words
+    gone = gone.withColumn("run", F.col("unit") - F.row_number().over(in_doc)).withColumn("long", long).where("covered or long")
+    return gone.withColumn("run", F.col("unit") - F.row_number().over(in_doc)).groupBy("doc_id", "t", "run").agg(
         F.min("from").alias("from"), F.max("to").alias("to"), F.count(F.lit(1)).alias("n_units"),
-        F.sum("n_words").alias("n_words"), F.min("kept_in").alias("kept_in"))
-    return runs.where(F.col("n_words") >= min_words).drop("run")
+        F.sum("n").alias("n_words"), F.min("kept_in").alias("kept_in")).drop("run")
 
 
 def _without(texts: pd.Series, spans: pd.Series) -> pd.Series:
