@@ -42,17 +42,31 @@ RUN = r"A-Za-z0-9+/_=-"
 CANDIDATE = rf"(?<![{RUN}])(?=[A-Za-z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Za-z])([{RUN}]{{20,}}+)"
 ALPHABET = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+/_=-"
 WINDOW = 20
-#: Least entropy, in bits, of a window of a class: hex digits, any other.
-THRESHOLDS = {"hex": 2.9, "other": 3.8}
-#: Strings that look random but are no secrets: UUIDs, paths, dates with
-#: numbers, words joined by separators, digests named as such.
+#: Classes of candidates by the characters they are made of, the first that
+#: fits, and the least entropy, in bits, of a window. Of random strings of 20
+#: characters of the class at most some 2 in 100 stay below it (measured on
+#: 3,000 strings each); longer ones have more windows and miss less.
+CLASSES = (
+    ("hex digits of one case", r"^([0-9A-F]+|[0-9a-f]+)$", 2.9),
+    ("base 32 of one case", r"^([A-Z2-7]+|[a-z2-7]+)$", 3.4),
+    ("letters of one case and digits", r"^([A-Z0-9]+|[a-z0-9]+)$", 3.45),
+    ("letters of one case with separators", r"^([A-Z0-9+/_=-]+|[a-z0-9+/_=-]+)$", 3.8),
+    ("base 62 or 64", r"^", 3.7),
+)
+#: A word, a number, or words in one, as parts of paths and names have them.
+PART = r"([a-z]+|[A-Z]+|[A-Z][a-z]+|[a-z]{2,}([A-Z][a-z]{2,})+|([A-Z][a-z]{2,})+)?[0-9]{0,4}"
+DATE = r"[0-9]{4}-[0-9]{2}-[0-9]{2}(T[0-9]{2,6}Z?)?"
+#: Strings that look random but are no secrets: UUIDs; paths, dates and names of
+#: which every part is a word, number or date; digests named as such.
 ALLOW = (
     r"^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$",
-    r"^/?([A-Za-z0-9_=-]{1,16}/){2,}[A-Za-z0-9_=-]*$",
-    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}",
+    rf"^/?(({DATE}|{PART}([_=-]+{PART})*)/){{2,}}({DATE}|{PART}([_=-]+{PART})*)$",
+    rf"^{DATE}([_/=-]+{PART})*$",
     r"^([A-Za-z]+|[0-9]{1,6})([_/=-]+([A-Za-z]+|[0-9]{1,6}))+$",
     r"^(sha1|sha256|sha384|sha512|md5)[-=]",
 )
+#: Longer candidates are no names or paths; entropy alone judges them.
+ALLOW_LENGTH = 512
 MARK, SPARE = "\x01", "\x02"
 CHUNK = 128
 
@@ -88,7 +102,8 @@ def _spans(pieces: Column, kind: int, ok) -> Column:
 
 
 def _masked(pieces: Column, ok) -> Column:
-    return F.array_join(F.transform(pieces, lambda p, i: F.when((i % 2 == 1) & ok(p), F.repeat(F.lit(MARK), F.length(p))).otherwise(p)), "")
+    """The text with matches overwritten, in its length, by what no pattern matches."""
+    return F.array_join(F.transform(pieces, lambda p, i: F.when((i % 2 == 1) & ok(p), F.repeat(F.lit(SPARE), F.length(p))).otherwise(p)), "")
 
 
 def _found(text: Column, pattern: str, kind: int, ok) -> Column:
@@ -139,8 +154,10 @@ def _secret(allow: tuple[str, ...]):
         known = F.lit(False)
         for rule in allow:
             known = known | p.rlike(rule)
-        least = F.when(p.rlike("^([0-9A-F]+|[0-9a-f]+)$"), THRESHOLDS["hex"]).otherwise(THRESHOLDS["other"])
-        return F.when(known, False).otherwise(window_entropy(p) >= least)
+        least = F.lit(CLASSES[-1][2])
+        for _, characters, bits in reversed(CLASSES[:-1]):
+            least = F.when(p.rlike(characters), bits).otherwise(least)
+        return F.when((F.length(p) <= ALLOW_LENGTH) & known, False).otherwise(window_entropy(p) >= least)
 
     return ok
 
