@@ -26,7 +26,9 @@ base span trains on generated ones; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -167,10 +169,24 @@ def features(s: str, a: int, b: int, tokens: int) -> np.ndarray:
 N_FEATURES = len(features("1", 0, 1, 1))
 
 
+class Spans:
+    """Spans by start, for finding those that meet a stretch without trying all."""
+
+    def __init__(self, spans: list[tuple[int, int]]):
+        self.spans = sorted(spans)
+        self.starts = [a for a, _ in self.spans]
+        self.reach = list(accumulate((b for _, b in self.spans), max))  # the furthest end so far
+
+    def meeting(self, a: int, b: int) -> list[tuple[int, int]]:
+        some = self.spans[bisect_right(self.reach, a) : bisect_left(self.starts, b)]
+        return [x for x in some if x[1] > a]
+
+
 def _candidates(s: str, fixed: list[tuple[int, int]]):
     """Token ends in a region, and its candidate spans as (i, j, features)."""
     tokens = [m.span() for m in _TOKEN.finditer(s)]
-    taken = [any(a < e and b > c for c, e in fixed) for a, b in tokens]
+    known = Spans(fixed)
+    taken = [bool(known.meeting(a, b)) for a, b in tokens]
     digit = [s[a].isdigit() for a, _ in tokens]
     out = []
     for i, (a, _) in enumerate(tokens):
@@ -352,11 +368,11 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     def extra(base: pd.Series, found: pd.Series) -> pd.Series:
         out = []
         for b, rs in zip(base, found, strict=True):
-            new = []
+            new, known = [], Spans([(s["start"], s["end"]) for s in b])
             for x in rs:
                 at = x["at"]
                 if x["more"]:
-                    fixed = [(s["start"] - at, s["end"] - at) for s in b]
+                    fixed = [(i - at, j - at) for i, j in known.meeting(at, at + len(x["text"]))]
                     new += [{"kind": k, "start": at + i, "end": at + j} for k, i, j in added(model.value, x["text"], fixed)]
             out.append(new)
         return pd.Series(out, dtype=object)

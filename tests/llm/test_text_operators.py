@@ -5,6 +5,7 @@ import math
 import random
 import re
 import string
+import time
 from collections import Counter
 
 import pytest
@@ -310,3 +311,24 @@ def test_language_edges(spark):
     nothing = language.profiles(spark.createDataFrame([], "text string, lang string"))
     assert {r.lang_pred for r in language.predict(table(spark, [(1, "the dog")]), nothing).collect()} == {"und"}
     assert language.predict(table(spark, []), learned).count() == 0
+
+
+def test_spans_that_meet_a_stretch():
+    r = random.Random(4)
+    spans = [(a, a + r.randint(1, 12)) for a in (r.randint(0, 200) for _ in range(40))]
+    known = pii.Spans(spans)
+    for _ in range(300):
+        a = r.randint(0, 210)
+        b = a + r.randint(1, 20)
+        assert known.meeting(a, b) == [x for x in sorted(spans) if x[0] < b and x[1] > a]
+    assert pii.Spans([]).meeting(0, 5) == []
+
+
+def test_long_list_of_addresses(spark):
+    text = " ".join(f"user{i}@mail{i % 7}.example.com," for i in range(8000)) + " and 12 34 55"
+    began = time.monotonic()
+    base = pii.base_spans(text)
+    known = pii.Spans([(a, b) for _, a, b in base])
+    for at, region, _ in pii.regions(text, base):
+        pii._candidates(region, [(a - at, b - at) for a, b in known.meeting(at, at + len(region))])
+    assert len(base) == 8000 and time.monotonic() - began < 1
