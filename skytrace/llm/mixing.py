@@ -16,8 +16,10 @@ more than the sizes of its shortest documents.
 
 Defined results: a null text has size 0 and is taken 0 words whatever its
 copies; null sources form one source, ranked last; rows with the same doc_id,
-source and size are one unit and get the same copies each; an empty table
-gives an empty result; the same rows give the same result in every run.
+source and size are one unit, whose copies are rounded together and dealt to
+its rows as evenly as they go (so rows without doc_id meet their target as
+well); an empty table gives an empty result; the same rows give the same result
+in every run.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..operators.sequence import sequence_scan
 from ..session import cut_lineage
 from .common import SPACE, SPACE_CLASS, documents, written
 
@@ -110,27 +113,33 @@ def solve(sizes: DataFrame, wanted: DataFrame) -> DataFrame:
             F.when(near, F.col("hi")).otherwise(F.col("new_hi")).alias("hi"),
             F.coalesce(near, F.lit(True)).alias("done"),
         ))
+    wide = F.col("hi") - F.col("lo") > 1e-6 * (1 + F.abs("tilt"))  # else the bracket has closed as far as doubles go
+    if not state.where(~F.col("done") & wide).isEmpty():
+        raise ArithmeticError(f"targets not met after {NEWTON_STEPS} steps")
     # Sums of floats differ in their last bits between runs; what follows must not.
     return state.withColumn("tilt", F.round("tilt", 9))
 
 
 def _round(g: pd.DataFrame) -> pd.DataFrame:
-    """Copies in one bucket, the rounding error carried from long to short."""
+    """Copies in one bucket, the rounding error carried from long to short.
+    The copies of all rows of a unit are rounded together."""
     g = g.sort_values(["size", "doc_id"], ascending=[False, True], kind="stable")
-    tokens, wanted = (g["size"] * g["m"]).to_numpy(float), g["rate"].to_numpy(float)
+    size, rows = g["size"].to_numpy(float), g["m"].to_numpy(np.int64)
+    wanted = g["rate"].to_numpy(float) * rows
     out, carry = np.zeros(len(g), np.int64), 0.0
     for i in range(len(g)):
-        c = wanted[i] + (carry / tokens[i] if tokens[i] else 0.0)
-        out[i] = min(max(int(np.floor(c + 0.5)), 0), int(MAX_RATE))
-        carry += (wanted[i] - out[i]) * tokens[i]
-    return g.assign(copies=out)[["doc_id", "source", "size", "m", "source_size", "target", "rate", "copies"]]
+        c = wanted[i] + (carry / size[i] if size[i] else 0.0)
+        out[i] = min(max(int(np.floor(c + 0.5)), 0), int(MAX_RATE) * int(rows[i]))
+        carry += (wanted[i] - out[i]) * size[i]
+    g = g.assign(copies=out // rows, more=out % rows)
+    return g[["doc_id", "source", "size", "m", "source_size", "target", "rate", "copies", "more"]]
 
 
 def mix(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE) -> DataFrame:
     """Copies of each unit (doc_id, source, size) of a table of these columns.
 
     Returns doc_id, source, size, m (rows of the unit), source_size, target,
-    rate and copies (of each row).
+    rate, copies (of each row) and more (rows of the unit that have one more).
     """
     units = written(sized.groupBy("source", "doc_id", "size").agg(F.count(F.lit(1)).alias("m")), "mix-units")
     sizes = units.groupBy("source", "size").agg(F.sum("m").alias("sizes_n"))
@@ -142,23 +151,36 @@ def mix(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHA
                  F.when(F.col("s.tilt") == float("inf"), MAX_RATE).when(F.col("s.tilt") == float("-inf"), 0.0)
                  .otherwise(_rate(F.col("u.size") / F.col("s.mean"))).alias("rate"))
     bucket = F.pmod(F.xxhash64("doc_id", "size"), F.ceil(F.col("source_n") / BUCKET))
-    schema = "doc_id long, source string, size long, m long, source_size long, target double, rate double, copies long"
+    schema = "doc_id long, source string, size long, m long, source_size long, target double, rate double, copies long, more long"
     return u.withColumn("bucket", bucket).groupBy("source", "bucket").applyInPandas(_round, schema)
 
 
 def mixed(docs: DataFrame, **how) -> DataFrame:
-    """The documents of the mix, each row as often as it is taken."""
+    """The documents of the mix, each row as often as it is taken. Where only
+    some rows of a unit have one copy more, those first by their texts' digests."""
     key = [F.col("doc_id"), F.col("source"), size_of(F.col("text")).alias("size")]
-    copies = mix(docs.select(*key), **how).where("copies > 0").alias("c")
+    copies = written(mix(docs.select(*key), **how).where("copies > 0 or more > 0"), "mix-copies").alias("c")
     d = docs.withColumn("__size", size_of(F.col("text"))).alias("d")
     same = F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & F.col("d.source").eqNullSafe(F.col("c.source")) & (F.col("d.__size") == F.col("c.size"))
-    times = F.explode(F.sequence(F.lit(1), F.col("c.copies").cast("int")))
-    return d.join(copies, same).select(*[F.col(f"d.`{c}`") for c in docs.columns], times.alias("__time")).drop("__time")
+    own = [F.col(f"d.`{c}`") for c in docs.columns]
+    each = F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))
+    times = lambda t: t.where("__copies > 0").withColumn("__time", each).select(*[F.col(f"`{c}`") for c in docs.columns])
+    even = times(d.join(copies.where("c.more = 0"), same).select(*own, F.col("c.copies").alias("__copies")))
+    if copies.where("more > 0").isEmpty():
+        return even
+    # Rows of a unit are numbered by a scan that splits units of very many rows.
+    unit = F.to_json(F.struct(F.col("d.doc_id").alias("a"), F.col("d.source").alias("b"), F.col("d.__size").alias("c")))
+    some = d.join(copies.where("c.more > 0"), same).select(
+        *own, F.col("c.copies").alias("__copies"), F.col("c.more").alias("__more"), unit.alias("__unit"), F.xxhash64("d.text").alias("__digest"))
+    dealt = sequence_scan(some, ["__unit"], ["__digest"], row_number="__row").withColumn(
+        "__copies", F.col("__copies") + (F.col("__row") <= F.col("__more")).cast("long"))
+    return even.unionByName(times(dealt))
 
 
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     d = documents(spark, sf_dir)
     m = mix(d.select("doc_id", "source", size_of(F.col("text")).alias("size")))
-    return m.withColumn("row", F.explode(F.sequence(F.lit(1), F.col("m").cast("int")))).select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "source", "rate", "copies")
+    m = m.withColumn("row", F.explode(F.sequence(F.lit(1), F.col("m").cast("int"))))
+    m = m.withColumn("copies", F.col("copies") + (F.col("row") <= F.col("more")).cast("long"))
+    return m.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "source", "rate", "copies")

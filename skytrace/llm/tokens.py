@@ -5,7 +5,8 @@ and packed, in order, into shards of whole documents of about
 ``SHARD_TOKENS`` ids. Within a shard Re-Pair replaces frequent pairs of ids
 by nonterminals: a round counts all pairs, takes the most frequent, gives
 each a rule and replaces its occurrences from left to right; rounds follow
-until no pair is frequent. Pairs never span two documents, so each document
+until no pair is frequent (or the shard has ``SYMBOLS`` symbols, of which a
+pair takes 32 bits). Pairs never span two documents, so each document
 is a run of symbols of its own and can be decoded alone; the stored expansion
 lengths give the ids before any symbol without expanding it.
 
@@ -56,7 +57,9 @@ TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 SHARD_TOKENS = 1 << 18
 #: A pair gets a rule from this many occurrences on; so many rules a round.
-MIN_COUNT, RULES_A_ROUND, ROUNDS = 6, 2048, 6
+MIN_COUNT, RULES_A_ROUND = 6, 2048
+#: Terminals and rules of a shard at most: a pair of symbols is 32 bits.
+SYMBOLS = 1 << 16
 #: No pair of symbols: a rule has two symbols below 65,535.
 _NO_PAIR = np.uint32(0xFFFFFFFF)
 #: Pieces of text whose ids a worker remembers.
@@ -204,8 +207,8 @@ def compress(ids: np.ndarray, doc_to: np.ndarray) -> dict:
     s = (np.cumsum(present, dtype=np.uint32) - np.uint32(1))[ids]
     ends = np.asarray(doc_to, np.int64) - 1  # the last symbol of each document: no pair starts there
     rules, n = [], len(terminals)
-    for _ in range(ROUNDS):
-        room = min(RULES_A_ROUND, (1 << 16) - n)
+    while True:
+        room = min(RULES_A_ROUND, SYMBOLS - n)
         if len(s) < 2 or room <= 0:
             break
         code = (s[:-1] << np.uint32(16)) | s[1:]
@@ -302,11 +305,37 @@ def decode(row) -> tuple[np.ndarray, np.ndarray]:
     return expand(symbols, terminals, pairs), np.asarray(row["tokens_to"], np.int64)
 
 
-def decode_document(row, k: int) -> np.ndarray:
-    """The ids of document ``k`` of a shard; no other is expanded."""
-    terminals, pairs, symbols = _parts(row)
-    to = row["symbols_to"]
-    return expand(symbols[to[k - 1] if k else 0 : to[k]], terminals, pairs)
+def decode_document(row, k: int, lo: int = 0, hi: int | None = None) -> np.ndarray:
+    """The ids of document ``k`` of a shard, or those from ``lo`` to ``hi`` of it.
+
+    Only what is asked for is expanded: the stored lengths say where the ids of
+    each symbol begin, symbols beside the stretch are passed over, and rules
+    are replaced by their pairs until terminals are left.
+    """
+    to, size = row["symbols_to"], np.frombuffer(row["lengths"], "<u4")
+    terminals, rules = np.frombuffer(row["terminals"], "<u4"), np.frombuffer(row["rules"], "<u4").reshape(-1, 2)
+    s = np.frombuffer(row["symbols"], "<u4" if row["wide"] else "<u2")[to[k - 1] if k else 0 : to[k]].astype(np.int64)
+    n = len(terminals)
+
+    def length(x: np.ndarray) -> np.ndarray:
+        out = np.ones(len(x), np.int64)
+        out[x >= n] = size[x[x >= n] - n]
+        return out
+
+    each = length(s)
+    first = np.cumsum(each) - each
+    hi = int(each.sum()) if hi is None else min(hi, int(each.sum()))
+    out = np.zeros(max(0, hi - lo), np.uint32)
+    while len(s):
+        near = (first < hi) & (first + each > lo)
+        s, first = s[near], first[near]
+        done = s < n
+        out[first[done] - lo] = terminals[s[done]]
+        both, at = rules[s[~done] - n].astype(np.int64), first[~done]
+        s = both.reshape(-1)
+        each = length(s)
+        first = np.stack([at, at + each[::2]], axis=1).reshape(-1)
+    return out
 
 
 def _parts(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -2,6 +2,7 @@
 against brute force, and their edge cases."""
 
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -394,6 +395,25 @@ def test_newton_meets_targets(spark):
         assert abs(got - r.target) < 1e-5 * r.target
 
 
+def test_rows_without_id_meet_their_target(spark):
+    """Units of thousands of rows: each row counts, not the unit as a whole."""
+    rows = [(None, " ".join(["w"] * (1 + i % 3)), "s") for i in range(3000)] + [(i, f"a b {i}", "t") for i in range(5)] + [(7, "x y z", None)] * 400
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    sized = docs.select("doc_id", "source", mixing.size_of(docs.text).alias("size"))
+    taken = Counter()
+    for r in mixing.mix(sized).collect():
+        taken[r.source] += r.size * (r.m * r.copies + r.more)
+        assert 0 <= r.more < r.m and r.copies + (r.more > 0) <= 2
+    want = brute_targets({"s": 6000, "t": 15, None: 1200})
+    assert all(abs(taken[s] - want[s]) <= max(3, 0.01 * want[s]) for s in want)
+    out = mixing.mixed(docs)
+    got = Counter()
+    for r in out.collect():
+        got[r.source] += len(r.text.split())
+    assert got == taken
+    assert sorted(map(str, mixing.mixed(docs).collect())) == sorted(map(str, out.collect()))
+
+
 def test_mix_edges(spark):
     rows = [(1, "a b c", "s"), (1, "a b c", "s"), (2, None, "s"), (3, "", None), (4, "one two", None), (None, "x y", "ü"), (5, " w " * 5000, "s"), (6, None, "empty")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string").selectExpr("*", "'x' as size", "'x' as rate", "'x' as copies", "'x' as m")
@@ -405,7 +425,7 @@ def test_mix_edges(spark):
     assert out.columns == docs.columns
     want = Counter()
     for r in units:
-        want[r.doc_id] += r.m * r.copies
+        want[r.doc_id] += r.m * r.copies + r.more
     assert Counter(r.doc_id for r in out.collect()) == +want
     assert mixing.mixed(docs.where("false")).count() == 0
 
@@ -441,6 +461,31 @@ def test_grammar_round_trip(seed, n, alphabet):
     assert all(len(tokens.expand(np.array([len(terminals) + k]), terminals, pairs)) == x for k, x in enumerate(lengths))
 
 
+def test_random_access(spark):
+    """A document, or a stretch of it, costs what it holds, not what its shard holds."""
+    r = np.random.default_rng(6)
+    words = [r.integers(3, 4000, r.integers(2, 9)).astype(np.uint32) for _ in range(3000)]
+    docs = [np.concatenate([words[i] for i in r.zipf(1.3, 90) % 3000]) for _ in range(400)]
+    ids, to = np.concatenate(docs), np.cumsum([len(d) for d in docs])
+    row = tokens.compress(ids, to)
+    pairs = np.frombuffer(row["rules"], "<u4").reshape(-1, 2)
+    assert len(pairs) > 1000
+    for k in (0, 7, 399):
+        for lo, hi in ((0, None), (0, 0), (5, 6), (40, 200), (len(docs[k]) - 3, 10**9)):
+            assert (tokens.decode_document(row, k, lo, hi) == docs[k][lo:hi]).all()
+    s = np.frombuffer(row["symbols"], "<u4" if row["wide"] else "<u2").astype(np.int64)
+    inside = np.concatenate([[True], np.ones(len(s) - 1, bool)])
+    inside[np.asarray(row["symbols_to"])[:-1]] = False  # no pair spans two documents
+    left = Counter(zip(s[:-1][inside[1:]].tolist(), s[1:][inside[1:]].tolist(), strict=True))
+    assert max(n for (a, b), n in left.items() if a != b) < tokens.MIN_COUNT
+    began = time.perf_counter()
+    tokens.decode(row)
+    whole, began = time.perf_counter() - began, time.perf_counter()
+    for _ in range(20):
+        tokens.decode_document(row, 7)
+    assert (time.perf_counter() - began) / 20 < whole / 5
+
+
 def brute_tokens(rows):
     t = Tokenizer.from_file(public_tokenizers.path(tokens.TOKENIZER))
     out, start = [], 0
