@@ -30,6 +30,13 @@ MIN_SCORE = 0.1
 SIMILAR = 80
 
 
+def _few(ids: DataFrame, name: str) -> DataFrame:
+    """Document ids, to be broadcast where they are few (8 bytes each, counted),
+    so that the documents need no shuffle to be picked by them."""
+    ids = written(ids, name)
+    return F.broadcast(ids) if ids.count() <= neardup.BROADCAST_IDS else ids
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     learned = language.profiles(docs.where(~language.held_out()).select("text", "lang"))
     p = language.predict(docs, learned)
@@ -38,10 +45,10 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def neardup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     linked = written(neardup.link(docs, SIMILAR), "linked")
-    gone = linked.where("not kept").select("doc_id").distinct()
+    gone = _few(linked.where("not kept").select("doc_id").distinct(), "gone")
     left = docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").select(*docs.columns)
     # Repeated rows share a doc_id: one of them stays.
-    several = linked.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    several = _few(linked.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "several")
     if not several.isEmpty():
         one = left.join(several, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
         left = left.join(several, "doc_id", "left_anti").select(*docs.columns).unionByName(one)
@@ -50,7 +57,7 @@ def neardup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = decontaminate.contaminated(docs, read_table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    d, f = docs.alias("d"), found.alias("f")
+    d, f = docs.alias("d"), _few(found, "found").alias("f")
     return d.join(f, F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")), "left_anti").select(*docs.columns)
 
 

@@ -40,6 +40,9 @@ MAX_RATE = 2.0
 #: Documents in a rounding bucket, about.
 BUCKET = 2_000
 NEWTON_STEPS = 60
+#: Units (some 100 bytes each) that may be broadcast to the documents; more are
+#: joined by shuffling the documents.
+BROADCAST_UNITS = 400_000
 TOLERANCE = 1e-10
 
 
@@ -159,7 +162,8 @@ def mixed(docs: DataFrame, **how) -> DataFrame:
     """The documents of the mix, each row as often as it is taken. Where only
     some rows of a unit have one copy more, those first by their texts' digests."""
     key = [F.col("doc_id"), F.col("source"), size_of(F.col("text")).alias("size")]
-    copies = written(mix(docs.select(*key), **how).where("copies > 0 or more > 0"), "mix-copies").alias("c")
+    copies = written(mix(docs.select(*key), **how).where("copies > 0 or more > 0").select("doc_id", "source", "size", "copies", "more"), "mix-copies")
+    copies = (F.broadcast(copies) if copies.count() <= BROADCAST_UNITS else copies).alias("c")
     d = docs.withColumn("__size", size_of(F.col("text"))).alias("d")
     same = F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & F.col("d.source").eqNullSafe(F.col("c.source")) & (F.col("d.__size") == F.col("c.size"))
     own = [F.col(f"d.`{c}`") for c in docs.columns]
