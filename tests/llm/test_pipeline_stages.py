@@ -78,7 +78,7 @@ def test_run_equals_its_stages_by_brute_force(spark):
 
 def test_registered_queries():
     names = set(E.queries())
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(queries.QUERIES) | {"pipeline"} <= names
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES)
 
