@@ -63,7 +63,7 @@ SYMBOLS = 1 << 16
 #: No pair of symbols: a rule has two symbols below 65,535.
 _NO_PAIR = np.uint32(0xFFFFFFFF)
 #: Pieces of text whose ids a worker remembers.
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 
 FORMAT = ("part long, shard long, start long, doc_ids array<long>, symbols_to array<long>, tokens_to array<long>, "
           "terminals binary, rules binary, lengths binary, symbols binary, wide boolean")
