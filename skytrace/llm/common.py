@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import wraps
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,6 +53,30 @@ def text_batches(spark: SparkSession, rows: int = BATCH_ROWS, size: str = BATCH_
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def hand_back() -> None:
+    """Return memory that is free within this process to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc
+        trim(0)
+
+
+def tidy(batches_fn: Callable) -> Callable:
+    """A function for ``mapInPandas`` that hands memory back before its first
+    and after its last batch: Spark uses a Python worker for the tasks of many
+    stages, and each would keep what the stages before it had freed."""
+
+    @wraps(batches_fn)
+    def run(batches: Iterator) -> Iterator:
+        hand_back()
+        try:
+            yield from batches_fn(batches)
+        finally:
+            hand_back()
+
+    return run
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once and use it in ``body`` any number of times.
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import documents, small_batches
+from .common import documents, small_batches, tidy
 
 LONGEST = 3
 PROFILE = 400
@@ -130,7 +130,7 @@ def profiles(labelled: DataFrame) -> DataFrame:
     """
     small_batches(labelled.sparkSession)
     sums = labelled.select("lang", "text").where("lang is not null and text is not null") \
-        .mapInPandas(_sum_grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+        .mapInPandas(tidy(_sum_grams), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     rank = F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "gram"))
     return sums.withColumn("rank", rank).where(F.col("rank") <= PROFILE).select("lang", "gram", "rank")
 

@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, small_batches, written
+from .common import documents, small_batches, tidy, written
 from .components import components
 
 SHINGLE = 5
@@ -147,7 +147,7 @@ def candidates(reps: DataFrame) -> DataFrame:
     orders = reps.select("id", F.concat("sig", "sig").alias("twice"), F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
     rows = orders.select("tree", F.substring("twice", F.col("tree") * 2 * STRIDE + 1, F.lit(2 * DEPTH)).alias("key"), "id")
     pairs = rows.repartitionByRange("tree", "key", "id").sortWithinPartitions("tree", "key", "id") \
-        .mapInPandas(_neighbours, "a long, b long, common int")
+        .mapInPandas(tidy(_neighbours), "a long, b long, common int")
     return pairs.where("a <> b").groupBy("a", "b").agg(F.max("common").alias("common"))
 
 
@@ -305,7 +305,7 @@ def alike(texts: DataFrame, reps: DataFrame, percent: int) -> tuple[DataFrame, D
     of each. Any order is exact; counts by bucket come close to rare first.
     """
     counts = np.zeros(BUCKETS, np.int64)
-    seen = texts.mapInPandas(_counted, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()  # BUCKETS rows at most
+    seen = texts.mapInPandas(tidy(_counted), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()  # BUCKETS rows at most
     counts[seen["bucket"].to_numpy(np.int64)] = seen["n"].to_numpy(np.int64)
 
     def prefixes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -315,7 +315,7 @@ def alike(texts: DataFrame, reps: DataFrame, percent: int) -> tuple[DataFrame, D
                 first = np.lexsort((s, counts[(s & np.uint64(BUCKETS - 1)).astype(np.int64)]))[: len(s) + (-len(s) * percent) // 100 + 1]
                 yield pd.DataFrame({"list": s[first].view(np.int64), "id": np.int64(doc_id), "n": np.int64(len(s))})
 
-    held = written(texts.mapInPandas(prefixes, "list long, id long, n long"), "neardup-prefixes")
+    held = written(texts.mapInPandas(tidy(prefixes), "list long, id long, n long"), "neardup-prefixes")
     # A list is known by its rows: shingles of one template have the same list, and one of them will do.
     digest = [F.bit_xor(F.xxhash64("id")).alias("x"), F.sum(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1 << 40))).alias("y")]
     lists = held.groupBy("list").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("all"), *digest).where("rows > 1")
@@ -323,7 +323,7 @@ def alike(texts: DataFrame, reps: DataFrame, percent: int) -> tuple[DataFrame, D
     rows = written(held.join(once, "list"), "neardup-lists")
     sig = reps.select("id", "sig")
     short = rows.where(F.col("rows") <= SHORT_LIST).select("list", "id", "n").join(sig, "id")
-    pairs = short.repartition("list").sortWithinPartitions("list").mapInPandas(_short_lists(percent), "a long, b long").distinct()
+    pairs = short.repartition("list").sortWithinPartitions("list").mapInPandas(tidy(_short_lists(percent)), "a long, b long").distinct()
 
     text = texts.select(F.col("doc_id").alias("id"), "text").dropDuplicates(["id"])
     blocks = _blocks(F.col("all"))
@@ -397,7 +397,7 @@ def link(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     linked from a similarity of ``percent`` hundredths on."""
     small_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
-    described = written(docs.mapInPandas(_describe, "doc_id long, n_shingles long, set_key binary, sig binary"), "neardup-sets")
+    described = written(docs.mapInPandas(tidy(_describe), "doc_id long, n_shingles long, set_key binary, sig binary"), "neardup-sets")
     known = described.where("set_key is not null and doc_id is not null")
     by_set = known.groupBy("set_key").agg(F.min("doc_id").alias("id"))
     reps = written(known.join(by_set, "set_key").where("doc_id = id").select("id", "n_shingles", "sig").distinct(), "neardup-reps")

@@ -51,7 +51,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ..session import ensure_checkpoint_dir
-from .common import documents, small_batches, written
+from .common import documents, small_batches, tidy, written
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
@@ -376,7 +376,7 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None) -> None:
     are not read) to the folder ``path``, in ascending doc_id order."""
     small_batches(docs.sparkSession)
     rows = docs.select("doc_id", "text").repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
-    rows.mapInPandas(_pack(tokenizer or public_tokenizers.path(TOKENIZER)), FORMAT).write.parquet(path)
+    rows.mapInPandas(tidy(_pack(tokenizer or public_tokenizers.path(TOKENIZER))), FORMAT).write.parquet(path)
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -385,6 +385,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     shards = spark.read.schema(FORMAT).parquet(path)
 
     def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        encoder.cache_clear()  # the shards are written: no task encodes any more
         for b in batches:
             for row in b.to_dict("records"):
                 ids, to = decode(row)
@@ -395,7 +396,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
                     "ids_crc32": [zlib.crc32(data[4 * i : 4 * j]) for i, j in zip(lo, to, strict=True)], "n_symbols": symbols,
                 })
 
-    out = written(shards.mapInPandas(digest, "doc_id long, part long, before long, n_tokens long, ids_crc32 long, n_symbols long"), "token-documents")
+    out = written(shards.mapInPandas(tidy(digest), "doc_id long, part long, before long, n_tokens long, ids_crc32 long, n_symbols long"), "token-documents")
     # One row a part, as many as the range partitions of the writing job.
     before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     earlier = out.groupBy("part").agg(F.sum("n_tokens").alias("n")) \
