@@ -63,19 +63,23 @@ SYMBOLS = 1 << 16
 #: No pair of symbols: a rule has two symbols below 65,535.
 _NO_PAIR = np.uint32(0xFFFFFFFF)
 #: Pieces of text whose ids a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 
 FORMAT = ("part long, shard long, start long, doc_ids array<long>, symbols_to array<long>, tokens_to array<long>, "
           "terminals binary, rules binary, lengths binary, symbols binary, wide boolean")
 
 #: The tokenizer splits a text before a space that follows anything but white
 #: space, between a letter and one of these marks, and after a single line
-#: break, whatever stands around it; it encodes the parts
-#: independently.
-_CUT = re.compile(r"(?<=\S) ")
-#: White space before a space, or a space at the start: not every space cuts.
-_ODD = r"(?:^|[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]) "
-_FINER = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ɏ])(?=[.,;:!?])|(?<=\S\n)(?=\S)")
+#: break, whatever stands around it; it encodes the parts independently.
+_LETTER, _MARK = "[A-Za-zÀ-ÖØ-öø-ɏ]", "[.,;:!?]"
+_CUT = re.compile(rf"(?<=\S)(?= )|(?<={_LETTER})(?={_MARK})|(?<=\S\n)(?=\S)")
+#: The same in Arrow's regexes, which do not look behind: a separator goes in
+#: at each cut. Texts that hold it, or white space before a space (not every
+#: space cuts) or a space at the start, are cut by ``_CUT``.
+_AT = "\x01"
+_BLANK = r"\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+_FINER = (f"({_LETTER})({_MARK})", rf"([^{_BLANK}]\n)([^{_BLANK}])")
+_ODD = rf"(?:^|[{_BLANK}]) |{_AT}"
 
 
 class Encoder:
@@ -90,29 +94,26 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        #: Place of a part: a string stands for itself after a space, a tuple of
-        #: one string for just that. Place 0 is the end of a text.
-        self.place: dict[str | tuple[str], int] = {}
+        self.place: dict[str, int] = {}  # of a part; place 0 is the end of a text
         self.ids = np.zeros(1 << 16, np.uint32)
         self.to = np.zeros(1 << 12, np.int64)  # where the ids of a part end
         self.ids[0], self.to[0], self.n = END_ID, 1, 1
 
-    def _encode(self, parts: list) -> tuple[list, np.ndarray, np.ndarray]:
+    def _encode(self, parts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """The parts in another order, the ids of all, and how many each has.
         Parts that begin with a space and end without one are encoded in one
         string: the cut between them is one that the tokenizer makes itself."""
-        plain = [p for p in parts if isinstance(p, str) and p and not p[-1].isspace()]
-        other = [p for p in parts if not isinstance(p, str) or not p or p[-1].isspace()]
-        texts = [p[0] if isinstance(p, tuple) else " " + p for p in other]
-        runs = [" " + " ".join(plain[i : i + 256]) for i in range(0, len(plain), 256)]
-        known = self.tokenizer.encode_batch_fast([*runs, *texts], add_special_tokens=False)
+        plain = [p for p in parts if p[0] == " " and not p[-1].isspace()]
+        other = [p for p in parts if p[0] != " " or p[-1].isspace()]
+        runs = ["".join(plain[i : i + 256]) for i in range(0, len(plain), 256)]
+        known = self.tokenizer.encode_batch_fast([*runs, *other], add_special_tokens=False)
         ids = np.fromiter(chain.from_iterable(e.ids for e in known), np.uint32)
-        size = lambda t: len(t.encode("utf-8", "surrogatepass"))
-        to = np.cumsum(np.fromiter(chain((size(p) + 1 for p in plain), map(size, texts)), np.int64, len(parts)))
+        parts = [*plain, *other]
+        to = np.cumsum(pc.binary_length(pa.array(parts, pa.large_string())).to_numpy())
         ends = np.searchsorted(np.cumsum(self.n_bytes[ids]), to) + 1
-        return [*plain, *other], ids, np.diff(np.concatenate([[0], ends]))
+        return parts, ids, np.diff(np.concatenate([[0], ends]))
 
-    def _store(self, parts: list, new: np.ndarray, sizes: np.ndarray) -> None:
+    def _store(self, parts: list[str], new: np.ndarray, sizes: np.ndarray) -> None:
         used = int(self.to[self.n - 1])
         while used + len(new) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
@@ -129,48 +130,30 @@ class Encoder:
         size = self.to[places] - first
         return self.ids[_spread(first, size)], size
 
-    def _learn(self, parts: list) -> None:
-        whole, made, of = [], [], []
-        for p in parts:
-            head, *rest = _FINER.split(p) if isinstance(p, str) else (p,)
-            if rest:
-                made.append(p)
-                of.append([head, *((r,) for r in rest)])
-            else:
-                whole.append(p)
-        finer = {p for some in of for p in some if p not in self.place}
-        if encode := sorted(finer.union(whole), key=str):
-            self._store(*self._encode(encode))
-        if made:
-            ids, size = self._ids(np.fromiter((self.place[p] for some in of for p in some), np.int64))
-            self._store(made, ids, np.add.reduceat(size, np.cumsum([0, *map(len, of[:-1])])))
-
-    def _places(self, parts: list) -> np.ndarray:
-        """The places of parts; those not met before are encoded."""
-        places = list(map(self.place.get, parts))
+    def _places(self, parts: pa.Array) -> np.ndarray:
+        """The places of parts; those not met before are encoded. Equal parts
+        are looked up once."""
+        parts = parts.dictionary_encode()
+        distinct = parts.dictionary.to_pylist()
+        places = list(map(self.place.get, distinct))
         if None in places:
-            missing = [i for i, k in enumerate(places) if k is None]
-            self._learn(list({parts[i]: None for i in missing}))
-            for i in missing:
-                places[i] = self.place[parts[i]]
-        return np.array(places, np.int64)
+            self._store(*self._encode([p for p, k in zip(distinct, places, strict=True) if k is None]))
+            places = list(map(self.place.get, distinct))
+        return np.array(places, np.int64)[parts.indices.to_numpy()]
 
     def _split(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Places of all parts of texts that every single space cuts, and how
-        many each text has. Equal parts are looked up once."""
-        lists = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
-        parts = lists.flatten().dictionary_encode()
-        distinct = parts.dictionary.to_pylist()
-        codes, n = parts.indices.to_numpy(), pc.list_value_length(lists).to_numpy()
-        places = self._places(distinct)[codes]
-        first = np.cumsum(n) - n
-        places[first] = self._places([(distinct[k],) for k in codes[first]])
-        return places, n
+        """Places of all parts of texts that every space cuts, and how many
+        each text has."""
+        cut = pa.array(texts, pa.large_string())
+        for pattern in _FINER:
+            cut = pc.replace_substring_regex(cut, pattern, rf"\1{_AT}\2")
+        cut = pc.split_pattern(pc.replace_substring(cut, " ", f"{_AT} "), _AT)
+        return self._places(cut.flatten()), pc.list_value_length(cut).to_numpy()
 
     def _cut(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The same for texts with other white space before a space."""
+        """The same for any texts."""
         cut = [_CUT.split(t) for t in texts]
-        return self._places([p for first, *rest in cut for p in ((first,), *rest)]), np.array([len(c) for c in cut], np.int64)
+        return self._places(pa.array(chain.from_iterable(cut), pa.large_string())), np.array([len(c) for c in cut], np.int64)
 
     def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, the end id after each, and where each text ends."""
