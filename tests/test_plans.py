@@ -1,5 +1,7 @@
 """Plan shape: broadcast spatial join, no Python on query paths, pruned scans."""
 
+import re
+
 from conftest import SF_SMALL
 
 from skytrace.plans import queries as Q
@@ -43,3 +45,18 @@ def test_window_queries_read_their_hours_only(spark):
             spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
         pruned = [x for x in plan.splitlines() if x.startswith("PartitionFilters:")]
         assert pruned and all("hour" in x for x in pruned), name
+
+
+def test_generated_methods_are_short_enough_to_be_compiled(spark):
+    """The JVM interprets methods of more than 8,000 bytes for good; those of
+    the ingest run once a point."""
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")  # an adaptive plan has no generated code before it runs
+    try:
+        text = Q.points_fresh(spark, SF_SMALL)._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen"))
+    finally:
+        spark.conf.set(key, before)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert len(sizes) == 3 and max(sizes) < 8000
