@@ -32,6 +32,7 @@ a text longer than a shard is a shard by itself.
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
 import zlib
@@ -40,7 +41,6 @@ from functools import lru_cache
 from itertools import chain
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -62,12 +62,21 @@ MIN_COUNT, RULES_A_ROUND = 6, 2048
 SYMBOLS = 1 << 16
 #: No pair of symbols: a rule has two symbols below 65,535.
 _NO_PAIR = np.uint32(0xFFFFFFFF)
-#: Pieces of text whose ids a worker remembers.
-REMEMBERED = 100_000
+#: Parts of texts whose ids a worker remembers; beyond it, the half met in most
+#: batches stay.
+REMEMBERED = 300_000
+#: Parts encoded in one string.
+PARTS_A_RUN = 256
 
 FORMAT = ("part long, shard long, start long, doc_ids array<long>, symbols_to array<long>, tokens_to array<long>, "
           "terminals binary, rules binary, lengths binary, symbols binary, wide boolean")
 
+_SHARD = pa.schema([
+    ("part", pa.int64()), ("shard", pa.int64()), ("start", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("symbols_to", pa.list_(pa.int64())),
+    ("tokens_to", pa.list_(pa.int64())), ("terminals", pa.binary()), ("rules", pa.binary()), ("lengths", pa.binary()), ("symbols", pa.binary()),
+    ("wide", pa.bool_()),
+])
+
 #: The tokenizer splits a text before a space that follows anything but white
 #: space, between a letter and one of these marks, and after a single line
 #: break, whatever stands around it; it encodes the parts independently.
@@ -80,6 +89,8 @@ _AT = "\x01"
 _BLANK = r"\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 _FINER = (f"({_LETTER})({_MARK})", rf"([^{_BLANK}]\n)([^{_BLANK}])")
 _ODD = rf"(?:^|[{_BLANK}]) |{_AT}"
+#: Parts that begin with a space and end without white space.
+_PLAIN = rf"(?s)^ .*[^{_BLANK}]$"
 
 
 class Encoder:
@@ -91,82 +102,85 @@ class Encoder:
         self.n_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)  # one letter of a byte-level token stands for one byte
         for token, i in vocabulary.items():
             self.n_bytes[i] = len(token)
-        self._clear()
-
-    def _clear(self) -> None:
-        self.place: dict[str, int] = {}  # of a part; place 0 is the end of a text
-        self.ids = np.zeros(1 << 16, np.uint32)
-        self.to = np.zeros(1 << 12, np.int64)  # where the ids of a part end
-        self.ids[0], self.to[0], self.n = END_ID, 1, 1
-
-    def _encode(self, parts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """The parts in another order, the ids of all, and how many each has.
-        Parts that begin with a space and end without one are encoded in one
-        string: the cut between them is one that the tokenizer makes itself."""
-        plain = [p for p in parts if p[0] == " " and not p[-1].isspace()]
-        other = [p for p in parts if p[0] != " " or p[-1].isspace()]
-        runs = ["".join(plain[i : i + 256]) for i in range(0, len(plain), 256)]
-        known = self.tokenizer.encode_batch_fast([*runs, *other], add_special_tokens=False)
-        ids = np.fromiter(chain.from_iterable(e.ids for e in known), np.uint32)
-        parts = [*plain, *other]
-        to = np.cumsum(pc.binary_length(pa.array(parts, pa.large_string())).to_numpy())
+        self._remember(pa.array([], pa.large_string()), np.array([END_ID], np.uint32), np.array([1]), np.zeros(1, np.int64))
+
+    def _remember(self, known: pa.Array, ids: np.ndarray, size: np.ndarray, met: np.ndarray) -> None:
+        """Parts by place from 1 on (0 is the end of a text), the ids of all,
+        how many each has, and in how many batches each was met."""
+        self.known, self.ids, self.size, self.met = known, ids, size, met
+        self.first = np.cumsum(size) - size
+
+    def _forget(self) -> None:
+        keep = np.sort(np.argsort(-self.met[1:], kind="stable")[: REMEMBERED // 2])
+        places = np.concatenate([[0], keep + 1])
+        ids, size = self._ids(places)
+        self._remember(self.known.take(pa.array(keep)), ids, size, self.met[places] // 2)
+
+    def _encode(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all parts, and how many each has. Parts that begin with a
+        space and end without one are encoded in one string: the cut between
+        them is one that the tokenizer makes itself."""
+        plain = pc.match_substring_regex(parts, _PLAIN)
+        row = plain.to_numpy(zero_copy_only=False).astype(bool)
+        order = np.concatenate([np.flatnonzero(row), np.flatnonzero(~row)])
+        runs, n = parts.filter(plain), int(row.sum())
+        data = "".join(runs.to_numpy(zero_copy_only=False).tolist())
+        letters = np.concatenate([[0], np.cumsum(pc.utf8_length(runs).to_numpy())])[np.append(np.arange(0, n, PARTS_A_RUN), n)]
+        texts = [data[i:j] for i, j in zip(letters[:-1], letters[1:], strict=True)] + parts.filter(pc.invert(plain)).to_pylist()
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        ids = np.fromiter(chain.from_iterable(e.ids for e in found), np.uint32)
+        to = np.cumsum(pc.binary_length(parts).to_numpy()[order])
         ends = np.searchsorted(np.cumsum(self.n_bytes[ids]), to) + 1
-        return parts, ids, np.diff(np.concatenate([[0], ends]))
-
-    def _store(self, parts: list[str], new: np.ndarray, sizes: np.ndarray) -> None:
-        used = int(self.to[self.n - 1])
-        while used + len(new) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while self.n + len(parts) > len(self.to):
-            self.to = np.concatenate([self.to, np.zeros_like(self.to)])
-        self.ids[used : used + len(new)] = new
-        self.to[self.n : self.n + len(parts)] = used + np.cumsum(sizes)
-        self.place.update(zip(parts, range(self.n, self.n + len(parts)), strict=True))
-        self.n += len(parts)
+        size = np.empty(len(parts), np.int64)
+        size[order] = np.diff(np.concatenate([[0], ends]))
+        first = np.empty(len(parts), np.int64)
+        first[order] = ends - size[order]
+        return ids[_spread(first, size)], size
 
     def _ids(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of known parts, one after another, and how many each has."""
-        first = np.where(places > 0, self.to[places - 1], 0)
-        size = self.to[places] - first
-        return self.ids[_spread(first, size)], size
+        size = self.size[places]
+        return self.ids[_spread(self.first[places], size)], size
 
     def _places(self, parts: pa.Array) -> np.ndarray:
-        """The places of parts; those not met before are encoded. Equal parts
-        are looked up once."""
-        parts = parts.dictionary_encode()
-        distinct = parts.dictionary.to_pylist()
-        places = list(map(self.place.get, distinct))
-        if None in places:
-            self._store(*self._encode([p for p, k in zip(distinct, places, strict=True) if k is None]))
-            places = list(map(self.place.get, distinct))
-        return np.array(places, np.int64)[parts.indices.to_numpy()]
-
-    def _split(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The places of parts; those not met before are encoded. Known parts
+        stand first in the dictionary, so that a part's index is its place."""
+        n = len(self.known)
+        every = pa.concat_arrays([self.known, parts]).dictionary_encode()
+        places = every.indices.to_numpy()[n:] + 1
+        if len(every.dictionary) > n:
+            ids, size = self._encode(every.dictionary.slice(n))
+            self._remember(every.dictionary, np.concatenate([self.ids, ids]), np.concatenate([self.size, size]),
+                           np.concatenate([self.met, np.zeros(len(size), np.int64)]))
+        self.met += np.bincount(places, minlength=len(self.met)) > 0
+        return places
+
+    def _split(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Places of all parts of texts that every space cuts, and how many
         each text has."""
-        cut = pa.array(texts, pa.large_string())
+        cut = texts
         for pattern in _FINER:
             cut = pc.replace_substring_regex(cut, pattern, rf"\1{_AT}\2")
         cut = pc.split_pattern(pc.replace_substring(cut, " ", f"{_AT} "), _AT)
         return self._places(cut.flatten()), pc.list_value_length(cut).to_numpy()
 
-    def _cut(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _cut(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The same for any texts."""
-        cut = [_CUT.split(t) for t in texts]
+        cut = [_CUT.split(t) for t in texts.to_pylist()]
         return self._places(pa.array(chain.from_iterable(cut), pa.large_string())), np.array([len(c) for c in cut], np.int64)
 
-    def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    def __call__(self, texts: pa.Array | list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, the end id after each, and where each text ends."""
-        if self.n > REMEMBERED:
-            self._clear()
-        rows = np.flatnonzero([bool(t) for t in texts])
-        some = [texts[i] for i in rows]
-        odd = pc.match_substring_regex(pa.array(some, pa.large_string()), _ODD).to_numpy(zero_copy_only=False).astype(bool)
+        texts = texts.cast(pa.large_string()) if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
+        if len(self.known) > REMEMBERED:
+            self._forget()
+        some = pc.fill_null(pc.binary_length(texts), 0).to_numpy() > 0
+        odd = pc.fill_null(pc.match_substring_regex(texts, _ODD), False).to_numpy(zero_copy_only=False).astype(bool)
         count = np.zeros(len(texts), np.int64)
         found = []
-        for which, split in ((rows[~odd], self._split), (rows[odd], self._cut)):
+        for which, split in ((np.flatnonzero(some & ~odd), self._split), (np.flatnonzero(some & odd), self._cut)):
             if len(which):
-                places, n = split([texts[i] for i in which])
+                places, n = split(texts.take(pa.array(which)))
                 count[which] = n
                 found.append((which, places, n))
         ends = np.cumsum(count + 1) - 1
@@ -179,6 +193,7 @@ class Encoder:
 
 @lru_cache(maxsize=1)
 def encoder(path: str) -> Encoder:
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     return Encoder(path)
 
 
@@ -187,14 +202,14 @@ def compress(ids: np.ndarray, doc_to: np.ndarray) -> dict:
     present = np.zeros(int(ids.max(initial=0)) + 1, bool)
     present[ids] = True
     terminals = np.flatnonzero(present).astype(np.uint32)
-    s = (np.cumsum(present, dtype=np.uint32) - np.uint32(1))[ids]
+    s = (np.cumsum(present) - 1)[ids]
     ends = np.asarray(doc_to, np.int64) - 1  # the last symbol of each document: no pair starts there
     rules, n = [], len(terminals)
     while True:
         room = min(RULES_A_ROUND, SYMBOLS - n)
         if len(s) < 2 or room <= 0:
             break
-        code = (s[:-1] << np.uint32(16)) | s[1:]
+        code = ((s[:-1] << 16) | s[1:]).astype(np.uint32)
         code[ends[:-1]] = _NO_PAIR
         order = np.sort(code)
         order = order[: np.searchsorted(order, _NO_PAIR)]
@@ -205,17 +220,22 @@ def compress(ids: np.ndarray, doc_to: np.ndarray) -> dict:
             break
         best = np.sort(often[np.argsort(-counts[often], kind="stable")[:room]])
         pairs = order[starts[best]]
-        left, right = np.zeros(n, bool), np.zeros(n, bool)
-        left[pairs >> np.uint32(16)], right[pairs & np.uint32(0xFFFF)] = True, True
-        where = np.flatnonzero(left[s[:-1]] & right[s[1:]])
-        at = np.searchsorted(pairs, code[where])
-        at[at == len(pairs)] = 0
-        hit = pairs[at] == code[where]
+        # The rules' left and right symbols are numbered, and a table of both
+        # numbers has the rule: one look a place that both sides could begin.
+        left, right = _numbers(pairs >> np.uint32(16), n), _numbers(pairs & np.uint32(0xFFFF), n)
+        width = int(right.max()) + 1
+        rule = np.zeros((int(left.max()) + 1) * width, np.int16)
+        rule[left[pairs >> np.uint32(16)] * width + right[pairs & np.uint32(0xFFFF)]] = np.arange(1, len(pairs) + 1)
+        a, b = left.take(s[:-1]), right.take(s[1:])
+        a[ends[:-1]] = 0
+        where = np.flatnonzero((a > 0) & (b > 0))
+        at = rule.take(a[where] * width + b[where]).astype(np.int64) - 1
+        hit = at >= 0
         where, at = where[hit], at[hit]
         # Of overlapping occurrences, every other one from the left is replaced.
-        run = np.concatenate([[True], np.diff(where) > 1])
-        run_start = np.maximum.accumulate(np.where(run, np.arange(len(where)), 0))
-        odd = (np.arange(len(where)) - run_start) % 2 == 0
+        run, place = np.ones(len(where), bool), np.arange(len(where))
+        np.greater(where[1:] - where[:-1], 1, out=run[1:])
+        odd = (place - np.maximum.accumulate(np.where(run, place, 0))) & 1 == 0
         take = where[odd]
         s[take] = n + at[odd]
         keep = np.ones(len(s), bool)
@@ -235,10 +255,19 @@ def compress(ids: np.ndarray, doc_to: np.ndarray) -> dict:
     }
 
 
-def expansion_lengths(n_terminals: int, pairs: np.ndarray) -> np.ndarray:
+def _numbers(symbols: np.ndarray, n: int) -> np.ndarray:
+    """Numbers from 1 for the distinct ``symbols``, 0 for the others below ``n``."""
+    out = np.zeros(n, np.int32)
+    out[symbols] = 1
+    met = np.flatnonzero(out)
+    out[met] = np.arange(1, len(met) + 1)
+    return out
+
+
+def expansion_lengths(n_terminals: int, pairs: np.ndarray, level: np.ndarray | None = None) -> np.ndarray:
     """Ids that each symbol expands to; a rule refers to earlier symbols only."""
     out = np.ones(n_terminals + len(pairs), np.int64)
-    level = _levels(n_terminals, pairs)
+    level = _levels(n_terminals, pairs) if level is None else level
     for k in range(1, int(level.max(initial=0)) + 1):
         at = np.flatnonzero(level == k)
         out[at] = out[pairs[at - n_terminals]].sum(axis=1)
@@ -263,11 +292,11 @@ def expand(symbols: np.ndarray, terminals: np.ndarray, pairs: np.ndarray) -> np.
     """The ids of a run of symbols: what each rule stands for is spelt out
     once, level by level; the run then is one gather."""
     n = len(terminals)
-    size = expansion_lengths(n, pairs)
+    level = _levels(n, pairs)
+    size = expansion_lengths(n, pairs, level)
     to = np.cumsum(size)
     spelt = np.zeros(int(to[-1]) if len(to) else 0, np.uint32)
     spelt[:n] = terminals
-    level = _levels(n, pairs)
     for k in range(1, int(level.max(initial=0)) + 1):
         rule = np.flatnonzero(level == k)
         both = pairs[rule - n].reshape(-1)
@@ -327,27 +356,27 @@ def _parts(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _pack(path: str):
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part = encoder(path), TaskContext.get().partitionId()
         ids, sizes, doc_ids, held, shard, start = [], [], [], 0, 0, 0
 
-        def close() -> pd.DataFrame:
+        def close() -> pa.RecordBatch:
             row = compress(np.concatenate(ids), np.cumsum(sizes))
-            return pd.DataFrame([{"part": part, "shard": shard, "start": start, "doc_ids": doc_ids, **row}])
+            return pa.RecordBatch.from_pylist([{"part": part, "shard": shard, "start": start, "doc_ids": doc_ids, **row}], _SHARD)
 
         for b in batches:
-            for at in range(0, len(b), 1024):
-                some = b.iloc[at : at + 1024]
-                got, to = encode([None if pd.isna(t) else t for t in some["text"]])
-                for k, doc_id in enumerate(some["doc_id"]):
-                    lo = int(to[k - 1]) if k else 0
-                    if held and held + int(to[k]) - lo > SHARD_TOKENS:
+            for at in range(0, b.num_rows, 1024):
+                some = b.slice(at, 1024)
+                got, to = encode(some.column("text"))
+                size = np.diff(to, prepend=0).tolist()
+                for doc_id, n, hi in zip(some.column("doc_id").to_pylist(), size, to.tolist(), strict=True):
+                    if held and held + n > SHARD_TOKENS:
                         yield close()
                         ids, sizes, doc_ids, held, shard, start = [], [], [], 0, shard + 1, start + held
-                    ids.append(got[lo : int(to[k])])
-                    sizes.append(int(to[k]) - lo)
-                    doc_ids.append(None if pd.isna(doc_id) else int(doc_id))
-                    held += sizes[-1]
+                    ids.append(got[hi - n : hi])
+                    sizes.append(n)
+                    doc_ids.append(doc_id)
+                    held += n
         if held:
             yield close()
 
@@ -359,7 +388,10 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None) -> None:
     are not read) to the folder ``path``, in ascending doc_id order."""
     small_batches(docs.sparkSession)
     rows = docs.select("doc_id", "text").repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
-    rows.mapInPandas(tidy(_pack(tokenizer or public_tokenizers.path(TOKENIZER))), FORMAT).write.parquet(path)
+    rows.mapInArrow(tidy(_pack(tokenizer or public_tokenizers.path(TOKENIZER))), FORMAT).write.parquet(path)
+
+
+_DIGEST = ["doc_id", "part", "before", "n_tokens", "ids_crc32", "n_symbols"]
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -367,19 +399,19 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     folder, all from its decoded ids."""
     shards = spark.read.schema(FORMAT).parquet(path)
 
-    def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder.cache_clear()  # the shards are written: no task encodes any more
         for b in batches:
-            for row in b.to_dict("records"):
+            for row in b.to_pylist():
                 ids, to = decode(row)
-                data, lo = memoryview(ids.astype("<u4").tobytes()), np.concatenate([[0], to[:-1]])
-                symbols = np.diff(np.concatenate([[0], np.asarray(row["symbols_to"], np.int64)]))
-                yield pd.DataFrame({
-                    "doc_id": pd.array(row["doc_ids"], "Int64"), "part": row["part"], "before": row["start"] + lo, "n_tokens": to - lo,
-                    "ids_crc32": [zlib.crc32(data[4 * i : 4 * j]) for i, j in zip(lo, to, strict=True)], "n_symbols": symbols,
-                })
-
-    out = written(shards.mapInPandas(tidy(digest), "doc_id long, part long, before long, n_tokens long, ids_crc32 long, n_symbols long"), "token-documents")
+                data, ends = memoryview(ids.astype("<u4", copy=False)).cast("B"), (4 * to).tolist()
+                size = np.diff(to, prepend=0)
+                crc = [zlib.crc32(data[i:j]) for i, j in zip([0, *ends[:-1]], ends, strict=True)]
+                symbols = np.diff(np.asarray(row["symbols_to"], np.int64), prepend=0)
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (
+                    row["doc_ids"], np.full(len(to), row["part"]), row["start"] + to - size, size, crc, symbols)], _DIGEST)
+
+    out = written(shards.mapInArrow(tidy(digest), ", ".join(f"{c} long" for c in _DIGEST)), "token-documents")
     # One row a part, as many as the range partitions of the writing job.
     before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     earlier = out.groupBy("part").agg(F.sum("n_tokens").alias("n")) \
