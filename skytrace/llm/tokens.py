@@ -60,8 +60,6 @@ SHARD_TOKENS = 1 << 18
 MIN_COUNT, RULES_A_ROUND = 6, 2048
 #: Terminals and rules of a shard at most: a pair of symbols is 32 bits.
 SYMBOLS = 1 << 16
-#: No pair of symbols: a rule has two symbols below 65,535.
-_NO_PAIR = np.uint32(0xFFFFFFFF)
 #: Parts of texts whose ids a worker remembers; beyond it, the half met in most
 #: batches stay.
 REMEMBERED = 300_000
@@ -127,8 +125,10 @@ class Encoder:
         data = "".join(runs.to_numpy(zero_copy_only=False).tolist())
         letters = np.concatenate([[0], np.cumsum(pc.utf8_length(runs).to_numpy())])[np.append(np.arange(0, n, PARTS_A_RUN), n)]
         texts = [data[i:j] for i, j in zip(letters[:-1], letters[1:], strict=True)] + parts.filter(pc.invert(plain)).to_pylist()
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        ids = np.fromiter(chain.from_iterable(e.ids for e in found), np.uint32)
+        ids = np.concatenate([  # what the tokenizer returns takes much memory
+            np.fromiter(chain.from_iterable(e.ids for e in self.tokenizer.encode_batch_fast(texts[i : i + 128], add_special_tokens=False)), np.uint32)
+            for i in range(0, len(texts), 128)
+        ])
         to = np.cumsum(pc.binary_length(parts).to_numpy()[order])
         ends = np.searchsorted(np.cumsum(self.n_bytes[ids]), to) + 1
         size = np.empty(len(parts), np.int64)
@@ -204,21 +204,27 @@ def compress(ids: np.ndarray, doc_to: np.ndarray) -> dict:
     terminals = np.flatnonzero(present).astype(np.uint32)
     s = (np.cumsum(present) - 1)[ids]
     ends = np.asarray(doc_to, np.int64) - 1  # the last symbol of each document: no pair starts there
-    rules, n = [], len(terminals)
+    rules, n, fresh = [], len(terminals), 0  # only pairs with a symbol from ``fresh`` on can be frequent
     while True:
         room = min(RULES_A_ROUND, SYMBOLS - n)
         if len(s) < 2 or room <= 0:
             break
-        code = ((s[:-1] << 16) | s[1:]).astype(np.uint32)
-        code[ends[:-1]] = _NO_PAIR
-        order = np.sort(code)
-        order = order[: np.searchsorted(order, _NO_PAIR)]
+        new = s >= fresh
+        new = new[:-1] | new[1:]
+        new[ends[:-1]] = False
+        where = np.flatnonzero(new)
+        first, second = s[where], s[where + 1]
+        order = np.sort(((first << 16) | second).astype(np.uint32))
         starts = np.flatnonzero(np.concatenate([[True], order[1:] != order[:-1]])) if len(order) else np.zeros(0, np.int64)
         counts = np.diff(np.append(starts, len(order)))
         often = np.flatnonzero(counts >= MIN_COUNT)
         if not len(often):
             break
-        best = np.sort(often[np.argsort(-counts[often], kind="stable")[:room]])
+        # No occurrence of a rule's pair outlasts its round, and old symbols do
+        # not become neighbours: with all frequent pairs taken, the next ones
+        # have a symbol of this round.
+        fresh = n if len(often) <= room else 0
+        best = often if fresh else np.sort(often[np.argsort(-counts[often], kind="stable")[:room]])
         pairs = order[starts[best]]
         # The rules' left and right symbols are numbered, and a table of both
         # numbers has the rule: one look a place that both sides could begin.
@@ -226,12 +232,11 @@ def compress(ids: np.ndarray, doc_to: np.ndarray) -> dict:
         width = int(right.max()) + 1
         rule = np.zeros((int(left.max()) + 1) * width, np.int16)
         rule[left[pairs >> np.uint32(16)] * width + right[pairs & np.uint32(0xFFFF)]] = np.arange(1, len(pairs) + 1)
-        a, b = left.take(s[:-1]), right.take(s[1:])
-        a[ends[:-1]] = 0
-        where = np.flatnonzero((a > 0) & (b > 0))
-        at = rule.take(a[where] * width + b[where]).astype(np.int64) - 1
+        a, b = left.take(first), right.take(second)
+        both = np.flatnonzero((a > 0) & (b > 0))
+        at = rule.take(a[both] * width + b[both]).astype(np.int64) - 1
         hit = at >= 0
-        where, at = where[hit], at[hit]
+        where, at = where[both[hit]], at[hit]
         # Of overlapping occurrences, every other one from the left is replaced.
         run, place = np.ones(len(where), bool), np.arange(len(where))
         np.greater(where[1:] - where[:-1], 1, out=run[1:])
@@ -365,18 +370,16 @@ def _pack(path: str):
             return pa.RecordBatch.from_pylist([{"part": part, "shard": shard, "start": start, "doc_ids": doc_ids, **row}], _SHARD)
 
         for b in batches:
-            for at in range(0, b.num_rows, 1024):
-                some = b.slice(at, 1024)
-                got, to = encode(some.column("text"))
-                size = np.diff(to, prepend=0).tolist()
-                for doc_id, n, hi in zip(some.column("doc_id").to_pylist(), size, to.tolist(), strict=True):
-                    if held and held + n > SHARD_TOKENS:
-                        yield close()
-                        ids, sizes, doc_ids, held, shard, start = [], [], [], 0, shard + 1, start + held
-                    ids.append(got[hi - n : hi])
-                    sizes.append(n)
-                    doc_ids.append(doc_id)
-                    held += n
+            got, to = encode(b.column("text"))
+            size = np.diff(to, prepend=0).tolist()
+            for doc_id, n, hi in zip(b.column("doc_id").to_pylist(), size, to.tolist(), strict=True):
+                if held and held + n > SHARD_TOKENS:
+                    yield close()
+                    ids, sizes, doc_ids, held, shard, start = [], [], [], 0, shard + 1, start + held
+                ids.append(got[hi - n : hi])
+                sizes.append(n)
+                doc_ids.append(doc_id)
+                held += n
         if held:
             yield close()
 

@@ -445,6 +445,26 @@ def test_parts_encode_as_the_whole_text():
         assert np.split(ids, to)[:-1] and [x.tolist() for x in np.split(ids, to)[:-1]] == want
 
 
+def test_frequent_parts_are_encoded_once(monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 60)
+    e = tokens.Encoder(public_tokenizers.path(tokens.TOKENIZER))
+    real, sent = e.tokenizer, []
+
+    class Watched:
+        def encode_batch_fast(self, texts, **how):
+            sent.extend(texts)
+            return real.encode_batch_fast(texts, **how)
+
+    e.tokenizer = Watched()
+    common = " ".join(f"kept{chr(97 + i)}" for i in range(20))
+    for k in range(12):
+        some = [f"{common} new{chr(97 + k)}{chr(97 + i)}" for i in range(20)]
+        sent.clear()
+        ids, to = e(some)
+        assert [x.tolist() for x in np.split(ids, to)[:-1]] == [x.ids + [tokens.END_ID] for x in real.encode_batch(some)]
+        assert sent and (k == 0 or not any("kept" in x for x in sent))
+
+
 @pytest.mark.parametrize("seed,n,alphabet", [(0, 1, 3), (1, 50, 2), (2, 5000, 4), (3, 20_000, 300), (4, 3000, 1), (5, 30_000, 50_000)])
 def test_grammar_round_trip(seed, n, alphabet):
     r = np.random.default_rng(seed)
