@@ -191,7 +191,7 @@ def _numbered(before: np.ndarray, drawn: int):
             own = b["segment"].to_numpy()
             first = np.flatnonzero(np.diff(own, prepend=segment))
             start = np.zeros(len(b), np.int64) - at
-            for i, to in zip(first, [*first[1:], len(b)], strict=True):
+            for i, to in zip(first, np.append(first, len(b))[1:], strict=True):
                 start[i:to] = i
             rank = before[own] + np.arange(len(b)) - start + 1
             segment, at = own[-1] if len(b) else segment, (len(b) - start[-1]) if len(b) else at

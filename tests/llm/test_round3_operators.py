@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -248,3 +249,10 @@ def test_run_edges(spark):
     one = runs.word_runs(table(spark, [(None, LONG)])).first()
     assert tuple(one)[:6] == (None, 1, 0, 140_000, 7, 20_000_000)
     assert runs.word_runs(table(spark, [])).count() == 0
+
+
+def test_ranks_where_a_segment_spans_batches():
+    seg = np.repeat([0, 2], [5, 7])
+    rows = [pd.DataFrame({"doc_id": range(i, i + 2), "segment": seg[i : i + 2]}) for i in range(0, 12, 2)]
+    got = pd.concat(resample._numbered(np.array([0, 5, 5]), 9)(iter(rows)))["rank"]
+    assert [None if pd.isna(x) else x for x in got] == [*range(1, 10), None, None, None]
