@@ -1,11 +1,12 @@
 """Hour windows, reorder, window statistics, hourly counts."""
 
 import pytest
-from conftest import SF_SMALL
+from conftest import SF_SMALL, docs_df
 
 from pyspark.sql import functions as F
 
 from skytrace.operators import stats, windows
+from skytrace.operators.flatten import flatten_docs
 from skytrace.plans import queries as Q
 from skytrace.plans.params import WINDOWS
 
@@ -39,6 +40,19 @@ def test_reorder_and_required(spark):
         windows.require_columns(p.drop("icao"))
 
 
+def test_valid_positions_counts_what_the_operator_leaves(spark, monkeypatch):
+    trace = '[[1,1.5,104.5],[2,null,104.5],[3,1.5,null],[4,"NaN",104.5],[5,1.5,"NaN"],[6,1.6,104.6],[7,1.6,104.6]]'
+    known = f'{{"icao":"7380e5","timestamp":1738976400,"trace":{trace}}}'
+    unknown = f'{{"timestamp":1738976400,"trace":{trace}}}'
+    p = flatten_docs(docs_df(spark, [
+        ("a", "2025.02.08", known), ("b", "2025.02.08", unknown), ("c", "2025.02.09", unknown), ("d", None, known), ("e", None, known)]))
+    monkeypatch.setattr(Q, "points", lambda spark, sf_dir: p)
+    got = Q.q_valid_positions(spark, SF_SMALL)
+    assert {tuple(r) for r in got.collect()} == {("2025.02.08", 14, 3), ("2025.02.09", 7, 0), (None, 14, 6)}
+    left = Q.valid(spark, SF_SMALL).groupBy("source_date").count()
+    assert {tuple(r) for r in got.select("source_date", "n_valid").where("n_valid > 0").collect()} == {tuple(r) for r in left.collect()}
+
+
 def test_counts_add_up(spark):
     p = Q.points(spark, SF_SMALL)
     total = p.count()
